@@ -101,6 +101,14 @@ trules AS (SELECT row_number() OVER (ORDER BY lift DESC, confidence DESC, suppor
                   CAST(1 AS BIGINT) << CAST(consequent[1] - 1 AS INTEGER) AS cmask
            FROM trules_all)"""
 
+# department names of each rule's items, in item order
+RULE_NAMES = """
+rexp AS (SELECT rule_id, 'a' AS side, unnest(antecedent) AS item, unnest(range(1, len(antecedent) + 1)) AS pos FROM trules
+         UNION ALL SELECT rule_id, 'c', unnest(consequent), unnest(range(1, len(consequent) + 1)) FROM trules),
+rnames AS (SELECT rule_id, string_agg(d.department, '|' ORDER BY pos) FILTER (WHERE side = 'a') AS ante_names,
+                  string_agg(d.department, '|' ORDER BY pos) FILTER (WHERE side = 'c') AS cons_names
+           FROM rexp JOIN depts d ON d.department_id = rexp.item GROUP BY rule_id)"""
+
 SCORED = """
 s AS (SELECT CAST(event_type = 'purchase' AS INTEGER) AS label, least(value / 500.0, 1.0) AS probability,
              CAST(least(value / 500.0, 1.0) > 0.5 AS DOUBLE) AS prediction
@@ -113,7 +121,7 @@ gd AS (SELECT g.*, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORD
 
 
 def _ids(expr: str) -> str:
-    return f"array_to_string(list_transform({expr}, x -> CAST(x AS VARCHAR)), ',')"
+    return f"array_to_string(list_transform({expr}, lambda x: CAST(x AS VARCHAR)), ',')"
 
 
 def _r(expr: str) -> str:
@@ -268,12 +276,9 @@ FROM nrules"""
 WITH {DEPTS.strip()},
 {TYPE_LINES.strip()},
 {TYPE_RULES.strip()},
-head AS (SELECT * FROM trules WHERE rule_id <= 10)
-SELECT CAST(rule_id AS BIGINT) AS rule_id,
-       array_to_string(list_transform(antecedent, x -> (SELECT department FROM depts WHERE department_id = x)), '|') AS antecedent_names,
-       array_to_string(list_transform(consequent, x -> (SELECT department FROM depts WHERE department_id = x)), '|') AS consequent_names,
-       {_r('lift')} AS lift
-FROM head"""
+{RULE_NAMES.strip()}
+SELECT CAST(r.rule_id AS BIGINT) AS rule_id, n.ante_names AS antecedent_names, n.cons_names AS consequent_names, {_r('r.lift')} AS lift
+FROM trules r JOIN rnames n USING (rule_id) WHERE r.rule_id <= 10"""
 
     TYPE_BASKETS = """
 ob AS (SELECT order_id AS basket_id, bit_or(CAST(1 AS BIGINT) << CAST(item - 1 AS INTEGER)) AS mask FROM type_lines GROUP BY order_id),
@@ -312,10 +317,8 @@ rk AS (SELECT b.basket_id, b.product_id, row_number() OVER (PARTITION BY b.baske
        FROM best b JOIN trules r USING (rule_id)),
 recs AS (SELECT basket_id, string_agg(d.department, '|' ORDER BY rank) AS recommended
          FROM rk JOIN depts d ON d.department_id = rk.product_id WHERE rank <= 5 GROUP BY basket_id),
-named AS (SELECT rule_id,
-                 array_to_string(list_transform(antecedent, x -> (SELECT department FROM depts WHERE department_id = x)), '+') || '>' ||
-                 array_to_string(list_transform(consequent, x -> (SELECT department FROM depts WHERE department_id = x)), '+') AS txt
-          FROM trules),
+{RULE_NAMES.strip()},
+named AS (SELECT rule_id, replace(ante_names, '|', '+') || '>' || replace(cons_names, '|', '+') AS txt FROM rnames),
 firsts AS (SELECT basket_id, string_agg(txt, '|' ORDER BY rule_id) AS top_rules
            FROM (SELECT tm.basket_id, tm.rule_id, named.txt, row_number() OVER (PARTITION BY tm.basket_id ORDER BY tm.rule_id) AS k
                  FROM tm JOIN named USING (rule_id)) WHERE k <= 5 GROUP BY basket_id)
@@ -367,7 +370,7 @@ SELECT {_r('sum((pos / P) * (tp / (tp + fp)))')} AS average_precision FROM gd"""
     edges = "0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001, 0.7000000000000001, 0.8, 0.9"
     q["calibration"] = f"""
 WITH {SCORED.strip()}
-SELECT CAST(len(list_filter([{edges}], e -> e < probability)) AS BIGINT) AS bin, count(*) AS n,
+SELECT CAST(len(list_filter([{edges}], lambda e: e < probability)) AS BIGINT) AS bin, count(*) AS n,
        {_r('avg(probability)')} AS mean_predicted, {_r('avg(CAST(label AS DOUBLE))')} AS fraction_positive
 FROM s GROUP BY 1"""
 
