@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.session import cut_lineage
+
 
 def global_running_totals(
     df: DataFrame,
@@ -27,17 +29,27 @@ def global_running_totals(
     descending: bool = False,
     buckets: int = 4096,
     prefix: str = "cum_",
+    value_range: tuple[float, float] | None = None,
 ) -> DataFrame:
     """Add ``{prefix}{v}``: the sum of ``v`` over all rows whose order value comes at or
     before this row's (ties included), in ascending or descending order of ``order_col``.
     Rows with a null order value are dropped.
+
+    ``value_range`` (e.g. ``(0, 1)`` for probabilities) fixes the bucket range; otherwise it comes
+    from one scalar subquery over ``df`` (so ``df`` should be cheap to re-read, e.g. checkpointed).
+    Values outside the range fall into the edge buckets, which keeps the order exact.
     """
     key = F.col(order_col).cast("double")
     d = df.where(F.col(order_col).isNotNull()).withColumn("_rk", -key if descending else key)
-    lo = d.select(F.min("_rk")).scalar()
-    hi = d.select(F.max("_rk")).scalar()
+    if value_range is None:
+        b = d.select(F.struct(F.min("_rk").alias("lo"), F.max("_rk").alias("hi"))).scalar()
+        lo, hi = b["lo"], b["hi"]
+    else:
+        lo_v, hi_v = (-value_range[1], -value_range[0]) if descending else value_range
+        lo, hi = F.lit(float(lo_v)), F.lit(float(hi_v))
     span = hi - lo
-    bucket = F.when(span > 0, F.least(F.floor((F.col("_rk") - lo) / span * F.lit(buckets)), F.lit(buckets - 1)))
+    raw = F.floor((F.col("_rk") - lo) / span * F.lit(buckets))
+    bucket = F.when(span > 0, F.least(F.greatest(raw, F.lit(0)), F.lit(buckets - 1)))
     d = d.withColumn("_bk", F.coalesce(bucket, F.lit(0)).cast("int"))
 
     totals = d.groupBy("_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
@@ -82,7 +94,9 @@ def exact_median(df: DataFrame, col: str, out_col: str = "median", buckets: int
     """One-row DataFrame with the exact (interpolated) median of the non-null values of ``col``;
     null for no values. Equals pandas ``Series.median``.
     """
-    hist = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    # the histogram has one row per distinct value; checkpointing it lets the scalar
+    # subqueries below re-read it instead of recomputing df's lineage
+    hist = cut_lineage(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
     n_total = hist.select(F.sum("_n")).scalar()
     ranked = global_running_totals(hist, col, ["_n"], buckets=buckets)
     lo_pos = F.floor((n_total - 1) / 2)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
 from cartwise.functions.prefix import global_running_totals
+from cartwise.session import cut_lineage
 
 # fixed values: interior edges of 10 uniform calibration bins, as numpy.linspace(0, 1, 11) yields them
 CALIBRATION_EDGES_10 = [0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001, 0.7000000000000001, 0.8, 0.9]
@@ -52,12 +53,15 @@ def confusion_matrix(scored: DataFrame, threshold: float | None = None) -> DataF
 
 
 def _score_groups(scored: DataFrame) -> DataFrame:
+    """One row per distinct score with its positives and negatives, checkpointed: the curves read
+    it several times (totals, bucket prefix, rows) and it is far smaller than the scored rows."""
     require_columns(scored, ["label", "probability"], "scored rows")
-    return (
+    groups = (
         scored.where(F.col("probability").isNotNull())
         .groupBy(F.col("probability").alias("score"))
         .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
     )
+    return cut_lineage(groups)
 
 
 def _with_totals(groups: DataFrame) -> DataFrame:
@@ -68,7 +72,7 @@ def _with_totals(groups: DataFrame) -> DataFrame:
 def roc_auc(scored: DataFrame) -> DataFrame:
     """One row ``auc``: the probability that a random positive outranks a random negative, ties
     half (E2); null when one class is absent."""
-    g = global_running_totals(_score_groups(scored), "score", ["neg"])  # negatives at or below
+    g = global_running_totals(_score_groups(scored), "score", ["neg"], value_range=(0.0, 1.0))  # negatives at or below
     g = _with_totals(g)
     contrib = F.col("pos") * (F.col("cum_neg") - F.col("neg") * F.lit(0.5))
     return g.agg(F.try_divide(F.sum(contrib), (F.max("P") * F.max("N")).cast("double")).alias("auc"))
@@ -110,7 +114,7 @@ def threshold_metrics(scored: DataFrame, threshold: float) -> DataFrame:
 
 
 def _descending_counts(scored: DataFrame) -> DataFrame:
-    g = global_running_totals(_score_groups(scored), "score", ["pos", "neg"], descending=True)
+    g = global_running_totals(_score_groups(scored), "score", ["pos", "neg"], descending=True, value_range=(0.0, 1.0))
     return _with_totals(g).withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cartwise.operators import catalog, evaluate, explore, features, model, recommend, rules, transactions, windows
 from cartwise.operators.baskets import baskets, mining_baskets
+from cartwise.session import cut_lineage
 from cartwise.sources.testdata import TestTables
 
 # fixed parameters of the grocery runs
@@ -363,7 +364,8 @@ def _samples(t: TestTables) -> DataFrame:
 
 
 def _feature_matrix(t: TestTables) -> DataFrame:
-    tx = _transactions(t)
+    # the timeline feeds the windows (bounds and rows) and the department counts: write it once
+    tx = cut_lineage(_transactions(t))
     samples = windows.sliding_window_rfm(tx, "transaction_date", "user_id", "product_id", "quantity", OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS)
     interval = transactions.purchase_interval(t.orders)
     dept = transactions.department_frequency(tx, t.products, t.departments)
@@ -440,7 +442,7 @@ def score_and_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (customer, product name) line scored plus name recommendations."""
     t = TestTables(spark, sf_dir)
     tr = _trained(t)
-    tx = _transactions(t)
+    tx = cut_lineage(_transactions(t))
     interval = transactions.purchase_interval(t.orders)
     dept = transactions.department_frequency(tx, t.products, t.departments)
     pdept = transactions.product_department(t.products)
