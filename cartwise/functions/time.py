@@ -29,8 +29,8 @@ def _lit(x: Column | int) -> Column:
 def floor_div(a: Column, b: Column | int) -> Column:
     """Exact floor division of integers for ``b > 0`` (SQL ``div`` truncates toward zero)."""
     b = _lit(b)
-    multiple = a - F.pmod(a, b)  # a multiple of b, so the decimal quotient is exact
-    return (multiple.cast("decimal(20,0)") / b.cast("decimal(20,0)")).cast("bigint")
+    multiple = a - F.pmod(a, b)  # a multiple of b, so integral division is exact
+    return F.call_function("div", multiple, b)
 
 
 def ceil_div(a: Column, b: Column | int) -> Column:

@@ -1,20 +1,27 @@
 """Rule matching and top-N recommendations for many baskets at once.
 
 A rule matches a basket when its antecedent is a subset of the basket and its consequent shares
-no item with it. Both tests come from one broadcast join: every rule item (tagged antecedent or
-consequent) meets the basket items on the item id, and a partial aggregation per (basket, rule)
-counts antecedent hits and consequent hits. No pair of basket and rule is ever enumerated.
+no item with it. Plan:
 
-Rules are few by construction (``association_rules`` keeps at most ``max_rules``), so their
-exploded items are the broadcast side.
+1. each basket's items are cut to the rule vocabulary (items that occur in some rule) and
+   collected as a sorted set: at most ``|vocabulary|`` entries, however large the basket;
+2. every basket item meets, by a broadcast equi-join, only the rules whose *smallest* antecedent
+   item it is (the anchor), so a rule is tried once per basket that holds its anchor;
+3. the remaining subset / overlap tests are array functions on the candidate row.
+
+Rules are few by construction (``association_rules`` keeps at most ``max_rules``), so they and
+their vocabulary are the broadcast side. No pair of basket and rule outside the anchor join is
+enumerated and no shuffle follows the join.
 
 For each candidate product the first matching rule in rule order (highest lift) gives its lift
-and confidence; candidates rank by lift, then by that rule's position, then product id.
+and confidence; candidates rank by that lift, then by the rule's position, then product id. The
+matched rules of one basket are at most ``max_rules``, so they are gathered per basket in a single
+aggregation that yields the ranking, the rule count and the first rules together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
@@ -22,10 +29,17 @@ from cartwise.functions.text import unknown_name
 from cartwise.operators.catalog import id_names
 
 
-def _rule_items(rules: DataFrame) -> DataFrame:
-    ante = rules.select("rule_id", F.size("antecedent").alias("n_ante"), F.explode("antecedent").alias("item"), F.lit(True).alias("is_ante"))
-    cons = rules.select("rule_id", F.size("antecedent").alias("n_ante"), F.explode("consequent").alias("item"), F.lit(False).alias("is_ante"))
-    return ante.unionByName(cons)
+def rule_vocabulary(rules: DataFrame) -> DataFrame:
+    """Distinct items of all antecedents and consequents: ``item``."""
+    return rules.select(F.explode(F.array_union("antecedent", "consequent")).alias("item")).distinct()
+
+
+def basket_sets(items: DataFrame, rules: DataFrame) -> DataFrame:
+    """``basket_id, items``: each basket's distinct items that occur in some rule, sorted."""
+    require_columns(items, ["basket_id", "product_id"], "basket items")
+    vocab = F.broadcast(rule_vocabulary(rules))
+    kept = items.select("basket_id", F.col("product_id").alias("item")).where(F.col("item").isNotNull()).join(vocab, "item", "left_semi")
+    return kept.groupBy("basket_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
 def matched_rules(items: DataFrame, rules: DataFrame, exclude_owned: bool = True) -> DataFrame:
@@ -33,38 +47,61 @@ def matched_rules(items: DataFrame, rules: DataFrame, exclude_owned: bool = True
 
     With ``exclude_owned=False`` a rule whose consequent is already in the basket still matches.
     """
-    require_columns(items, ["basket_id", "product_id"], "basket items")
     require_columns(rules, ["rule_id", "antecedent", "consequent", "lift", "confidence"], "rules")
-    basket = items.select("basket_id", F.col("product_id").alias("item")).where(F.col("item").isNotNull()).distinct()
-    hits = basket.join(F.broadcast(_rule_items(rules)), "item").groupBy("basket_id", "rule_id").agg(
-        F.count_if("is_ante").alias("ante_hits"),
-        F.count_if(~F.col("is_ante")).alias("cons_hits"),
-        F.max("n_ante").alias("n_ante"),
-    )
-    cond = F.col("ante_hits") == F.col("n_ante")
+    sets = basket_sets(items, rules)
+    anchored = rules.where(F.size("antecedent") > 0).withColumn("anchor", F.array_min("antecedent"))
+    cand = sets.select("basket_id", "items", F.explode("items").alias("anchor")).join(F.broadcast(anchored), "anchor")
+    cond = F.size(F.array_except("antecedent", "items")) == 0
     if exclude_owned:
-        cond = cond & (F.col("cons_hits") == 0)
-    ok = hits.where(cond).select("basket_id", "rule_id")
-    return ok.join(F.broadcast(rules), "rule_id")
+        cond = cond & ~F.arrays_overlap("consequent", "items")
+    cols = ["basket_id", "rule_id", "antecedent", "consequent"] + [c for c in ("support", "confidence", "lift") if c in rules.columns]
+    return cand.where(cond).select(*cols)
+
+
+def basket_matches(items: DataFrame, rules: DataFrame) -> DataFrame:
+    """``basket_id, matches``: the basket's matched rules sorted by ``rule_id`` (at most ``max_rules``)."""
+    m = matched_rules(items, rules)
+    return m.groupBy("basket_id").agg(
+        F.array_sort(F.collect_list(F.struct("rule_id", "antecedent", "consequent", "support", "confidence", "lift"))).alias("matches")
+    )
+
+
+def _ranked(matches: Column, top_n: int) -> Column:
+    """Top products in first-occurrence order along the rule order, with that rule's scores."""
+    products = F.slice(F.array_distinct(F.flatten(F.transform(matches, lambda r: r["consequent"]))), 1, top_n)
+
+    def scored(p: Column) -> Column:
+        best = F.filter(matches, lambda r: F.array_contains(r["consequent"], p))[0]
+        return F.struct(p.alias("product_id"), best["lift"].alias("lift"), best["confidence"].alias("confidence"), best["rule_id"].alias("rule_id"))
+
+    return F.transform(products, scored)
+
+
+def _name_map(products: DataFrame, rules: DataFrame) -> Column:
+    """``id -> name`` for the rule vocabulary only (bounded by the rules), as one scalar map."""
+    names = id_names(products).join(F.broadcast(rule_vocabulary(rules).withColumnRenamed("item", "product_id")), "product_id", "left_semi")
+    m = names.select(F.map_from_entries(F.collect_list(F.struct("product_id", "product_name"))).alias("m")).scalar()
+    return F.coalesce(m, F.create_map().cast(f"map<{names.schema['product_id'].dataType.simpleString()},string>"))
+
+
+def _named(name_map: Column, pid: Column, unknown: Column) -> Column:
+    return F.coalesce(F.try_element_at(name_map, pid), unknown)
 
 
 def recommend(items: DataFrame, rules: DataFrame, products: DataFrame, top_n: int = 3) -> DataFrame:
     """Top ``top_n`` products per basket: ``basket_id, rank, product_id, product_name, lift, confidence, rule_id``."""
-    m = matched_rules(items, rules)
-    cand = m.select("basket_id", "rule_id", "lift", "confidence", F.explode("consequent").alias("product_id"))
-    best = cand.groupBy("basket_id", "product_id").agg(F.min_by(F.struct("rule_id", "lift", "confidence"), "rule_id").alias("b"))
-    # candidates per basket are bounded by the distinct consequents of at most max_rules rules
-    order = Window.partitionBy("basket_id").orderBy(F.col("b.lift").desc(), F.col("b.rule_id").asc(), F.col("product_id").asc())
-    top = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
-    named = top.join(id_names(products), "product_id", "left")
-    return named.select(
+    names = _name_map(products, rules)
+    bm = basket_matches(items, rules)
+    ex = bm.select("basket_id", F.posexplode(_ranked(F.col("matches"), top_n)).alias("pos", "r"))
+    pid = F.col("r.product_id")
+    return ex.select(
         "basket_id",
-        F.col("rank").cast("int").alias("rank"),
-        "product_id",
-        F.coalesce(F.col("product_name"), unknown_name(F.col("product_id"))).alias("product_name"),
-        F.col("b.lift").alias("lift"),
-        F.col("b.confidence").alias("confidence"),
-        F.col("b.rule_id").alias("rule_id"),
+        (F.col("pos") + 1).cast("int").alias("rank"),
+        pid.alias("product_id"),
+        _named(names, pid, unknown_name(pid)).alias("product_name"),
+        F.col("r.lift").alias("lift"),
+        F.col("r.confidence").alias("confidence"),
+        F.col("r.rule_id").alias("rule_id"),
     )
 
 
@@ -76,51 +113,43 @@ def recommend_explain(
     recommendations ARRAY<STRUCT>, top_matched_rules ARRAY<STRUCT>`` (first ``top_rules`` in rule order,
     item ids replaced by names; an unknown id keeps its text)."""
     items = resolved.select("basket_id", "product_id").distinct()
-    m = matched_rules(items, rules)
-    names = id_names(products)
-    counts = m.groupBy("basket_id").agg(F.count(F.lit(1)).alias("matched_rules_count"))
-    first = m.withColumn("k", F.row_number().over(Window.partitionBy("basket_id").orderBy("rule_id"))).where(F.col("k") <= top_rules)
-
-    def side_names(side: str) -> DataFrame:
-        ex = first.select("basket_id", "rule_id", F.posexplode(side).alias("pos", "product_id"))
-        j = ex.join(names, "product_id", "left")
-        label = F.coalesce(F.col("product_name"), F.col("product_id").cast("string"))
-        return j.groupBy("basket_id", "rule_id").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("pos", label.alias("n")))), lambda s: s["n"]).alias(side)
-        )
-
-    shown = (
-        first.select("basket_id", "rule_id", "k", "support", "confidence", "lift")
-        .join(side_names("antecedent"), ["basket_id", "rule_id"])
-        .join(side_names("consequent"), ["basket_id", "rule_id"])
-        .groupBy("basket_id")
-        .agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("k", "antecedent", "consequent", "support", "confidence", "lift"))),
-                lambda s: s.dropFields("k"),
-            ).alias("top_matched_rules")
-        )
+    # the (bounded) name map rides along as a column: lambdas cannot hold a subquery
+    bm = basket_matches(items, rules).withColumn("_names", _name_map(products, rules))
+    names = F.col("_names")
+
+    def label_all(ids: Column) -> Column:
+        return F.transform(ids, lambda x: _named(names, x, x.cast("string")))
+
+    recs = F.transform(
+        _ranked(F.col("matches"), top_n),
+        lambda r: F.struct(
+            r["product_id"].alias("product_id"),
+            _named(names, r["product_id"], unknown_name(r["product_id"])).alias("product_name"),
+            r["lift"].alias("lift"),
+            r["confidence"].alias("confidence"),
+        ),
     )
-    recs = (
-        recommend(items, rules, products, top_n)
-        .groupBy("basket_id")
-        .agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("rank", "product_id", "product_name", "lift", "confidence"))),
-                lambda s: s.dropFields("rank"),
-            ).alias("recommendations")
-        )
+    shown = F.transform(
+        F.slice(F.col("matches"), 1, top_rules),
+        lambda r: F.struct(
+            label_all(r["antecedent"]).alias("antecedent"),
+            label_all(r["consequent"]).alias("consequent"),
+            r["support"].alias("support"),
+            r["confidence"].alias("confidence"),
+            r["lift"].alias("lift"),
+        ),
     )
+    per_basket = bm.select("basket_id", F.size("matches").cast("bigint").alias("matched_rules_count"), recs.alias("recommendations"), shown.alias("top_matched_rules"))
     inputs = resolved.groupBy("basket_id").agg(
         F.collect_list(F.struct(F.col("request").alias("original"), "product_id", "product_name", "fuzzy_match")).alias("input"),
         F.array_sort(F.collect_set("product_id")).alias("input_product_ids"),
     )
-    out = inputs.join(counts, "basket_id", "left").join(recs, "basket_id", "left").join(shown, "basket_id", "left")
+    out = inputs.join(per_basket, "basket_id", "left")
     return out.select(
         "basket_id",
         "input",
         "input_product_ids",
-        F.coalesce("matched_rules_count", F.lit(0)).alias("matched_rules_count"),
-        F.coalesce("recommendations", F.array().cast(recs.schema["recommendations"].dataType)).alias("recommendations"),
-        F.coalesce("top_matched_rules", F.array().cast(shown.schema["top_matched_rules"].dataType)).alias("top_matched_rules"),
+        F.coalesce("matched_rules_count", F.lit(0).cast("bigint")).alias("matched_rules_count"),
+        F.coalesce("recommendations", F.array().cast(per_basket.schema["recommendations"].dataType)).alias("recommendations"),
+        F.coalesce("top_matched_rules", F.array().cast(per_basket.schema["top_matched_rules"].dataType)).alias("top_matched_rules"),
     )

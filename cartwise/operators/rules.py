@@ -11,6 +11,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.session import cut_lineage
+
 
 
 def rule_order() -> list:
@@ -27,11 +29,17 @@ def rule_order() -> list:
 def fp_growth(baskets: DataFrame, min_support: float = 0.001, min_confidence: float = 0.1, items_col: str = "items"):
     """Fit MLlib FP-Growth (itemsets of any length; support = share of the input rows)."""
     fp = FPGrowth(itemsCol=items_col, minSupport=min_support, minConfidence=min_confidence)
+    # spread the conditional FP-trees over the cluster, not over however few input partitions remain
+    fp = fp.setNumPartitions(baskets.sparkSession.sparkContext.defaultParallelism)
     return fp.fit(baskets.select(items_col))
 
 
-def number_rules(rules: DataFrame, max_rules: int | None = 10_000) -> DataFrame:
-    """Sort rules, keep the first ``max_rules`` (a top-k), and number them."""
+def number_rules(rules: DataFrame, max_rules: int | None = 10_000, materialize: bool = True) -> DataFrame:
+    """Sort rules, keep the first ``max_rules`` (a top-k), and number them.
+
+    The result (at most ``max_rules`` rows) is checkpointed: MLlib derives rules lazily from the
+    mined itemsets, so every later use would otherwise mine again.
+    """
     ordered = rules.select(
         F.array_sort("antecedent").alias("antecedent"),
         F.array_sort("consequent").alias("consequent"),
@@ -41,7 +49,8 @@ def number_rules(rules: DataFrame, max_rules: int | None = 10_000) -> DataFrame:
     )
     if max_rules is not None:
         ordered = ordered.orderBy(*rule_order()).limit(max_rules)  # at most max_rules rows below
-    return ordered.select(F.row_number().over(Window.orderBy(*rule_order())).cast("bigint").alias("rule_id"), "*")
+    numbered = ordered.select(F.row_number().over(Window.orderBy(*rule_order())).cast("bigint").alias("rule_id"), "*")
+    return cut_lineage(numbered) if materialize else numbered
 
 
 def association_rules(
