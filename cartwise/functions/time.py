@@ -16,9 +16,11 @@ MICROS_PER_DAY = 86_400_000_000
 def to_micros(col: Column | str, dtype: T.DataType) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(dtype, T.TimestampNTZType):
-        since_epoch = c - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        seconds = since_epoch.cast("interval second").cast("decimal(20,6)")
-        return (seconds * F.lit(1_000_000)).cast("bigint")
+        # wall-clock parts of a zone-free timestamp; every piece is zone independent
+        days = F.unix_date(F.to_date(c)).cast("bigint")
+        seconds = F.extract(F.lit("SECOND"), c)  # decimal(8,6): seconds with the fraction
+        micros = (seconds * F.lit(1_000_000)).cast("bigint")
+        return days * F.lit(MICROS_PER_DAY) + (F.hour(c) * F.lit(3600) + F.minute(c) * F.lit(60)).cast("bigint") * F.lit(1_000_000) + micros
     return F.unix_micros(c)
 
 

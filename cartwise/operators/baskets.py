@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
+from cartwise.session import cut_lineage
 
 
 def order_items(lines: DataFrame, order_col: str = "order_id", item_col: str = "product_id") -> DataFrame:
@@ -33,20 +34,26 @@ def baskets(lines: DataFrame, order_col: str = "order_id", item_col: str = "prod
 def mining_baskets(
     lines: DataFrame, min_support: float, order_col: str = "order_id", item_col: str = "product_id", min_items: int = 2
 ) -> DataFrame:
-    """Baskets for FP-Growth with every item below the support threshold removed.
+    """Baskets for rule mining with every item below the support threshold removed.
 
     The basket set (and so the support denominator) is exactly that of ``baskets``; only items
     that can never be frequent are dropped from the arrays, so each array is bounded by the number
     of frequent items (at most ``total items / min count``) even for a huge order. FP-Growth drops
     those items itself, so its itemsets and rules are unchanged.
+
+    The distinct (order, item) pairs of kept orders are written once (they feed the basket count,
+    the item counts and the arrays), and so is the result, which the miners read several times.
     """
     pairs = order_items(lines, order_col, item_col)
     sizes = pairs.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"))
-    kept = sizes.where(F.col("n_items") >= min_items).select("order_id")
-    n = kept.select(F.count(F.lit(1))).scalar()
+    kept_pairs = cut_lineage(pairs.join(sizes.where(F.col("n_items") >= min_items), "order_id", "left_semi"))
+    n = kept_pairs.select(F.count_distinct("order_id")).scalar()
     min_count = F.ceil(F.lit(min_support) * n)
-    in_kept = pairs.join(kept, "order_id", "left_semi")
-    frequent = in_kept.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count).select("item")
-    trimmed = in_kept.join(frequent, "item", "left_semi").groupBy("order_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    frequent = kept_pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count).select("item")
+    # at most total items / min count rows: a proven bound for the broadcast
+    trimmed = kept_pairs.join(F.broadcast(frequent), "item", "left_semi").groupBy("order_id").agg(
+        F.array_sort(F.collect_set("item")).alias("items")
+    )
     empty = F.array().cast(trimmed.schema["items"].dataType)
-    return kept.join(trimmed, "order_id", "left").select("order_id", F.coalesce("items", empty).alias("items"))
+    kept = kept_pairs.select("order_id").distinct()
+    return cut_lineage(kept.join(trimmed, "order_id", "left").select("order_id", F.coalesce("items", empty).alias("items")))

@@ -72,6 +72,48 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.001, items_col:
     return model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("freq"), (F.col("freq") / n).alias("support"))
 
 
+def pair_counter():
+    """The mapInPandas body. It is a closure, so it ships by value: executors need not have this
+    package installed. Each call counts the index pairs (a < b) of the sorted index arrays in one
+    partition and emits one row per distinct pair with its count (pre-aggregated before any shuffle).
+    """
+
+    def count_pairs(batches):
+        import numpy as np
+        import pandas as pd
+
+        codes = np.empty(0, dtype=np.int64)
+        counts = np.empty(0, dtype=np.int64)
+
+        def merge(c, n):
+            u, inv = np.unique(c, return_inverse=True)
+            return u, np.bincount(inv, weights=n, minlength=len(u)).astype(np.int64)
+
+        for pdf in batches:
+            arrs = pdf["idx"].to_numpy()
+            if len(arrs) == 0:
+                continue
+            lens = np.fromiter((len(a) for a in arrs), dtype=np.int64, count=len(arrs))
+            parts = []
+            for m in np.unique(lens):
+                if m < 2:
+                    continue
+                block = np.stack(arrs[lens == m]).astype(np.int64)  # baskets of m items, one per row
+                i, j = np.triu_indices(int(m), 1)
+                parts.append(((block[:, i] << 32) | block[:, j]).ravel())
+            if not parts:
+                continue
+            u, c = np.unique(np.concatenate(parts), return_counts=True)
+            codes, counts = np.concatenate([codes, u]), np.concatenate([counts, c.astype(np.int64)])
+            if len(codes) > 4_000_000:
+                codes, counts = merge(codes, counts)
+        if len(codes):
+            codes, counts = merge(codes, counts)
+            yield pd.DataFrame({"a": (codes >> 32).astype(np.int32), "b": (codes & 0xFFFFFFFF).astype(np.int32), "n": counts})
+
+    return count_pairs
+
+
 def pair_rules(
     baskets: DataFrame,
     min_support: float = 0.001,
@@ -79,7 +121,55 @@ def pair_rules(
     max_rules: int | None = 10_000,
     items_col: str = "items",
 ) -> DataFrame:
-    """Rules from frequent pairs only (itemset length capped at 2): one-item antecedents."""
+    """Rules from frequent pairs only (itemset length capped at 2): one-item antecedents and
+    consequents, the same numbers FP-Growth gives for them (M3).
+
+    Support counts use FP-Growth's threshold ``ceil(min_support * n)``. Frequent items get a dense
+    index (there are at most ``total items / min count`` of them, broadcast as one map); each basket
+    becomes the sorted array of its frequent items' indexes; every partition counts its pairs in
+    NumPy and emits one row per distinct pair, and only those partial counts are shuffled.
+    """
+    b = baskets.select(F.col(items_col).alias("items"))
+    n = b.select(F.count(F.lit(1))).scalar()
+    min_count = F.ceil(F.lit(min_support) * n)
+    item_counts = b.select(F.explode(F.array_distinct("items")).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("c"))
+    frequent = cut_lineage(item_counts.where(F.col("c") >= min_count))
+    # dense index over the frequent items (a bounded table, ranked in one task)
+    indexed = frequent.select("item", "c", (F.row_number().over(Window.orderBy("item")) - 1).cast("int").alias("idx"))
+    index_map = indexed.select(F.map_from_entries(F.collect_list(F.struct("item", "idx")))).scalar()
+    arrays = (
+        b.withColumn("_m", index_map)
+        .select(F.array_sort(F.filter(F.transform(F.array_distinct("items"), lambda x: F.try_element_at(F.col("_m"), x)), lambda x: x.isNotNull())).alias("idx"))
+        .where(F.size("idx") >= 2)
+    )
+    partial = arrays.mapInPandas(pair_counter(), "a int, b int, n long")
+    pairs = partial.groupBy("a", "b").agg(F.sum("n").alias("c_ab")).where(F.col("c_ab") >= min_count)
+    ia = F.broadcast(indexed.select(F.col("idx").alias("a"), F.col("item").alias("item_a"), F.col("c").alias("c_a")))
+    ib = F.broadcast(indexed.select(F.col("idx").alias("b"), F.col("item").alias("item_b"), F.col("c").alias("c_b")))
+    p = pairs.join(ia, "a").join(ib, "b")
+
+    def directed(x: str, y: str) -> DataFrame:
+        conf = F.col("c_ab") / F.col(f"c_{x}")
+        return p.select(
+            F.array(F.col(f"item_{x}")).alias("antecedent"),
+            F.array(F.col(f"item_{y}")).alias("consequent"),
+            conf.alias("confidence"),
+            (conf / (F.col(f"c_{y}") / n)).alias("lift"),
+            (F.col("c_ab") / n).alias("support"),
+        )
+
+    both = directed("a", "b").unionByName(directed("b", "a")).where(F.col("confidence") >= F.lit(min_confidence))
+    return number_rules(both, max_rules)
+
+
+def pair_rules_fp(
+    baskets: DataFrame,
+    min_support: float = 0.001,
+    min_confidence: float = 0.1,
+    max_rules: int | None = 10_000,
+    items_col: str = "items",
+) -> DataFrame:
+    """The same pair rules taken from a full FP-Growth run (a cross-check of ``pair_rules``)."""
     model = fp_growth(baskets, min_support, min_confidence, items_col)
     return number_rules(model.associationRules.where(F.size("antecedent") == 1), max_rules)
 

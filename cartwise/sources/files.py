@@ -31,6 +31,20 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.TRANSACTIONS, timestamp_format="yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]")
 
 
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan, spread over the cluster when it yields fewer splits than cores.
+
+    A large table arrives as many files and row groups and is split naturally (this is then a
+    no-op); a table stored as one row group is a single split, and everything before its first
+    shuffle would run in one task, so it is redistributed round-robin once.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write a table (S4, S6): parquet by default, ``csv`` with a header, or ``json``."""
     writer = df.write.mode(mode)

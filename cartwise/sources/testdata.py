@@ -25,6 +25,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cartwise.sources.files import read_parquet
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -39,7 +41,7 @@ class TestTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def orders(self) -> DataFrame:
