@@ -149,7 +149,8 @@ def average_precision(scored: DataFrame) -> DataFrame:
     """One row ``average_precision = sum over scores of (R_n - R_n-1) * P_n``."""
     g = _descending_counts(scored)
     step = F.try_divide(F.col("pos").cast("double"), F.col("P")) * (F.col("tp") / (F.col("tp") + F.col("fp")))
-    return g.agg(F.sum(step).alias("average_precision"))
+    # summed as exact decimals, so the result does not depend on task boundaries
+    return g.agg(F.sum(step.cast("decimal(38,18)")).cast("double").alias("average_precision"))
 
 
 def positive_rate(scored: DataFrame) -> DataFrame:
@@ -170,7 +171,12 @@ def calibration(scored: DataFrame, n_bins: int = 10) -> DataFrame:
     return (
         scored.where(p.isNotNull())
         .groupBy(b.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_predicted"), F.avg(F.col("label").cast("double")).alias("fraction_positive"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            # an exact decimal sum: the mean does not depend on how rows are split across tasks
+            F.avg(p.cast("decimal(38,18)")).cast("double").alias("mean_predicted"),
+            F.avg(F.col("label").cast("double")).alias("fraction_positive"),
+        )
     )
 
 

@@ -365,13 +365,13 @@ SELECT CAST(NULL AS DOUBLE), 1.0, 0.0"""
 
     q["average_precision"] = f"""
 WITH {SCORED.strip()}
-SELECT {_r('sum((pos / P) * (tp / (tp + fp)))')} AS average_precision FROM gd"""
+SELECT {_r('CAST(sum(CAST((pos / P) * (tp / (tp + fp)) AS DECIMAL(38,18))) AS DOUBLE)')} AS average_precision FROM gd"""
 
     edges = "0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001, 0.7000000000000001, 0.8, 0.9"
     q["calibration"] = f"""
 WITH {SCORED.strip()}
 SELECT CAST(len(list_filter([{edges}], lambda e: e < probability)) AS BIGINT) AS bin, count(*) AS n,
-       {_r('avg(probability)')} AS mean_predicted, {_r('avg(CAST(label AS DOUBLE))')} AS fraction_positive
+       {_r('avg(CAST(probability AS DECIMAL(38,18)))')} AS mean_predicted, {_r('avg(CAST(label AS DOUBLE))')} AS fraction_positive
 FROM s GROUP BY 1"""
 
     q["gains"] = f"""
