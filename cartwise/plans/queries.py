@@ -421,7 +421,27 @@ def user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trained(t: TestTables) -> model.TrainedRepurchase:
-    return model.train_repurchase(_feature_matrix(t))
+    """Train once per input folder and parameters, save the artifacts under the shared checkpoint
+    folder, and let later model queries load them (train -> save -> predictor, as in the grocery
+    model's own flow)."""
+    import hashlib
+
+    from cartwise import __version__
+    from cartwise.session import ensure_checkpoint_dir
+    from cartwise.sources.artifacts import load_artifacts, save_artifacts
+
+    key = hashlib.md5(f"{__version__}|{t.sf_dir}|{model.GBT_DEFAULTS}|{SEED}".encode()).hexdigest()
+    root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/cartwise-models/{key}"
+    try:
+        art = load_artifacts(t.spark, root)
+        test = t.spark.read.parquet(f"{root}/test_scored")
+        return model.TrainedRepurchase(art.model, test, art.metrics, art.feature_cols)
+    except Exception:  # noqa: BLE001  not trained yet (or a partial folder): train now
+        pass
+    tr = model.train_repurchase(_feature_matrix(t))
+    save_artifacts(root, tr.model, tr.feature_cols, tr.metrics)
+    tr.test_scored.write.mode("overwrite").parquet(f"{root}/test_scored")
+    return model.TrainedRepurchase(tr.model, t.spark.read.parquet(f"{root}/test_scored"), tr.metrics, tr.feature_cols)
 
 
 @query
