@@ -90,6 +90,23 @@ def keyed_running_sum(
     return out.withColumn(out_col, F.col("_off") + F.col("_in")).drop("_val", "_chunk", "_in", "_off")
 
 
+def keyed_row_number(df: DataFrame, keys: Sequence[str], order_col: str, out_col: str, chunk: int = 1 << 20) -> DataFrame:
+    """``row_number()`` per ``keys`` ordered by an integer column with distinct values per key,
+    without a window over a whole key: rows are cut into chunks of ``chunk`` consecutive values,
+    chunk row counts (one row per non-empty chunk) carry the offset, and the rank inside a chunk
+    runs per (key, chunk), at most ``chunk`` rows.
+    """
+    keys = list(keys)
+    d = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk)).cast("bigint"))
+    within = Window.partitionBy(*keys, "_chunk").orderBy(order_col)
+    d = d.withColumn("_rn", F.row_number().over(within))
+    counts = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cn"))
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_chunk", F.coalesce(F.sum("_cn").over(earlier), F.lit(0)).alias("_off"))
+    out = d.join(offsets, [*keys, "_chunk"])
+    return out.withColumn(out_col, F.col("_off") + F.col("_rn")).drop("_chunk", "_rn", "_off")
+
+
 def exact_median(df: DataFrame, col: str, out_col: str = "median", buckets: int = 4096) -> DataFrame:
     """One-row DataFrame with the exact (interpolated) median of the non-null values of ``col``;
     null for no values. Equals pandas ``Series.median``.

@@ -15,7 +15,8 @@ Mapping (one row each):
 
 Per-customer positions are computed without a window over a whole customer: orders are
 counted per (customer, day) first, the prefix runs over that day table (at most one row per
-calendar day per customer), and the rank inside a day runs per (customer, day).
+calendar day per customer), and the rank inside a day is split again by order-id chunks
+(``keyed_row_number``).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cartwise.functions.prefix import keyed_row_number
 from cartwise.sources.files import read_parquet
 
 TABLES = (
@@ -60,8 +62,8 @@ class TestTables:
             F.lag("order_day").over(by_day).alias("prev_day"),
             F.lead("order_day").over(by_day).isNull().alias("last_day"),
         )
-        in_day = Window.partitionBy("user_id", "order_day").orderBy("order_id")
-        ranked = base.withColumn("rank_in_day", F.row_number().over(in_day))
+        # rank inside a day, itself split into order-id chunks (no single-task (customer, day) window)
+        ranked = keyed_row_number(base, ["user_id", "order_day"], "order_id", "rank_in_day")
         j = ranked.join(per_day, ["user_id", "order_day"])
         return j.select(
             "order_id",

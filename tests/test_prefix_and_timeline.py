@@ -64,3 +64,12 @@ def test_department_frequency_unmatched_product(spark):
     departments = spark.createDataFrame([(1, "produce"), (2, "dairy")], "department_id int, department string")
     got = {(r.user_id, r.department, r.department_frequency, round(r.department_frequency_ratio, 6)) for r in department_frequency(tx, products, departments).collect()}
     assert got == {(1, "produce", 2, round(2 / 3, 6)), (1, "dairy", 1, round(1 / 3, 6)), (2, "dairy", 1, 1.0)}
+
+
+def test_keyed_row_number_small_chunks(spark):
+    from cartwise.functions.prefix import keyed_row_number
+
+    data = [(k, i) for k in (1, 2) for i in range(0, 60, 3)]
+    df = spark.createDataFrame(data, "k long, o long")
+    got = {(r.k, r.o, r.rn) for r in keyed_row_number(df, ["k"], "o", "rn", chunk=7).collect()}
+    assert got == {(k, o, o // 3 + 1) for k, o in data}
