@@ -35,11 +35,12 @@ def assemble_features(
     products: DataFrame,
     fill: str = "rows",
     keep: list[str] | None = None,
+    median: float | None = None,
 ) -> DataFrame:
     """Samples with the seven features and ``label``.
 
     ``keep`` lists extra sample columns to carry (default: ``window_id, user_id, product_id``
-    when present).
+    when present). ``median`` overrides the computed fill value (e.g. the one used in training).
     """
     require_columns(samples, ["user_id", "product_id", "recency", "frequency", "monetary"], "samples")
     require_columns(interval, ["user_id", "avg_days_since_prior"], "purchase interval")
@@ -47,9 +48,12 @@ def assemble_features(
         raise ValueError("fill must be 'rows' or 'users'")
     keep = keep if keep is not None else [c for c in ("window_id", "user_id", "product_id") if c in samples.columns]
     df = samples.join(interval.select("user_id", "avg_days_since_prior"), "user_id", "left")
-    source = df if fill == "rows" else interval
-    median = exact_median(source, "avg_days_since_prior").select("median").scalar()
-    df = df.withColumn("avg_days_since_prior", F.coalesce(F.col("avg_days_since_prior"), median))
+    if median is None:
+        source = df if fill == "rows" else interval
+        fill_value = exact_median(source, "avg_days_since_prior").select("median").scalar()
+    else:
+        fill_value = F.lit(float(median))
+    df = df.withColumn("avg_days_since_prior", F.coalesce(F.col("avg_days_since_prior"), fill_value))
     df = df.join(product_department(products), "product_id", "left")
     freq = dept_freq.select("user_id", "department_id", "department_frequency", "department_frequency_ratio")
     df = df.join(freq, ["user_id", "department_id"], "left")

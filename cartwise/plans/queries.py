@@ -364,9 +364,13 @@ def _samples(t: TestTables) -> DataFrame:
 
 
 def _feature_matrix(t: TestTables) -> DataFrame:
-    # the timeline feeds the windows (bounds and rows) and the department counts: write it once
+    # orders feed the line split and the intervals, the timeline feeds the windows (bounds and rows)
+    # and the department counts, the samples feed the median and the joins: each is written once
+    t.materialize_orders()
     tx = cut_lineage(_transactions(t))
-    samples = windows.sliding_window_rfm(tx, "transaction_date", "user_id", "product_id", "quantity", OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS)
+    samples = cut_lineage(
+        windows.sliding_window_rfm(tx, "transaction_date", "user_id", "product_id", "quantity", OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS)
+    )
     interval = transactions.purchase_interval(t.orders)
     dept = transactions.department_frequency(tx, t.products, t.departments)
     return features.assemble_features(samples, interval, dept, t.products)
@@ -460,7 +464,7 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def score_and_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (customer, product name) line scored plus name recommendations."""
-    t = TestTables(spark, sf_dir)
+    t = TestTables(spark, sf_dir).materialize_orders()
     tr = _trained(t)
     tx = cut_lineage(_transactions(t))
     interval = transactions.purchase_interval(t.orders)

@@ -80,6 +80,13 @@ class TestTables:
             .alias("eval_set"),
         )
 
+    def materialize_orders(self) -> "TestTables":
+        """Write the rebuilt orders once (they feed the line split, intervals and timelines)."""
+        from cartwise.session import cut_lineage
+
+        self.__dict__["orders"] = cut_lineage(self.orders)
+        return self
+
     @cached_property
     def order_lines(self) -> DataFrame:
         return self.raw("lineitem").select(
