@@ -1,0 +1,20 @@
+"""Broadcasts behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# rows above which a "small" side is no longer broadcast (AQE then plans a shuffle join)
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    Meant for sides that are small by construction (rules after the top-k, frequent items, a
+    vocabulary); they are usually checkpointed, so the count is a cheap scan. Counting stops
+    after ``max_rows + 1`` rows.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -10,7 +10,7 @@ no item with it. Plan:
 3. the remaining subset / overlap tests are array functions on the candidate row.
 
 Rules are few by construction (``association_rules`` keeps at most ``max_rules``), so they and
-their vocabulary are the broadcast side. No pair of basket and rule outside the anchor join is
+their vocabulary are the broadcast side, behind a row-count check (``sized_broadcast``). No pair of basket and rule outside the anchor join is
 enumerated and no shuffle follows the join.
 
 For each candidate product the first matching rule in rule order (highest lift) gives its lift
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
+from cartwise.functions.joins import sized_broadcast
 from cartwise.functions.text import unknown_name
 from cartwise.operators.catalog import id_names
 
@@ -37,7 +38,7 @@ def rule_vocabulary(rules: DataFrame) -> DataFrame:
 def basket_sets(items: DataFrame, rules: DataFrame) -> DataFrame:
     """``basket_id, items``: each basket's distinct items that occur in some rule, sorted."""
     require_columns(items, ["basket_id", "product_id"], "basket items")
-    vocab = F.broadcast(rule_vocabulary(rules))
+    vocab = sized_broadcast(rule_vocabulary(rules))
     kept = items.select("basket_id", F.col("product_id").alias("item")).where(F.col("item").isNotNull()).join(vocab, "item", "left_semi")
     return kept.groupBy("basket_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
@@ -50,7 +51,7 @@ def matched_rules(items: DataFrame, rules: DataFrame, exclude_owned: bool = True
     require_columns(rules, ["rule_id", "antecedent", "consequent", "lift", "confidence"], "rules")
     sets = basket_sets(items, rules)
     anchored = rules.where(F.size("antecedent") > 0).withColumn("anchor", F.array_min("antecedent"))
-    cand = sets.select("basket_id", "items", F.explode("items").alias("anchor")).join(F.broadcast(anchored), "anchor")
+    cand = sets.select("basket_id", "items", F.explode("items").alias("anchor")).join(sized_broadcast(anchored), "anchor")
     cond = F.size(F.array_except("antecedent", "items")) == 0
     if exclude_owned:
         cond = cond & ~F.arrays_overlap("consequent", "items")
@@ -79,7 +80,7 @@ def _ranked(matches: Column, top_n: int) -> Column:
 
 def _name_map(products: DataFrame, rules: DataFrame) -> Column:
     """``id -> name`` for the rule vocabulary only (bounded by the rules), as one scalar map."""
-    names = id_names(products).join(F.broadcast(rule_vocabulary(rules).withColumnRenamed("item", "product_id")), "product_id", "left_semi")
+    names = id_names(products).join(sized_broadcast(rule_vocabulary(rules).withColumnRenamed("item", "product_id")), "product_id", "left_semi")
     m = names.select(F.map_from_entries(F.collect_list(F.struct("product_id", "product_name"))).alias("m")).scalar()
     return F.coalesce(m, F.create_map().cast(f"map<{names.schema['product_id'].dataType.simpleString()},string>"))
 

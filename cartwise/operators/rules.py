@@ -11,6 +11,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.functions.joins import sized_broadcast
 from cartwise.session import cut_lineage
 
 
@@ -144,8 +145,8 @@ def pair_rules(
     )
     partial = arrays.mapInPandas(pair_counter(), "a int, b int, n long")
     pairs = partial.groupBy("a", "b").agg(F.sum("n").alias("c_ab")).where(F.col("c_ab") >= min_count)
-    ia = F.broadcast(indexed.select(F.col("idx").alias("a"), F.col("item").alias("item_a"), F.col("c").alias("c_a")))
-    ib = F.broadcast(indexed.select(F.col("idx").alias("b"), F.col("item").alias("item_b"), F.col("c").alias("c_b")))
+    ia = sized_broadcast(indexed.select(F.col("idx").alias("a"), F.col("item").alias("item_a"), F.col("c").alias("c_a")))
+    ib = sized_broadcast(indexed.select(F.col("idx").alias("b"), F.col("item").alias("item_b"), F.col("c").alias("c_b")))
     p = pairs.join(ia, "a").join(ib, "b")
 
     def directed(x: str, y: str) -> DataFrame:
