@@ -25,6 +25,14 @@ def order_items(lines: DataFrame, order_col: str = "order_id", item_col: str = "
     )
 
 
+def limit_lines(lines: DataFrame, limit_rows: int | None, order_cols: tuple[str, ...] = ("order_id", "product_id")) -> DataFrame:
+    """Cap the input at ``limit_rows`` lines (T2); ``None`` or 0 means all lines. The cap is taken
+    over an explicit order, so the same lines are kept on every run (a top-k, not an arbitrary LIMIT)."""
+    if not limit_rows:
+        return lines
+    return lines.orderBy(*order_cols).limit(int(limit_rows))
+
+
 def baskets(lines: DataFrame, order_col: str = "order_id", item_col: str = "product_id", min_items: int = 2) -> DataFrame:
     """``order_id, items`` (sorted distinct array) for orders with at least ``min_items`` items."""
     pairs = order_items(lines, order_col, item_col)
