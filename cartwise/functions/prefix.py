@@ -3,9 +3,9 @@
 A window with no ``partitionBy`` (or one keyed by a hot user) puts every row in one task.
 These helpers split the work in two levels instead:
 
-* ``global_running_totals``: rows are cut into ``buckets`` equal-width ranges of the order
-  key; bucket totals (at most ``buckets`` rows, a proven bound) get the global prefix, the
-  exact prefix inside each bucket runs in parallel, and the small offset table is broadcast.
+* ``global_running_totals``: rows are cut into ``buckets`` ranges of the order key (equal-count
+  by default); bucket totals (at most ``buckets`` rows, a proven bound) get the global prefix,
+  the exact prefix inside each bucket runs in parallel, and the small offset table is broadcast.
 * ``keyed_running_sum``: a per-key running sum by an integer position is split into chunks
   of ``chunk`` positions; chunk totals (``positions / chunk`` rows per key) carry the offset.
 * ``exact_median``: a value histogram (partial aggregation, skew-safe) plus the global
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,22 +36,27 @@ def global_running_totals(
     before this row's (ties included), in ascending or descending order of ``order_col``.
     Rows with a null order value are dropped.
 
-    ``value_range`` (e.g. ``(0, 1)`` for probabilities) fixes the bucket range; otherwise it comes
-    from one scalar subquery over ``df`` (so ``df`` should be cheap to re-read, e.g. checkpointed).
-    Values outside the range fall into the edge buckets, which keeps the order exact.
+    Buckets are equal-count by default: approximate quantiles of the order value (MLlib's
+    ``QuantileDiscretizer``, one pass) split the rows so that no bucket holds much more than
+    ``rows / buckets`` of them even when the values cluster; pass ``df`` with one row per distinct
+    value (group first) so that ties never pile into one bucket. With ``value_range`` the buckets
+    are equal-width over that range instead (no extra pass; values outside fall into the edge
+    buckets). Either way the bucket index is monotone in the value, which keeps the prefix exact.
     """
     key = F.col(order_col).cast("double")
     d = df.where(F.col(order_col).isNotNull()).withColumn("_rk", -key if descending else key)
-    if value_range is None:
-        b = d.select(F.struct(F.min("_rk").alias("lo"), F.max("_rk").alias("hi"))).scalar()
-        lo, hi = b["lo"], b["hi"]
+    if value_range is None and d.isEmpty():
+        d = d.withColumn("_bk", F.lit(0))  # nothing to split
+    elif value_range is None:
+        disc = QuantileDiscretizer(inputCol="_rk", outputCol="_bkd", numBuckets=buckets, relativeError=1.0 / (4 * buckets))
+        d = disc.fit(d).transform(d).withColumn("_bk", F.col("_bkd").cast("int")).drop("_bkd")
     else:
         lo_v, hi_v = (-value_range[1], -value_range[0]) if descending else value_range
         lo, hi = F.lit(float(lo_v)), F.lit(float(hi_v))
-    span = hi - lo
-    raw = F.floor((F.col("_rk") - lo) / span * F.lit(buckets))
-    bucket = F.when(span > 0, F.least(F.greatest(raw, F.lit(0)), F.lit(buckets - 1)))
-    d = d.withColumn("_bk", F.coalesce(bucket, F.lit(0)).cast("int"))
+        span = hi - lo
+        raw = F.floor((F.col("_rk") - lo) / span * F.lit(buckets))
+        bucket = F.when(span > 0, F.least(F.greatest(raw, F.lit(0)), F.lit(buckets - 1)))
+        d = d.withColumn("_bk", F.coalesce(bucket, F.lit(0)).cast("int"))
 
     totals = d.groupBy("_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     before = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows

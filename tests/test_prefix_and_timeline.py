@@ -14,14 +14,23 @@ def test_global_running_totals_ascending_descending_ties(spark):
     rnd = random.Random(7)
     data = [(rnd.choice([0.0, 0.1, 0.25, 0.25, 0.5, 0.9, 1.0, 3.5]), rnd.randint(0, 3)) for _ in range(300)]
     df = spark.createDataFrame(data, "s double, v long")
-    for desc in (False, True):
-        got = {(r.s, r.cum_v) for r in global_running_totals(df, "s", ["v"], descending=desc, buckets=4).collect()}
+    for desc, rng in ((False, None), (True, None), (False, (0.0, 1.0)), (True, (0.0, 1.0))):
+        got = {(r.s, r.cum_v) for r in global_running_totals(df, "s", ["v"], descending=desc, buckets=4, value_range=rng).collect()}
         exp = set()
         for s, _ in data:
             exp.add((s, sum(v for t, v in data if (t >= s if desc else t <= s))))
         assert got == exp
 
 
+def test_global_running_totals_clustered_values(spark):
+    # nearly all distinct values inside one narrow range: equal-count buckets still split them
+    data = [(0.5 + i * 1e-9, 1) for i in range(500)] + [(0.0, 1), (1.0, 1)]
+    df = spark.createDataFrame(data, "s double, v long")
+    out = global_running_totals(df, "s", ["v"], buckets=8)
+    got = sorted((r.s, r.cum_v) for r in out.collect())
+    assert got == [(s, i + 1) for i, (s, _) in enumerate(sorted(data))]
+
+
 def test_keyed_running_sum_small_chunks(spark):
     data = [(u, n, float(n % 3)) for u in (1, 2) for n in range(1, 40)]
     df = spark.createDataFrame(data, "u long, n int, g double")
