@@ -132,8 +132,9 @@ def resolve_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- baskets and rules
 
 
-def _name_rules(t: TestTables) -> DataFrame:
-    return rules.pair_rules(mining_baskets(t.attribute_lines("name"), MIN_SUPPORT), MIN_SUPPORT, MIN_CONFIDENCE, MAX_RULES)
+def _name_rules(t: TestTables, mined: DataFrame | None = None) -> DataFrame:
+    mined = mined if mined is not None else mining_baskets(t.attribute_lines("name"), MIN_SUPPORT)
+    return rules.pair_rules(mined, MIN_SUPPORT, MIN_CONFIDENCE, MAX_RULES)
 
 
 def _type_rules(t: TestTables) -> DataFrame:
@@ -176,7 +177,8 @@ def frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rules_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = TestTables(spark, sf_dir)
     lines = t.attribute_lines("name")
-    s = rules.rules_summary(_name_rules(t), baskets(lines), lines, t.products, MIN_SUPPORT, MIN_CONFIDENCE)
+    mined = mining_baskets(lines, MIN_SUPPORT)  # the same basket set as baskets(lines), arrays trimmed
+    s = rules.rules_summary(_name_rules(t, mined), mined, lines, t.products, MIN_SUPPORT, MIN_CONFIDENCE)
     return s.select(*[r6(c).alias(c) if c.endswith(("_seen", "lift")) else F.col(c) for c in s.columns])
 
 
