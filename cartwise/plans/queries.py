@@ -58,6 +58,8 @@ def rfm_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _transactions(t: TestTables) -> DataFrame:
+    # the rebuilt orders feed the prior split, the train split and the dates: write them once
+    t.materialize_orders()
     return transactions.build_transactions(t.orders, t.prior_lines, t.train_lines)
 
 
@@ -436,7 +438,11 @@ def _trained(t: TestTables) -> model.TrainedRepurchase:
     from cartwise.session import ensure_checkpoint_dir
     from cartwise.sources.artifacts import load_artifacts, save_artifacts
 
-    key = hashlib.md5(f"{__version__}|{t.sf_dir}|{model.GBT_DEFAULTS}|{SEED}".encode()).hexdigest()
+    import pathlib
+
+    # the key covers the code that builds features and the model, so a change there retrains
+    code = b"".join(p.read_bytes() for p in sorted((pathlib.Path(__file__).parents[1] / "operators").glob("*.py")))
+    key = hashlib.md5(f"{__version__}|{t.sf_dir}|{model.GBT_DEFAULTS}|{SEED}|".encode() + code).hexdigest()
     root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/cartwise-models/{key}"
     try:
         art = load_artifacts(t.spark, root)

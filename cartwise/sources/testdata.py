@@ -84,7 +84,9 @@ class TestTables:
         """Write the rebuilt orders once (they feed the line split, intervals and timelines)."""
         from cartwise.session import cut_lineage
 
-        self.__dict__["orders"] = cut_lineage(self.orders)
+        if not self.__dict__.get("_orders_written"):
+            self.__dict__["orders"] = cut_lineage(self.orders)
+            self.__dict__["_orders_written"] = True
         return self
 
     @cached_property
