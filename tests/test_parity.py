@@ -1,5 +1,7 @@
 """Every query with a SQL twin returns the same rows as DuckDB on the sf0.001 tables."""
 
+import contextlib
+import io
 import os
 
 import duckdb
@@ -24,6 +26,13 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
+    # plan shape: no cross products or nested-loop joins, no row-at-a-time Python in the plan
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    plan = buf.getvalue()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert node not in plan, f"{name} plans {node}"
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     res = con.execute(entry.oracle_sql()[name])
     d_cols, d_rows = [c[0] for c in res.description], res.fetchall()
@@ -32,6 +41,15 @@ def test_query_matches_sql(spark, con, name):
     assert digest(s_cols, s_rows)[0] == digest(d_cols, d_rows)[0]
 
 
+def test_scans_are_pruned(spark):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        entry.queries()["rfm_windows"](spark, SF).explain(mode="formatted")
+    plan = buf.getvalue()
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["window_id", "cut_date", "user_id", "item", "recency", "frequency", "monetary", "label"]
