@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwise.session import cut_lineage
 
@@ -48,7 +49,10 @@ def global_running_totals(
     if value_range is None and d.isEmpty():
         d = d.withColumn("_bk", F.lit(0))  # nothing to split
     elif value_range is None:
-        disc = QuantileDiscretizer(inputCol="_rk", outputCol="_bkd", numBuckets=buckets, relativeError=1.0 / (4 * buckets))
+        # NaN (ordered last by Spark) gets the extra top bucket
+        disc = QuantileDiscretizer(
+            inputCol="_rk", outputCol="_bkd", numBuckets=buckets, relativeError=1.0 / (4 * buckets), handleInvalid="keep"
+        )
         d = disc.fit(d).transform(d).withColumn("_bk", F.col("_bkd").cast("int")).drop("_bkd")
     else:
         lo_v, hi_v = (-value_range[1], -value_range[0]) if descending else value_range
@@ -119,7 +123,10 @@ def exact_median(df: DataFrame, col: str, out_col: str = "median", buckets: int
     """
     # the histogram has one row per distinct value; checkpointing it lets the scalar
     # subqueries below re-read it instead of recomputing df's lineage
-    hist = cut_lineage(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
+    present = F.col(col).isNotNull()
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
+        present = present & ~F.isnan(col)  # NaN is missing, as in pandas
+    hist = cut_lineage(df.where(present).groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
     n_total = hist.select(F.sum("_n")).scalar()
     ranked = global_running_totals(hist, col, ["_n"], buckets=buckets)
     lo_pos = F.floor((n_total - 1) / 2)

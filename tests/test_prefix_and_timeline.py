@@ -39,7 +39,7 @@ def test_keyed_running_sum_small_chunks(spark):
     assert got == exp
 
 
-@pytest.mark.parametrize("values", [[3.0], [1.0, 2.0, 3.0, 10.0], [5.0, 1.0, 1.0, 2.0, 9.0], [2.5, 2.5, 7.0, None]])
+@pytest.mark.parametrize("values", [[3.0], [1.0, 2.0, 3.0, 10.0], [5.0, 1.0, 1.0, 2.0, 9.0], [2.5, 2.5, 7.0, None], [1.0, float("nan"), 4.0]])
 def test_exact_median_matches_pandas(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = exact_median(df, "x").collect()[0]["median"]
