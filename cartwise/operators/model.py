@@ -131,16 +131,19 @@ def score_and_recommend(
     top_n: int = 3,
 ) -> DataFrame:
     """Repurchase probability of each (user, product) request plus what buyers of that product
-    also buy (R4): ``request_id, user_id, product_id, probability, recommendations ARRAY<STRING>``.
-    Requests carry ``request_id``; resolve names to ids first (``resolve_items``)."""
-    require_columns(requests, ["request_id", "user_id", "product_id"], "requests")
-    scored = score(requests, model, interval, product_dept, dept_freq).select("request_id", "user_id", "product_id", "probability")
-    items = requests.select(F.col("request_id").alias("basket_id"), "product_id")
-    recs = recommend(items, rules, products, top_n).groupBy("basket_id").agg(
+    also buy (R4): the request columns, ``probability`` and ``recommendations ARRAY<STRING>``.
+
+    Recommendations depend on the product alone (a one-item basket), so they are computed once per
+    distinct requested product and joined back on ``product_id``; no request key is needed.
+    Resolve names to ids first (``resolve_items``).
+    """
+    require_columns(requests, ["user_id", "product_id"], "requests")
+    scored = score(requests, model, interval, product_dept, dept_freq)
+    asked = requests.select("product_id").where(F.col("product_id").isNotNull()).distinct()
+    recs = recommend(asked.select(F.col("product_id").alias("basket_id"), "product_id"), rules, products, top_n)
+    per_product = recs.groupBy(F.col("basket_id").alias("product_id")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "product_name"))), lambda s: s["product_name"]).alias("recommendations")
     )
-    out = scored.join(recs.withColumnRenamed("basket_id", "request_id"), "request_id", "left")
-    return out.select(
-        "request_id", "user_id", "product_id", "probability",
-        F.coalesce("recommendations", F.array().cast("array<string>")).alias("recommendations"),
-    )
+    keep = [c for c in requests.columns] + ["probability"]
+    out = scored.select(*keep).join(per_product, "product_id", "left")
+    return out.select(*keep, F.coalesce("recommendations", F.array().cast("array<string>")).alias("recommendations"))

@@ -479,6 +479,6 @@ def score_and_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     dept = transactions.department_frequency(tx, t.products, t.departments)
     pdept = transactions.product_department(t.products)
     lines = t.attribute_lines("name").join(t.orders.select("order_id", "user_id"), "order_id")
-    requests = lines.select("user_id", "product_id").distinct().withColumn("request_id", F.xxhash64("user_id", "product_id"))
+    requests = lines.select("user_id", "product_id").distinct()
     out = model.score_and_recommend(requests, tr.model, interval, pdept, dept, _name_rules(t), t.name_products, TOP_N)
-    return out.select("request_id", "user_id", "product_id", "probability", F.array_join("recommendations", "|").alias("recommendations"))
+    return out.select("user_id", "product_id", "probability", F.array_join("recommendations", "|").alias("recommendations"))
