@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
+from cartwise.functions.text import parse_request_token
 
 GRAM = 3
 
@@ -85,6 +86,15 @@ def fuzzy_lookup(queries: DataFrame, names: DataFrame) -> DataFrame:
     return best
 
 
+def parse_requests(requests: DataFrame, text_col: str = "request", basket_col: str = "basket_id") -> DataFrame:
+    """Typed-in request text to ``basket_id, product_id, product_name`` (F12-F14): text that parses
+    as an integer (after trimming) is an id, other text a name, blank text nothing."""
+    as_id, as_name = parse_request_token(F.col(text_col))
+    return requests.select(F.col(basket_col).alias("basket_id"), as_id.alias("product_id"), as_name.alias("product_name")).where(
+        F.col("product_id").isNotNull() | F.col("product_name").isNotNull()
+    )
+
+
 def resolve_items(requests: DataFrame, products: DataFrame) -> DataFrame:
     """Resolve basket requests to catalog ids (A3/A4 input parsing, F14, P12, J14).
 

@@ -115,14 +115,17 @@ def name_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _requests(t: TestTables) -> DataFrame:
-    """Three requests per order line: its part id, its exact name, and an upper-cased piece of the
-    name (a case-insensitive substring); the basket is the order."""
+    """Three typed-in requests per order line: its part id, its exact name, and an upper-cased piece
+    of the name (a case-insensitive substring); the basket is the order. The text is parsed the way
+    a prompt would be: an integer is an id, anything else a name."""
     part = t.raw("part").select(F.col("p_partkey").alias("pid"), F.col("p_name").alias("pname"))
     lines = t.order_lines.select(F.col("order_id").alias("basket_id"), F.col("product_id").alias("pid")).join(part, "pid")
-    by_id = lines.select("basket_id", F.col("pid").alias("product_id"), F.lit(None).cast("string").alias("product_name"))
-    by_name = lines.select("basket_id", F.lit(None).cast("bigint").alias("product_id"), F.col("pname").alias("product_name"))
-    by_piece = lines.select("basket_id", F.lit(None).cast("bigint").alias("product_id"), F.upper(F.substring("pname", 3, 5)).alias("product_name"))
-    return by_id.unionByName(by_name).unionByName(by_piece)
+    texts = (
+        lines.select("basket_id", F.col("pid").cast("string").alias("request"))
+        .unionByName(lines.select("basket_id", F.col("pname").alias("request")))
+        .unionByName(lines.select("basket_id", F.upper(F.substring("pname", 3, 5)).alias("request")))
+    )
+    return catalog.parse_requests(texts)
 
 
 @query

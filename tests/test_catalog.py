@@ -47,3 +47,11 @@ def test_name_index(spark):
     products = spark.createDataFrame(CATALOG, "product_id long, product_name string")
     idx = {(r.product_name, r.product_id, r.first_product_id) for r in name_index(products).collect()}
     assert ("Banana", 5, 2) in idx and len(idx) == 6
+
+
+def test_parse_requests(spark):
+    from cartwise.operators.catalog import parse_requests
+
+    df = spark.createDataFrame([(1, " 42 "), (1, "Banana"), (2, "   "), (2, "12abc"), (3, None)], "basket_id long, request string")
+    got = {(r.basket_id, r.product_id, r.product_name) for r in parse_requests(df).collect()}
+    assert got == {(1, None, "Banana"), (1, 42, None), (2, None, "12abc")}
