@@ -99,32 +99,35 @@ def resolve_items(requests: DataFrame, products: DataFrame) -> DataFrame:
     """Resolve basket requests to catalog ids (A3/A4 input parsing, F14, P12, J14).
 
     ``requests(basket_id, product_id BIGINT nullable, product_name STRING nullable)``: one of the two
-    is set per row. Output one row per resolved request:
+    is set per row (an id wins when both are). Output one row per resolved request:
     ``basket_id, request STRING, product_id, product_name, fuzzy_match BOOLEAN``.
     Unknown ids and names drop out.
+
+    One pass: the requests meet the id -> name table and the exact name -> id table by two left
+    joins; only the distinct names that missed go through the n-gram lookup, whose answers are
+    joined back. The request table is read twice (the pass and the distinct misses).
     """
     require_columns(requests, ["basket_id", "product_id", "product_name"], "requests")
-    names_by_id = id_names(products)
     index = name_index(products)
+    req = requests.select("basket_id", F.col("product_id").alias("rid"), F.col("product_name").alias("query"))
+    ids = id_names(products).select(F.col("product_id").alias("rid"), F.col("product_name").alias("id_name"))
+    exact = index.select(F.col("product_name").alias("query"), F.col("product_id").alias("exact_id"))
+    r = req.join(ids, "rid", "left").join(exact, "query", "left")
 
-    by_id = (
-        requests.where(F.col("product_id").isNotNull())
-        .select("basket_id", F.col("product_id"))
-        .join(names_by_id, "product_id")
-        .select("basket_id", F.col("product_id").cast("string").alias("request"), "product_id", "product_name", F.lit(False).alias("fuzzy_match"))
-    )
-    texts = requests.where(F.col("product_id").isNull() & F.col("product_name").isNotNull()).select(
-        "basket_id", F.col("product_name").alias("query")
-    )
-    exact = texts.join(index.select(F.col("product_name").alias("query"), "product_id"), "query")
-    exact_out = exact.select("basket_id", F.col("query").alias("request"), "product_id", F.col("query").alias("product_name"), F.lit(False).alias("fuzzy_match"))
-
-    misses = texts.join(index.select(F.col("product_name").alias("query")), "query", "left_anti")
+    by_text = F.col("rid").isNull()
+    misses = r.where(by_text & F.col("query").isNotNull() & F.col("exact_id").isNull()).select("query")
     found = fuzzy_lookup(misses, index).join(index.select("product_name", "product_id"), "product_name")
-    fuzzy_out = misses.join(found, "query").select(
-        "basket_id", F.col("query").alias("request"), "product_id", "product_name", F.lit(True).alias("fuzzy_match")
+    r = r.join(found.select("query", F.col("product_name").alias("fuzzy_name"), F.col("product_id").alias("fuzzy_id")), "query", "left")
+
+    by_exact = by_text & F.col("exact_id").isNotNull()
+    resolved = (~by_text & F.col("id_name").isNotNull()) | by_exact | (by_text & F.col("fuzzy_id").isNotNull())
+    return r.where(resolved).select(
+        "basket_id",
+        F.when(~by_text, F.col("rid").cast("string")).otherwise(F.col("query")).alias("request"),
+        F.when(~by_text, F.col("rid")).when(by_exact, F.col("exact_id")).otherwise(F.col("fuzzy_id")).alias("product_id"),
+        F.when(~by_text, F.col("id_name")).when(by_exact, F.col("query")).otherwise(F.col("fuzzy_name")).alias("product_name"),
+        (by_text & ~by_exact).alias("fuzzy_match"),
     )
-    return by_id.unionByName(exact_out).unionByName(fuzzy_out)
 
 
 def basket_items(resolved: DataFrame) -> DataFrame:
