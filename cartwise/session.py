@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,8 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Only
-    where it is unset (local tests) do we set a scratch folder of our own.
+    On a cluster ``spark.checkpoint.dir`` names a folder that the driver and all executors share, and
+    it is used as is. Only a local master may do without: then a scratch folder of our own is set.
+    Elsewhere an unset folder is an error, since a machine-local one would lose the executors' files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -41,11 +43,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir is unset on {sc.master}: name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="cartwise-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
 
 
+_written: list[str] = []
+
+
+def intermediate_path(spark: SparkSession) -> str:
+    """A fresh path under the shared checkpoint folder, removed by ``release_intermediates``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cartwise-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -54,11 +68,45 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     real size statistics for AQE's join planning.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cartwise-{uuid.uuid4().hex}"
+    path = intermediate_path(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._cartwise_path = path
+    return out
+
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
-def scratch_dir(prefix: str = "cartwise-") -> str:
-    """A fresh scratch folder for local runs (tests, bench)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("CARTWISE_SCRATCH", "/tmp"))
+
+def discard(*tables: DataFrame) -> None:
+    """Remove what ``cut_lineage`` wrote for these tables; nothing may read them any more."""
+    for df in tables:
+        path = getattr(df, "_cartwise_path", None)
+        if path in _written:
+            _written.remove(path)
+            _delete(df.sparkSession, path)
+
+
+def release_intermediates(spark: SparkSession, since: int = 0) -> int:
+    """Remove every written intermediate (from the ``since``-th on) once results are consumed; how many."""
+    gone = _written[since:]
+    del _written[since:]
+    for path in gone:
+        _delete(spark, path)
+    return len(gone)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Scope of a query's intermediates: those written inside are removed at the end.
+
+    Consume the result (write it, count it) inside the block.
+    """
+    since = len(_written)
+    try:
+        yield
+    finally:
+        release_intermediates(spark, since)
