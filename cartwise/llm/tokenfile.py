@@ -52,7 +52,7 @@ class Writer:
         import zstandard
 
         f, path = _filesystem(uri)
-        self.out = f.open_output_stream(path)
+        self.out = f.open_output_stream(path, compression=None)
         self.zstd = zstandard.ZstdCompressor(level=level, write_checksum=False)
         self.width, self.dtype = width, np.dtype(f"<u{width}")
         self.held: list[np.ndarray] = []
