@@ -6,8 +6,10 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartwise.llm import bpe, packing, sharding, tokenfile
+from cartwise.llm import bpe, dartminhash, langid, nndescent, packing, pii, quality, sharding, tokenfile, topk
+from cartwise.llm.common import held_out
 
 #: Folder of the public vocabulary files; unset: that of the installed package.
 TOKENIZERS = os.environ.get("CARTWISE_TOKENIZERS")
@@ -30,6 +32,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links (cosine >= 0.9) and components of all embeddings by NN-descent."""
+    return nndescent.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents (five-word shingles, similarity 0.8) by DartMinHash."""
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text by hyperdimensional profiles."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.learn(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every whole text, decoded again."""
@@ -58,5 +80,26 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read(manifest, keep_ids=False)
 
 
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text by the byte-level convolutional network."""
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.classify(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best rows by integer inner product for every vec_id divisible by 50, exactly."""
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where(F.col("id") % 50 == 0), 5)
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text: fixed patterns, and the spans that the random field adds."""
+    return pii.detect(table(spark, sf_dir, "documents"), pii.train())
+
+
 def oracle_sql() -> dict[str, str]:
     return {}
