@@ -55,15 +55,18 @@ def map_texts(df: DataFrame, fn: Callable[[list], dict[str, list]], added: str,
     new = list(StructType.fromDDL(added))
     types = {f.name: to_arrow_type(f.dataType) for f in new}
     names = [f.name for f in (*kept, *new)]
+    # a kept text column is not sent to the workers a second time
+    at = keep.index(text_col) if text_col in keep and kept[keep.index(text_col)].dataType.simpleString() == "string" else len(kept)
+    sent = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keep)] + [F.col(f"`{text_col}`").cast("string").alias("__text")] * (at == len(kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi in slices(_sizes(b.column(len(kept)))):
+            for lo, hi in slices(_sizes(b.column(at))):
                 part = b.slice(lo, hi - lo)
-                made = fn(part.column(len(kept)).to_pylist())
+                made = fn(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(kept))), *(pa.array(made[k], t) for k, t in types.items())], names)
 
-    return df.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keep)], F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, StructType([*kept, *new]))
+    return df.select(*sent).mapInArrow(run, StructType([*kept, *new]))
 
 
 def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
