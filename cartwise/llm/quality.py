@@ -45,11 +45,13 @@ class Network:
     dense: np.ndarray
     offset: float
 
-    def _responses(self, data: np.ndarray) -> np.ndarray:
-        """Filter responses at each step of the padded bytes."""
+    def _responses(self, data: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Filter responses at each step of the padded bytes; nothing follows a document's ``last`` step."""
         x = self.embed[data].reshape(-1, STEP * EMBED)
         half = STEP * EMBED
-        return x[:-1] @ self.filters[:half] + x[1:] @ self.filters[half:]
+        follows = x[1:] @ self.filters[half:]
+        follows[last] = 0
+        return x[:-1] @ self.filters[:half] + follows
 
     def score(self, texts: list) -> np.ndarray:
         """Probability of label 1 per text (null: empty)."""
@@ -60,7 +62,8 @@ class Network:
         top = np.empty((n, len(self.bias)), dtype=np.float32)
         for lo in range(0, n, 4096):  # bounded memory for a text of any length
             hi = min(n, lo + 4096)
-            r = self._responses(data[lo * unit : hi * unit + STEP])
+            ends = (starts + blocks)[(starts + blocks > lo) & (starts + blocks <= hi)] - lo
+            r = self._responses(data[lo * unit : hi * unit + STEP], ends * BLOCK - 1)
             top[lo:hi] = r.reshape(hi - lo, BLOCK, -1).max(axis=1)
         chunks = np.maximum(1, -(-(blocks - 1) // ADVANCE))
         doc = np.repeat(np.arange(len(texts)), chunks)
