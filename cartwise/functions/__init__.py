@@ -1,7 +1,6 @@
 """Column-level helpers: checks, time arithmetic, text, and skew-safe running sums."""
 
 from cartwise.functions.checks import require_columns, require_timestamp
-from cartwise.functions.joins import sized_broadcast
 from cartwise.functions.prefix import exact_median, global_running_totals, keyed_row_number, keyed_running_sum
 from cartwise.functions.text import blank_to_null, parse_request_token, unknown_name
 from cartwise.functions.time import add_days, floor_div, micros_to_days, to_micros
@@ -18,7 +17,6 @@ __all__ = [
     "parse_request_token",
     "require_columns",
     "require_timestamp",
-    "sized_broadcast",
     "to_micros",
     "unknown_name",
 ]

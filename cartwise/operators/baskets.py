@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
-from cartwise.functions.joins import sized_broadcast
 from cartwise.session import cut_lineage
 
 
@@ -58,9 +57,9 @@ def mining_baskets(
     kept_pairs = cut_lineage(pairs.join(sizes.where(F.col("n_items") >= min_items), "order_id", "left_semi"))
     n = kept_pairs.select(F.count_distinct("order_id")).scalar()
     min_count = F.ceil(F.lit(min_support) * n)
-    frequent = cut_lineage(kept_pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count).select("item"))
-    # at most total items / min count rows, and checked before broadcasting
-    trimmed = kept_pairs.join(sized_broadcast(frequent), "item", "left_semi").groupBy("order_id").agg(
+    frequent = kept_pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count).select("item")
+    # at most total items / min count rows: AQE broadcasts them when their measured bytes allow it
+    trimmed = kept_pairs.join(frequent, "item", "left_semi").groupBy("order_id").agg(
         F.array_sort(F.collect_set("item")).alias("items")
     )
     empty = F.array().cast(trimmed.schema["items"].dataType)

@@ -71,10 +71,13 @@ def fuzzy_lookup(queries: DataFrame, names: DataFrame) -> DataFrame:
     q = queries.select("query").where(F.trim(F.col("query")) != "").distinct().withColumn("lq", F.lower("query"))
     q = q.withColumn("g", F.least(F.length("lq"), F.lit(GRAM)))
     index = _gram_index(names)
+    # a text that is itself a gram: its best name is known per gram, so a common letter is no hot key
+    whole = index.groupBy("gram").agg(F.min_by("product_name", "first_product_id").alias("product_name"))
+    short = q.where(F.length("lq") <= GRAM).join(whole, F.col("lq") == F.col("gram")).select("query", "product_name")
+    q = q.where(F.length("lq") > GRAM)
+    index = index.where(F.col("g") == GRAM)
     gram_freq = index.groupBy("g", "gram").agg(F.count(F.lit(1)).alias("n_names"))
-    probes = q.select("query", "lq", "g", F.explode(F.array_distinct(_grams(F.col("lq"), GRAM))).alias("gram")).where(F.col("g") == GRAM)
-    short = q.where(F.col("g") < GRAM).select("query", "lq", "g", F.col("lq").alias("gram"))
-    probes = probes.unionByName(short)
+    probes = q.select("query", "lq", "g", F.explode(F.array_distinct(_grams(F.col("lq"), GRAM))).alias("gram"))
     # a gram absent from every name means no name can contain the query
     rarest = (
         probes.join(gram_freq, ["g", "gram"])
@@ -83,7 +86,7 @@ def fuzzy_lookup(queries: DataFrame, names: DataFrame) -> DataFrame:
     )
     cands = rarest.join(index, ["g", "gram"]).where(F.lower(F.col("product_name")).contains(F.col("lq")))
     best = cands.groupBy("query").agg(F.min_by("product_name", "first_product_id").alias("product_name"))
-    return best
+    return best.unionByName(short)
 
 
 def parse_requests(requests: DataFrame, text_col: str = "request", basket_col: str = "basket_id") -> DataFrame:
@@ -115,7 +118,7 @@ def resolve_items(requests: DataFrame, products: DataFrame) -> DataFrame:
     r = req.join(ids, "rid", "left").join(exact, "query", "left")
 
     by_text = F.col("rid").isNull()
-    misses = r.where(by_text & F.col("query").isNotNull() & F.col("exact_id").isNull()).select("query")
+    misses = req.where(by_text & F.col("query").isNotNull()).select("query").distinct().join(exact, "query", "left_anti")
     found = fuzzy_lookup(misses, index).join(index.select("product_name", "product_id"), "product_name")
     r = r.join(found.select("query", F.col("product_name").alias("fuzzy_name"), F.col("product_id").alias("fuzzy_id")), "query", "left")
 
@@ -129,7 +132,3 @@ def resolve_items(requests: DataFrame, products: DataFrame) -> DataFrame:
         (by_text & ~by_exact).alias("fuzzy_match"),
     )
 
-
-def basket_items(resolved: DataFrame) -> DataFrame:
-    """The set of resolved ids per basket (U3): distinct ``basket_id, product_id``."""
-    return resolved.select("basket_id", "product_id").distinct()

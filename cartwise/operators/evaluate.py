@@ -74,8 +74,10 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     half (E2); null when one class is absent."""
     g = global_running_totals(_score_groups(scored), "score", ["neg"])  # negatives at or below
     g = _with_totals(g)
-    contrib = F.col("pos") * (F.col("cum_neg") - F.col("neg") * F.lit(0.5))
-    return g.agg(F.try_divide(F.sum(contrib), (F.max("P") * F.max("N")).cast("double")).alias("auc"))
+    # doubles before any product: positives x negatives passes BIGINT from about 3 billion of each on
+    pos, neg, below = (F.col(c).cast("double") for c in ("pos", "neg", "cum_neg"))
+    contrib = pos * (below - neg * F.lit(0.5))
+    return g.agg(F.try_divide(F.sum(contrib), F.max("P").cast("double") * F.max("N").cast("double")).alias("auc"))
 
 
 def classification_metrics(scored: DataFrame, threshold: float | None = None) -> DataFrame:

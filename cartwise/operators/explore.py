@@ -68,11 +68,32 @@ def with_reordered(lines: DataFrame, orders: DataFrame) -> DataFrame:
     ).drop("_first")
 
 
-def reorder_rate(lines: DataFrame, products: DataFrame, n: int = 20, min_lines: int = 1) -> DataFrame:
+def product_stats(lines: DataFrame, orders: DataFrame, sequence: str = "order_number") -> DataFrame:
+    """``product_id, n_lines, n_orders, n_users, reorder_rate`` in one join and two aggregations.
+
+    A line is a reorder when its customer bought the product in an earlier order (by ``sequence``): per
+    (customer, product) all lines but those of the first order.
+    """
+    j = lines.select("order_id", "product_id").join(orders.select("order_id", "user_id", F.col(sequence).alias("_seq")), "order_id")
+    per_order = j.groupBy("user_id", "product_id", "_seq").agg(F.count(F.lit(1)).alias("_n"))
+    per_user = per_order.groupBy("user_id", "product_id").agg(F.sum("_n").alias("_n"), F.min_by("_n", "_seq").alias("_first"), F.count(F.lit(1)).alias("_orders"))
+    return per_user.groupBy("product_id").agg(
+        F.sum("_n").alias("n_lines"),
+        F.sum("_orders").alias("n_orders"),
+        F.count("user_id").alias("n_users"),
+        (F.sum(F.col("_n") - F.col("_first")) / F.sum("_n")).alias("reorder_rate"),
+    )
+
+
+def reorder_rate(lines: DataFrame, products: DataFrame, n: int = 20, min_lines: int = 1, orders: DataFrame | None = None, sequence: str = "order_number") -> DataFrame:
     """Top ``n`` products by reorder rate among products with at least ``min_lines`` lines (D6):
-    ``rank, product_id, product_name, n_lines, reorder_rate``. ``lines`` carries ``reordered``."""
-    require_columns(lines, ["product_id", "reordered"], "lines")
-    stats = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n_lines"), F.avg(F.col("reordered").cast("double")).alias("reorder_rate"))
+    ``rank, product_id, product_name, n_lines, reorder_rate``. ``lines`` carries ``reordered``, or the
+    customers' ``orders`` say what was bought before."""
+    if orders is not None:
+        stats = product_stats(lines, orders, sequence).select("product_id", "n_lines", "reorder_rate")
+    else:
+        require_columns(lines, ["product_id", "reordered"], "lines")
+        stats = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n_lines"), F.avg(F.col("reordered").cast("double")).alias("reorder_rate"))
     order = [F.col("reorder_rate").desc(), F.col("n_lines").desc(), F.col("product_id")]
     top = stats.where(F.col("n_lines") >= min_lines).orderBy(*order).limit(n)
     ranked = top.select(F.row_number().over(Window.orderBy(*order)).cast("int").alias("rank"), "*")
@@ -98,9 +119,11 @@ def sample_orders(orders: DataFrame, fraction: float, seed: int = 42, key: str =
     return orders.where(h < F.lit(cut))
 
 
-def product_features(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def product_features(lines: DataFrame, orders: DataFrame, sequence: str = "order_number") -> DataFrame:
     """Per product (D13): ``product_id, n_lines, n_orders, n_users, reorder_rate``."""
-    r = with_reordered(lines, orders) if "reordered" not in lines.columns else lines.join(orders.select("order_id", "user_id"), "order_id")
+    if "reordered" not in lines.columns:
+        return product_stats(lines, orders, sequence)
+    r = lines.join(orders.select("order_id", "user_id"), "order_id")
     return r.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count_distinct("order_id").alias("n_orders"),
@@ -112,10 +135,14 @@ def product_features(lines: DataFrame, orders: DataFrame) -> DataFrame:
 def user_features(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Per user (D13): ``user_id, n_orders, n_lines, n_products, mean_basket_size`` (lines per order,
     over orders with lines)."""
-    per_order = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_size"))
-    j = per_order.join(orders.select("order_id", "user_id"), "order_id")
-    a = j.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("_size").alias("n_lines"), F.avg("_size").alias("mean_basket_size"))
-    prods = lines.join(orders.select("order_id", "user_id"), "order_id").select("user_id", "product_id").distinct().groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_products")
+    j = lines.select("order_id", "product_id").join(orders.select("order_id", "user_id"), "order_id")
+    # one join: lines per (user, order) and per (user, product) are two groupings of the same rows
+    per = j.select("user_id", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("order_id").alias("x")), F.struct(F.lit(1).alias("k"), F.col("product_id").alias("x")))).alias("e"))
+    per = per.groupBy("user_id", "e").agg(F.count(F.lit(1)).alias("_n"))
+    order, product = F.col("e.k") == 0, (F.col("e.k") == 1) & F.col("e.x").isNotNull()
+    return per.groupBy("user_id").agg(
+        F.count_if(order).alias("n_orders"),
+        F.sum(F.when(order, F.col("_n"))).alias("n_lines"),
+        F.count_if(product).alias("n_products"),
+        F.avg(F.when(order, F.col("_n"))).alias("mean_basket_size"),
     )
-    return a.join(prods, "user_id", "left").select("user_id", "n_orders", "n_lines", "n_products", "mean_basket_size")

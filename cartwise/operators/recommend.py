@@ -3,44 +3,44 @@
 A rule matches a basket when its antecedent is a subset of the basket and its consequent shares
 no item with it. Plan:
 
-1. each basket's items are cut to the rule vocabulary (items that occur in some rule) and
-   collected as a sorted set: at most ``|vocabulary|`` entries, however large the basket;
-2. every basket item meets, by a broadcast equi-join, only the rules whose *smallest* antecedent
-   item it is (the anchor), so a rule is tried once per basket that holds its anchor;
-3. the remaining subset / overlap tests are array functions on the candidate row.
+1. basket items meet the exploded antecedents in an equi-join on the item; a rule whose antecedent
+   items are all there has as many hits in the basket as its antecedent is long. The items are
+   partitioned by basket before, so that count needs no further shuffle;
+2. a matched rule goes when one of its consequent items is in the basket (an anti-join);
+3. rankings are algebraic: the first rule per (basket, product), the first N products and rules by
+   rank, a count of rules. No basket's rules are ever gathered.
 
-Rules are few by construction (``association_rules`` keeps at most ``max_rules``), so they and
-their vocabulary are the broadcast side, behind a row-count check (``sized_broadcast``). No pair of basket and rule outside the anchor join is
-enumerated and no shuffle follows the join.
+Nothing is broadcast by hint: rules are few, and AQE decides on their measured bytes.
 
 For each candidate product the first matching rule in rule order (highest lift) gives its lift
-and confidence; candidates rank by that lift, then by the rule's position, then product id. The
-matched rules of one basket are at most ``max_rules``, so they are gathered per basket in a single
-aggregation that yields the ranking, the rule count and the first rules together.
+and confidence; candidates rank by that rule's place, then by product id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
-from cartwise.functions.joins import sized_broadcast
 from cartwise.functions.text import unknown_name
 from cartwise.operators.catalog import id_names
 
 
-def rule_vocabulary(rules: DataFrame) -> DataFrame:
-    """Distinct items of all antecedents and consequents: ``item``."""
-    return rules.select(F.explode(F.array_union("antecedent", "consequent")).alias("item")).distinct()
+def _basket_items(items: DataFrame) -> DataFrame:
+    require_columns(items, ["basket_id", "product_id"], "basket items")
+    return items.select("basket_id", F.col("product_id").alias("item")).where(F.col("item").isNotNull() & F.col("basket_id").isNotNull()).repartition("basket_id").distinct()
 
 
-def basket_sets(items: DataFrame, rules: DataFrame) -> DataFrame:
-    """``basket_id, items``: each basket's distinct items that occur in some rule, sorted."""
-    require_columns(items, ["basket_id", "product_id"], "basket items")
-    vocab = sized_broadcast(rule_vocabulary(rules))
-    kept = items.select("basket_id", F.col("product_id").alias("item")).where(F.col("item").isNotNull()).join(vocab, "item", "left_semi")
-    return kept.groupBy("basket_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
+def _matches(items: DataFrame, rules: DataFrame, exclude_owned: bool) -> DataFrame:
+    """``basket_id, rule_id`` of every match."""
+    wanted = rules.select("rule_id", F.size(F.array_distinct("antecedent")).alias("k"), F.explode(F.array_distinct("antecedent")).alias("item"))
+    hits = items.join(wanted, "item").groupBy("basket_id", "rule_id").agg(F.count(F.lit(1)).alias("n"), F.first("k").alias("k"))
+    found = hits.where(F.col("n") == F.col("k")).select("basket_id", "rule_id")
+    if not exclude_owned:
+        return found
+    gives = rules.select("rule_id", F.explode("consequent").alias("item"))
+    owned = found.join(gives, "rule_id").join(items, ["basket_id", "item"], "left_semi").select("basket_id", "rule_id").distinct()
+    return found.join(owned, ["basket_id", "rule_id"], "left_anti")
 
 
 def matched_rules(items: DataFrame, rules: DataFrame, exclude_owned: bool = True) -> DataFrame:
@@ -49,61 +49,40 @@ def matched_rules(items: DataFrame, rules: DataFrame, exclude_owned: bool = True
     With ``exclude_owned=False`` a rule whose consequent is already in the basket still matches.
     """
     require_columns(rules, ["rule_id", "antecedent", "consequent", "lift", "confidence"], "rules")
-    sets = basket_sets(items, rules)
-    anchored = rules.where(F.size("antecedent") > 0).withColumn("anchor", F.array_min("antecedent"))
-    cand = sets.select("basket_id", "items", F.explode("items").alias("anchor")).join(sized_broadcast(anchored), "anchor")
-    cond = F.size(F.array_except("antecedent", "items")) == 0
-    if exclude_owned:
-        cond = cond & ~F.arrays_overlap("consequent", "items")
-    cols = ["basket_id", "rule_id", "antecedent", "consequent"] + [c for c in ("support", "confidence", "lift") if c in rules.columns]
-    return cand.where(cond).select(*cols)
-
-
-def basket_matches(items: DataFrame, rules: DataFrame) -> DataFrame:
-    """``basket_id, matches``: the basket's matched rules sorted by ``rule_id`` (at most ``max_rules``)."""
-    m = matched_rules(items, rules)
-    return m.groupBy("basket_id").agg(
-        F.array_sort(F.collect_list(F.struct("rule_id", "antecedent", "consequent", "support", "confidence", "lift"))).alias("matches")
-    )
+    cols = ["rule_id", "antecedent", "consequent"] + [c for c in ("support", "confidence", "lift") if c in rules.columns]
+    return _matches(_basket_items(items), rules, exclude_owned).join(rules.select(*cols), "rule_id").select("basket_id", *cols)
 
 
-def _ranked(matches: Column, top_n: int) -> Column:
-    """Top products in first-occurrence order along the rule order, with that rule's scores."""
-    products = F.slice(F.array_distinct(F.flatten(F.transform(matches, lambda r: r["consequent"]))), 1, top_n)
+def _ranked(matches: DataFrame, rules: DataFrame, top_n: int) -> DataFrame:
+    """``basket_id, rank, product_id, rule_id``: the first ``top_n`` products by their first matched rule."""
+    gives = rules.select("rule_id", F.explode("consequent").alias("product_id"))
+    first = matches.join(gives, "rule_id").groupBy("basket_id", "product_id").agg(F.min("rule_id").alias("rule_id"))
+    w = Window.partitionBy("basket_id").orderBy("rule_id", "product_id")
+    return first.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
 
-    def scored(p: Column) -> Column:
-        best = F.filter(matches, lambda r: F.array_contains(r["consequent"], p))[0]
-        return F.struct(p.alias("product_id"), best["lift"].alias("lift"), best["confidence"].alias("confidence"), best["rule_id"].alias("rule_id"))
 
-    return F.transform(products, scored)
+def _with_scores(ranked: DataFrame, rules: DataFrame, products: DataFrame) -> DataFrame:
+    named = ranked.join(rules.select("rule_id", "lift", "confidence"), "rule_id").join(id_names(products), "product_id", "left")
+    pid = F.col("product_id")
+    return named.select("basket_id", F.col("rank").cast("int").alias("rank"), pid, F.coalesce("product_name", unknown_name(pid)).alias("product_name"), "lift", "confidence", "rule_id")
 
 
-def _name_map(products: DataFrame, rules: DataFrame) -> Column:
-    """``id -> name`` for the rule vocabulary only (bounded by the rules), as one scalar map."""
-    names = id_names(products).join(sized_broadcast(rule_vocabulary(rules).withColumnRenamed("item", "product_id")), "product_id", "left_semi")
-    m = names.select(F.map_from_entries(F.collect_list(F.struct("product_id", "product_name"))).alias("m")).scalar()
-    return F.coalesce(m, F.create_map().cast(f"map<{names.schema['product_id'].dataType.simpleString()},string>"))
+def recommend(items: DataFrame, rules: DataFrame, products: DataFrame, top_n: int = 3) -> DataFrame:
+    """Top ``top_n`` products per basket: ``basket_id, rank, product_id, product_name, lift, confidence, rule_id``."""
+    require_columns(rules, ["rule_id", "antecedent", "consequent", "lift", "confidence"], "rules")
+    return _with_scores(_ranked(_matches(_basket_items(items), rules, True), rules, top_n), rules, products)
 
 
-def _named(name_map: Column, pid: Column, unknown: Column) -> Column:
-    return F.coalesce(F.try_element_at(name_map, pid), unknown)
+def _rule_labels(rules: DataFrame, products: DataFrame) -> DataFrame:
+    """``rule_id, antecedent, consequent`` with item names in place of ids (an unknown id keeps its text)."""
+    names = id_names(products)
 
+    def side(c: str) -> DataFrame:
+        ex = rules.select("rule_id", F.posexplode(c).alias("pos", "product_id")).join(names, "product_id", "left")
+        label = F.coalesce("product_name", F.col("product_id").cast("string"))
+        return ex.groupBy("rule_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", label.alias("name")))), lambda s: s["name"]).alias(c))
 
-def recommend(items: DataFrame, rules: DataFrame, products: DataFrame, top_n: int = 3) -> DataFrame:
-    """Top ``top_n`` products per basket: ``basket_id, rank, product_id, product_name, lift, confidence, rule_id``."""
-    names = _name_map(products, rules)
-    bm = basket_matches(items, rules)
-    ex = bm.select("basket_id", F.posexplode(_ranked(F.col("matches"), top_n)).alias("pos", "r"))
-    pid = F.col("r.product_id")
-    return ex.select(
-        "basket_id",
-        (F.col("pos") + 1).cast("int").alias("rank"),
-        pid.alias("product_id"),
-        _named(names, pid, unknown_name(pid)).alias("product_name"),
-        F.col("r.lift").alias("lift"),
-        F.col("r.confidence").alias("confidence"),
-        F.col("r.rule_id").alias("rule_id"),
-    )
+    return side("antecedent").join(side("consequent"), "rule_id")
 
 
 def recommend_explain(
@@ -113,44 +92,28 @@ def recommend_explain(
     ``basket_id, input ARRAY<STRUCT>, input_product_ids ARRAY, matched_rules_count BIGINT,
     recommendations ARRAY<STRUCT>, top_matched_rules ARRAY<STRUCT>`` (first ``top_rules`` in rule order,
     item ids replaced by names; an unknown id keeps its text)."""
-    items = resolved.select("basket_id", "product_id").distinct()
-    # the (bounded) name map rides along as a column: lambdas cannot hold a subquery
-    bm = basket_matches(items, rules).withColumn("_names", _name_map(products, rules))
-    names = F.col("_names")
-
-    def label_all(ids: Column) -> Column:
-        return F.transform(ids, lambda x: _named(names, x, x.cast("string")))
-
-    recs = F.transform(
-        _ranked(F.col("matches"), top_n),
-        lambda r: F.struct(
-            r["product_id"].alias("product_id"),
-            _named(names, r["product_id"], unknown_name(r["product_id"])).alias("product_name"),
-            r["lift"].alias("lift"),
-            r["confidence"].alias("confidence"),
-        ),
-    )
-    shown = F.transform(
-        F.slice(F.col("matches"), 1, top_rules),
-        lambda r: F.struct(
-            label_all(r["antecedent"]).alias("antecedent"),
-            label_all(r["consequent"]).alias("consequent"),
-            r["support"].alias("support"),
-            r["confidence"].alias("confidence"),
-            r["lift"].alias("lift"),
-        ),
+    matches = _matches(_basket_items(resolved), rules, True)
+    counts = matches.groupBy("basket_id").agg(F.count(F.lit(1)).alias("matched_rules_count"))
+    recs = _with_scores(_ranked(matches, rules, top_n), rules, products)
+    recs = recs.groupBy("basket_id").agg(F.array_sort(F.collect_list(F.struct("rank", "product_id", "product_name", "lift", "confidence"))).alias("r"))
+    recs = recs.select("basket_id", F.transform("r", lambda r: F.struct(r["product_id"].alias("product_id"), r["product_name"].alias("product_name"), r["lift"].alias("lift"), r["confidence"].alias("confidence"))).alias("recommendations"))
+    w = Window.partitionBy("basket_id").orderBy("rule_id")
+    firsts = matches.withColumn("k", F.row_number().over(w)).where(F.col("k") <= top_rules).join(rules.select("rule_id", "support", "confidence", "lift"), "rule_id").join(_rule_labels(rules, products), "rule_id")
+    firsts = firsts.groupBy("basket_id").agg(F.array_sort(F.collect_list(F.struct("k", "antecedent", "consequent", "support", "confidence", "lift"))).alias("m"))
+    firsts = firsts.select(
+        "basket_id",
+        F.transform("m", lambda r: F.struct(r["antecedent"].alias("antecedent"), r["consequent"].alias("consequent"), r["support"].alias("support"), r["confidence"].alias("confidence"), r["lift"].alias("lift"))).alias("top_matched_rules"),
     )
-    per_basket = bm.select("basket_id", F.size("matches").cast("bigint").alias("matched_rules_count"), recs.alias("recommendations"), shown.alias("top_matched_rules"))
     inputs = resolved.groupBy("basket_id").agg(
         F.collect_list(F.struct(F.col("request").alias("original"), "product_id", "product_name", "fuzzy_match")).alias("input"),
         F.array_sort(F.collect_set("product_id")).alias("input_product_ids"),
     )
-    out = inputs.join(per_basket, "basket_id", "left")
+    out = inputs.join(counts, "basket_id", "left").join(recs, "basket_id", "left").join(firsts, "basket_id", "left")
     return out.select(
         "basket_id",
         "input",
         "input_product_ids",
         F.coalesce("matched_rules_count", F.lit(0).cast("bigint")).alias("matched_rules_count"),
-        F.coalesce("recommendations", F.array().cast(per_basket.schema["recommendations"].dataType)).alias("recommendations"),
-        F.coalesce("top_matched_rules", F.array().cast(per_basket.schema["top_matched_rules"].dataType)).alias("top_matched_rules"),
+        F.coalesce("recommendations", F.array().cast(recs.schema["recommendations"].dataType)).alias("recommendations"),
+        F.coalesce("top_matched_rules", F.array().cast(firsts.schema["top_matched_rules"].dataType)).alias("top_matched_rules"),
     )

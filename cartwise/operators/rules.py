@@ -11,7 +11,6 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.functions.joins import sized_broadcast
 from cartwise.session import cut_lineage
 
 
@@ -35,11 +34,12 @@ def fp_growth(baskets: DataFrame, min_support: float = 0.001, min_confidence: fl
     return fp.fit(baskets.select(items_col))
 
 
-def number_rules(rules: DataFrame, max_rules: int | None = 10_000, materialize: bool = True) -> DataFrame:
-    """Sort rules, keep the first ``max_rules`` (a top-k), and number them.
+def number_rules(rules: DataFrame, max_rules: int | None = 10_000) -> DataFrame:
+    """Sort rules, keep the first ``max_rules`` (a top-k; None: all), and number them.
 
-    The result (at most ``max_rules`` rows) is checkpointed: MLlib derives rules lazily from the
-    mined itemsets, so every later use would otherwise mine again.
+    The result is written: MLlib derives rules lazily from the mined itemsets, so every later use would
+    otherwise mine again. All rules are numbered without meeting in one task: they are sorted by range,
+    and each partition's numbers start after the rows of the partitions before it.
     """
     ordered = rules.select(
         F.array_sort("antecedent").alias("antecedent"),
@@ -47,11 +47,14 @@ def number_rules(rules: DataFrame, max_rules: int | None = 10_000, materialize:
         F.col("support").cast("double").alias("support"),
         F.col("confidence").cast("double").alias("confidence"),
         F.col("lift").cast("double").alias("lift"),
-    )
+    ).orderBy(*rule_order())
     if max_rules is not None:
-        ordered = ordered.orderBy(*rule_order()).limit(max_rules)  # at most max_rules rows below
-    numbered = ordered.select(F.row_number().over(Window.orderBy(*rule_order())).cast("bigint").alias("rule_id"), "*")
-    return cut_lineage(numbered) if materialize else numbered
+        top = ordered.limit(max_rules)  # at most max_rules rows below
+        return cut_lineage(top.select(F.row_number().over(Window.orderBy(*rule_order())).cast("bigint").alias("rule_id"), "*"))
+    placed = cut_lineage(ordered.select(F.spark_partition_id().alias("_part"), (F.monotonically_increasing_id() % (1 << 33)).alias("_row"), "*"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return cut_lineage(placed.join(starts, "_part").select((F.col("_start") + F.col("_row") + 1).alias("rule_id"), *ordered.columns))
 
 
 def association_rules(
@@ -73,48 +76,6 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.001, items_col:
     return model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("freq"), (F.col("freq") / n).alias("support"))
 
 
-def pair_counter():
-    """The mapInPandas body. It is a closure, so it ships by value: executors need not have this
-    package installed. Each call counts the index pairs (a < b) of the sorted index arrays in one
-    partition and emits one row per distinct pair with its count (pre-aggregated before any shuffle).
-    """
-
-    def count_pairs(batches):
-        import numpy as np
-        import pandas as pd
-
-        codes = np.empty(0, dtype=np.int64)
-        counts = np.empty(0, dtype=np.int64)
-
-        def merge(c, n):
-            u, inv = np.unique(c, return_inverse=True)
-            return u, np.bincount(inv, weights=n, minlength=len(u)).astype(np.int64)
-
-        for pdf in batches:
-            arrs = pdf["idx"].to_numpy()
-            if len(arrs) == 0:
-                continue
-            lens = np.fromiter((len(a) for a in arrs), dtype=np.int64, count=len(arrs))
-            parts = []
-            for m in np.unique(lens):
-                if m < 2:
-                    continue
-                block = np.stack(arrs[lens == m]).astype(np.int64)  # baskets of m items, one per row
-                i, j = np.triu_indices(int(m), 1)
-                parts.append(((block[:, i] << 32) | block[:, j]).ravel())
-            if not parts:
-                continue
-            u, c = np.unique(np.concatenate(parts), return_counts=True)
-            codes, counts = np.concatenate([codes, u]), np.concatenate([counts, c.astype(np.int64)])
-            if len(codes) > 4_000_000:
-                codes, counts = merge(codes, counts)
-        if len(codes):
-            codes, counts = merge(codes, counts)
-            yield pd.DataFrame({"a": (codes >> 32).astype(np.int32), "b": (codes & 0xFFFFFFFF).astype(np.int32), "n": counts})
-
-    return count_pairs
-
-
 def pair_rules(
     baskets: DataFrame,
     min_support: float = 0.001,
@@ -125,28 +86,20 @@ def pair_rules(
     """Rules from frequent pairs only (itemset length capped at 2): one-item antecedents and
     consequents, the same numbers FP-Growth gives for them (M3).
 
-    Support counts use FP-Growth's threshold ``ceil(min_support * n)``. Frequent items get a dense
-    index (there are at most ``total items / min count`` of them, broadcast as one map); each basket
-    becomes the sorted array of its frequent items' indexes; every partition counts its pairs in
-    NumPy and emits one row per distinct pair, and only those partial counts are shuffled.
+    Support counts use FP-Growth's threshold ``ceil(min_support * n)``. Each basket is cut to its
+    frequent items (at most ``total items / min count``); its ordered pairs stream from two nested
+    explodes into one aggregation, whose partial counts are all that is shuffled.
     """
-    b = baskets.select(F.col(items_col).alias("items"))
+    b = baskets.select(F.array_distinct(items_col).alias("items"))
     n = b.select(F.count(F.lit(1))).scalar()
     min_count = F.ceil(F.lit(min_support) * n)
-    item_counts = b.select(F.explode(F.array_distinct("items")).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("c"))
-    frequent = cut_lineage(item_counts.where(F.col("c") >= min_count))
-    # dense index over the frequent items (a bounded table, ranked in one task)
-    indexed = frequent.select("item", "c", (F.row_number().over(Window.orderBy("item")) - 1).cast("int").alias("idx"))
-    index_map = indexed.select(F.map_from_entries(F.collect_list(F.struct("item", "idx")))).scalar()
-    arrays = (
-        b.withColumn("_m", index_map)
-        .select(F.array_sort(F.filter(F.transform(F.array_distinct("items"), lambda x: F.try_element_at(F.col("_m"), x)), lambda x: x.isNotNull())).alias("idx"))
-        .where(F.size("idx") >= 2)
-    )
-    partial = arrays.mapInPandas(pair_counter(), "a int, b int, n long")
-    pairs = partial.groupBy("a", "b").agg(F.sum("n").alias("c_ab")).where(F.col("c_ab") >= min_count)
-    ia = sized_broadcast(indexed.select(F.col("idx").alias("a"), F.col("item").alias("item_a"), F.col("c").alias("c_a")))
-    ib = sized_broadcast(indexed.select(F.col("idx").alias("b"), F.col("item").alias("item_b"), F.col("c").alias("c_b")))
+    lines = b.withColumn("_b", F.monotonically_increasing_id()).select("_b", F.explode("items").alias("item"))
+    frequent = cut_lineage(lines.groupBy("item").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min_count))
+    cut = lines.join(frequent.select("item"), "item", "left_semi").groupBy("_b").agg(F.array_sort(F.collect_list("item")).alias("items")).where(F.size("items") >= 2)
+    left = cut.select("items", F.posexplode("items").alias("pos", "a")).where(F.col("pos") + 1 < F.size("items"))
+    pairs = left.select("a", F.explode(F.slice("items", F.col("pos") + 2, F.size("items"))).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c_ab")).where(F.col("c_ab") >= min_count)
+    ia = frequent.select(F.col("item").alias("a"), F.col("item").alias("item_a"), F.col("c").alias("c_a"))
+    ib = frequent.select(F.col("item").alias("b"), F.col("item").alias("item_b"), F.col("c").alias("c_b"))
     p = pairs.join(ia, "a").join(ib, "b")
 
     def directed(x: str, y: str) -> DataFrame:
@@ -182,6 +135,7 @@ def rules_summary(
     products: DataFrame | None = None,
     min_support: float | None = None,
     min_confidence: float | None = None,
+    limit_rows: int | None = None,
 ) -> DataFrame:
     """One row: rule count and the range of support, confidence and lift (G13), plus the run's
     parameters and input counts when given (G16; the fit time is not data and is left out)."""
@@ -200,6 +154,8 @@ def rules_summary(
         extra.append(F.lit(float(min_support)).alias("min_support"))
     if min_confidence is not None:
         extra.append(F.lit(float(min_confidence)).alias("min_confidence"))
+    if limit_rows is not None:
+        extra.append(F.lit(int(limit_rows)).cast("bigint").alias("limit_rows"))
     if lines is not None:
         extra.append(lines.select(F.count(F.lit(1))).scalar().alias("total_transactions"))
     if baskets is not None:

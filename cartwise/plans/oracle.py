@@ -11,7 +11,6 @@ from __future__ import annotations
 from cartwise.plans.queries import (
     LABEL_DAYS,
     MIN_CONFIDENCE,
-    MIN_REORDER_LINES,
     MIN_SUPPORT,
     OBSERVATION_DAYS,
     REPORTED_THRESHOLD,
@@ -431,7 +430,7 @@ lo AS (SELECT l.l_partkey AS product_id, o.user_id, o.order_number FROM lineitem
 f AS (SELECT user_id, product_id, min(order_number) AS first_n FROM lo GROUP BY ALL),
 st AS (SELECT lo.product_id, count(*) AS n_lines, avg(CAST(lo.order_number > f.first_n AS INTEGER)::DOUBLE) AS reorder_rate
        FROM lo JOIN f USING (user_id, product_id) GROUP BY lo.product_id),
-r AS (SELECT row_number() OVER (ORDER BY reorder_rate DESC, n_lines DESC, product_id) AS rank, * FROM st WHERE n_lines >= {MIN_REORDER_LINES}),
+r AS (SELECT row_number() OVER (ORDER BY reorder_rate DESC, n_lines DESC, product_id) AS rank, * FROM st),
 ids AS (SELECT p_partkey AS product_id, max(p_name) AS product_name FROM part GROUP BY 1)
 SELECT CAST(rank AS BIGINT) AS rank, product_id, coalesce(ids.product_name, 'Unknown(' || product_id || ')') AS product_name, n_lines,
        {_r('reorder_rate')} AS reorder_rate

@@ -23,7 +23,7 @@ MIN_SUPPORT, MIN_CONFIDENCE, MAX_RULES = 0.005, 0.1, 10_000
 TOP_N = 3
 REPORTED_THRESHOLD = 0.0615
 SAMPLE_FRACTION, SEED = 0.1, 42
-TOP_PRODUCTS, TOP_REORDERED, MIN_REORDER_LINES = 30, 20, 10
+TOP_PRODUCTS, TOP_REORDERED = 30, 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,7 +53,9 @@ def ids_text(c: Column | str) -> Column:
 def rfm_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sliding-window RFM on (customer, brand, quantity) at the real order dates (A5)."""
     t = TestTables(spark, sf_dir)
-    w = windows.sliding_window_rfm(t.dated_lines("p_brand"), "transaction_date", "user_id", "item", "quantity", OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS)
+    # the fact join feeds the bounds and the rows: it runs once, four columns of it are written
+    lines = cut_lineage(t.dated_lines("p_brand").select("transaction_date", "user_id", "item", "quantity"))
+    w = windows.sliding_window_rfm(lines, "transaction_date", "user_id", "item", "quantity", OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS)
     return w.select("window_id", ts_text("cut_date").alias("cut_date"), "user_id", "item", "recency", "frequency", "monetary", "label")
 
 
@@ -137,9 +139,9 @@ def resolve_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- baskets and rules
 
 
-def _name_rules(t: TestTables, mined: DataFrame | None = None) -> DataFrame:
+def _name_rules(t: TestTables, mined: DataFrame | None = None, max_rules: int | None = MAX_RULES) -> DataFrame:
     mined = mined if mined is not None else mining_baskets(t.attribute_lines("name"), MIN_SUPPORT)
-    return rules.pair_rules(mined, MIN_SUPPORT, MIN_CONFIDENCE, MAX_RULES)
+    return rules.pair_rules(mined, MIN_SUPPORT, MIN_CONFIDENCE, max_rules)
 
 
 def _type_rules(t: TestTables) -> DataFrame:
@@ -307,17 +309,17 @@ def positive_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def orders_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.orders_per_user(TestTables(spark, sf_dir).orders)
+    return explore.orders_per_user(TestTables(spark, sf_dir).plain_orders)
 
 
 @query
 def orders_per_user_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.orders_per_user_distribution(TestTables(spark, sf_dir).orders)
+    return explore.orders_per_user_distribution(TestTables(spark, sf_dir).plain_orders)
 
 
 @query
 def orders_by_dow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = explore.orders_by_dow(TestTables(spark, sf_dir).orders)
+    d = explore.orders_by_dow(TestTables(spark, sf_dir).plain_orders)
     return d.select(F.col("order_dow").cast("bigint").alias("order_dow"), "n_orders")
 
 
@@ -345,8 +347,7 @@ def department_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def reorder_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = TestTables(spark, sf_dir)
-    lines = explore.with_reordered(t.order_lines, t.orders)
-    r = explore.reorder_rate(lines, t.products, TOP_REORDERED, MIN_REORDER_LINES)
+    r = explore.reorder_rate(t.order_lines, t.products, TOP_REORDERED, orders=t.plain_orders, sequence="sequence")
     return r.select(F.col("rank").cast("bigint").alias("rank"), "product_id", "product_name", "n_lines", r6("reorder_rate").alias("reorder_rate"))
 
 
@@ -358,7 +359,7 @@ def order_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def order_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = TestTables(spark, sf_dir).orders
+    o = TestTables(spark, sf_dir).plain_orders
     return explore.sample_orders(o, SAMPLE_FRACTION, SEED).select("order_id", "user_id")
 
 
@@ -410,21 +411,21 @@ def mba_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best matching name rule per (customer, product name) over each customer's purchased names."""
     t = TestTables(spark, sf_dir)
     items = t.attribute_lines("name").join(t.orders.select("order_id", "user_id"), "order_id").select("user_id", "product_id").distinct()
-    m = features.mba_features(items, _name_rules(t))
+    m = features.mba_features(items, _name_rules(t, max_rules=None))
     return m.select("user_id", "product_id", r6("mba_lift").alias("mba_lift"), r6("mba_confidence").alias("mba_confidence"), "mba_rules")
 
 
 @query
 def product_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = TestTables(spark, sf_dir)
-    p = explore.product_features(t.order_lines, t.orders)
+    p = explore.product_features(t.order_lines, t.plain_orders, "sequence")
     return p.select("product_id", "n_lines", "n_orders", "n_users", r6("reorder_rate").alias("reorder_rate"))
 
 
 @query
 def user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = TestTables(spark, sf_dir)
-    u = explore.user_features(t.order_lines, t.orders)
+    u = explore.user_features(t.order_lines, t.plain_orders)
     return u.select("user_id", "n_orders", "n_lines", "n_products", r6("mean_basket_size").alias("mean_basket_size"))
 
 

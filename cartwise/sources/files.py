@@ -31,21 +31,11 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.TRANSACTIONS, timestamp_format="yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]")
 
 
-def read_parquet(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
-    """Parquet scan, spread over the cluster when it yields fewer splits than cores.
-
-    A large table arrives as many files and row groups and is split naturally (this is then a
-    no-op); a table stored as one row group is a single split, and everything before its first
-    shuffle would run in one task, so it is redistributed round-robin once. Small dimension
-    tables are read with ``spread=False``: they are broadcast or joined whole anyway.
-    """
+def read_parquet(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Parquet scan. ``partitions`` (off by default) deals the rows out round-robin, for a table stored
+    as a single split."""
     df = spark.read.parquet(path)
-    if not spread:
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:

@@ -35,9 +35,6 @@ TABLES = (
 ).split()
 
 
-FACT_TABLES = {"lineitem", "orders", "events"}
-
-
 class TestTables:
     """Lazy DataFrames over ``{sf_dir}/{table}.parquet`` in the grocery data model."""
 
@@ -46,8 +43,7 @@ class TestTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        # fact tables are spread over the cores when stored as one split; dimensions are not
-        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet", spread=name in FACT_TABLES)
+        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -84,6 +80,21 @@ class TestTables:
             .alias("eval_set"),
         )
 
+    @cached_property
+    def plain_orders(self) -> DataFrame:
+        """``order_id, user_id, order_day, order_dow, sequence``: a projection of the orders, no positions.
+
+        ``sequence`` orders a customer's history as ``order_number`` does (day, then order id).
+        """
+        day = F.to_date("o_orderdate")
+        return self.raw("orders").where(F.col("o_custkey").isNotNull() & day.isNotNull()).select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("user_id"),
+            day.alias("order_day"),
+            (F.dayofweek(day) - 1).alias("order_dow"),
+            F.struct(day.alias("day"), F.col("o_orderkey").alias("id")).alias("sequence"),
+        )
+
     def materialize_orders(self) -> "TestTables":
         """Write the rebuilt orders once (they feed the line split, intervals and timelines)."""
         from cartwise.session import cut_lineage
@@ -102,9 +113,13 @@ class TestTables:
             F.col("l_quantity").alias("quantity"),
         )
 
+    @cached_property
+    def split_lines(self) -> DataFrame:
+        """Order lines with the ``eval_set`` of their order."""
+        return self.order_lines.join(self.orders.select("order_id", "eval_set"), "order_id")
+
     def lines_of(self, eval_set: str) -> DataFrame:
-        sets = self.orders.where(F.col("eval_set") == eval_set).select("order_id")
-        return self.order_lines.join(sets, "order_id", "left_semi")
+        return self.split_lines.where(F.col("eval_set") == eval_set).drop("eval_set")
 
     @property
     def prior_lines(self) -> DataFrame:

@@ -40,6 +40,9 @@ def test_reorders_and_user_product_features(spark):
     assert (2, 100, 1) in got and (3, 100, 1) in got and (1, 100, 0) in got and (4, 200, 0) in got
     rate = {x.product_id: x.reorder_rate for x in explore.reorder_rate(r, p, 3).collect()}
     assert rate[100] == 2 / 3 and rate[200] == 0.0
+    assert {x.product_id: x.reorder_rate for x in explore.reorder_rate(li, p, 3, orders=o).collect()} == rate
+    flagged = {tuple(x) for x in explore.product_features(r.drop("user_id", "order_number"), o).collect()}
+    assert {tuple(x) for x in explore.product_features(li, o).select("product_id", "n_lines", "n_orders", "n_users", "reorder_rate").collect()} == flagged
     up = {(x.user_id, x.product_id): x for x in user_product_features(li, o).collect()}
     milk = up[(10, 100)]
     assert (milk.up_orders, milk.up_orders_since_last_order) == (3, 0) and milk.up_order_rate == 1.0

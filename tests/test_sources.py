@@ -4,7 +4,6 @@ from datetime import datetime
 
 import pytest
 
-from cartwise.functions.joins import sized_broadcast
 from cartwise.operators.baskets import limit_lines
 from cartwise.sources.files import read_grocery_csv, read_table, read_transactions_csv, write_table
 
@@ -43,10 +42,3 @@ def test_limit_lines_is_deterministic(spark):
     assert limit_lines(lines, 0).count() == 15
     got = [tuple(r) for r in limit_lines(lines, 4).collect()]
     assert got == [(0, 0), (0, 1), (0, 2), (1, 0)]
-
-
-def test_sized_broadcast_falls_back(spark):
-    big = spark.range(50).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    for side in (sized_broadcast(small, 100), sized_broadcast(small, 5)):
-        assert big.join(side, "k").count() == 10
