@@ -11,6 +11,11 @@ def unknown_name(product_id: Column) -> Column:
     return F.concat(F.lit("Unknown("), product_id.cast("string"), F.lit(")"))
 
 
+def percent_text(share: Column, decimals: int = 2) -> Column:
+    """A share as percent text, e.g. 0.1234 -> ``12.34%``."""
+    return F.concat(F.format_string(f"%.{decimals}f", share.cast("double") * 100), F.lit("%"))
+
+
 def blank_to_null(text: Column) -> Column:
     return F.when(F.trim(text) == "", F.lit(None).cast("string")).otherwise(text)
 

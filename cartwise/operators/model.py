@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
 from cartwise.functions.prefix import exact_median
+from cartwise.functions.text import percent_text
+from cartwise.operators.catalog import resolve_items
 from cartwise.operators.evaluate import classification_metrics
 from cartwise.operators.features import FEATURE_COLS, split_flag
 from cartwise.operators.recommend import recommend
@@ -74,30 +76,40 @@ def train_repurchase(
     return TrainedRepurchase(model, scored, classification_metrics(scored), list(cols))
 
 
-def feature_importance(model: PipelineModel, feature_cols: list[str] | None = None) -> DataFrame:
-    """``feature, importance`` sorted by importance descending."""
+def feature_importance(model: PipelineModel, feature_cols: list[str] | None = None, ascending: bool = False) -> DataFrame:
+    """``feature, importance`` sorted by importance, descending or ascending."""
     cols = feature_cols or FEATURE_COLS
     gbt = model.stages[-1]
     values = [float(v) for v in gbt.featureImportances.toArray()]
     spark = SparkSession.getActiveSession()
     df = spark.createDataFrame(list(zip(cols, values)), "feature string, importance double")
-    return df.orderBy(F.col("importance").desc(), "feature")
+    return df.orderBy(F.col("importance").asc() if ascending else F.col("importance").desc(), "feature")
+
+
+def interval_median(interval: DataFrame) -> float | None:
+    """The median purchase interval over users: the serving-time fill for unknown ones.
+
+    Computed once, in training, and kept with the artifacts; None when no user has an interval.
+    """
+    return exact_median(interval, "avg_days_since_prior").select("median").first()[0]
 
 
 def assemble_requests(
-    requests: DataFrame, interval: DataFrame, product_dept: DataFrame, dept_freq: DataFrame
+    requests: DataFrame, interval: DataFrame, product_dept: DataFrame, dept_freq: DataFrame, median: float | None = None
 ) -> DataFrame:
     """Serving-time features for ``(user_id, product_id[, recency, frequency, monetary])`` requests
     (R1-R3): unknown user -> median interval over users; unknown product -> department 0; unknown
-    (user, department) -> frequency and ratio 0; missing recency/frequency/monetary -> 0, 1, 1.0."""
+    (user, department) -> frequency and ratio 0; missing recency/frequency/monetary -> 0, 1, 1.0.
+
+    Pass the ``median`` that training kept (``interval_median``); without it, it is computed here."""
     require_columns(requests, ["user_id", "product_id"], "requests")
     req = requests
     for c, default, t in (("recency", 0, "double"), ("frequency", 1, "double"), ("monetary", 1.0, "double")):
         val = F.col(c) if c in req.columns else F.lit(None)
         req = req.withColumn(c, F.coalesce(val.cast(t), F.lit(default).cast(t)))
-    median = exact_median(interval, "avg_days_since_prior").select("median").scalar()
+    fill = interval_median(interval) if median is None else median
     df = req.join(interval.select("user_id", "avg_days_since_prior"), "user_id", "left")
-    df = df.withColumn("avg_days_since_prior", F.coalesce(F.col("avg_days_since_prior"), median))
+    df = df.withColumn("avg_days_since_prior", F.coalesce(F.col("avg_days_since_prior"), F.lit(fill).cast("double")))
     pdept = product_dept.groupBy("product_id").agg(F.max("department_id").alias("department_id"))  # one department per id
     df = df.join(pdept, "product_id", "left").withColumn("department_id", F.coalesce(F.col("department_id"), F.lit(0)))
     freq = dept_freq.select("user_id", "department_id", "department_frequency", "department_frequency_ratio")
@@ -114,12 +126,20 @@ def assemble_requests(
     )
 
 
-def score(requests: DataFrame, model: PipelineModel, interval: DataFrame, product_dept: DataFrame, dept_freq: DataFrame) -> DataFrame:
+def score(requests: DataFrame, model: PipelineModel, interval: DataFrame, product_dept: DataFrame, dept_freq: DataFrame, median: float | None = None) -> DataFrame:
     """The request rows plus ``probability`` and ``prediction`` (R1, R2: a one-row frame scores one pair)."""
-    feats = assemble_requests(requests, interval, product_dept, dept_freq)
+    feats = assemble_requests(requests, interval, product_dept, dept_freq, median)
     return with_probability(model.transform(feats))
 
 
+def resolve_requests(requests: DataFrame, products: DataFrame) -> DataFrame:
+    """Requests with ``product_id`` filled from ``product_name`` where it is null (the name columns stay)."""
+    texts = requests.where(F.col("product_id").isNull()).select(F.col("product_name").alias("basket_id"), F.lit(None).cast("bigint").alias("product_id"), "product_name").where("product_name is not null").distinct()
+    found = resolve_items(texts, products).select(F.col("basket_id").alias("product_name"), F.col("product_id").alias("_found"))
+    out = requests.join(found, "product_name", "left")
+    return out.withColumn("product_id", F.coalesce("product_id", "_found")).select(*requests.columns)
+
+
 def score_and_recommend(
     requests: DataFrame,
     model: PipelineModel,
@@ -129,21 +149,29 @@ def score_and_recommend(
     rules: DataFrame,
     products: DataFrame,
     top_n: int = 3,
+    median: float | None = None,
 ) -> DataFrame:
     """Repurchase probability of each (user, product) request plus what buyers of that product
-    also buy (R4): the request columns, ``probability`` and ``recommendations ARRAY<STRING>``.
+    also buy (R4): the request columns, ``probability``, ``probability_text`` (percent) and
+    ``recommendations ARRAY<STRING>``.
+
+    A request names its product by ``product_id``, or by ``product_name`` where the id is null: exact name
+    first, else the first catalog name that holds the text. A name that finds nothing is scored as an
+    unknown product.
 
     Recommendations depend on the product alone (a one-item basket), so they are computed once per
     distinct requested product and joined back on ``product_id``; no request key is needed.
-    Resolve names to ids first (``resolve_items``).
     """
     require_columns(requests, ["user_id", "product_id"], "requests")
-    scored = score(requests, model, interval, product_dept, dept_freq)
+    if "product_name" in requests.columns:
+        requests = resolve_requests(requests, products)
+    scored = score(requests, model, interval, product_dept, dept_freq, median)
     asked = requests.select("product_id").where(F.col("product_id").isNotNull()).distinct()
     recs = recommend(asked.select(F.col("product_id").alias("basket_id"), "product_id"), rules, products, top_n)
     per_product = recs.groupBy(F.col("basket_id").alias("product_id")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "product_name"))), lambda s: s["product_name"]).alias("recommendations")
     )
-    keep = [c for c in requests.columns] + ["probability"]
+    scored = scored.withColumn("probability_text", percent_text(F.col("probability")))
+    keep = [c for c in requests.columns] + ["probability", "probability_text"]
     out = scored.select(*keep).join(per_product, "product_id", "left")
     return out.select(*keep, F.coalesce("recommendations", F.array().cast("array<string>")).alias("recommendations"))

@@ -457,6 +457,44 @@ FROM fm"""
 SELECT substr(md5('{SEED}|' || window_id || '|' || user_id || '|' || product_id), 1, 8) < '{split_cut}' AS is_test, label, count(*) AS n
 FROM fm GROUP BY ALL"""
 
+    q["repurchase_split"] = FEATURES + f"""
+SELECT window_id, user_id, product_id, label FROM fm
+WHERE substr(md5('{SEED}|' || window_id || '|' || user_id || '|' || product_id), 1, 8) < '{split_cut}'"""
+
+    SERVING = f"""
+{TX.strip()},
+{DEPTS.strip()},
+interval AS (SELECT user_id, avg(days_since_prior_order) AS avg_days_since_prior FROM o WHERE days_since_prior_order IS NOT NULL GROUP BY user_id),
+dfreq AS (SELECT user_id, department_id, count(*) AS department_frequency,
+                 count(*) / sum(count(*)) OVER (PARTITION BY user_id) AS department_frequency_ratio
+          FROM tx JOIN (SELECT DISTINCT product_id, department_id FROM products WHERE department_id IS NOT NULL) USING (product_id)
+          GROUP BY user_id, department_id)"""
+    q["serving_features"] = f"""
+WITH {SERVING.strip()},
+asked AS (SELECT DISTINCT o.o_custkey AS u, l.l_partkey AS p FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_custkey IS NOT NULL AND o.o_orderdate IS NOT NULL),
+req AS (SELECT CASE WHEN u % 5 = 0 THEN u + 1000000000 ELSE u END AS user_id, CASE WHEN p % 7 = 0 THEN p + 1000000000 ELSE p END AS product_id,
+               CASE WHEN (u + p) % 3 <> 0 THEN p % 50 ELSE 0 END AS recency, CASE WHEN (u + p) % 3 <> 0 THEN u % 4 + 1 ELSE 1 END AS frequency,
+               CASE WHEN (u + p) % 3 <> 0 THEN (p % 9) / 2.0 ELSE 1.0 END AS monetary FROM asked),
+med AS (SELECT median(avg_days_since_prior) AS m FROM interval),
+pdept AS (SELECT product_id, max(department_id) AS department_id FROM products WHERE department_id IS NOT NULL GROUP BY product_id)
+SELECT r.user_id, r.product_id, CAST(r.recency AS DOUBLE) AS recency, CAST(r.frequency AS DOUBLE) AS frequency, CAST(r.monetary AS DOUBLE) AS monetary,
+       {_r('coalesce(i.avg_days_since_prior, med.m)')} AS avg_days_since_prior, CAST(coalesce(d.department_id, 0) AS DOUBLE) AS department_id,
+       CAST(coalesce(f.department_frequency, 0) AS DOUBLE) AS department_frequency,
+       {_r('CAST(coalesce(f.department_frequency_ratio, 0) AS DOUBLE)')} AS department_frequency_ratio
+FROM req r CROSS JOIN med LEFT JOIN interval i ON i.user_id = r.user_id LEFT JOIN pdept d ON d.product_id = r.product_id
+     LEFT JOIN dfreq f ON f.user_id = r.user_id AND f.department_id = coalesce(d.department_id, 0)"""
+
+    q["artifact_tables"] = f"""
+WITH {SERVING.strip()}
+SELECT f.user_id, f.department_id, f.department_frequency, {_r('i.avg_days_since_prior')} AS avg_days_since_prior,
+       CAST(7 AS BIGINT) AS n_features, {float(MIN_SUPPORT)} AS min_support
+FROM dfreq f LEFT JOIN interval i USING (user_id)"""
+
+    q["csv_orders"] = """
+SELECT strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS transaction_date, l.l_orderkey AS order_id, o.o_custkey AS user_id,
+       CAST(regexp_extract(p.p_brand, '([0-9]+)', 1) AS BIGINT) AS product_id, l.l_quantity AS quantity
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey"""
+
     q["user_product_features"] = f"""
 WITH {ORDERS.strip()},
 un AS (SELECT user_id, count(*) AS n, max(order_number) AS mx FROM o GROUP BY user_id),

@@ -432,32 +432,39 @@ def user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- model (no SQL twin)
 
 
-def _trained(t: TestTables) -> model.TrainedRepurchase:
-    """Train once per input folder and parameters, save the artifacts under the shared checkpoint
-    folder, and let later model queries load them (train -> save -> predictor, as in the grocery
-    model's own flow)."""
+def _fingerprint(t: TestTables) -> str:
+    """Names, sizes and change times of the files that training reads: other data, another key."""
     import hashlib
 
-    from cartwise import __version__
+    jvm, conf = t.spark.sparkContext._jvm, t.spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in ("orders", "lineitem", "part"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{t.sf_dir}/{name}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath().toString()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(found)).encode()).hexdigest()
+
+
+_models: dict[str, model.TrainedRepurchase] = {}
+
+
+def _trained(t: TestTables) -> model.TrainedRepurchase:
+    """Train once per session and data (the files' sizes and change times are part of the key); the
+    artifacts and the scored rows are written, and later model queries load them."""
     from cartwise.session import ensure_checkpoint_dir
     from cartwise.sources.artifacts import load_artifacts, save_artifacts
 
-    import pathlib
-
-    # the key covers the code that builds features and the model, so a change there retrains
-    code = b"".join(p.read_bytes() for p in sorted((pathlib.Path(__file__).parents[1] / "operators").glob("*.py")))
-    key = hashlib.md5(f"{__version__}|{t.sf_dir}|{model.GBT_DEFAULTS}|{SEED}|".encode() + code).hexdigest()
-    root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/cartwise-models/{key}"
-    try:
+    key = f"{t.spark.sparkContext.applicationId}-{_fingerprint(t)}"
+    if key not in _models:
+        root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/cartwise-models/{key}"
+        tr = model.train_repurchase(_feature_matrix(t))
+        save_artifacts(root, tr.model, tr.feature_cols, tr.metrics, parameters={**model.GBT_DEFAULTS, "split_seed": SEED, "test_fraction": 0.2})
+        tr.test_scored.write.mode("overwrite").parquet(f"{root}/test_scored")
         art = load_artifacts(t.spark, root)
-        test = t.spark.read.parquet(f"{root}/test_scored")
-        return model.TrainedRepurchase(art.model, test, art.metrics, art.feature_cols)
-    except Exception:  # noqa: BLE001  not trained yet (or a partial folder): train now
-        pass
-    tr = model.train_repurchase(_feature_matrix(t))
-    save_artifacts(root, tr.model, tr.feature_cols, tr.metrics)
-    tr.test_scored.write.mode("overwrite").parquet(f"{root}/test_scored")
-    return model.TrainedRepurchase(tr.model, t.spark.read.parquet(f"{root}/test_scored"), tr.metrics, tr.feature_cols)
+        _models[key] = model.TrainedRepurchase(art.model, t.spark.read.parquet(f"{root}/test_scored"), art.metrics, art.feature_cols)
+    return _models[key]
 
 
 @query
@@ -473,16 +480,89 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.feature_importance(tr.model, tr.feature_cols)
 
 
+@query
+def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy, precision, recall, F1 and AUC of the trained model on the held-out rows."""
+    return _trained(TestTables(spark, sf_dir)).metrics
+
+
+@query
+def repurchase_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and labels of the rows that the model is evaluated on."""
+    f = _feature_matrix(TestTables(spark, sf_dir))
+    return f.where(features.split_flag(["window_id", "user_id", "product_id"], 0.2, SEED)).select("window_id", "user_id", "product_id", "label")
+
+
+def _serving_tables(t: TestTables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    tx = cut_lineage(_transactions(t))
+    return transactions.purchase_interval(t.orders), transactions.product_department(t.products), transactions.department_frequency(tx, t.products, t.departments)
+
+
+def _serving_requests(t: TestTables) -> DataFrame:
+    """A request per (customer, product) line: every third leaves out its figures, every fifth customer and every
+    seventh product is moved beyond the known ids."""
+    lines = t.order_lines.join(t.plain_orders.select("order_id", "user_id"), "order_id").select("user_id", "product_id").distinct()
+    given = (F.col("user_id") + F.col("product_id")) % 3 != 0
+    return lines.select(
+        F.when(F.col("user_id") % 5 == 0, F.col("user_id") + 1_000_000_000).otherwise(F.col("user_id")).alias("user_id"),
+        F.when(F.col("product_id") % 7 == 0, F.col("product_id") + 1_000_000_000).otherwise(F.col("product_id")).alias("product_id"),
+        F.when(given, F.col("product_id") % 50).cast("int").alias("recency"),
+        F.when(given, F.col("user_id") % 4 + 1).cast("int").alias("frequency"),
+        F.when(given, (F.col("product_id") % 9).cast("double") / 2).alias("monetary"),
+    )
+
+
+@query
+def serving_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Serving-time features with every default: unknown customers, unknown products, missing figures."""
+    t = TestTables(spark, sf_dir).materialize_orders()
+    interval, pdept, dept = _serving_tables(t)
+    out = model.assemble_requests(_serving_requests(t), interval, pdept, dept, model.interval_median(interval))
+    return out.select(*[r6(c).alias(c) if c in ("avg_days_since_prior", "department_frequency_ratio") else F.col(c) for c in out.columns])
+
+
 @query
 def score_and_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every (customer, product name) line scored plus name recommendations."""
+    """Every (customer, product name) line asked for by name, scored, plus name recommendations."""
     t = TestTables(spark, sf_dir).materialize_orders()
     tr = _trained(t)
-    tx = cut_lineage(_transactions(t))
-    interval = transactions.purchase_interval(t.orders)
-    dept = transactions.department_frequency(tx, t.products, t.departments)
-    pdept = transactions.product_department(t.products)
-    lines = t.attribute_lines("name").join(t.orders.select("order_id", "user_id"), "order_id")
-    requests = lines.select("user_id", "product_id").distinct()
-    out = model.score_and_recommend(requests, tr.model, interval, pdept, dept, _name_rules(t), t.name_products, TOP_N)
+    interval, pdept, dept = _serving_tables(t)
+    lines = t.attribute_lines("name").join(t.plain_orders.select("order_id", "user_id"), "order_id")
+    requests = lines.select("user_id", "product_id").distinct().join(t.name_products, "product_id").select("user_id", F.lit(None).cast("bigint").alias("product_id"), "product_name")
+    out = model.score_and_recommend(requests, tr.model, interval, pdept, dept, _name_rules(t), t.name_products, TOP_N, model.interval_median(interval))
     return out.select("user_id", "product_id", "probability", F.array_join("recommendations", "|").alias("recommendations"))
+
+
+# ---------------------------------------------------------------- sources
+
+
+@query
+def csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dated order lines written as CSV and scanned back with a declared schema and parsed dates."""
+    from cartwise.session import intermediate_path
+    from cartwise.sources.files import read_transactions_csv, write_table
+
+    lines = TestTables(spark, sf_dir).dated_lines("p_brand")
+    path = intermediate_path(spark)
+    out = lines.select("transaction_date", "order_id", "user_id", F.regexp_extract("item", "([0-9]+)", 1).cast("bigint").alias("product_id"), "quantity")
+    write_table(out.withColumn("transaction_date", ts_text("transaction_date")), path, "csv")
+    back = read_transactions_csv(spark, path)
+    return back.select(ts_text("transaction_date").alias("transaction_date"), "order_id", "user_id", "product_id", "quantity")
+
+
+@query
+def artifact_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup tables and parameters after saving and loading: interval, department and parameter per customer."""
+    from cartwise.session import intermediate_path
+    from cartwise.sources.artifacts import load_artifacts, save_artifacts
+
+    t = TestTables(spark, sf_dir).materialize_orders()
+    interval, pdept, dept = _serving_tables(t)
+    root = intermediate_path(spark)
+    save_artifacts(root, None, features.FEATURE_COLS, None, interval, dept, pdept, parameters={"min_support": MIN_SUPPORT, "min_confidence": MIN_CONFIDENCE, "limit_rows": 0})
+    art = load_artifacts(spark, root, with_model=False)
+    joined = art.dept_freq.join(art.interval, "user_id", "left")
+    return joined.select(
+        "user_id", F.col("department_id").cast("bigint").alias("department_id"), "department_frequency", r6("avg_days_since_prior").alias("avg_days_since_prior"),
+        F.lit(len(art.feature_cols)).cast("bigint").alias("n_features"), F.lit(float(art.parameters["min_support"])).alias("min_support"),
+    )

@@ -6,16 +6,17 @@ Layout under one folder (any Hadoop path; shared storage on a cluster):
 - ``feature_cols/``          JSON, one row per feature in order (S6, S7)
 - ``metrics/``               JSON, one row (S6)
 - ``avg_purchase_interval/``, ``department_frequency/``, ``product_department/``  Parquet (S4, S5)
+- ``parameters/``            JSON, one row: training parameters and the serving median (S6)
 - ``rules/``, ``products/``  Parquet: association rules and the id/name catalog (S8)
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cartwise.sources.files import read_table, write_table
 
@@ -30,6 +31,12 @@ class Artifacts:
     product_dept: DataFrame | None
     rules: DataFrame | None = None
     products: DataFrame | None = None
+    parameters: dict | None = None
+
+    @property
+    def median(self) -> float | None:
+        """The purchase interval that unknown users get (kept in training)."""
+        return (self.parameters or {}).get("interval_median")
 
 
 def _path(root: str, name: str) -> str:
@@ -46,13 +53,19 @@ def save_artifacts(
     product_dept: DataFrame | None = None,
     rules: DataFrame | None = None,
     products: DataFrame | None = None,
+    parameters: dict | None = None,
 ) -> None:
+    """Write the given parts under ``root``; ``parameters`` is a flat dict of numbers and text (training
+    settings, rule thresholds, row limit, ``interval_median``)."""
     if model is not None:
         model.write().overwrite().save(_path(root, "model"))
     spark = SparkSession.getActiveSession()
     if feature_cols is not None:
         rows = [(i, c) for i, c in enumerate(feature_cols)]
         write_table(spark.createDataFrame(rows, "position int, feature string").coalesce(1), _path(root, "feature_cols"), "json")
+    if parameters is not None:
+        rows = [(json.dumps(parameters, sort_keys=True),)]
+        write_table(spark.createDataFrame(rows, "parameters string").coalesce(1), _path(root, "parameters"), "json")
     if metrics is not None:
         write_table(metrics.coalesce(1), _path(root, "metrics"), "json")
     for name, df in (
@@ -70,10 +83,9 @@ def load_artifacts(spark: SparkSession, root: str, with_model: bool = True) -> A
     """Load what ``save_artifacts`` wrote; a missing model folder raises FileNotFoundError."""
     model = None
     if with_model:
-        try:
-            model = PipelineModel.load(_path(root, "model"))
-        except Exception as exc:
-            raise FileNotFoundError(f"no model at {_path(root, 'model')}; train and save it first") from exc
+        if not exists(spark, _path(root, "model")):
+            raise FileNotFoundError(f"no model at {_path(root, 'model')}; train and save it first")
+        model = PipelineModel.load(_path(root, "model"))
 
     def opt(name: str, fmt: str = "parquet") -> DataFrame | None:
         try:
@@ -92,9 +104,11 @@ def load_artifacts(spark: SparkSession, root: str, with_model: bool = True) -> A
         product_dept=opt("product_department"),
         rules=opt("rules"),
         products=opt("products"),
+        parameters=json.loads(opt("parameters", "json").first()["parameters"]) if exists(spark, _path(root, "parameters")) else None,
     )
 
 
-def load_rules(spark: SparkSession, root: str) -> DataFrame:
-    """Rules only; raises FileNotFoundError when absent."""
-    return read_table(spark, _path(root, "rules")).orderBy(F.col("rule_id"))
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on any Hadoop file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

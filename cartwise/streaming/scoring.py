@@ -25,6 +25,7 @@ REQUEST_SCHEMA = T.StructType(
         T.StructField("request_id", T.LongType()),
         T.StructField("user_id", T.LongType()),
         T.StructField("product_id", T.LongType()),
+        T.StructField("product_name", T.StringType()),
         T.StructField("recency", T.IntegerType()),
         T.StructField("frequency", T.IntegerType()),
         T.StructField("monetary", T.DoubleType()),
@@ -62,6 +63,7 @@ def start_scoring_stream(
             artifacts.rules,
             artifacts.products,
             top_n,
+            artifacts.median,
         )
         out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/batch_id={batch_id}")
 

@@ -3,7 +3,7 @@
 import pytest
 
 from cartwise.operators.features import assemble_features, split_flag
-from cartwise.operators.model import feature_importance, score, train_repurchase
+from cartwise.operators.model import feature_importance, interval_median, score, train_repurchase
 from cartwise.sources.artifacts import load_artifacts, save_artifacts
 
 
@@ -56,10 +56,12 @@ def test_train_score_and_artifacts(spark, parts, tmp_path):
     assert unknown.avg_days_since_prior == pytest.approx(6.0)  # user-weighted median at serving time
 
     root = str(tmp_path / "model_dir")
-    save_artifacts(root, tr.model, tr.feature_cols, tr.metrics, interval, dept, pdept)
+    up = feature_importance(tr.model, ascending=True).collect()
+    assert [r.importance for r in up] == sorted(r.importance for r in up)
+    save_artifacts(root, tr.model, tr.feature_cols, tr.metrics, interval, dept, pdept, parameters={"interval_median": interval_median(interval), "maxIter": 3})
     art = load_artifacts(spark, root)
-    assert art.feature_cols == tr.feature_cols and art.interval.count() == 4
-    again = {r.user_id: r.probability for r in score(requests, art.model, art.interval, art.product_dept, art.dept_freq).collect()}
+    assert art.feature_cols == tr.feature_cols and art.interval.count() == 4 and art.median == 6.0 and art.parameters["maxIter"] == 3
+    again = {r.user_id: r.probability for r in score(requests, art.model, art.interval, art.product_dept, art.dept_freq, art.median).collect()}
     assert again == pytest.approx({k: v.probability for k, v in out.items()})
     with pytest.raises(FileNotFoundError):
         load_artifacts(spark, str(tmp_path / "nothing"))

@@ -59,4 +59,4 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_sql_or_is_a_model_query():
     missing = {q for q in set(entry.queries()) - set(entry.oracle_sql()) if q != "pipeline" and not re.match(r"op\d+_", q)}
-    assert missing == {"repurchase_scores", "feature_importance", "score_and_recommend"}
+    assert missing == {"repurchase_scores", "feature_importance", "score_and_recommend", "model_metrics"}

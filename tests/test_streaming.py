@@ -25,10 +25,11 @@ def test_scoring_stream(spark, tmp_path):
     art = load_artifacts(spark, root)
 
     inbox = tmp_path / "requests"
-    spark.createDataFrame([(1, 1, 1, 2, 3, 3.0), (2, 9, 3, None, None, None)], REQUEST_SCHEMA).write.parquet(str(inbox / "part1"))
+    spark.createDataFrame([(1, 1, 1, None, 2, 3, 3.0), (2, 9, 3, None, None, None, None), (3, 2, None, "APP", None, None, None)], REQUEST_SCHEMA).write.parquet(str(inbox / "part1"))
     q = start_scoring_stream(spark, str(inbox / "*"), art, str(tmp_path / "out"), str(tmp_path / "ckpt"), available_now=True)
     q.awaitTermination(120)
     got = {r.request_id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert set(got) == {1, 2}
+    assert set(got) == {1, 2, 3}
+    assert got[3].product_id == 1 and got[3].recommendations == ["pear", "milk"] and got[3].probability_text.endswith("%")
     assert got[1].recommendations == ["pear", "milk"] and got[2].recommendations == []
     assert all(0.0 <= r.probability <= 1.0 for r in got.values())
