@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from heapq import heappop, heappush
 
 import numpy as np
@@ -154,7 +155,7 @@ class BytePairs:
         rest = [k for k, i in enumerate(ids) if i is None]
         for k, made in zip(rest, self.merge([raw[k] for k in rest])):
             ids[k] = made
-        return [i.to_bytes(4, "little") if isinstance(i, int) else np.array(i, dtype="<u4").tobytes() for i in ids]
+        return [i.to_bytes(4, "little") if isinstance(i, int) else array("I", i).tobytes() for i in ids]
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""

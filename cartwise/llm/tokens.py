@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -153,7 +154,7 @@ def library_encoder(path: str, spaces: str = "keep") -> TextEncoder:
 
         def encode(pieces: list[str]) -> list[bytes]:
             tokenize = model.tokenize
-            return [np.array([x.id for x in tokenize(p)], dtype="<u4").tobytes() for p in pieces]
+            return [array("I", [x.id for x in tokenize(p)]).tobytes() for p in pieces]
 
         def whole(text: str) -> bytes:
             return np.asarray(t.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
