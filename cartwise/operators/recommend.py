@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from cartwise.functions.checks import require_columns
 from cartwise.functions.text import unknown_name
 from cartwise.operators.catalog import id_names
+from cartwise.session import cut_lineage
 
 
 def _basket_items(items: DataFrame) -> DataFrame:
@@ -92,7 +93,8 @@ def recommend_explain(
     ``basket_id, input ARRAY<STRUCT>, input_product_ids ARRAY, matched_rules_count BIGINT,
     recommendations ARRAY<STRUCT>, top_matched_rules ARRAY<STRUCT>`` (first ``top_rules`` in rule order,
     item ids replaced by names; an unknown id keeps its text)."""
-    matches = _matches(_basket_items(resolved), rules, True)
+    # ids only; the count, the products and the first rules all read it
+    matches = cut_lineage(_matches(_basket_items(resolved), rules, True))
     counts = matches.groupBy("basket_id").agg(F.count(F.lit(1)).alias("matched_rules_count"))
     recs = _with_scores(_ranked(matches, rules, top_n), rules, products)
     recs = recs.groupBy("basket_id").agg(F.array_sort(F.collect_list(F.struct("rank", "product_id", "product_name", "lift", "confidence"))).alias("r"))

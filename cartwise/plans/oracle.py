@@ -108,6 +108,12 @@ rnames AS (SELECT rule_id, string_agg(d.department, '|' ORDER BY pos) FILTER (WH
                   string_agg(d.department, '|' ORDER BY pos) FILTER (WHERE side = 'c') AS cons_names
            FROM rexp JOIN depts d ON d.department_id = rexp.item GROUP BY rule_id)"""
 
+BRAND_LINES = """
+brand_lines AS (SELECT l.l_orderkey AS order_id, a.aisle_id AS item
+                FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN aisles_t a ON p.p_brand = a.aisle)"""
+
+BRAND_RULES = PAIR_RULES.replace("name_lines", "brand_lines")
+
 SCORED = """
 s AS (SELECT CAST(event_type = 'purchase' AS INTEGER) AS label, least(value / 500.0, 1.0) AS probability,
              CAST(least(value / 500.0, 1.0) > 0.5 AS DOUBLE) AS prediction
@@ -307,25 +313,69 @@ FROM ranked LEFT JOIN name_idx n USING (product_id) WHERE rank <= {TOP_N}"""
 WITH {DEPTS.strip()},
 {TYPE_LINES.strip()},
 {TYPE_RULES.strip()},
-{TYPE_BASKETS.strip()},
-inp AS (SELECT order_id AS basket_id, count(*) AS n_inputs, {_ids('list_sort(list(DISTINCT item))')} AS input_product_ids
-        FROM type_lines GROUP BY order_id),
+asked AS (SELECT t.order_id AS basket_id, CASE t.order_id % 3 WHEN 0 THEN CAST(d.department_id AS VARCHAR) WHEN 1 THEN d.department
+                 ELSE upper(substr(d.department, 2, 4)) END AS request, t.order_id % 3 = 0 AS by_id
+          FROM type_lines t JOIN depts d ON d.department_id = t.item),
+texts AS (SELECT DISTINCT request FROM asked WHERE NOT by_id),
+found AS (SELECT x.request, coalesce(any_value(e.department_id), arg_min(f.department_id, f.department_id)) AS product_id, any_value(e.department_id) IS NULL AS fuzzy
+          FROM texts x LEFT JOIN depts e ON e.department = x.request
+               LEFT JOIN depts f ON e.department IS NULL AND trim(x.request) <> '' AND contains(lower(f.department), lower(x.request))
+          GROUP BY x.request),
+resolved AS (SELECT a.basket_id, a.request, CASE WHEN a.by_id THEN CAST(a.request AS BIGINT) ELSE f.product_id END AS product_id, NOT a.by_id AND f.fuzzy AS fuzzy
+             FROM (SELECT *, CASE WHEN by_id THEN NULL ELSE request END AS txt FROM asked) a LEFT JOIN found f ON f.request = a.txt),
+res AS (SELECT r.*, d.department AS product_name FROM resolved r JOIN depts d ON d.department_id = r.product_id),
+ob AS (SELECT basket_id, bit_or(CAST(1 AS BIGINT) << CAST(product_id - 1 AS INTEGER)) AS mask FROM res GROUP BY basket_id),
+tm AS (SELECT ob.basket_id, r.* FROM ob JOIN trules r ON (ob.mask & r.amask) = r.amask AND (ob.mask & r.cmask) = 0),
+inp AS (SELECT basket_id, count(*) AS n_inputs, {_ids('list_sort(list(DISTINCT product_id))')} AS input_product_ids,
+               array_to_string(list_sort(list(request || ':' || product_id || ':' || product_name || ':' || CAST(fuzzy AS VARCHAR))), ';') AS inputs
+        FROM res GROUP BY basket_id),
 cnt AS (SELECT basket_id, count(*) AS matched_rules_count FROM tm GROUP BY basket_id),
 best AS (SELECT basket_id, consequent[1] AS product_id, min(rule_id) AS rule_id FROM tm GROUP BY ALL),
-rk AS (SELECT b.basket_id, b.product_id, row_number() OVER (PARTITION BY b.basket_id ORDER BY r.lift DESC, r.rule_id, b.product_id) AS rank
+rk AS (SELECT b.basket_id, b.product_id, r.lift, r.confidence, row_number() OVER (PARTITION BY b.basket_id ORDER BY r.lift DESC, r.rule_id, b.product_id) AS rank
        FROM best b JOIN trules r USING (rule_id)),
-recs AS (SELECT basket_id, string_agg(d.department, '|' ORDER BY rank) AS recommended
+recs AS (SELECT basket_id, string_agg(d.department, '|' ORDER BY rank) AS recommended,
+                string_agg(CAST(round(lift * 1000000) AS BIGINT) || ':' || CAST(round(confidence * 1000000) AS BIGINT), '|' ORDER BY rank) AS scores
          FROM rk JOIN depts d ON d.department_id = rk.product_id WHERE rank <= 5 GROUP BY basket_id),
 {RULE_NAMES.strip()},
 named AS (SELECT rule_id, replace(ante_names, '|', '+') || '>' || replace(cons_names, '|', '+') AS txt FROM rnames),
-firsts AS (SELECT basket_id, string_agg(txt, '|' ORDER BY rule_id) AS top_rules
-           FROM (SELECT tm.basket_id, tm.rule_id, named.txt, row_number() OVER (PARTITION BY tm.basket_id ORDER BY tm.rule_id) AS k
+firsts AS (SELECT basket_id, string_agg(txt, '|' ORDER BY rule_id) AS top_rules,
+                  string_agg(CAST(round(support * 1000000) AS BIGINT) || ':' || CAST(round(confidence * 1000000) AS BIGINT) || ':' || CAST(round(lift * 1000000) AS BIGINT), '|' ORDER BY rule_id) AS scores
+           FROM (SELECT tm.basket_id, tm.rule_id, tm.support, tm.confidence, tm.lift, named.txt, row_number() OVER (PARTITION BY tm.basket_id ORDER BY tm.rule_id) AS k
                  FROM tm JOIN named USING (rule_id)) WHERE k <= 5 GROUP BY basket_id)
-SELECT inp.basket_id, CAST(inp.n_inputs AS BIGINT) AS n_inputs, inp.input_product_ids,
+SELECT inp.basket_id, CAST(inp.n_inputs AS BIGINT) AS n_inputs, inp.inputs, inp.input_product_ids,
        CAST(coalesce(cnt.matched_rules_count, 0) AS BIGINT) AS matched_rules_count,
-       coalesce(recs.recommended, '') AS recommended, coalesce(firsts.top_rules, '') AS top_rules
+       coalesce(recs.recommended, '') AS recommended, coalesce(firsts.top_rules, '') AS top_rules,
+       coalesce(recs.scores, '') AS recommended_scores, coalesce(firsts.scores, '') AS top_rule_scores
 FROM inp LEFT JOIN cnt USING (basket_id) LEFT JOIN recs USING (basket_id) LEFT JOIN firsts USING (basket_id)"""
 
+    q["pair_rules_brand"] = f"""
+WITH {DEPTS.strip()},
+{BRAND_LINES.strip()},
+{BRAND_RULES.strip()}
+SELECT {rules_cols} FROM nrules WHERE rule_id <= 10000"""
+
+    q["recommend_brands"] = f"""
+WITH {DEPTS.strip()},
+{BRAND_LINES.strip()},
+{BRAND_RULES.strip()},
+bi AS (SELECT DISTINCT order_id AS basket_id, item FROM brand_lines),
+m AS (SELECT b.basket_id, r.* FROM bi b JOIN nrules r ON r.antecedent[1] = b.item ANTI JOIN bi c ON c.basket_id = b.basket_id AND c.item = r.consequent[1]),
+best AS (SELECT basket_id, consequent[1] AS product_id, min(rule_id) AS rule_id FROM m GROUP BY ALL),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.basket_id ORDER BY b.rule_id, b.product_id) AS rank FROM best b)
+SELECT basket_id, CAST(rank AS BIGINT) AS rank, k.product_id, a.aisle AS product_name, {_r('r.lift')} AS lift, {_r('r.confidence')} AS confidence
+FROM ranked k JOIN nrules r USING (rule_id) JOIN aisles_t a ON a.aisle_id = k.product_id WHERE rank <= {TOP_N}"""
+
+    q["mba_brand_features"] = f"""
+WITH {ORDERS.strip()},
+{DEPTS.strip()},
+{BRAND_LINES.strip()},
+{BRAND_RULES.strip()},
+ui AS (SELECT DISTINCT o.user_id, nl.item FROM brand_lines nl JOIN o USING (order_id)),
+m AS (SELECT u.user_id, r.* FROM ui u JOIN nrules r ON r.antecedent[1] = u.item),
+b AS (SELECT user_id, consequent[1] AS product_id, min(rule_id) AS rule_id, count(*) AS mba_rules FROM m GROUP BY ALL)
+SELECT b.user_id, b.product_id, {_r('r.lift')} AS mba_lift, {_r('r.confidence')} AS mba_confidence, b.mba_rules
+FROM b JOIN nrules r USING (rule_id)"""
+
     # ------------------------------------------------------------- evaluation
     q["eval_metrics"] = f"""
 WITH {SCORED.strip()},

@@ -221,19 +221,31 @@ def recommend_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("basket_id", F.col("rank").cast("bigint").alias("rank"), "product_id", "product_name", r6("lift").alias("lift"), r6("confidence").alias("confidence"))
 
 
+def _micro(c: Column) -> Column:
+    """A ratio as text in whole millionths (floats print differently from engine to engine)."""
+    return F.round(c * 1_000_000).cast("bigint").cast("string")
+
+
 @query
 def recommend_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The verbose record per order over department rules, flattened for comparison (A4, T5)."""
+    """The verbose record per order over department rules, flattened for comparison (A4, T5).
+
+    Every order line asks for its department by id, by name, or by an upper-cased piece of the name; the texts
+    are parsed and resolved like typed-in ones.
+    """
     t = TestTables(spark, sf_dir)
-    items = _order_items(t, "type")
-    resolved = items.join(t.departments.select(F.col("department_id").cast("bigint").alias("product_id"), F.col("department").alias("product_name")), "product_id").select(
-        "basket_id", F.col("product_id").cast("string").alias("request"), "product_id", "product_name", F.lit(False).alias("fuzzy_match")
-    )
     names = t.departments.select(F.col("department_id").cast("bigint").alias("product_id"), F.col("department").alias("product_name"))
+    lines = _order_items(t, "type").join(names, "product_id")
+    turn = F.col("basket_id") % 3
+    request = F.when(turn == 0, F.col("product_id").cast("string")).when(turn == 1, F.col("product_name")).otherwise(F.upper(F.substring("product_name", 2, 4)))
+    resolved = cut_lineage(catalog.resolve_items(catalog.parse_requests(lines.select("basket_id", request.alias("request"))), names))
     e = recommend.recommend_explain(resolved, _type_rules(t), names, top_n=5, top_rules=5)
     return e.select(
         "basket_id",
         F.size("input").cast("bigint").alias("n_inputs"),
+        F.array_join(F.array_sort(F.transform("input", lambda s: F.concat_ws(":", s["original"], s["product_id"].cast("string"), s["product_name"], s["fuzzy_match"].cast("string")))), ";").alias("inputs"),
+        F.array_join(F.transform("recommendations", lambda s: F.concat_ws(":", _micro(s["lift"]), _micro(s["confidence"]))), "|").alias("recommended_scores"),
+        F.array_join(F.transform("top_matched_rules", lambda s: F.concat_ws(":", _micro(s["support"]), _micro(s["confidence"]), _micro(s["lift"]))), "|").alias("top_rule_scores"),
         ids_text("input_product_ids").alias("input_product_ids"),
         "matched_rules_count",
         F.array_join(F.transform("recommendations", lambda s: s["product_name"]), "|").alias("recommended"),
@@ -241,6 +253,37 @@ def recommend_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# the same three over brands, whose pairs are frequent at every scale
+
+
+def _brand_rules(t: TestTables, max_rules: int | None = MAX_RULES) -> DataFrame:
+    return rules.pair_rules(mining_baskets(t.attribute_lines("brand"), MIN_SUPPORT), MIN_SUPPORT, MIN_CONFIDENCE, max_rules)
+
+
+@query
+def pair_rules_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules from frequent pairs of brands (M3)."""
+    return _rules_out(_brand_rules(TestTables(spark, sf_dir)))
+
+
+@query
+def recommend_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 3 brand recommendations for every order."""
+    t = TestTables(spark, sf_dir)
+    names = t.aisles.select(F.col("aisle_id").cast("bigint").alias("product_id"), F.col("aisle").alias("product_name"))
+    r = recommend.recommend(_order_items(t, "brand"), _brand_rules(t), names, TOP_N)
+    return r.select("basket_id", F.col("rank").cast("bigint").alias("rank"), "product_id", "product_name", r6("lift").alias("lift"), r6("confidence").alias("confidence"))
+
+
+@query
+def mba_brand_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best matching brand rule per (customer, brand) over each customer's purchased brands."""
+    t = TestTables(spark, sf_dir)
+    items = t.attribute_lines("brand").join(t.plain_orders.select("order_id", "user_id"), "order_id").select("user_id", "product_id").distinct()
+    m = features.mba_features(items, _brand_rules(t, max_rules=None))
+    return m.select("user_id", "product_id", r6("mba_lift").alias("mba_lift"), r6("mba_confidence").alias("mba_confidence"), "mba_rules")
+
+
 # ---------------------------------------------------------------- evaluation tables
 
 
@@ -410,7 +453,7 @@ def user_product_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mba_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best matching name rule per (customer, product name) over each customer's purchased names."""
     t = TestTables(spark, sf_dir)
-    items = t.attribute_lines("name").join(t.orders.select("order_id", "user_id"), "order_id").select("user_id", "product_id").distinct()
+    items = t.attribute_lines("name").join(t.plain_orders.select("order_id", "user_id"), "order_id").select("user_id", "product_id").distinct()
     m = features.mba_features(items, _name_rules(t, max_rules=None))
     return m.select("user_id", "product_id", r6("mba_lift").alias("mba_lift"), r6("mba_confidence").alias("mba_confidence"), "mba_rules")
 

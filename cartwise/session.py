@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 _written: list[str] = []
 
+#: Called with every DataFrame that is about to be written as an intermediate (plan checks in tests).
+before_write: list[Callable[[DataFrame], None]] = []
+
 
 def intermediate_path(spark: SparkSession) -> str:
     """A fresh path under the shared checkpoint folder, removed by ``release_intermediates``."""
@@ -68,6 +71,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     real size statistics for AQE's join planning.
     """
     spark = df.sparkSession
+    for hook in before_write:
+        hook(df)
     path = intermediate_path(spark)
     df.write.mode("overwrite").parquet(path)
     out = spark.read.parquet(path)

@@ -83,3 +83,12 @@ def test_calibration_bins(spark):
     # right-closed bins: 0.1 -> bin 0, 0.2 -> bin 1, 0.3 -> bin 2 (0.3 < the edge 0.30000000000000004); empty bins absent
     assert got == {0: (2, 0.05, 0.5), 1: (1, 0.2, 0.0), 2: (1, 0.3, 1.0), 5: (1, 0.55, 1.0), 9: (2, 0.975, 0.5)}
     assert ev.positive_rate(make(spark, data)).collect()[0].positive_rate == pytest.approx(4 / 7)
+
+
+def test_auc_of_billions_of_rows(spark, monkeypatch):
+    # two scores that hold 4 billion positives and negatives: the product passes BIGINT
+    big = 4_000_000_000
+    groups = spark.createDataFrame([(0.2, big, 3 * big), (0.8, 3 * big, big)], "score double, pos bigint, neg bigint")
+    monkeypatch.setattr(ev, "_score_groups", lambda scored: groups)
+    auc = ev.roc_auc(None).first()["auc"]
+    assert abs(auc - (0.25 * 0.375 + 0.75 * (0.75 + 0.125))) < 1e-12

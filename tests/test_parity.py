@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from scripts.check_parity import digest
+from cartwise import session
 from cartwise.sources.testdata import TABLES
 
 SF = os.environ.get("CARTWISE_PARITY_SF", "/root/testdata/sf0.001")
@@ -26,15 +27,27 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
-    df = entry.queries()[name](spark, SF)
-    # plan shape: no cross products or nested-loop joins, no row-at-a-time Python in the plan
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode="formatted")
-    plan = buf.getvalue()
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
-        assert node not in plan, f"{name} plans {node}"
-    s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    # plan shape, of the result and of everything written before it: no cross products or
+    # nested-loop joins, no row-at-a-time Python
+    plans = []
+
+    def seen(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="formatted")
+        plans.append(buf.getvalue())
+
+    session.before_write.append(seen)
+    try:
+        with session.intermediates(spark):
+            df = entry.queries()[name](spark, SF)
+            seen(df)
+            s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    finally:
+        session.before_write.remove(seen)
+    for plan in plans:
+        for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+            assert node not in plan, f"{name} plans {node}"
     res = con.execute(entry.oracle_sql()[name])
     d_cols, d_rows = [c[0] for c in res.description], res.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
@@ -42,11 +55,21 @@ def test_query_matches_sql(spark, con, name):
     assert digest(s_cols, s_rows)[0] == digest(d_cols, d_rows)[0]
 
 
-def test_scans_are_pruned(spark):
+def test_scans_are_pruned_and_read_once(spark):
     buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        entry.queries()["rfm_windows"](spark, SF).explain(mode="formatted")
-    plan = buf.getvalue()
+
+    def seen(df):
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="formatted")
+
+    session.before_write.append(seen)
+    try:
+        with session.intermediates(spark):
+            entry.queries()["rfm_windows"](spark, SF).explain(mode="formatted")
+            plan = buf.getvalue()
+    finally:
+        session.before_write.remove(seen)
+    assert len(re.findall(r"lineitem.parquet", plan)) == 1
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
 
