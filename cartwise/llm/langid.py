@@ -109,11 +109,11 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE, i
     a language with fewer gives all. Partial bundles are added per language across tasks; only the
     prototypes reach the driver.
     """
-    # the vocabulary of languages is small; their counts decide each one's share
     known = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col)).select(id_col, text_col, lang_col)
     counts = known.groupBy(lang_col).agg(F.count(F.lit(1)).alias("__n"))
     share = counts.select(F.col(lang_col).alias("__lang"), F.least(F.lit(1.0), F.lit(float(sample)) / F.col("__n")).alias("__share"))
-    picked = known.join(share, F.col(lang_col) == F.col("__lang")).where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < F.col("__share") * (1 << 20))
+    # one short row per language; the prototypes, far larger, go to every task as well
+    picked = known.join(F.broadcast(share), F.col(lang_col) == F.col("__lang")).where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < F.col("__share") * (1 << 20))
 
     def run(batches):
         import pandas as pd
