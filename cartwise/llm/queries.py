@@ -101,5 +101,44 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"), pii.train())
 
 
+#: The smallest node reachable from each by links (a, b) given both ways.
+_REACH = """
+reach(node, low) AS (
+  SELECT node, node FROM nodes
+  UNION
+  SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.node WHERE r.low < l.b),
+component AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB twins of the operators that SQL can express."""
+    return {
+        "op1_near_vectors": f"""
+WITH RECURSIVE
+v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+nodes AS (SELECT vec_id AS node FROM embeddings),
+{_REACH.strip()}
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN component c ON c.node = e.vec_id""",
+        "op2_dart_minhash": f"""
+WITH RECURSIVE
+w AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x00-\\x20]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                                     ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE k >= 0.8 * (x.n + y.n - k)),
+nodes AS (SELECT doc_id AS node FROM documents),
+{_REACH.strip()}
+SELECT d.doc_id, c.component_id AS class_id, coalesce(n.n, 0) AS n_shingles, d.doc_id = c.component_id AS kept
+FROM documents d JOIN component c ON c.node = d.doc_id LEFT JOIN n USING (doc_id)""",
+        "op9_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p)
+SELECT * FROM r WHERE rank <= 5""",
+    }
