@@ -15,13 +15,13 @@ DEFAULT_ANCHOR = "2020-01-01 00:00:00"
 def build_transactions(
     orders: DataFrame,
     prior: DataFrame,
-    train: DataFrame,
+    train: DataFrame | None = None,
     anchor: str = DEFAULT_ANCHOR,
     quantity_col: str | None = None,
 ) -> DataFrame:
     """Rebuild absolute dates from relative gaps.
 
-    prior and train order lines are stacked (by name), joined to their order, and each order is
+    prior and train order lines are stacked (by name; without ``train``, ``prior`` holds all lines), joined to their order, and each order is
     dated ``anchor + running sum of days_since_prior_order`` per user in ``order_number`` order (a
     missing gap counts 0, so every user's first order sits on the anchor). ``quantity`` is 1
     unless ``quantity_col`` names a column of the lines.
@@ -30,7 +30,7 @@ def build_transactions(
     """
     require_columns(orders, ["order_id", "user_id", "order_number", "days_since_prior_order"], "orders")
     keep = ["order_id", "product_id"] + ([quantity_col] if quantity_col else [])
-    lines = prior.select(*keep).unionByName(train.select(*keep))
+    lines = prior.select(*keep) if train is None else prior.select(*keep).unionByName(train.select(*keep))
     dated = keyed_running_sum(
         orders.where(F.col("user_id").isNotNull()).select(
             "order_id", "user_id", "order_number", F.coalesce(F.col("days_since_prior_order").cast("double"), F.lit(0.0)).alias("gap")

@@ -274,7 +274,7 @@ SELECT CAST(count(*) AS BIGINT) AS n_rules, {_r('min(support)')} AS min_support_
        {_r('min(lift)')} AS min_lift, {_r('max(lift)')} AS max_lift,
        {float(MIN_SUPPORT)} AS min_support, {float(MIN_CONFIDENCE)} AS min_confidence,
        (SELECT count(*) FROM name_lines) AS total_transactions, (SELECT n FROM nn) AS basket_count,
-       (SELECT count(DISTINCT p_partkey) FROM part) AS n_products
+       (SELECT count(DISTINCT p_partkey) FROM part) AS n_products, CAST(0 AS BIGINT) AS limit_rows
 FROM nrules"""
 
     q["rules_named"] = f"""

@@ -60,9 +60,8 @@ def rfm_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _transactions(t: TestTables) -> DataFrame:
-    # the rebuilt orders feed the prior split, the train split and the dates: write them once
-    t.materialize_orders()
-    return transactions.build_transactions(t.orders, t.prior_lines, t.train_lines)
+    # prior and train lines together are all lines of known orders: one scan and one join
+    return transactions.build_transactions(t.orders, t.order_lines)
 
 
 @query
@@ -185,7 +184,7 @@ def rules_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = TestTables(spark, sf_dir)
     lines = t.attribute_lines("name")
     mined = mining_baskets(lines, MIN_SUPPORT)  # the same basket set as baskets(lines), arrays trimmed
-    s = rules.rules_summary(_name_rules(t, mined), mined, lines, t.products, MIN_SUPPORT, MIN_CONFIDENCE)
+    s = rules.rules_summary(_name_rules(t, mined), mined, lines, t.products, MIN_SUPPORT, MIN_CONFIDENCE, limit_rows=0)
     return s.select(*[r6(c).alias(c) if c.endswith(("_seen", "lift")) else F.col(c) for c in s.columns])
 
 
