@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
-from cartwise.session import cut_lineage
+from cartwise.session import cut_lineage, discard
 
 FOLDS = 5
 
@@ -106,8 +106,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star steps: every round re-hangs neighbours on the smallest
     node seen, so the edge list stays linear and long chains halve. A node's neighbours are only ever
-    reduced with ``min``, which combines before the shuffle; a hub is never gathered. Each round is
-    written to the shared checkpoint folder.
+    reduced with ``min``, which combines before the shuffle; a hub is never gathered. The minima are
+    written and joined from there: both sides of the join then have an exchange of their own, whose
+    partitions AQE can split at a hub (or the minima are broadcast, when their bytes allow it).
     """
     e = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     e = cut_lineage(e)
@@ -115,13 +116,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         # large star: neighbours above a node hang on the smallest of its neighbourhood
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b").distinct()
+        low = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = cut_lineage(both.where("v > u").join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b").distinct())
         # small star: a node and its smaller neighbours hang on the smallest of them
-        m2 = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(m2, "b")
-        nxt = small.select(F.col("m").alias("a"), F.col("a").alias("x")).unionAll(m2.select(F.col("m").alias("a"), F.col("b").alias("x")))
-        e = cut_lineage(nxt.where("a <> x").select("a", F.col("x").alias("b")).distinct())
+        m2 = cut_lineage(large.groupBy("b").agg(F.min("a").alias("m")))
+        nxt = large.join(m2, "b").select(F.col("m").alias("a"), F.col("a").alias("x")).unionAll(m2.select(F.col("m").alias("a"), F.col("b").alias("x")))
+        last, e = e, cut_lineage(nxt.where("a <> x").select("a", F.col("x").alias("b")).distinct())
+        discard(last, low, large, m2)
         now = e.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("bigint"))).first()
         if now == before:
             break
