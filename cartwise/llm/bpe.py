@@ -18,7 +18,7 @@ from heapq import heappop, heappush
 import numpy as np
 from pyspark.sql import DataFrame
 
-from cartwise.llm.common import map_texts
+from cartwise.llm.common import holds_caches, map_texts
 from cartwise.llm.tokens import TextEncoder
 
 LOWER = 256  # ranks per lower bitmap word
@@ -168,6 +168,14 @@ class BytePairs:
 _LOADED: dict[tuple[str, str], BytePairs] = {}
 
 
+def _clear() -> None:
+    for b in _LOADED.values():
+        b.text.clear()
+
+
+holds_caches("bpe", _clear)
+
+
 def load(path: str, pattern: str) -> BytePairs:
     """One encoder per worker process and file."""
     if (path, pattern) not in _LOADED:
@@ -195,4 +203,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
         }
 
     added = "n_tokens bigint, " + ("ids binary, " if keep_ids else "") + "ids_sha256 string, decoded_sha256 string"
-    return map_texts(docs, run, added, text_col, (id_col,))
+    return map_texts(docs, run, added, text_col, (id_col,), caches="bpe")

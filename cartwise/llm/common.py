@@ -35,6 +35,21 @@ def slices(sizes: np.ndarray, most: int = 2_000_000) -> Iterator[tuple[int, int]
         yield lo, len(sizes)
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def holds_caches(name: str, clear: Callable[[], None]) -> None:
+    """Register a module's caches, so that work of another kind in the same worker process can free them."""
+    _HELD[name] = clear
+
+
+def keep_only(name: str | None) -> None:
+    """Free the caches of every other kind of work: Python workers outlive tasks and stages."""
+    for other, clear in _HELD.items():
+        if other != name:
+            clear()
+
+
 def _sizes(texts: pa.Array) -> np.ndarray:
     return pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
 
@@ -45,10 +60,11 @@ def text_slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
         yield batch.column(0).slice(lo, hi - lo).to_pylist(), batch.column(1).slice(lo, hi - lo).to_pylist()
 
 
-def map_texts(df: DataFrame, fn: Callable[[list], dict[str, list]], added: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def map_texts(df: DataFrame, fn: Callable[[list], dict[str, list]], added: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), most: int = 2_000_000, caches: str | None = None) -> DataFrame:
     """The ``keep`` columns as they are plus the columns ``added`` (DDL) that ``fn`` makes of a list of texts.
 
-    ``fn`` gets a bounded slice of texts (None for null). Rows stay where they are: no shuffle.
+    ``fn`` gets a slice of texts (None for null) of at most ``most`` bytes, or one longer text; ``caches``
+    names what it keeps between slices (all other caches of the worker are freed). Rows stay where they are: no shuffle.
     Columns not named are not read, so extra ones cannot clash.
     """
     kept = [StructField(f.name, f.dataType, True) for f in df.select(*[F.col(f"`{k}`") for k in keep]).schema]
@@ -60,8 +76,9 @@ def map_texts(df: DataFrame, fn: Callable[[list], dict[str, list]], added: str,
     sent = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keep)] + [F.col(f"`{text_col}`").cast("string").alias("__text")] * (at == len(kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(caches)
         for b in batches:
-            for lo, hi in slices(_sizes(b.column(at))):
+            for lo, hi in slices(_sizes(b.column(at)), most):
                 part = b.slice(lo, hi - lo)
                 made = fn(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(kept))), *(pa.array(made[k], t) for k, t in types.items())], names)

@@ -196,7 +196,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
         return {"n_shingles": [len(h) for h, _ in sets], "__print": [fingerprint(h) for h, _ in sets], "__bands": [s if len(h) else None for s, (h, _) in zip(sig, sets)]}
 
     source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("__id"), F.col(f"`{text_col}`").alias("__text"))
-    signed = cut_lineage(map_texts(source, sign, "n_shingles bigint, __print string, __bands array<bigint>", "__text", ("__id",)))
+    signed = cut_lineage(map_texts(source, sign, "n_shingles bigint, __print string, __bands array<bigint>", "__text", ("__id",), most=1_000_000))
     # equal sets: one representative each; combined before the shuffle, so copies cost nothing
     usable = signed.where("__print is not null and __id is not null")
     unique = cut_lineage(usable.groupBy("__print").agg(F.min("__id").alias("rep"), F.any_value("__bands").alias("bands")))
@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
         sig = signatures([(h, c if weights == "count" else np.ones(len(h))) for h, c in sets], k)
         return {"print": [fingerprint(h) for h, _ in sets], "hashes": [h.tobytes() for h, _ in sets], "sig": [s.tobytes() for s in sig]}
 
-    whole = map_texts(texts, gather, "print string, hashes binary, sig binary", "__text", ("rep", "p", "g", "nb", "block")).where("p = print")
+    whole = map_texts(texts, gather, "print string, hashes binary, sig binary", "__text", ("rep", "p", "g", "nb", "block"), most=1_000_000).where("p = print")
     dealt = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     dealt = dealt.select("g", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "hashes", "sig")
     spread = dealt.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi", "rep")

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import held_out, map_texts
+from cartwise.llm.common import held_out, keep_only, map_texts
 
 DIMENSIONS = 1024
 SAMPLE = 1500  # documents per language that a prototype bundles, about
@@ -34,9 +34,9 @@ def bundles(texts: list, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
     low = [f" {(t or '').lower()} " for t in texts]
     sizes = np.array([len(t) for t in low], dtype=np.int64)
     code = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    doc = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     present = np.flatnonzero(np.bincount(code))
-    symbol = np.zeros(int(present[-1]) + 1, dtype=np.int64)
+    symbol = np.zeros(int(present[-1]) + 1, dtype=np.int32)
     codes = [0]  # symbol 0: anything but a letter
     for c in present.tolist():
         if chr(c).isalpha():
@@ -50,6 +50,7 @@ def bundles(texts: list, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
     if len(s) < 3:
         return out, has
     k = len(codes)
+    s = s if k**3 < 2**31 else s.astype(np.int64)
     gram = (s[:-2] * k + s[1:-1]) * k + s[2:]
     inside = (doc[:-2] == doc[2:]) & (s[1:-1] > 0)  # a boundary in the middle would join two words
     gram, doc = gram[inside], doc[:-2][inside]
@@ -64,8 +65,8 @@ def bundles(texts: list, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
         found, at = np.unique(gram, return_inverse=True)
     alphabet = np.stack([letter(c, dimensions) for c in codes]).astype(np.float32)
     first, second = np.roll(alphabet, 2, axis=1), np.roll(alphabet, 1, axis=1)
-    step = max(1, 8_000_000 // dimensions)
-    rows = max(1, 4_000_000 // min(step, len(found)))
+    step = max(1, 2_000_000 // dimensions)
+    rows = max(1, 1_000_000 // min(step, len(found)))
     starts = np.searchsorted(doc, np.arange(0, len(texts) + rows, rows))
     for lo in range(0, len(found), step):
         g = found[lo : lo + step]
@@ -76,7 +77,7 @@ def bundles(texts: list, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
                 continue
             cell = at[a:z] - lo
             ok = (cell >= 0) & (cell < len(g)) if len(found) > step else slice(None)
-            counts = np.bincount((doc[a:z][ok] - base) * len(g) + cell[ok], minlength=n * len(g)).reshape(n, len(g))
+            counts = np.bincount((doc[a:z][ok].astype(np.int64) - base) * len(g) + cell[ok], minlength=n * len(g)).reshape(n, len(g))
             out[base : base + n] += counts.astype(np.float32) @ vectors
     return out, has
 
@@ -118,6 +119,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE, i
     def run(batches):
         import pandas as pd
 
+        keep_only(None)
         sums: dict[str, np.ndarray] = {}
         for b in batches:
             for lo in range(0, len(b), 200):
@@ -144,4 +146,4 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     learned); ties go to the first language by name. The score is the cosine, cut to 0 to 1. Repeated rows
     give repeated rows, an empty table an empty one. A text of any length is bundled whole.
     """
-    return map_texts(docs, profiles.predict, "lang_pred string, score double", text_col, (id_col, *keep))
+    return map_texts(docs, profiles.predict, "lang_pred string, score double", text_col, (id_col, *keep), most=1_000_000)

@@ -82,11 +82,11 @@ def cuts(n: int, window: int, max_piece: int) -> list[tuple[int, int, bool]]:
     return [(s, window, True) for s in range(0, whole, window)] + [(s, min(max_piece, n - s), False) for s in range(whole, n, max_piece)]
 
 
-def pieces_of(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, max_piece: int = MAX_PIECE, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
+def pieces_of(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, max_piece: int = MAX_PIECE, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, cache: tuple[int, int] | None = None) -> DataFrame:
     """One row per piece: ``(id, doc_tokens, start, length, full, ids_crc32[, ids])``."""
 
     def run(texts: list) -> dict[str, list]:
-        encode, end = library_encoder(path), end_id.to_bytes(4, "little")
+        encode, end = library_encoder(path, cache=cache), end_id.to_bytes(4, "little")
         docs_out, counts = [], []
         for ids in encode.many(texts):
             ids += end
@@ -100,11 +100,11 @@ def pieces_of(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW,
         return {"doc_tokens": counts, "p": docs_out}
 
     item = "start: bigint, length: bigint, full: boolean, ids_crc32: bigint" + (", ids: binary" if keep_ids else "")
-    rows = map_texts(docs, run, f"doc_tokens bigint, p array<struct<{item}>>", text_col, (id_col,))
+    rows = map_texts(docs, run, f"doc_tokens bigint, p array<struct<{item}>>", text_col, (id_col,), caches="tokens")
     return rows.select(id_col, "doc_tokens", F.inline("p"))
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, max_piece: int = MAX_PIECE, group: int = GROUP, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, max_piece: int = MAX_PIECE, group: int = GROUP, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, cache: tuple[int, int] | None = None) -> DataFrame:
     """All documents packed: one row per piece with ``(id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids])``.
 
     A null or empty text is its end id alone. Repeated rows are packed each; a null id is kept. An
@@ -112,8 +112,9 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, max_
     their id and place, so equal ids spread too and a group holds about ``group`` pieces
     whatever the input; a window never holds pieces of two groups (the one source of padding beside the
     rounding of the count). Full windows get negative sequence ids by partition and row of the written pieces.
+    ``cache`` bounds the encoder's caches in entries (units, pieces); it changes no result.
     """
-    pieces = cut_lineage(pieces_of(docs, path, end_id, window, max_piece, id_col, text_col, keep_ids))
+    pieces = cut_lineage(pieces_of(docs, path, end_id, window, max_piece, id_col, text_col, keep_ids, cache))
     n = pieces.where("not full").count()
     groups = max(1, -(-n // group))
     # equal rows (same id, place and ids) are told apart by the order in which they stand; they are alike

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import text_slices
+from cartwise.llm.common import keep_only, text_slices
 from cartwise.llm.tokens import library_encoder
 from cartwise.session import cut_lineage, intermediate_path
 
@@ -180,6 +180,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int = 2,
     def run(batches):
         from pyspark import TaskContext
 
+        keep_only("tokens")
         part, out, name = TaskContext.get().partitionId(), None, ""
         encode, end = library_encoder(path, spaces), end_id.to_bytes(4, "little")
         for b in batches:

@@ -16,6 +16,8 @@ from collections.abc import Callable
 
 import numpy as np
 
+from cartwise.llm.common import holds_caches
+
 UNITS, PIECES = 400_000, 500_000  # entries of one cache generation; there are two
 _SPLIT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|$)")
@@ -56,9 +58,21 @@ class TextEncoder:
     text that holds one of ``special`` (which may not be split).
     """
 
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[bytes]], special: tuple[str, ...] = (), whole: Callable[[str], bytes] | None = None, spaces: str = "keep"):
+    def __init__(
+        self,
+        split: Callable[[str], list[str]],
+        encode: Callable[[list[str]], list[bytes]],
+        special: tuple[str, ...] = (),
+        whole: Callable[[str], bytes] | None = None,
+        spaces: str = "keep",
+        cache: tuple[int, int] | None = None,
+    ):
         self.split, self.encode, self.special, self.whole, self.spaces = split, encode, special, whole, spaces
-        self.units, self.pieces = Generations(UNITS), Generations(PIECES)
+        self.cache = cache or (UNITS, PIECES)
+        self.clear()
+
+    def clear(self) -> None:
+        self.units, self.pieces = Generations(self.cache[0]), Generations(self.cache[1])
 
     def _fresh(self, units: list[str]) -> list[bytes]:
         split = [self.split(u) for u in units]
@@ -117,15 +131,25 @@ _SIMPLE_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\
 _ENCODERS: dict[tuple, TextEncoder] = {}
 
 
-def library_encoder(path: str, spaces: str = "keep") -> TextEncoder:
-    """The encoder of a ``tokenizers`` file, one per worker process (its caches live as long).
+def _clear() -> None:
+    for e in _ENCODERS.values():
+        e.clear()
+
+
+holds_caches("tokens", _clear)
+
+
+def library_encoder(path: str, spaces: str = "keep", cache: tuple[int, int] | None = None) -> TextEncoder:
+    """The encoder of a ``tokenizers`` file, one per worker process (its caches live on between tasks).
+
+    ``cache``: entries of a generation for units and for pieces, at about 165 bytes each.
 
     Pieces are the library's own: its normaliser and pre-tokenizer split a unit, its model encodes a
     piece. The two common kinds are split here by the same published patterns, which is quicker:
     byte-level files, and, for files that lower case and drop white space (``spaces="drop"``), units
     of plain Latin characters.
     """
-    key = (path, spaces)
+    key = (path, spaces, cache)
     if key not in _ENCODERS:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
@@ -141,12 +165,23 @@ def library_encoder(path: str, spaces: str = "keep") -> TextEncoder:
         gap = regex.compile(BYTE_LEVEL)
 
         def byte_level(unit: str) -> list[str]:
+            if unit.isascii() and unit[:1] == " ":  # most units: a word, or a word and one mark
+                word = unit[1:]
+                if word.isalpha():
+                    return ["\u0120" + word]
+                if word[:-1].isalpha() and word[-1] in ".,;:!?":
+                    return ["\u0120" + word[:-1], word[-1]]
             found = gap.findall(unit)
-            if unit.isascii() and "\n" not in unit:
-                return [p.replace(" ", "\u0120") for p in found] if unit.isprintable() else [p.encode().decode("latin-1").translate(byte_chars) for p in found]
+            if unit.isascii() and unit.isprintable():
+                return [p.replace(" ", "\u0120") for p in found]
             return [p.encode().decode("latin-1").translate(byte_chars) for p in found]
 
         def simple(unit: str) -> list[str]:
+            if unit.isascii():
+                if unit.isalpha():
+                    return [unit.lower()]
+                if unit[:-1].isalpha() and unit[-1] in ".,;:!?":
+                    return [unit[:-1].lower(), unit[-1]]
             if not _SIMPLE.match(unit):
                 return general(unit)
             found = _SIMPLE_PIECES.findall(unit.lower())
@@ -168,7 +203,7 @@ def library_encoder(path: str, spaces: str = "keep") -> TextEncoder:
         else:
             split = general
         special = tuple(x.content for x in t.get_added_tokens_decoder().values())
-        _ENCODERS[key] = TextEncoder(split, encode, special, whole, spaces)
+        _ENCODERS[key] = TextEncoder(split, encode, special, whole, spaces, cache)
     return _ENCODERS[key]
 
 
