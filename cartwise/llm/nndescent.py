@@ -2,11 +2,13 @@
 
 Each vector keeps a short list of its best neighbours. Lists start from sorted random-hyperplane codes
 (neighbours in the order of the codes), and every round joins each vector's neighbours, forward and
-reverse, with one another: a neighbour of a neighbour is likely a neighbour. A list that holds nothing
-but links (cosine at least the threshold) is saturated and is enlarged for the next round. When rounds bring
-no more links, the components of the linked lists are compared inside, exactly, in double precision:
-that gives each vector all of its links, whatever the length of its list. An audit compares a sample with
-all rows by brute force; where it finds a missing link, more codes and rounds follow.
+reverse, with one another: a neighbour of a neighbour is likely a neighbour. Every pair met at or above the
+threshold is kept as a link before any list is cut. A list has room for neighbours of the vector's own component
+and, apart from them, for those of others, so that a dense group does not fill its members' lists; one that holds
+nothing but links is saturated and is enlarged for the next round. Rounds go on until one joins no two components.
+Then the components are compared inside, exactly, in double precision: that gives each vector all of its links,
+whatever the length of its list. An audit compares a sample with all rows by brute force; where it finds a missing
+link, more codes and rounds follow, and a table whose audit stays below the target is an error.
 
 A group of copies is never expanded. Equal vectors are merged first. In a large component the vectors
 within half the threshold's angle of its mean direction are linked to one another by the triangle inequality
@@ -116,30 +118,48 @@ def seed_pairs(vectors: DataFrame, size: int, codes: int, near: int, seed: int,
     return ordered.mapInArrow(pairs, "a bigint, b bigint, sim float")
 
 
-def _lists(pairs: DataFrame, limits: DataFrame | None) -> DataFrame:
-    """The best distinct neighbours of each vector, as many as its limit (``LIST`` where none is given)."""
+def _classes(links: DataFrame) -> DataFrame:
+    """``(node, component)`` of the links, written; vectors without a link are left out."""
+    return cut_lineage(components(links))
+
+
+def _named(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs with the components ``ca`` and ``cb`` of their ends (a vector without a link is its own)."""
+    for c in ("a", "b"):
+        of = classes.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+        pairs = pairs.join(of, c, "left").withColumn(f"c{c}", F.coalesce(f"c{c}", c))
+    return pairs
+
+
+def _lists(pairs: DataFrame, classes: DataFrame, limits: DataFrame | None) -> DataFrame:
+    """The best distinct neighbours of each vector: of its own component as many as its limit (``LIST`` where
+    none is given), and ``LIST`` of other components."""
     best = pairs.groupBy("a", "b").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-    w = Window.partitionBy("a").orderBy(F.col("sim").desc(), "b")
+    best = _named(best, classes).withColumn("own", F.col("ca") == F.col("cb")).drop("ca", "cb")
+    w = Window.partitionBy("a", "own").orderBy(F.col("sim").desc(), "b")
     ranked = best.withColumn("k", F.row_number().over(w))
     if limits is None:
         return ranked.where(F.col("k") <= LIST)
-    return ranked.join(limits, "a", "left").where(F.col("k") <= F.coalesce("most", F.lit(LIST))).drop("most")
+    return ranked.join(limits, "a", "left").where(F.col("k") <= F.when(F.col("own"), F.coalesce("most", F.lit(LIST))).otherwise(LIST)).drop("most")
 
 
 def _limits(lists: DataFrame, threshold: float) -> DataFrame:
-    """Saturated lists hold nothing but links: twice as long from now on, up to ``LONGEST``."""
-    full = lists.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("worst"))
+    """Saturated lists of the own component hold nothing but links: twice as long from now on, up to ``LONGEST``."""
+    full = lists.where("own").groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("worst"))
     return full.where((F.col("n") >= LIST) & (F.col("worst") >= threshold)).select("a", F.least(2 * F.col("n"), F.lit(LONGEST)).cast("int").alias("most"))
 
 
-def descend(vectors: DataFrame, lists: DataFrame) -> DataFrame:
+def descend(vectors: DataFrame, lists: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
     """One round: candidate pairs ``(a, b, sim)`` among the neighbours, forward and reverse, of every vector.
 
     A reverse list is a sample of at most ``LONGEST`` by hash, taken in two steps so that a vector that is
     everyone's neighbour is not gathered; a pair is offered only where it improves on the lists' last entries,
-    the best few per vector and meeting place.
+    the best few per vector and meeting place, apart for the own and for other components. A link between two
+    components that meet is always returned, one per two components and place.
     """
-    last = lists.groupBy("a").agg(F.min("sim").alias("worst"), F.count(F.lit(1)).alias("n")).select("a", F.when(F.col("n") >= LIST, F.col("worst")).otherwise(-1.0).cast("float").alias("worst"))
+    last = lists.groupBy("a").agg(
+        *(F.when(F.count(F.when(c, 1)) >= LIST, F.min(F.when(c, F.col("sim")))).otherwise(-1.0).cast("float").alias(k) for k, c in (("worst_own", F.col("own")), ("worst_other", ~F.col("own"))))
+    )
     forward = lists.select(F.col("a").alias("at"), F.col("b").alias("a"), "fresh")
     back = lists.select(F.col("b").alias("at"), "a", "fresh").withColumn("h", F.xxhash64("at", "a"))
     for salt in (F.pmod(F.xxhash64("a"), F.lit(64)), F.lit(0)):
@@ -147,7 +167,9 @@ def descend(vectors: DataFrame, lists: DataFrame) -> DataFrame:
         back = back.withColumn("salt", salt).withColumn("k", F.row_number().over(w)).where(F.col("k") <= LIST)
     own = lists.select(F.col("a").alias("at"), "a").distinct().withColumn("fresh", F.lit(False))
     meet = forward.unionByName(back.select("at", "a", "fresh")).unionByName(own).groupBy("at", "a").agg(F.max("fresh").alias("fresh"))
-    full = meet.join(vectors.select(F.col("id").alias("a"), "u"), "a").join(last, "a", "left").select("at", "a", "fresh", "u", F.coalesce("worst", F.lit(-1.0).cast("float")).alias("worst"))
+    known = vectors.select(F.col("id").alias("a"), "u").join(last, "a", "left").join(classes.select(F.col("node").alias("a"), "component"), "a", "left")
+    none = F.lit(-1.0).cast("float")
+    full = meet.join(known, "a").select("at", "a", "fresh", "u", F.coalesce("worst_own", none).alias("worst_own"), F.coalesce("worst_other", none).alias("worst_other"), F.coalesce("component", "a").alias("c"))
     placed = full.repartition("at").sortWithinPartitions("at", "a")
 
     def run(batches):
@@ -158,20 +180,29 @@ def descend(vectors: DataFrame, lists: DataFrame) -> DataFrame:
             held.clear()
             ids = t.column(1).to_numpy()
             new = np.asarray(t.column(2).to_pylist(), dtype=bool)
-            if len(ids) < 2 or not new.any():
+            if len(ids) < 2:
                 return None
             x = _matrix(t.column(3), "f8").astype(np.float32)
-            worst = t.column(4).to_numpy()
+            c = np.unique(t.column(6).to_numpy(), return_inverse=True)[1]
+            own = c[:, None] == c[None, :]
             s = x @ x.T
             np.fill_diagonal(s, -2)
-            s[~(new[:, None] | new[None, :])] = -2
-            s[s <= worst[:, None]] = -2
-            k = min(4, len(ids) - 1)
-            top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-            i = np.repeat(np.arange(len(ids)), k)
-            j = top.reshape(-1)
-            ok = s[i, j] > -2
-            return ids[i[ok]], ids[j[ok]], s[i[ok], j[ok]]
+            # links between two components: the first of each two
+            i, j = np.nonzero(~own & (s >= floor))
+            first = np.unique(c[i] * len(c) + c[j], return_index=True)[1]
+            i, j = i[first], j[first]
+            got = [(i, j, s[i, j])]
+            if new.any():
+                s[~(new[:, None] | new[None, :])] = -2
+                for mine, worst in ((own, t.column(4).to_numpy()), (~own, t.column(5).to_numpy())):
+                    r = np.where(mine & (s > worst[:, None]), s, -2)
+                    k = min(4, len(ids) - 1)
+                    top = np.argpartition(-r, k - 1, axis=1)[:, :k]
+                    i, j = np.repeat(np.arange(len(ids)), k), top.reshape(-1)
+                    ok = r[i, j] > -2
+                    got.append((i[ok], j[ok], r[i[ok], j[ok]]))
+            i, j, s = (np.concatenate(g) for g in zip(*got))
+            return ids[i], ids[j], s
 
         out: list = []
 
@@ -203,28 +234,26 @@ def descend(vectors: DataFrame, lists: DataFrame) -> DataFrame:
     return placed.mapInArrow(run, "a bigint, b bigint, sim float")
 
 
-def neighbour_links(vectors: DataFrame, size: int, threshold: float, seed: int, rounds: int, known: DataFrame | None = None) -> DataFrame:
-    """Links ``(a, b)`` of the refined lists (single precision, with a margin), written."""
+def neighbour_links(vectors: DataFrame, size: int, threshold: float, seed: int, rounds: int, known: DataFrame | None = None, codes: int = CODES) -> tuple[DataFrame, bool]:
+    """Links ``(a, b)`` that hold the components of all pairs met at or above the threshold (single precision, with
+    a margin), written; and whether the last round joined no two components. ``known`` links are kept."""
     floor = threshold - 1e-5
-    seeds = seed_pairs(vectors, size, CODES, NEAR, seed, threshold).withColumn("fresh", F.lit(True))
-    if known is not None:
-        seeds = seeds.unionByName(known.select("a", "b", F.lit(1.0).cast("float").alias("sim"), F.lit(True).alias("fresh")))
-    lists, limits, before = cut_lineage(_lists(seeds, None)), None, -1
-    links = [lists.where(F.col("sim") >= floor).select("a", "b")]
-    for _ in range(rounds):
+    seeds = cut_lineage(seed_pairs(vectors, size, codes, NEAR, seed, threshold).groupBy("a", "b").agg(F.max("sim").alias("sim")).withColumn("fresh", F.lit(True)))
+    links = seeds.where(F.col("sim") >= floor).select("a", "b")
+    classes = _classes(links if known is None else links.unionAll(known))
+    lists, settled = cut_lineage(_lists(seeds, classes, None)), False
+    for turn in range(rounds):
         limits = _limits(lists, threshold)
-        found = descend(vectors, lists).withColumn("fresh", F.lit(True))
-        old = lists.select("a", "b", "sim").withColumn("fresh", F.lit(False))
-        lists = cut_lineage(_lists(old.unionByName(found), limits))
-        links.append(lists.where(F.col("sim") >= floor).select("a", "b"))
-        # new pairs that link: rounds end when fewer than one in a thousand is new
-        linked, new = lists.where(F.col("sim") >= floor).agg(F.count(F.lit(1)), F.sum(F.col("fresh").cast("int"))).first()
-        if (new or 0) * 1000 <= linked:
+        found = cut_lineage(descend(vectors, lists, classes, floor).withColumn("fresh", F.lit(True)))
+        joins = cut_lineage(_named(found.where(F.col("sim") >= floor).select("a", "b"), classes).where("ca <> cb").select("ca", "cb").distinct())
+        settled = joins.isEmpty()
+        if settled and turn:
             break
-    out = links[0]
-    for x in links[1:]:
-        out = out.unionAll(x)
-    return cut_lineage(out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        if not settled:
+            classes = _classes(classes.select("node", "component").unionAll(joins))
+        old = lists.select("a", "b", "sim").withColumn("fresh", F.lit(False))
+        lists = cut_lineage(_lists(old.unionByName(found), classes, limits))
+    return classes.select(F.col("node").alias("a"), F.col("component").alias("b")), settled
 
 
 def exact_links(vectors: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
@@ -385,13 +414,15 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, rounds: int = 6, a
         mine = vectors.where(F.col("n") == size).select("id", "copies", "u")
         known = None
         for turn in range(audits):
-            known = neighbour_links(mine, size, threshold, 1000 * turn + 17, rounds, known)
+            known, settled = neighbour_links(mine, size, threshold, 1000 * turn + 17, rounds, known, CODES << turn)
             exact = exact_links(mine, known, threshold)
             counts = exact.where("n is not null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
             recall = audit(mine, counts, size, threshold)
             _log.info("vectors of length %d: audited recall %.4f after %d turns", size, recall, turn + 1)
-            if recall >= target:
+            if recall >= target and settled:
                 break
+        else:
+            raise RuntimeError(f"vectors of length {size}: audited recall {recall:.4f} after {audits} turns (target {target}), rounds {'' if settled else 'not '}settled")
         results.append(exact)
     if results:
         exact = results[0]

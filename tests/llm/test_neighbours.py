@@ -81,6 +81,17 @@ def test_a_large_component_is_counted_without_its_pairs(spark, monkeypatch):
     assert [got[i]["component_id"] for i in range(len(v))] == want
 
 
+def test_dense_groups_keep_the_links_between_them(spark):
+    rng = np.random.default_rng(12)
+    frame = np.linalg.qr(rng.normal(size=(256, 256)))[0].T
+    far = 0.92 / 0.99
+    centres = [frame[0], far * frame[0] + math.sqrt(1 - far * far) * frame[1]]
+    v = [math.sqrt(0.99) * c + 0.1 * frame[2 + 70 * g + i] for g, c in enumerate(centres) for i in range(70)]  # 0.99 inside, 0.92 across
+    df = spark.createDataFrame([(i, w.tolist()) for i, w in enumerate(v)], "vec_id bigint, embedding array<double>")
+    got = nndescent.near_vectors(df).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(139, 0)} and sum(r["kept"] for r in got) == 1
+
+
 def words(r, n):
     return [f"w{r.randint(0, 3000)}" for _ in range(n)]
 
