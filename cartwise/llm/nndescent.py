@@ -18,6 +18,7 @@ within half the threshold's angle of its mean direction are linked to one anothe
 from __future__ import annotations
 
 import logging
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,10 @@ from cartwise.session import cut_lineage
 
 THRESHOLD = 0.9
 LIST, LONGEST = 10, 40  # neighbours of a list, and of one that was enlarged
-CODES, NEAR = 24, 8  # orders by random codes, and how far apart in an order two vectors are compared
+CODES, NEAR = 24, 8  # orders by random codes (at least), and how far apart in an order two vectors are compared
+MISS = 1e-4  # probability that a pair at the threshold meets in none of the first turn's orders
 BLOCK = 512  # vectors per block of a component
-AUDIT = 256  # vectors that the audit compares with all rows
+AUDIT = 256  # vectors with links that the audit compares with all rows
 _log = logging.getLogger(__name__)
 
 
@@ -71,6 +73,14 @@ def unit_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return merged.select("id", "copies", "v").mapInArrow(run, "id bigint, copies bigint, n int, u binary")
 
 
+def orders(n: int, threshold: float) -> int:
+    """How many orders of ``n`` vectors: a pair at the threshold agrees in a bit with probability 1 - angle / pi and
+    meets in an order when it agrees in about log2(n / NEAR) leading bits; all orders miss it with probability ``MISS``.
+    """
+    meet = (1 - math.acos(threshold) / math.pi) ** math.log2(max(2 * NEAR, n) / NEAR)
+    return max(CODES, math.ceil(math.log(MISS) / math.log1p(-meet)))
+
+
 def seed_pairs(vectors: DataFrame, size: int, codes: int, near: int, seed: int, threshold: float) -> DataFrame:
     """``(a, b, sim)`` both ways: per vector and order its best neighbour and all that are linked."""
 
@@ -373,28 +383,42 @@ def exact_links(vectors: DataFrame, links: DataFrame, threshold: float) -> DataF
 
 
 def audit(vectors: DataFrame, counts: DataFrame, size: int, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the true links of ``sample`` vectors (a fixed number, by hash of the id) that were found.
+    """Share of the vectors with links of which all links were found, each vector weighing the same.
 
-    The sample is broadcast and compared with every row, in double precision; each task returns a count per
-    sampled vector.
+    Vectors are taken in the order of a hash of the id until ``sample`` of them have links, or all vectors are taken
+    (then no link at all gives 1). Each part of the sample is compared with every row, in double precision; each task
+    returns a count per sampled vector.
     """
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "u").collect()
-    if not rows:
-        return 1.0
-    ids = np.array([r["id"] for r in rows])
-    x = np.array([np.frombuffer(r["u"], "f8") for r in rows])
+    keyed = vectors.select("id", "u", F.xxhash64("id").alias("h"))
+    linked = whole = 0
+    step, last = sample, None
+    while linked < sample:
+        rest = keyed if last is None else keyed.where((F.col("h") > last[0]) | ((F.col("h") == last[0]) & (F.col("id") > last[1])))
+        rows = rest.orderBy("h", "id").limit(step).collect()
+        if not rows:
+            break
+        last, step = (rows[-1]["h"], rows[-1]["id"]), min(2 * step, 4096)
+        true = _true_counts(vectors, np.array([r["id"] for r in rows]), np.array([np.frombuffer(r["u"], "f8") for r in rows]), threshold)
+        got = true.where("n > 0").join(counts.select("id", F.col("links").alias("found")), "id", "left")
+        n, full = got.agg(F.count(F.lit(1)), F.count(F.when(F.col("found") >= F.col("n"), 1))).first()
+        linked, whole = linked + n, whole + full
+    return whole / linked if linked else 1.0
+
+
+def _true_counts(vectors: DataFrame, ids: np.ndarray, x: np.ndarray, threshold: float) -> DataFrame:
+    """``(id, n)``: the rows linked to each of the given vectors, by comparison with all."""
 
     def run(batches):
         total = np.zeros(len(ids), dtype=np.int64)
         for b in batches:
-            linked = _matrix(b.column(2), "f8") @ x.T >= threshold
-            linked &= b.column(0).to_numpy()[:, None] != ids[None]
-            total += b.column(1).to_numpy() @ linked
+            u, own, copies = _matrix(b.column(2), "f8"), b.column(0).to_numpy(), b.column(1).to_numpy()
+            for lo in range(0, len(ids), 256):
+                linked = u @ x[lo : lo + 256].T >= threshold
+                linked &= own[:, None] != ids[None, lo : lo + 256]
+                total[lo : lo + 256] += copies @ linked
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["id", "n"])
 
-    true = vectors.select("id", "copies", "u").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
-    got = true.join(counts.select(F.col("id"), F.col("links").alias("found")), "id", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("found", F.lit(0))))).first()
-    return 1.0 if not got[0] else got[1] / got[0]
+    return vectors.select("id", "copies", "u").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def near_vectors(df: DataFrame, threshold: float = THRESHOLD, rounds: int = 6, audits: int = 3, target: float = 0.999, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -412,9 +436,9 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, rounds: int = 6, a
     results = []
     for size in sizes:
         mine = vectors.where(F.col("n") == size).select("id", "copies", "u")
-        known = None
+        known, codes = None, orders(mine.count(), threshold)
         for turn in range(audits):
-            known, settled = neighbour_links(mine, size, threshold, 1000 * turn + 17, rounds, known, CODES << turn)
+            known, settled = neighbour_links(mine, size, threshold, 1000 * turn + 17, rounds, known, codes << turn)
             exact = exact_links(mine, known, threshold)
             counts = exact.where("n is not null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
             recall = audit(mine, counts, size, threshold)

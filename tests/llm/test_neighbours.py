@@ -92,6 +92,37 @@ def test_dense_groups_keep_the_links_between_them(spark):
     assert {(r["n_links"], r["component_id"]) for r in got} == {(139, 0)} and sum(r["kept"] for r in got) == 1
 
 
+def test_audit_sees_missing_pairs(spark):
+    rng = np.random.default_rng(14)
+    single = [near(rng, rng.normal(size=64), 0) for _ in range(1500)]
+    pair = [near(rng, single[0], 0.1)]
+
+    def table(v, copies):
+        df = spark.createDataFrame([(i, w.tolist(), copies[i]) for i, w in enumerate(v)], "id bigint, e array<double>, copies bigint")
+        return nndescent.unit_vectors(df, "id", "e").drop("copies").join(df.select("id", "copies"), "id").select("id", "copies", "u").localCheckpoint()
+
+    none = spark.createDataFrame([], "id bigint, links bigint")
+    # one pair among 1,501 vectors: a sample of 256 may hold neither
+    lone = table(single + pair, [1] * 1501)
+    by_hash = [r["id"] for r in lone.orderBy(nndescent.F.xxhash64("id"), "id").select("id").collect()]
+    assert not {0, 1500} & set(by_hash[:16])
+    assert nndescent.audit(lone, none, 64, 0.9, sample=16) == 0
+    found = spark.createDataFrame([(0, 1), (1500, 1)], "id bigint, links bigint")
+    assert nndescent.audit(lone, found, 64, 0.9, sample=16) == 1
+    # a group with many copies is whole, 60 pairs are missing
+    group = [near(rng, single[0], 0.05) for _ in range(40)]
+    far = single[1:61] + [near(rng, w, 0.1) for w in single[1:61]]
+    copies = [1000] * 40 + [1] * 120
+    found = spark.createDataFrame([(i, 39_000) for i in range(40)], "id bigint, links bigint")
+    assert abs(nndescent.audit(table(group + far, copies), found, 64, 0.9) - 40 / 160) < 1e-9
+
+
+def test_orders_follow_the_rows():
+    assert nndescent.orders(10, 0.9) == nndescent.CODES < nndescent.orders(10_000, 0.9) < nndescent.orders(3_000_000, 0.9)
+    meet = (1 - math.acos(0.9) / math.pi) ** math.log2(3_000_000 / nndescent.NEAR)
+    assert (1 - meet) ** nndescent.orders(3_000_000, 0.9) <= nndescent.MISS
+
+
 def words(r, n):
     return [f"w{r.randint(0, 3000)}" for _ in range(n)]
 
