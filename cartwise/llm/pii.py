@@ -248,18 +248,24 @@ class Field:
         return out, sizes
 
     def decode(self, lines: list[list[str]]) -> list[np.ndarray]:
-        """Best tag sequence of each line: Viterbi over all lines of a batch at once."""
+        """Best tag sequence of each line: Viterbi over all lines of a batch at once, scored in carried blocks of words."""
         if not lines:
             return []
-        e, sizes = self.scores(lines)
-        n, longest, k = e.shape
-        best = self.begin + e[:, 0]
+        sizes = np.array([len(x) for x in lines], dtype=np.int64)
+        n, longest, k = len(lines), int(sizes.max()), len(TAGS)
+        best = np.tile(self.begin, (n, 1))
         back = np.zeros((longest, n, k), dtype=np.int8)
-        for t in range(1, longest):
-            cand = best[:, :, None] + self.move
-            back[t] = cand.argmax(axis=1)
-            nxt = cand.max(axis=1) + e[:, t]
-            best = np.where((t < sizes)[:, None], nxt, best)
+        for start in range(0, longest, STEP):
+            lo = max(0, start - 1)  # a word on either side gives the block's ends their neighbours
+            e = self.scores([x[lo : start + STEP + 1] for x in lines])[0][:, start - lo :]
+            for t in range(start, min(start + STEP, longest)):
+                if not t:
+                    best = best + e[:, 0]
+                    continue
+                cand = best[:, :, None] + self.move
+                back[t] = cand.argmax(axis=1)
+                nxt = cand.max(axis=1) + e[:, t - start]
+                best = np.where((t < sizes)[:, None], nxt, best)
         tag = best.argmax(axis=1)
         out = np.zeros((longest, n), dtype=np.int8)
         for t in range(longest - 1, -1, -1):
@@ -338,7 +344,8 @@ def train(table: list[str] | None = None, epochs: int = 200, rate: float = 0.15,
 _CLUE = re.compile(r"[0-9]|@|\bdot\b|[\[(]at[\])]", re.IGNORECASE)
 _DIGIT_OR_AT = re.compile(r"[0-9@]")
 NEAR = 24  # words around a clue that are decoded with it
-LONGEST = 200  # words decoded together, about
+STEP = 4096  # words of a line that are scored at once
+BATCH = 512 * 256  # words decoded together, about; a longer stretch is alone
 
 
 def _holds(kind: str, s: str) -> bool:
@@ -363,7 +370,9 @@ def _has_clue(text: str) -> bool:
 
 
 def _stretches(text: str) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Word places around every clue: nothing farther away than ``NEAR`` words from a clue can be in a span."""
+    """Word places around every clue: nothing farther away than ``NEAR`` words from a clue can be in a span.
+
+    Clues that are near each other share one stretch, however long it gets."""
     near, out = NEAR, []
     for m in re.finditer(r"[^\n]+", text):
         line = m.group()
@@ -373,12 +382,12 @@ def _stretches(text: str) -> list[tuple[int, list[tuple[int, int]]]]:
         clue = [i for i, (a, z) in enumerate(at) if _CLUE.search(line, a, z)]
         lo = hi = None
         for i in clue:
-            if lo is not None and i - near <= hi and i + near - lo < LONGEST:
+            if lo is not None and i - near <= hi:
                 hi = min(len(at), i + near)
                 continue
             if lo is not None:
                 out.append((m.start(), at[lo:hi]))
-            lo, hi = max(0 if lo is None else hi, i - near), min(len(at), i + near)
+            lo, hi = max(0, i - near), min(len(at), i + near)
         if lo is not None:
             out.append((m.start(), at[lo:hi]))
     return out
@@ -390,8 +399,12 @@ def find(texts: list, field: Field) -> list[tuple[list[Span], list[Span]]]:
     added: list[list[Span]] = [[] for _ in texts]
     jobs = [(d, off, at) for d, t in enumerate(texts) if t and _has_clue(t) for off, at in _stretches(t)]
     jobs.sort(key=lambda j: len(j[2]))
-    for lo in range(0, len(jobs), 512):
-        part = jobs[lo : lo + 512]
+    lo = 0
+    while lo < len(jobs):
+        hi = lo + 1
+        while hi < min(len(jobs), lo + 512) and (hi + 1 - lo) * len(jobs[hi][2]) <= BATCH:
+            hi += 1
+        part, lo = jobs[lo:hi], hi
         tags = field.decode([[texts[d][off + a : off + z] for a, z in at] for d, off, at in part])
         for (d, off, at), tag in zip(part, tags):
             i = 0

@@ -130,6 +130,19 @@ def test_field_adds_loose_forms_and_leaves_clean_lines(field):
     assert right >= 0.95 * len(pii.TABLE)
 
 
+def test_a_long_line_is_decoded_whole(field, monkeypatch):
+    number = "(415) 555-2671"
+    assert [k for k, *_ in pii.find([f"please call {number} today"], field)[0][1]] == ["phone"]
+    for before in range(160, 260, 3):  # every place of the number in a line full of clues
+        text = "row 7 " * (before // 2) + "x " * (before % 2) + f"please call {number} today " + "row 7 " * 120
+        a = text.index(number)
+        assert ("phone", a, a + len(number)) in pii.find([text], field)[0][1], before
+    line = [[text[a:z] for a, z in pii.words(text)], ["call", "555-0142"], ["x"]]
+    whole = [x.tolist() for x in field.decode(line)]
+    monkeypatch.setattr(pii, "STEP", 7)  # several blocks
+    assert [x.tolist() for x in field.decode(line)] == whole
+
+
 def test_viterbi_equals_brute_force(field):
     from itertools import product
 
