@@ -109,7 +109,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, max_
 
     A null or empty text is its end id alone. Repeated rows are packed each; a null id is kept. An
     empty table gives an empty one, other columns are not read. Pieces are dealt to groups by a hash of
-    their id and place, so equal ids spread too and a group holds about ``group`` pieces
+    their id and place, and their row in the written pieces, so equal rows spread too and a group holds about ``group`` pieces
     whatever the input; a window never holds pieces of two groups (the one source of padding beside the
     rounding of the count). Full windows get negative sequence ids by partition and row of the written pieces.
     ``cache`` bounds the encoder's caches in entries (units, pieces); it changes no result.
@@ -117,8 +117,8 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, max_
     pieces = cut_lineage(pieces_of(docs, path, end_id, window, max_piece, id_col, text_col, keep_ids, cache))
     n = pieces.where("not full").count()
     groups = max(1, -(-n // group))
-    # equal rows (same id, place and ids) are told apart by the order in which they stand; they are alike
-    spread = F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("string"), "start", "ids_crc32"), F.lit(groups))
+    # rows equal in id, place and ids are told apart by their place in the written pieces
+    spread = F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("string"), "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups))
     small = pieces.where("not full").withColumn("__g", spread)
     order = ["__g", F.col("length").desc(), F.col(f"`{id_col}`"), "start", "ids_crc32"]
     dealt = small.repartition("__g").sortWithinPartitions(*order).select("__g", "length", F.struct(*[F.col(f"`{c}`") for c in pieces.columns]).alias("__row"))

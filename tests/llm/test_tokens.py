@@ -134,6 +134,15 @@ def test_pack_is_a_partition_of_every_document(spark):
     assert packing.pack(make(spark, []), path).count() == 0
 
 
+def test_equal_rows_spread_over_the_groups(spark):
+    docs = spark.createDataFrame([(None if i % 2 else 7, "the same few words") for i in range(2000)], "doc_id bigint, text string")
+    got = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), group=100, keep_ids=False).collect()
+    sizes = {}
+    for r in got:
+        sizes[r["sequence_id"] >> 32] = sizes.get(r["sequence_id"] >> 32, 0) + 1
+    assert len(got) == 2000 and len(sizes) >= 15 and max(sizes.values()) <= 200
+
+
 def test_token_files_round_trip(spark, tmp_path):
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
