@@ -83,8 +83,10 @@ def eliminate(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray
 
 
 def choose_pivots(vectors: DataFrame, n: int = PIVOTS) -> DataFrame:
-    """The ``n`` vectors of the smallest hash of their id: a fixed number of rows, any of which keeps the result exact."""
-    return vectors.orderBy(F.xxhash64("id"), "id").limit(n)
+    """The ``n`` vectors of the smallest hash of their id among those whose distances float64 holds exactly (as in
+    ``_exact``): any number of them, none too, keeps the result exact."""
+    most = F.floor(F.sqrt(F.lit(2.0**52 - 1) / F.greatest(F.size("v"), F.lit(1))))
+    return vectors.where(F.forall("v", lambda x: x.between(-most, most))).orderBy(F.xxhash64("id"), "id").limit(n)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:

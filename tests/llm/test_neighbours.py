@@ -220,6 +220,24 @@ def test_top_k_equals_brute_force(spark):
     assert [r["vec_id"] for r in topk.top_k(vectors, vectors.where("id = 0"), 2).orderBy("rank").collect()] == [50, 7]
 
 
+def test_an_outlier_is_no_pivot(spark):
+    rng = np.random.default_rng(21)
+    q = np.c_[np.zeros(600, dtype=np.int64), rng.integers(495, 505, size=(600, 3))]
+    q[::60] = [300, 510, 510, 510]  # the best of all, if their distance to the outlier is not rounded to 512 off
+    ids = spark.range(600).orderBy(topk.F.xxhash64("id"), "id").limit(1).collect()[0]["id"]  # the first by hash
+    q[ids] = [3 * 10**18, 0, 0, 0]
+    rows = [(i, x.tolist()) for i, x in enumerate(q)]
+    schema = "id bigint, v array<bigint>"
+    others = spark.createDataFrame([r for r in rows if r[0] != ids], schema).coalesce(1)
+    vectors = others.unionAll(spark.createDataFrame([rows[ids]], schema).coalesce(1))  # in a batch of its own
+    assert topk.choose_pivots(vectors, 1).collect()[0]["id"] != ids
+    got = topk.top_k(vectors, others.where("id % 20 = 1"), 5, pivots=1).collect()
+    big = q.astype(object)
+    for i in sorted({r["query_id"] for r in got}):
+        s = sorted((-int(v), j) for j, v in enumerate(big @ big[i]) if j != i)[:5]
+        assert [(-r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == i] == s, i
+
+
 def test_elimination_skips_candidates():
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(20, 24)) * 1000
