@@ -3,10 +3,11 @@
 A rule matches a basket when its antecedent is a subset of the basket and its consequent shares
 no item with it. Plan:
 
-1. basket items meet the exploded antecedents in an equi-join on the item; a rule whose antecedent
-   items are all there has as many hits in the basket as its antecedent is long. The items are
-   partitioned by basket before, so that count needs no further shuffle;
-2. a matched rule goes when one of its consequent items is in the basket (an anti-join);
+1. a basket is reduced to the items that some rule names, one sorted array per basket: at most as long as the
+   rules' vocabulary, however large the basket is; duplicates go before the shuffle. The arrays are written once;
+2. every rule is indexed under the antecedent item that the fewest baskets hold. A basket looks only at the rules
+   under its own items, and the join itself checks the rest of the antecedent and the consequent against the
+   array, so only matches leave it;
 3. rankings are algebraic: the first rule per (basket, product), the first N products and rules by
    rank, a count of rules. No basket's rules are ever gathered.
 
@@ -27,21 +28,35 @@ from cartwise.operators.catalog import id_names
 from cartwise.session import cut_lineage
 
 
-def _basket_items(items: DataFrame) -> DataFrame:
+def _basket_sets(items: DataFrame, rules: DataFrame) -> DataFrame:
+    """``basket_id, items``: the rule items of each basket that holds any, sorted and distinct; written."""
     require_columns(items, ["basket_id", "product_id"], "basket items")
-    return items.select("basket_id", F.col("product_id").alias("item")).where(F.col("item").isNotNull() & F.col("basket_id").isNotNull()).repartition("basket_id").distinct()
+    named = rules.select(F.explode("antecedent").alias("item")).unionByName(rules.select(F.explode("consequent").alias("item"))).distinct()
+    pairs = items.select("basket_id", F.col("product_id").alias("item")).where(F.col("item").isNotNull() & F.col("basket_id").isNotNull())
+    return cut_lineage(pairs.join(named, "item", "left_semi").groupBy("basket_id").agg(F.array_sort(F.collect_set("item")).alias("items")))
+
+
+def _rule_index(sets: DataFrame, rules: DataFrame) -> DataFrame:
+    """``item, rule_id, rest, consequent``: each rule under its rarest antecedent item; at most a row per rule, written.
+
+    A rule with an item that no basket holds can match none and is left out.
+    """
+    held = sets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    wanted = rules.select("rule_id", F.array_distinct("antecedent").alias("antecedent"), "consequent")
+    parts = wanted.select("rule_id", F.explode("antecedent").alias("item")).join(held, "item")
+    rarest = parts.groupBy("rule_id").agg(F.min_by("item", F.struct("n", "item")).alias("item"), F.count(F.lit(1)).alias("k"))
+    index = wanted.join(rarest, "rule_id").where(F.size("antecedent") == F.col("k"))
+    return cut_lineage(index.select("item", "rule_id", F.array_remove("antecedent", F.col("item")).alias("rest"), "consequent"))
 
 
 def _matches(items: DataFrame, rules: DataFrame, exclude_owned: bool) -> DataFrame:
     """``basket_id, rule_id`` of every match."""
-    wanted = rules.select("rule_id", F.size(F.array_distinct("antecedent")).alias("k"), F.explode(F.array_distinct("antecedent")).alias("item"))
-    hits = items.join(wanted, "item").groupBy("basket_id", "rule_id").agg(F.count(F.lit(1)).alias("n"), F.first("k").alias("k"))
-    found = hits.where(F.col("n") == F.col("k")).select("basket_id", "rule_id")
-    if not exclude_owned:
-        return found
-    gives = rules.select("rule_id", F.explode("consequent").alias("item"))
-    owned = found.join(gives, "rule_id").join(items, ["basket_id", "item"], "left_semi").select("basket_id", "rule_id").distinct()
-    return found.join(owned, ["basket_id", "rule_id"], "left_anti")
+    sets = _basket_sets(items, rules)
+    index = _rule_index(sets, rules)
+    probes = sets.select("basket_id", F.col("items").alias("held"), F.explode("items").alias("item"))
+    inside = (F.size("rest") == 0) | (F.size(F.array_except("rest", "held")) == 0)
+    new = ~F.arrays_overlap("consequent", "held") if exclude_owned else F.lit(True)
+    return probes.join(index, (probes["item"] == index["item"]) & inside & new).select("basket_id", "rule_id")
 
 
 def matched_rules(items: DataFrame, rules: DataFrame, exclude_owned: bool = True) -> DataFrame:
@@ -51,7 +66,7 @@ def matched_rules(items: DataFrame, rules: DataFrame, exclude_owned: bool = True
     """
     require_columns(rules, ["rule_id", "antecedent", "consequent", "lift", "confidence"], "rules")
     cols = ["rule_id", "antecedent", "consequent"] + [c for c in ("support", "confidence", "lift") if c in rules.columns]
-    return _matches(_basket_items(items), rules, exclude_owned).join(rules.select(*cols), "rule_id").select("basket_id", *cols)
+    return _matches(items, rules, exclude_owned).join(rules.select(*cols), "rule_id").select("basket_id", *cols)
 
 
 def _ranked(matches: DataFrame, rules: DataFrame, top_n: int) -> DataFrame:
@@ -71,7 +86,7 @@ def _with_scores(ranked: DataFrame, rules: DataFrame, products: DataFrame) -> Da
 def recommend(items: DataFrame, rules: DataFrame, products: DataFrame, top_n: int = 3) -> DataFrame:
     """Top ``top_n`` products per basket: ``basket_id, rank, product_id, product_name, lift, confidence, rule_id``."""
     require_columns(rules, ["rule_id", "antecedent", "consequent", "lift", "confidence"], "rules")
-    return _with_scores(_ranked(_matches(_basket_items(items), rules, True), rules, top_n), rules, products)
+    return _with_scores(_ranked(_matches(items, rules, True), rules, top_n), rules, products)
 
 
 def _rule_labels(rules: DataFrame, products: DataFrame) -> DataFrame:
@@ -94,7 +109,7 @@ def recommend_explain(
     recommendations ARRAY<STRUCT>, top_matched_rules ARRAY<STRUCT>`` (first ``top_rules`` in rule order,
     item ids replaced by names; an unknown id keeps its text)."""
     # ids only; the count, the products and the first rules all read it
-    matches = cut_lineage(_matches(_basket_items(resolved), rules, True))
+    matches = cut_lineage(_matches(resolved, rules, True))
     counts = matches.groupBy("basket_id").agg(F.count(F.lit(1)).alias("matched_rules_count"))
     recs = _with_scores(_ranked(matches, rules, top_n), rules, products)
     recs = recs.groupBy("basket_id").agg(F.array_sort(F.collect_list(F.struct("rank", "product_id", "product_name", "lift", "confidence"))).alias("r"))
