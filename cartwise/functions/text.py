@@ -23,9 +23,10 @@ def blank_to_null(text: Column) -> Column:
 def parse_request_token(token: Column) -> tuple[Column, Column]:
     """Split a typed request into (product_id, product_name): an integer id if it parses, else a name.
 
-    Blank text resolves to nothing (both null).
+    Blank text resolves to nothing (both null). Only text that looks like an integer is cast: a failing
+    cast costs an exception per row.
     """
     trimmed = F.trim(token)
-    as_id = trimmed.try_cast("bigint")
+    as_id = F.when(trimmed.rlike(r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"), trimmed.try_cast("bigint"))
     as_name = F.when(as_id.isNull() & (trimmed != ""), token)
     return as_id, as_name

@@ -9,20 +9,23 @@ Name rules kept from the grocery recommender:
   case-insensitively, is taken, and its id by the rule above (``fuzzy_match = true``);
 - blank text resolves to nothing.
 
-The substring match is an equi-join on character n-grams, never a cross product: names are
-indexed by every 1-, 2- and 3-gram of their lower-cased text; each request probes with its
-rarest gram of length ``min(3, len)``, and every candidate is verified with ``contains``.
+The substring match is a range lookup among the sorted suffixes of the names, never a cross product: a name
+contains a text when one of its suffixes starts with it, and those suffixes stand together. A text finds
+its range by its place in the sort, and the best name of a range is the minimum over at most a few dozen aligned
+blocks of ranks, whose minima are known. A text that most names hold costs what a rare one costs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
 from cartwise.functions.text import parse_request_token
+from cartwise.functions.time import ceil_div, floor_div
+from cartwise.session import cut_lineage
 
-GRAM = 3
+BLOCK = 8  # ranks per aligned block, and blocks per block of the next level
 
 
 def product_catalog(products: DataFrame, departments: DataFrame, aisles: DataFrame) -> DataFrame:
@@ -46,47 +49,73 @@ def name_index(products: DataFrame) -> DataFrame:
     )
 
 
-def _grams(text: Column, n: int) -> Column:
-    """All substrings of length ``n`` (an empty array when the text is shorter)."""
-    count = F.length(text) - F.lit(n) + F.lit(1)
-    starts = F.when(count >= 1, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda s: F.substring(text, s, n))
+def _places(suffixes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Suffixes with their rank (from 0), and texts with the ranks ``lo`` (included) to ``hi`` (not) of those that start with them.
 
-
-def _gram_index(names: DataFrame) -> DataFrame:
-    lname = F.lower(F.col("product_name"))
-    parts = [
-        names.select("product_name", "first_product_id", F.lit(n).alias("g"), F.explode(F.array_distinct(_grams(lname, n))).alias("gram"))
-        for n in range(1, GRAM + 1)
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    Suffixes and both ends of each text's range are sorted together: one range exchange, counts per sorted partition, and a
+    running count inside each. Binary keys sort by byte; no UTF-8 text holds the byte FF, so it ends a range.
+    """
+    key = F.col("text").cast("binary")
+    ends = texts.select(key.alias("key"), F.lit(0).alias("kind"), F.col("text")).unionAll(texts.select(F.concat(key, F.unhex(F.lit("FF"))), F.lit(1), F.col("text")))
+    both = suffixes.select(F.col("suffix").cast("binary").alias("key"), F.lit(2).alias("kind"), F.lit(None).cast("string").alias("text"), "best").unionAll(ends.select("*", F.lit(None).cast(suffixes.schema["best"].dataType)))
+    sorted_ = cut_lineage(both.repartitionByRange("key", "kind").withColumn("part", F.spark_partition_id()))
+    is_suffix = (F.col("kind") == 2).cast("bigint")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = sorted_.groupBy("part").agg(F.sum(is_suffix).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    upto = Window.partitionBy("part").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, -1)  # a sorted partition
+    placed = sorted_.withColumn("at", F.coalesce(F.sum(is_suffix).over(upto), F.lit(0))).join(starts, "part").withColumn("at", F.col("at") + F.col("start"))
+    placed = cut_lineage(placed.select("kind", "text", "best", "at"))
+    ranks = placed.where("kind = 2").select(F.col("at").alias("rank"), "best")
+    ranges = placed.where("kind < 2").groupBy("text").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    return ranks, ranges.where("lo < hi")
+
+
+def _block_minima(ranks: DataFrame, levels: int) -> DataFrame:
+    """``level, block, best``: the least ``best`` of every aligned block of ``BLOCK ** level`` ranks."""
+    level = ranks.select(F.lit(0).alias("level"), F.col("rank").alias("block"), "best")
+    out = level
+    for k in range(1, levels):
+        level = level.groupBy(F.expr(f"block div {BLOCK}").alias("block")).agg(F.min("best").alias("best")).select(F.lit(k).alias("level"), "block", "best")
+        out = out.unionAll(level)
     return out
 
 
+def _cover(lo: Column, hi: Column, levels: int) -> Column:
+    """The aligned blocks that make up the ranks ``lo`` to ``hi``: at most ``2 * (BLOCK - 1)`` per level."""
+
+    def blocks(level: int, a: Column, b: Column) -> Column:
+        some = F.transform(F.sequence(a, b - 1), lambda x: F.struct(F.lit(level).alias("level"), x.alias("block")))
+        return F.when(a < b, some).otherwise(F.array().cast("array<struct<level: int, block: bigint>>"))
+
+    parts = []
+    for k in range(levels):
+        a, b = ceil_div(lo, BLOCK**k), floor_div(hi, BLOCK**k)
+        up_a, up_b = ceil_div(lo, BLOCK ** (k + 1)), floor_div(hi, BLOCK ** (k + 1))
+        if k == levels - 1:
+            parts.append(blocks(k, a, b))
+            continue
+        above = up_a < up_b  # whole blocks of the next level lie inside
+        parts.append(blocks(k, a, F.when(above, F.least(up_a * BLOCK, b)).otherwise(b)))
+        parts.append(F.when(above, blocks(k, F.greatest(up_b * BLOCK, a), b)).otherwise(F.array().cast("array<struct<level: int, block: bigint>>")))
+    return F.concat(*parts)
+
+
 def fuzzy_lookup(queries: DataFrame, names: DataFrame) -> DataFrame:
     """For each distinct query text, the first name (smallest ``first_product_id``) that contains
     it case-insensitively. Input ``queries(query)``, output ``query, product_name``."""
-    q = queries.select("query").where(F.trim(F.col("query")) != "").distinct().withColumn("lq", F.lower("query"))
-    q = q.withColumn("g", F.least(F.length("lq"), F.lit(GRAM)))
-    index = _gram_index(names)
-    # a text that is itself a gram: its best name is known per gram, so a common letter is no hot key
-    whole = index.groupBy("gram").agg(F.min_by("product_name", "first_product_id").alias("product_name"))
-    short = q.where(F.length("lq") <= GRAM).join(whole, F.col("lq") == F.col("gram")).select("query", "product_name")
-    q = q.where(F.length("lq") > GRAM)
-    index = index.where(F.col("g") == GRAM)
-    gram_freq = index.groupBy("g", "gram").agg(F.count(F.lit(1)).alias("n_names"))
-    probes = q.select("query", "lq", "g", F.explode(F.array_distinct(_grams(F.col("lq"), GRAM))).alias("gram"))
-    # a gram absent from every name means no name can contain the query
-    rarest = (
-        probes.join(gram_freq, ["g", "gram"])
-        .groupBy("query", "lq", "g")
-        .agg(F.min_by("gram", F.struct("n_names", "gram")).alias("gram"))
-    )
-    cands = rarest.join(index, ["g", "gram"]).where(F.lower(F.col("product_name")).contains(F.col("lq")))
-    best = cands.groupBy("query").agg(F.min_by("product_name", "first_product_id").alias("product_name"))
-    return best.unionByName(short)
+    q = queries.select("query").where(F.trim(F.col("query")) != "").distinct().withColumn("text", F.lower("query"))
+    lname = F.lower(F.col("product_name"))
+    tails = F.transform(F.sequence(F.lit(1), F.length(lname)), lambda s: F.substring(lname, s, F.length(lname)))
+    named = names.where(F.length("product_name") > 0).select(F.struct(F.col("first_product_id").alias("first"), "product_name").alias("best"), F.explode(tails).alias("suffix"))
+    suffixes = named.groupBy("suffix").agg(F.min("best").alias("best"))
+    ranks, ranges = _places(suffixes, q.select("text").distinct())
+    n = ranks.count()
+    levels = 1
+    while BLOCK**levels < n:
+        levels += 1
+    asked = ranges.select("text", F.inline(_cover(F.col("lo"), F.col("hi"), levels)))
+    best = asked.join(_block_minima(ranks, levels), ["level", "block"]).groupBy("text").agg(F.min("best").alias("best"))
+    return q.join(best, "text").select("query", F.col("best.product_name").alias("product_name"))
 
 
 def parse_requests(requests: DataFrame, text_col: str = "request", basket_col: str = "basket_id") -> DataFrame:
@@ -106,29 +135,24 @@ def resolve_items(requests: DataFrame, products: DataFrame) -> DataFrame:
     ``basket_id, request STRING, product_id, product_name, fuzzy_match BOOLEAN``.
     Unknown ids and names drop out.
 
-    One pass: the requests meet the id -> name table and the exact name -> id table by two left
-    joins; only the distinct names that missed go through the n-gram lookup, whose answers are
-    joined back. The request table is read twice (the pass and the distinct misses).
+    The requests are written once (their upstream may be a large join): the distinct texts and ids are resolved by
+    joins with the catalog, those that miss by the range lookup, and the answers are joined back.
     """
     require_columns(requests, ["basket_id", "product_id", "product_name"], "requests")
-    index = name_index(products)
-    req = requests.select("basket_id", F.col("product_id").alias("rid"), F.col("product_name").alias("query"))
-    ids = id_names(products).select(F.col("product_id").alias("rid"), F.col("product_name").alias("id_name"))
-    exact = index.select(F.col("product_name").alias("query"), F.col("product_id").alias("exact_id"))
-    r = req.join(ids, "rid", "left").join(exact, "query", "left")
-
-    by_text = F.col("rid").isNull()
-    misses = req.where(by_text & F.col("query").isNotNull()).select("query").distinct().join(exact, "query", "left_anti")
+    index = cut_lineage(name_index(products))
+    rid = F.col("product_id").cast("bigint")
+    by_id = rid.isNotNull()
+    request = F.when(by_id, rid.cast("string")).otherwise(F.col("product_name"))
+    req = cut_lineage(requests.select("basket_id", by_id.alias("by_id"), request.alias("request")).where(request.isNotNull()))
+    asked = cut_lineage(req.select("by_id", "request").distinct())
+
+    ids = id_names(products).select(F.col("product_id").cast("string").alias("request"), "product_id", "product_name")
+    known = asked.where("by_id").join(ids, "request").select("by_id", "request", "product_id", "product_name", F.lit(False).alias("fuzzy_match"))
+    texts = asked.where("not by_id")
+    exact = index.select(F.col("product_name").alias("request"), "product_id", "product_name")
+    named = texts.join(exact, "request").select("by_id", "request", "product_id", "product_name", F.lit(False).alias("fuzzy_match"))
+    misses = texts.join(exact, "request", "left_anti").select(F.col("request").alias("query"))
     found = fuzzy_lookup(misses, index).join(index.select("product_name", "product_id"), "product_name")
-    r = r.join(found.select("query", F.col("product_name").alias("fuzzy_name"), F.col("product_id").alias("fuzzy_id")), "query", "left")
-
-    by_exact = by_text & F.col("exact_id").isNotNull()
-    resolved = (~by_text & F.col("id_name").isNotNull()) | by_exact | (by_text & F.col("fuzzy_id").isNotNull())
-    return r.where(resolved).select(
-        "basket_id",
-        F.when(~by_text, F.col("rid").cast("string")).otherwise(F.col("query")).alias("request"),
-        F.when(~by_text, F.col("rid")).when(by_exact, F.col("exact_id")).otherwise(F.col("fuzzy_id")).alias("product_id"),
-        F.when(~by_text, F.col("id_name")).when(by_exact, F.col("query")).otherwise(F.col("fuzzy_name")).alias("product_name"),
-        (by_text & ~by_exact).alias("fuzzy_match"),
-    )
-
+    found = found.select(F.lit(False).alias("by_id"), F.col("query").alias("request"), "product_id", "product_name", F.lit(True).alias("fuzzy_match"))
+    answers = cut_lineage(known.unionByName(named).unionByName(found))
+    return req.join(answers, ["by_id", "request"]).select("basket_id", "request", "product_id", "product_name", "fuzzy_match")
