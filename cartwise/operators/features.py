@@ -57,16 +57,16 @@ def assemble_features(
     df = df.join(product_department(products), "product_id", "left")
     freq = dept_freq.select("user_id", "department_id", "department_frequency", "department_frequency_ratio")
     df = df.join(freq, ["user_id", "department_id"], "left")
-    label = [F.col("label").cast("int").alias("label")] if "label" in samples.columns else []
+    return feature_columns(df, keep)
+
+
+def feature_columns(df: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep``, the seven features as doubles (department figures 0 where missing) and the label where there is one (L1)."""
+    label = [F.col("label").cast("int").alias("label")] if "label" in df.columns else []
+    plain = ("recency", "frequency", "monetary", "avg_days_since_prior")
     return df.select(
         *keep,
-        F.col("recency").cast("double").alias("recency"),
-        F.col("frequency").cast("double").alias("frequency"),
-        F.col("monetary").cast("double").alias("monetary"),
-        F.col("avg_days_since_prior").cast("double").alias("avg_days_since_prior"),
-        F.coalesce(F.col("department_id").cast("double"), F.lit(0.0)).alias("department_id"),
-        F.coalesce(F.col("department_frequency").cast("double"), F.lit(0.0)).alias("department_frequency"),
-        F.coalesce(F.col("department_frequency_ratio").cast("double"), F.lit(0.0)).alias("department_frequency_ratio"),
+        *[F.col(c).cast("double").alias(c) if c in plain else F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURE_COLS],
         *label,
     )
 

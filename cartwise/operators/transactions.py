@@ -12,6 +12,21 @@ from cartwise.functions.time import add_days
 DEFAULT_ANCHOR = "2020-01-01 00:00:00"
 
 
+def order_dates(orders: DataFrame, anchor: str = DEFAULT_ANCHOR) -> DataFrame:
+    """``order_id, user_id, days_since_prior_order, transaction_date``: each order on the rebuilt timeline, at
+    ``anchor + running sum of days_since_prior_order`` per user in ``order_number`` order (a missing gap counts 0)."""
+    require_columns(orders, ["order_id", "user_id", "order_number", "days_since_prior_order"], "orders")
+    gap = F.col("days_since_prior_order").cast("double")
+    dated = keyed_running_sum(
+        orders.where(F.col("user_id").isNotNull()).select("order_id", "user_id", "order_number", gap.alias("days_since_prior_order"), F.coalesce(gap, F.lit(0.0)).alias("gap")),
+        keys=["user_id"],
+        position_col="order_number",
+        value="gap",
+        out_col="cumulative_days",
+    )
+    return dated.select("order_id", "user_id", "days_since_prior_order", add_days(F.lit(anchor).cast("timestamp_ntz"), F.col("cumulative_days")).alias("transaction_date"))
+
+
 def build_transactions(
     orders: DataFrame,
     prior: DataFrame,
@@ -28,20 +43,9 @@ def build_transactions(
 
     Output: ``transaction_date TIMESTAMP_NTZ, order_id, user_id, product_id, quantity DOUBLE``.
     """
-    require_columns(orders, ["order_id", "user_id", "order_number", "days_since_prior_order"], "orders")
     keep = ["order_id", "product_id"] + ([quantity_col] if quantity_col else [])
     lines = prior.select(*keep) if train is None else prior.select(*keep).unionByName(train.select(*keep))
-    dated = keyed_running_sum(
-        orders.where(F.col("user_id").isNotNull()).select(
-            "order_id", "user_id", "order_number", F.coalesce(F.col("days_since_prior_order").cast("double"), F.lit(0.0)).alias("gap")
-        ),
-        keys=["user_id"],
-        position_col="order_number",
-        value="gap",
-        out_col="cumulative_days",
-    )
-    anchor_ts = F.lit(anchor).cast("timestamp_ntz")
-    dated = dated.select("order_id", "user_id", add_days(anchor_ts, F.col("cumulative_days")).alias("transaction_date"))
+    dated = order_dates(orders, anchor).select("order_id", "user_id", "transaction_date")
     quantity = F.col(quantity_col).cast("double") if quantity_col else F.lit(1.0)
     return lines.join(dated, "order_id").select(
         "transaction_date", "order_id", "user_id", "product_id", quantity.alias("quantity")

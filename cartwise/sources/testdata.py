@@ -193,6 +193,14 @@ class TestTables:
             .select("transaction_date", "order_id", "user_id", "item", "quantity")
         )
 
+    @cached_property
+    def lined_orders(self) -> DataFrame:
+        """``order_id, transaction_date`` of the orders that have a line of a known part (keys of the fact table only)."""
+        part = self.raw("part").select(F.col("p_partkey").alias("product_id"))
+        lined = self.raw("lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")).join(part, "product_id", "left_semi")
+        orders = self.raw("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("transaction_date"))
+        return orders.join(lined, "order_id", "left_semi")
+
     @cached_property
     def scored_events(self) -> DataFrame:
         """``(label, probability, prediction)`` rows standing in for model output."""
