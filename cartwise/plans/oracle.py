@@ -8,6 +8,7 @@ subsets of the six departments as bit masks (types).
 
 from __future__ import annotations
 
+from cartwise.operators.features import FEATURE_COLS
 from cartwise.plans.queries import (
     LABEL_DAYS,
     MIN_CONFIDENCE,
@@ -507,6 +508,29 @@ FROM fm"""
 SELECT substr(md5('{SEED}|' || window_id || '|' || user_id || '|' || product_id), 1, 8) < '{split_cut}' AS is_test, label, count(*) AS n
 FROM fm GROUP BY ALL"""
 
+    q["stratified_split"] = FEATURES + f""",
+per AS (SELECT label, count(*) AS c FROM fm GROUP BY label),
+tot AS (SELECT CAST(sum(c) AS BIGINT) AS n, (CAST(sum(c) AS BIGINT) * 2 + 9) // 10 AS draws FROM per),
+base AS (SELECT label, draws * c // n AS k, row_number() OVER (ORDER BY draws * c % n DESC, label) AS place, draws - CAST(sum(draws * c // n) OVER () AS BIGINT) AS rest FROM per, tot),
+ranked AS (SELECT window_id, user_id, product_id, label, row_number() OVER (PARTITION BY label ORDER BY substr(md5('{SEED}|' || window_id || '|' || user_id || '|' || product_id), 1, 15)) AS i FROM fm)
+SELECT window_id, user_id, product_id, label FROM ranked JOIN base USING (label) WHERE i <= k + CASE WHEN place <= rest THEN 1 ELSE 0 END"""
+
+    q["as_of_features"] = FEATURES + f""",
+pd AS (SELECT DISTINCT product_id, department_id FROM products),
+gaps AS (SELECT o.user_id, d.transaction_date AS ts, o.days_since_prior_order AS gap FROM o JOIN odates d USING (order_id) WHERE o.days_since_prior_order IS NOT NULL),
+lines AS (SELECT tx.user_id, pd.department_id, tx.transaction_date AS ts FROM tx JOIN pd USING (product_id) WHERE pd.department_id IS NOT NULL),
+asked AS (SELECT DISTINCT window_id, cut, user_id FROM samples),
+iv AS (SELECT a.window_id, a.user_id, avg(g.gap) AS interval FROM asked a JOIN gaps g ON g.user_id = a.user_id AND g.ts <= a.cut GROUP BY ALL),
+dn AS (SELECT a.window_id, a.user_id, l.department_id, count(*) AS n FROM asked a JOIN lines l ON l.user_id = a.user_id AND l.ts <= a.cut GROUP BY ALL),
+dt AS (SELECT window_id, user_id, sum(n) AS total FROM dn GROUP BY ALL),
+j AS (SELECT s.*, pd.department_id, iv.interval, dn.n, dt.total FROM samples s LEFT JOIN pd USING (product_id) LEFT JOIN iv USING (window_id, user_id)
+      LEFT JOIN dn ON dn.window_id = s.window_id AND dn.user_id = s.user_id AND dn.department_id = pd.department_id LEFT JOIN dt ON dt.window_id = s.window_id AND dt.user_id = s.user_id),
+jm AS (SELECT median(interval) AS m FROM j)
+SELECT j.window_id, j.user_id, j.product_id, CAST(datesub('day', j.last_ts, j.cut) AS DOUBLE) AS recency, CAST(j.frequency AS DOUBLE) AS frequency, CAST(j.monetary AS DOUBLE) AS monetary,
+       {_r('coalesce(j.interval, jm.m)')} AS avg_days_since_prior, CAST(coalesce(j.department_id, 0) AS DOUBLE) AS department_id, CAST(coalesce(j.n, 0) AS DOUBLE) AS department_frequency,
+       {_r('CAST(coalesce(j.n / j.total, 0) AS DOUBLE)')} AS department_frequency_ratio, CAST(j.label AS INTEGER) AS label
+FROM j CROSS JOIN jm"""
+
     q["repurchase_split"] = FEATURES + f"""
 SELECT window_id, user_id, product_id, label FROM fm
 WHERE substr(md5('{SEED}|' || window_id || '|' || user_id || '|' || product_id), 1, 8) < '{split_cut}'"""
@@ -534,11 +558,38 @@ SELECT r.user_id, r.product_id, CAST(r.recency AS DOUBLE) AS recency, CAST(r.fre
 FROM req r CROSS JOIN med LEFT JOIN interval i ON i.user_id = r.user_id LEFT JOIN pdept d ON d.product_id = r.product_id
      LEFT JOIN dfreq f ON f.user_id = r.user_id AND f.department_id = coalesce(d.department_id, 0)"""
 
+    q["stream_scores"] = q["serving_features"]
+
     q["artifact_tables"] = f"""
-WITH {SERVING.strip()}
-SELECT f.user_id, f.department_id, f.department_frequency, {_r('i.avg_days_since_prior')} AS avg_days_since_prior,
-       CAST(7 AS BIGINT) AS n_features, {float(MIN_SUPPORT)} AS min_support
-FROM dfreq f LEFT JOIN interval i USING (user_id)"""
+WITH {SERVING.strip()},
+{BRAND_LINES.strip()},
+{BRAND_RULES.strip()},
+{SCORED.strip()},
+cells AS (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(actual, predicted)),
+micro AS (SELECT antecedent[1] || '>' || consequent[1] AS key, CAST(round(support * 1000000) AS BIGINT) || '/' || CAST(round(confidence * 1000000) AS BIGINT) || '/' || CAST(round(lift * 1000000) AS BIGINT) AS value
+          FROM nrules WHERE rule_id <= 10000)
+SELECT 'interval' AS part, CAST(user_id AS VARCHAR) AS key, CAST(CAST(round(avg_days_since_prior * 1000000) AS BIGINT) AS VARCHAR) AS value FROM interval
+UNION ALL SELECT 'department_frequency', f.user_id || '/' || f.department_id, d.department || '/' || f.department_frequency || '/' || CAST(round(f.department_frequency_ratio * 1000000) AS BIGINT)
+          FROM dfreq f JOIN depts d USING (department_id)
+UNION ALL SELECT 'product_department', CAST(product_id AS VARCHAR), CAST(department_id AS VARCHAR) FROM (SELECT DISTINCT product_id, department_id FROM products)
+UNION ALL SELECT 'rules', key, value FROM micro
+UNION ALL SELECT 'products', CAST(product_id AS VARCHAR), product_name || '/' || coalesce(CAST(department_id AS VARCHAR), '-') FROM products
+UNION ALL SELECT 'metrics', cells.actual || '/' || cells.predicted, CAST(count(s.label) AS VARCHAR)
+          FROM cells LEFT JOIN s ON CAST(s.label = 1 AS INTEGER) = cells.actual AND CAST(s.prediction >= 0.5 AS INTEGER) = cells.predicted GROUP BY ALL
+UNION ALL SELECT 'feature_cols', CAST(i AS VARCHAR), name FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(FEATURE_COLS))}) v(i, name)
+UNION ALL SELECT 'parameters', name, CAST(CAST(round(number * 1000000) AS BIGINT) AS VARCHAR)
+          FROM (VALUES ('min_support', {float(MIN_SUPPORT)}), ('min_confidence', {float(MIN_CONFIDENCE)}), ('limit_rows', 0.0)) v(name, number)"""
+
+    q["csv_rejects"] = """
+WITH t AS (SELECT strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS d, l.l_orderkey AS o, o.o_custkey AS u, regexp_extract(p.p_brand, '([0-9]+)', 1) AS p, CAST(l.l_quantity AS BIGINT) AS q,
+                  l.l_quantity AS quantity, l.l_orderkey % 11 AS kind
+           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey),
+r AS (SELECT *, CASE kind WHEN 0 THEN d || ',' || o || ',' || u || ',' || p || ',x' || q WHEN 1 THEN '1998-13-45,' || o || ',' || u || ',' || p || ',' || q
+                          WHEN 2 THEN d || ',' || o || ',' || u || ',' || p WHEN 3 THEN d || ',' || o || ',' || u || ',' || p || ',' || q || ',7'
+                          WHEN 4 THEN d || ',,' || u || ',' || p || ',' || q || '.0' END AS record FROM t)
+SELECT CASE WHEN kind > 4 THEN d END AS transaction_date, CASE WHEN kind > 4 THEN o END AS order_id, CASE WHEN kind > 4 THEN u END AS user_id,
+       CASE WHEN kind > 4 THEN CAST(p AS BIGINT) END AS product_id, CASE WHEN kind > 4 THEN quantity END AS quantity,
+       CASE WHEN kind < 4 THEN 'malformed' WHEN kind = 4 THEN 'missing order_id' END AS reason, record FROM r"""
 
     q["csv_orders"] = """
 SELECT strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS transaction_date, l.l_orderkey AS order_id, o.o_custkey AS user_id,

@@ -8,11 +8,12 @@ computed in different orders are rounded to 6 decimals.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.operators import catalog, evaluate, explore, features, model, recommend, rules, transactions, windows
+from cartwise.operators import asof, catalog, evaluate, explore, features, model, recommend, rules, split, transactions, windows
 from cartwise.operators.baskets import baskets, mining_baskets
 from cartwise.session import cut_lineage
 from cartwise.sources.testdata import TestTables
@@ -53,9 +54,9 @@ def ids_text(c: Column | str) -> Column:
 def rfm_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sliding-window RFM on (customer, brand, quantity) at the real order dates (A5)."""
     t = TestTables(spark, sf_dir)
-    # the fact join feeds the bounds and the rows: it runs once, four columns of it are written
-    lines = cut_lineage(t.dated_lines("p_brand").select("transaction_date", "user_id", "item", "quantity"))
-    w = windows.sliding_window_rfm(lines, "transaction_date", "user_id", "item", "quantity", OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS)
+    # the bounds come from the orders that have a line (keys only), so the fact join is neither repeated nor written
+    span = windows.date_span(t.lined_orders, "transaction_date")
+    w = windows.sliding_window_rfm(t.dated_lines("p_brand"), "transaction_date", "user_id", "item", "quantity", OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS, span)
     return w.select("window_id", ts_text("cut_date").alias("cut_date"), "user_id", "item", "recency", "frequency", "monetary", "label")
 
 
@@ -121,11 +122,7 @@ def _requests(t: TestTables) -> DataFrame:
     a prompt would be: an integer is an id, anything else a name."""
     part = t.raw("part").select(F.col("p_partkey").alias("pid"), F.col("p_name").alias("pname"))
     lines = t.order_lines.select(F.col("order_id").alias("basket_id"), F.col("product_id").alias("pid")).join(part, "pid")
-    texts = (
-        lines.select("basket_id", F.col("pid").cast("string").alias("request"))
-        .unionByName(lines.select("basket_id", F.col("pname").alias("request")))
-        .unionByName(lines.select("basket_id", F.upper(F.substring("pname", 3, 5)).alias("request")))
-    )
+    texts = lines.select("basket_id", F.explode(F.array(F.col("pid").cast("string"), F.col("pname"), F.upper(F.substring("pname", 3, 5)))).alias("request"))
     return catalog.parse_requests(texts)
 
 
@@ -433,6 +430,26 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select(*[r6(c).alias(c) if c in ("avg_days_since_prior", "department_frequency_ratio") else F.col(c) for c in f.columns])
 
 
+@query
+def as_of_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature matrix with intervals and department figures as they were known at each cut (A9, J9-J11 without look-ahead)."""
+    t = TestTables(spark, sf_dir).materialize_orders()
+    dated = cut_lineage(transactions.order_dates(t.orders))
+    tx = cut_lineage(transactions.build_transactions(t.orders, t.order_lines))
+    span = windows.date_span(tx, "transaction_date")
+    lengths = (OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS)
+    samples = cut_lineage(windows.sliding_window_rfm(tx, "transaction_date", "user_id", "product_id", "quantity", *lengths, span))
+    f = asof.as_of_features(samples, dated, tx, t.products, span, *lengths)
+    return f.select(*[r6(c).alias(c) if c in ("avg_days_since_prior", "department_frequency_ratio") else F.col(c) for c in f.columns])
+
+
+@query
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and labels of an exact stratified 20 % test part: each label's share is off by less than one row."""
+    f = cut_lineage(_feature_matrix(TestTables(spark, sf_dir)).select("window_id", "user_id", "product_id", "label"))
+    return split.stratified_split(f, "label", ["window_id", "user_id", "product_id"], 0.2, SEED).where("is_test").drop("is_test")
+
+
 @query
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per (test part, label) of the seeded 80/20 hash split."""
@@ -592,19 +609,94 @@ def csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(ts_text("transaction_date").alias("transaction_date"), "order_id", "user_id", "product_id", "quantity")
 
 
+@query
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dated order lines as CSV text with every kind of broken row, scanned into good rows and rejects.
+
+    By the order's id: a quantity that is no number, a date that is none, a field too few, a field too many, no order id.
+    """
+    from cartwise.session import intermediate_path
+    from cartwise.sources import schemas
+    from cartwise.sources.files import ingest_csv
+
+    lines = TestTables(spark, sf_dir).dated_lines("p_brand").withColumn("product_id", F.regexp_extract("item", "([0-9]+)", 1))
+    kind = F.col("order_id") % 11
+    fields = [
+        F.when(kind == 1, F.lit("1998-13-45")).otherwise(ts_text("transaction_date")),
+        F.when(kind == 4, F.lit("")).otherwise(F.col("order_id").cast("string")),
+        F.col("user_id").cast("string"),
+        F.col("product_id"),
+        F.concat(F.when(kind == 0, F.lit("x")).otherwise(F.lit("")), F.col("quantity").cast("bigint").cast("string")),
+    ]
+    text = F.when(kind == 2, F.concat_ws(",", *fields[:-1])).when(kind == 3, F.concat_ws(",", *fields, F.lit("7"))).otherwise(F.concat_ws(",", *fields))
+    path = intermediate_path(spark)
+    lines.select(text.alias("value")).write.text(path)
+    good, bad = ingest_csv(spark, path, schemas.TRANSACTIONS, required=["order_id"], header=False, timestamp_format="yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]")
+    none = F.lit(None).cast("string")
+    good = good.select(ts_text("transaction_date").alias("transaction_date"), "order_id", "user_id", "product_id", "quantity", none.alias("reason"), none.alias("record"))
+    empty = [F.lit(None).cast(good.schema[c].dataType).alias(c) for c in good.columns[:5]]
+    return good.unionByName(bad.select(*empty, "reason", "record"))
+
+
 @query
 def artifact_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lookup tables and parameters after saving and loading: interval, department and parameter per customer."""
+    """Every saved table read back from the newest of two versions, one row per entry.
+
+    The first version holds only rules without any row and other parameters; the second replaces both and adds the rest.
+    """
     from cartwise.session import intermediate_path
     from cartwise.sources.artifacts import load_artifacts, save_artifacts
 
     t = TestTables(spark, sf_dir).materialize_orders()
     interval, pdept, dept = _serving_tables(t)
+    found, metrics = _brand_rules(t), evaluate.confusion_matrix(t.scored_events)
     root = intermediate_path(spark)
-    save_artifacts(root, None, features.FEATURE_COLS, None, interval, dept, pdept, parameters={"min_support": MIN_SUPPORT, "min_confidence": MIN_CONFIDENCE, "limit_rows": 0})
-    art = load_artifacts(spark, root, with_model=False)
-    joined = art.dept_freq.join(art.interval, "user_id", "left")
-    return joined.select(
-        "user_id", F.col("department_id").cast("bigint").alias("department_id"), "department_frequency", r6("avg_days_since_prior").alias("avg_days_since_prior"),
-        F.lit(len(art.feature_cols)).cast("bigint").alias("n_features"), F.lit(float(art.parameters["min_support"])).alias("min_support"),
+    save_artifacts(root, rules=found.limit(0), parameters={"min_support": 1.0})
+    save_artifacts(
+        root, None, features.FEATURE_COLS, metrics, interval, dept, pdept, found, t.products,
+        parameters={"min_support": MIN_SUPPORT, "min_confidence": MIN_CONFIDENCE, "limit_rows": 0},
     )
+    art = load_artifacts(spark, root, with_model=False)
+
+    def entries(df: DataFrame, part: str, key: Column, value: Column) -> DataFrame:
+        return df.select(F.lit(part).alias("part"), key.cast("string").alias("key"), value.cast("string").alias("value"))
+
+    rule_key = F.concat_ws(">", ids_text("antecedent"), ids_text("consequent"))
+    names = spark.createDataFrame([(i, c) for i, c in enumerate(art.feature_cols)], "position int, feature string")
+    numbers = spark.createDataFrame(sorted((k, float(v)) for k, v in art.parameters.items()), "name string, number double")
+    out = [
+        entries(art.interval, "interval", F.col("user_id"), _micro(F.col("avg_days_since_prior"))),
+        entries(art.dept_freq, "department_frequency", F.concat_ws("/", "user_id", "department_id"), F.concat_ws("/", F.col("department"), F.col("department_frequency"), _micro(F.col("department_frequency_ratio")))),
+        entries(art.product_dept, "product_department", F.col("product_id"), F.col("department_id")),
+        entries(art.rules, "rules", rule_key, F.concat_ws("/", _micro(F.col("support")), _micro(F.col("confidence")), _micro(F.col("lift")))),
+        entries(art.products, "products", F.col("product_id"), F.concat_ws("/", F.col("product_name"), F.coalesce(F.col("department_id").cast("string"), F.lit("-")))),
+        entries(art.metrics, "metrics", F.concat_ws("/", "actual", "predicted"), F.col("n")),
+        entries(names, "feature_cols", F.col("position"), F.col("feature")),
+        entries(numbers, "parameters", F.col("name"), _micro(F.col("number"))),
+    ]
+    return reduce(DataFrame.unionByName, out)
+
+
+@query
+def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The serving requests as a stream in several micro-batches, a quarter of them sent twice, answered with features.
+
+    Every micro-batch pins the newest committed artifacts; a repeated request id is dropped by a bounded state.
+    """
+    from cartwise.session import intermediate_path
+    from cartwise.sources.artifacts import save_artifacts
+    from cartwise.streaming import TIMED_REQUEST_SCHEMA, start_scoring_stream
+
+    t = TestTables(spark, sf_dir).materialize_orders()
+    interval, pdept, dept = (cut_lineage(x) for x in _serving_tables(t))
+    root, inbox, out, state = (intermediate_path(spark) for _ in range(4))
+    save_artifacts(root, None, features.FEATURE_COLS, None, interval, dept, pdept, parameters={"interval_median": model.interval_median(interval)})
+
+    asked = _serving_requests(t).withColumns({"request_id": F.monotonically_increasing_id(), "product_name": F.lit(None).cast("string")})
+    asked = asked.withColumn("requested_at", F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("request_id"), F.lit(1800))))
+    first = cut_lineage(asked.select(*TIMED_REQUEST_SCHEMA.fieldNames()))
+    # the files of the inbox: all requests, and a quarter of them once more
+    first.unionAll(first.where(F.col("request_id") % 4 == 0)).repartition(4).write.parquet(inbox)
+    start_scoring_stream(spark, inbox, root, out, state, available_now=True, dedupe_within="1 hour", with_model=False, max_files=2).awaitTermination()
+    back = spark.read.parquet(out)
+    return back.select("user_id", "product_id", *[r6(c).alias(c) if c in ("avg_days_since_prior", "department_frequency_ratio") else F.col(c) for c in features.FEATURE_COLS])

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cartwise.session import intermediate_path
 from cartwise.sources import schemas
 
 
@@ -21,6 +25,42 @@ def read_csv(spark: SparkSession, path: str, schema=None, timestamp_format: str
     return reader.csv(path)
 
 
+def ingest_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    out: str | None = None,
+    required: Sequence[str] = (),
+    header: bool = True,
+    timestamp_format: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Scan CSV once into good rows and rejects (S1-S3): ``(good, rejects)``, which add up to the input.
+
+    ``good`` has the declared columns. A row is rejected when a field does not parse as its type, when it has too few or
+    too many fields (``reason`` ``malformed``), or when a ``required`` column is empty (``missing <column>``, the first one).
+    ``rejects(file, reason, record)`` keeps the record as it stands in the file, or, for a missing value, written again from its fields.
+
+    Both are parts of one Parquet table written to ``out`` (default: an intermediate), so the text is parsed once however
+    often either is read. All columns are parsed whatever is read later, so a row's fate does not depend on the query.
+    """
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record").option("columnPruning", False)
+    again = {}
+    if timestamp_format:
+        reader = reader.option("timestampNTZFormat", timestamp_format).option("timestampFormat", timestamp_format)
+        again = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "timestampFormat": "yyyy-MM-dd HH:mm:ss"}
+    df = reader.schema(T.StructType([*schema.fields, T.StructField("_record", T.StringType())])).csv(path)
+    reason = F.when(F.col("_record").isNotNull(), F.lit("malformed"))
+    for c in required:
+        reason = reason.when(F.col(c).isNull(), F.lit(f"missing {c}"))
+    text = F.coalesce("_record", F.to_csv(F.struct(*schema.fieldNames()), again))
+    tagged = df.select(*schema.fieldNames(), F.col("_metadata.file_path").alias("_file"), reason.alias("_reason"), F.when(reason.isNotNull(), text).alias("_record"))
+    out = out or intermediate_path(spark)
+    tagged.withColumn("_rejected", reason.isNotNull()).write.mode("overwrite").partitionBy("_rejected").parquet(out)
+    table = spark.read.schema(T.StructType([*tagged.schema.fields, T.StructField("_rejected", T.BooleanType())])).parquet(out)
+    good = table.where(~F.col("_rejected")).select(*schema.fieldNames())
+    return good, table.where("_rejected").select(F.col("_file").alias("file"), F.col("_reason").alias("reason"), F.col("_record").alias("record"))
+
+
 def read_grocery_csv(spark: SparkSession, data_path: str, table: str) -> DataFrame:
     """One of the grocery CSV files (``orders``, ``order_products__prior`` ...) by name."""
     return read_csv(spark, os.path.join(data_path, f"{table}.csv"), schemas.CSV_TABLES[table])

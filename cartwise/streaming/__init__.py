@@ -1,5 +1,5 @@
 """Structured Streaming: score repurchase requests as they arrive."""
 
-from cartwise.streaming.scoring import REQUEST_SCHEMA, start_scoring_stream
+from cartwise.streaming.scoring import REQUEST_SCHEMA, TIMED_REQUEST_SCHEMA, start_scoring_stream
 
-__all__ = ["REQUEST_SCHEMA", "start_scoring_stream"]
+__all__ = ["REQUEST_SCHEMA", "TIMED_REQUEST_SCHEMA", "start_scoring_stream"]

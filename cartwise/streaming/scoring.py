@@ -2,12 +2,17 @@
 
 Requests arrive as files in a folder (any Structured Streaming file source; Kafka works the same
 through ``readStream.format("kafka")`` plus a parse step). Each micro-batch is an ordinary
-DataFrame handed to ``score_and_recommend``: stream-static joins with the purchase-interval,
-department and frequency tables, the model's ``transform``, and the rule recommendations. The
-operator is stateless, so no watermark is needed.
+DataFrame: it pins the newest committed version of the artifacts (``sources.artifacts``), so a training run that saves
+meanwhile is picked up whole by a later batch and never in part, and goes through ``score_and_recommend``, or through the
+feature joins alone where the version has no model.
+
+A request sent twice (same ``request_id``) is answered once when ``dedupe_within`` is set: ids are kept as state until the
+watermark of ``requested_at`` has passed them by that delay, so the state is bounded by the requests of
+that time, not by the length of the stream.
 
 Output goes to ``{output}/batch_id=<n>`` with overwrite, so a micro-batch replayed after a failure
-rewrites the same folder: together with the checkpoint location this gives exactly-once files.
+rewrites the same folder: together with the checkpoint location this gives exactly-once files. The version used is in
+each row.
 """
 
 from __future__ import annotations
@@ -17,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cartwise.operators.model import score_and_recommend
-from cartwise.sources.artifacts import Artifacts
+from cartwise.operators.model import assemble_requests, resolve_requests, score_and_recommend
+from cartwise.sources.artifacts import Artifacts, load_artifacts
 
 REQUEST_SCHEMA = T.StructType(
     [
@@ -33,39 +38,51 @@ REQUEST_SCHEMA = T.StructType(
 )
 
 
+TIMED_REQUEST_SCHEMA = T.StructType([*REQUEST_SCHEMA.fields, T.StructField("requested_at", T.TimestampType())])
+
+
+def answer(batch: DataFrame, art: Artifacts, top_n: int = 3) -> DataFrame:
+    """A batch of requests scored and with recommendations, or with its serving features when there is no model."""
+    if art.model is not None:
+        return score_and_recommend(batch, art.model, art.interval, art.product_dept, art.dept_freq, art.rules, art.products, top_n, art.median)
+    resolved = batch if art.products is None else resolve_requests(batch, art.products)
+    return assemble_requests(resolved, art.interval, art.product_dept, art.dept_freq, art.median)
+
+
 def start_scoring_stream(
     spark: SparkSession,
     requests_path: str,
-    artifacts: Artifacts,
+    artifacts: Artifacts | str,
     output_path: str,
     checkpoint_location: str,
     top_n: int = 3,
     fmt: str = "parquet",
     available_now: bool = False,
     processing_time: str | None = None,
+    dedupe_within: str | None = None,
+    with_model: bool = True,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Start the scoring stream; returns the running query.
 
-    ``artifacts`` must hold the model, the lookup tables, the rules and the products (see
-    ``save_artifacts`` / ``load_artifacts``). ``available_now`` processes what is there and stops.
+    ``artifacts`` is a folder (every micro-batch pins its newest version) or loaded artifacts (the same for all); with a model
+    they must hold the lookup tables, the rules and the products. ``with_model=False`` answers with features only.
+    ``dedupe_within`` (say ``"1 hour"``) needs requests with ``requested_at`` and drops repeated request ids; requests later than
+    that behind the newest are dropped too. ``available_now`` processes what is there and stops; ``max_files`` bounds a micro-batch.
     """
-    if artifacts.model is None or artifacts.rules is None or artifacts.products is None:
+    if isinstance(artifacts, Artifacts) and with_model and (artifacts.model is None or artifacts.rules is None or artifacts.products is None):
         raise ValueError("artifacts need a model, rules and products")
-    requests = spark.readStream.schema(REQUEST_SCHEMA).format(fmt).load(requests_path)
+    reader = spark.readStream.schema(TIMED_REQUEST_SCHEMA if dedupe_within else REQUEST_SCHEMA).format(fmt)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    requests = reader.load(requests_path)
+    if dedupe_within:
+        requests = requests.withWatermark("requested_at", dedupe_within).dropDuplicatesWithinWatermark(["request_id"])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        out = score_and_recommend(
-            batch,
-            artifacts.model,
-            artifacts.interval,
-            artifacts.product_dept,
-            artifacts.dept_freq,
-            artifacts.rules,
-            artifacts.products,
-            top_n,
-            artifacts.median,
-        )
-        out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/batch_id={batch_id}")
+        art = artifacts if isinstance(artifacts, Artifacts) else load_artifacts(batch.sparkSession, artifacts, with_model)
+        out = answer(batch, art, top_n).withColumns({"version": F.lit(art.version).cast("int"), "batch_id": F.lit(batch_id)})
+        out.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/batch_id={batch_id}")
 
     writer = requests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
     if available_now:
