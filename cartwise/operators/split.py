@@ -74,7 +74,7 @@ def hash_thresholds(hashed: DataFrame, sizes: dict, counts: dict) -> dict:
 
 
 def stratified_split(df: DataFrame, label_col: str, key_cols: Sequence[str], test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    """``df`` plus ``is_test``: each label's test share is off by less than one row.
+    """``df`` plus ``is_test``: ``ceil(test_fraction * rows)`` test rows, each label's within one row of its proportional part.
 
     Rows of equal keys fall on one side together (with distinct keys nothing else moves the share). A null label is a label
     of its own. At most ``MOST_STRATA`` labels. ``df`` is read once here, for its keys; pass a written table.

@@ -54,8 +54,8 @@ def ids_text(c: Column | str) -> Column:
 def rfm_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sliding-window RFM on (customer, brand, quantity) at the real order dates (A5)."""
     t = TestTables(spark, sf_dir)
-    # the bounds come from the orders that have a line (keys only), so the fact join is neither repeated nor written
-    span = windows.date_span(t.lined_orders, "transaction_date")
+    # the bounds (one row) come from the orders that have a line, keys only: the fact join is neither repeated nor written
+    span = cut_lineage(windows.date_span(t.lined_orders, "transaction_date"))
     w = windows.sliding_window_rfm(t.dated_lines("p_brand"), "transaction_date", "user_id", "item", "quantity", OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS, span)
     return w.select("window_id", ts_text("cut_date").alias("cut_date"), "user_id", "item", "recency", "frequency", "monetary", "label")
 
@@ -415,8 +415,9 @@ def _feature_matrix(t: TestTables) -> DataFrame:
     # and the department counts, the samples feed the median and the joins: each is written once
     t.materialize_orders()
     tx = cut_lineage(_transactions(t))
+    span = cut_lineage(windows.date_span(tx, "transaction_date"))
     samples = cut_lineage(
-        windows.sliding_window_rfm(tx, "transaction_date", "user_id", "product_id", "quantity", OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS)
+        windows.sliding_window_rfm(tx, "transaction_date", "user_id", "product_id", "quantity", OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS, span)
     )
     interval = transactions.purchase_interval(t.orders)
     dept = transactions.department_frequency(tx, t.products, t.departments)
@@ -436,7 +437,7 @@ def as_of_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = TestTables(spark, sf_dir).materialize_orders()
     dated = cut_lineage(transactions.order_dates(t.orders))
     tx = cut_lineage(transactions.build_transactions(t.orders, t.order_lines))
-    span = windows.date_span(tx, "transaction_date")
+    span = cut_lineage(windows.date_span(tx, "transaction_date"))
     lengths = (OBSERVATION_DAYS, LABEL_DAYS, STRIDE_DAYS)
     samples = cut_lineage(windows.sliding_window_rfm(tx, "transaction_date", "user_id", "product_id", "quantity", *lengths, span))
     f = asof.as_of_features(samples, dated, tx, t.products, span, *lengths)

@@ -145,3 +145,33 @@ def test_recommend_explain_record(spark, toy_rules, names):
     assert [x.product_name for x in one.recommendations] == ["p2", "p4"]
     assert [(x.antecedent, x.consequent) for x in one.top_matched_rules] == [(["p1"], ["p2"]), (["p1", "p3"], ["p4"]), (["p1"], ["p4"])]
     assert rec[2].matched_rules_count == 0 and rec[2].recommendations == []
+
+
+def test_matching_equals_subset_tests(spark):
+    import random
+
+    r = random.Random(5)
+    rules = [(i, r.sample(range(12), r.randint(1, 4)), [r.randrange(14)], 1.0, 1.0, 1.0) for i in range(1, 60)]
+    rules += [(60, [3, 3, 1], [2], 1.0, 1.0, 1.0), (61, [99], [1], 1.0, 1.0, 1.0), (62, [], [1], 1.0, 1.0, 1.0), (63, [2], [4, 5], 1.0, 1.0, 1.0)]
+    items = [(b, r.randrange(14)) for b in range(40) for _ in range(r.randint(1, 9))] + [(100, i) for i in range(14)] * 30 + [(None, 1), (7, None)]
+    schema = "rule_id long, antecedent array<long>, consequent array<long>, support double, confidence double, lift double"
+    rdf, idf = spark.createDataFrame(rules, schema), spark.createDataFrame(items, "basket_id long, product_id long")
+    held = {}
+    for b, i in items:
+        if b is not None and i is not None:
+            held.setdefault(b, set()).add(i)
+    for owned in (True, False):
+        want = sorted((b, k) for b, s in held.items() for k, a, c, *_ in rules if a and set(a) <= s and not (owned and set(c) & s))
+        assert sorted((x.basket_id, x.rule_id) for x in matched_rules(idf, rdf, exclude_owned=owned).collect()) == want
+    assert matched_rules(idf.limit(0), rdf).count() == 0 and matched_rules(idf, rdf.limit(0)).count() == 0
+
+
+def test_matching_emits_no_more_rows_than_matches(spark, toy_rules):
+    """Each rule waits under one item only, the one that the fewest baskets hold."""
+    from cartwise.operators.recommend import _basket_sets, _rule_index
+
+    items = items_df(spark, {b: [1, 7] + [3] * (b % 2) + [8] * (b == 4) + [50 + b] for b in range(1, 9)})
+    sets = _basket_sets(items, toy_rules)
+    assert {i for x in sets.collect() for i in x["items"]} == {1, 3, 7, 8}  # only what rules name
+    index = {x.rule_id: (x.item, x.rest) for x in _rule_index(sets, toy_rules).collect()}
+    assert index == {1: (1, []), 2: (3, [1]), 3: (1, []), 5: (1, []), 6: (8, [7])}  # rule 4 needs an item that no basket holds

@@ -42,3 +42,35 @@ def test_limit_lines_is_deterministic(spark):
     assert limit_lines(lines, 0).count() == 15
     got = [tuple(r) for r in limit_lines(lines, 4).collect()]
     assert got == [(0, 0), (0, 1), (0, 2), (1, 0)]
+
+
+def test_rejects_and_good_rows_add_up(spark, tmp_path):
+    from cartwise.sources import schemas
+    from cartwise.sources.files import ingest_csv
+
+    head = "transaction_date,order_id,user_id,product_id,quantity"
+    good = ["2020-01-01,1,10,5,1", "2020-01-02 12:00:00,2,10,6,2.5", "2020-01-03,3,,7,"]
+    bad = ["2020-13-01,4,10,5,1", "2020-01-01,x,10,5,1", "2020-01-01,6,10,5,many", "2020-01-01,7,10", "2020-01-01,8,10,5,1,9", '"2020-01-01,9,10,5,1', "nonsense"]
+    missing = ["2020-01-01,,10,5,1", ",11,10,5,1"]
+    for i, part in enumerate([good[:2] + bad[:3], bad[3:] + good[2:] + missing, []]):
+        (tmp_path / f"p{i}.csv").write_text("\n".join([head, *part]) + "\n")
+    ok, rejects = ingest_csv(spark, str(tmp_path / "*.csv"), schemas.TRANSACTIONS, required=["order_id", "transaction_date"], timestamp_format="yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]")
+    assert ok.schema == schemas.TRANSACTIONS
+    assert sorted((r.order_id, r.user_id, r.quantity) for r in ok.collect()) == [(1, 10, 1.0), (2, 10, 2.5), (3, None, None)]
+    # what is read later does not decide a row's fate
+    assert ok.select("user_id").count() == 3 and ok.where("quantity > 2").count() == 1 and rejects.select("reason").count() == 9
+    got = rejects.collect()
+    assert sorted(r.record for r in got if r.reason == "malformed") == sorted(bad)
+    assert {(r.reason, r.record) for r in got if r.reason != "malformed"} == {("missing order_id", "2020-01-01 00:00:00,,10,5,1.0"), ("missing transaction_date", ",11,10,5,1.0")}
+    assert {r.file.rsplit("/", 1)[1] for r in got} == {"p0.csv", "p1.csv"}
+
+
+def test_rejects_of_a_clean_and_an_empty_file(spark, tmp_path):
+    from cartwise.sources import schemas
+    from cartwise.sources.files import ingest_csv
+
+    (tmp_path / "a.csv").write_text("1,x\n")
+    (tmp_path / "b.csv").write_text("")
+    for name, n in (("a", 1), ("b", 0)):
+        ok, rejects = ingest_csv(spark, str(tmp_path / f"{name}.csv"), schemas.AISLES, out=str(tmp_path / f"out_{name}"), header=False)
+        assert (ok.count(), rejects.count()) == (n, 0)

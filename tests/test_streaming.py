@@ -33,3 +33,39 @@ def test_scoring_stream(spark, tmp_path):
     assert got[3].product_id == 1 and got[3].recommendations == ["pear", "milk"] and got[3].probability_text.endswith("%")
     assert got[1].recommendations == ["pear", "milk"] and got[2].recommendations == []
     assert all(0.0 <= r.probability <= 1.0 for r in got.values())
+
+
+def test_batches_pin_versions_and_repeats_are_dropped(spark, tmp_path):
+    """Features only: each micro-batch takes the newest version whole; a request id is answered once."""
+    from datetime import datetime, timedelta
+
+    from cartwise.streaming import TIMED_REQUEST_SCHEMA
+
+    root, inbox, out, state = (str(tmp_path / x) for x in ("artifacts", "requests", "out", "state"))
+    pdept = spark.createDataFrame([(1, 1)], "product_id long, department_id int")
+    dept = spark.createDataFrame([(1, 1, 3, 0.75)], "user_id long, department_id int, department_frequency long, department_frequency_ratio double")
+
+    def save(v):
+        interval = spark.createDataFrame([(1, float(v))], "user_id long, avg_days_since_prior double")
+        save_artifacts(root, None, None, None, interval, dept, pdept, parameters={"interval_median": 100.0 + v})
+
+    def ask(name, ids, minute):
+        at = datetime(2024, 1, 1, 12) + timedelta(minutes=minute)
+        rows = [(i, i % 2 + 1, 1, None, None, None, None, at) for i in ids]
+        spark.createDataFrame(rows, TIMED_REQUEST_SCHEMA).coalesce(1).write.parquet(f"{inbox}/{name}")
+
+    def go():
+        q = start_scoring_stream(spark, f"{inbox}/*", root, out, state, available_now=True, dedupe_within="1 hour", with_model=False, max_files=1)
+        q.awaitTermination(120)
+
+    save(1)
+    ask("a", [0, 1, 2, 2], 0)
+    go()
+    save(2)
+    ask("b", [1, 2, 3, 4, 5], 10)
+    go()
+    got = {r.request_id: r for r in spark.read.parquet(out).collect()}
+    assert spark.read.parquet(out).count() == len(got) == 6
+    assert {i: got[i].version for i in got} == {0: 1, 1: 1, 2: 1, 3: 2, 4: 2, 5: 2}
+    # user 1 (even ids) is known, user 2 takes the median: both from the version that the batch pinned
+    assert {i: got[i].avg_days_since_prior for i in got} == {0: 1.0, 1: 101.0, 2: 1.0, 3: 102.0, 4: 2.0, 5: 102.0}
