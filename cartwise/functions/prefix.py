@@ -1,4 +1,4 @@
-"""Skew-safe running sums and an exact distributed median.
+"""Skew-safe running sums.
 
 A window with no ``partitionBy`` (or one keyed by a hot user) puts every row in one task.
 These helpers split the work in two levels instead:
@@ -8,8 +8,6 @@ These helpers split the work in two levels instead:
   the exact prefix inside each bucket runs in parallel, and the small offset table is broadcast.
 * ``keyed_running_sum``: a per-key running sum by an integer position is split into chunks
   of ``chunk`` positions; chunk totals (``positions / chunk`` rows per key) carry the offset.
-* ``exact_median``: a value histogram (partial aggregation, skew-safe) plus the global
-  running count locates the one or two middle values.
 """
 
 from __future__ import annotations
@@ -19,11 +17,11 @@ from collections.abc import Sequence
 from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cartwise.session import cut_lineage
 
 
+
 def global_running_totals(
     df: DataFrame,
     order_col: str,
@@ -117,24 +115,17 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order_col: str, out_col
     return out.withColumn(out_col, F.col("_off") + F.col("_rn")).drop("_chunk", "_rn", "_off")
 
 
-def exact_median(df: DataFrame, col: str, out_col: str = "median", buckets: int = 4096) -> DataFrame:
-    """One-row DataFrame with the exact (interpolated) median of the non-null values of ``col``;
-    null for no values. Equals pandas ``Series.median``.
+def sorted_places(df: DataFrame, order_cols: Sequence[str], out_col: str) -> DataFrame:
+    """``out_col``: each row's place (from 1) in the order of the columns, without one task that holds all rows.
+
+    Rows are sorted by range and written once; a partition's places start after the rows of the partitions before it.
+    Rows equal in all order columns stand in any order.
     """
-    # the histogram has one row per distinct value; checkpointing it lets the scalar
-    # subqueries below re-read it instead of recomputing df's lineage
-    present = F.col(col).isNotNull()
-    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
-        present = present & ~F.isnan(col)  # NaN is missing, as in pandas
-    hist = cut_lineage(df.where(present).groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
-    n_total = hist.select(F.sum("_n")).scalar()
-    ranked = global_running_totals(hist, col, ["_n"], buckets=buckets)
-    lo_pos = F.floor((n_total - 1) / 2)
-    hi_pos = F.floor(n_total / 2)
-    start = F.col("cum__n") - F.col("_n")
-    holds = lambda p: (start <= p) & (p < F.col("cum__n"))
-    picked = ranked.where(holds(lo_pos) | holds(hi_pos)).agg(
-        F.max(F.when(holds(lo_pos), F.col(col))).alias("_a"),
-        F.max(F.when(holds(hi_pos), F.col(col))).alias("_b"),
+    cols = list(df.columns)
+    placed = cut_lineage(
+        df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols).select("*", F.monotonically_increasing_id().alias("_at")).withColumn("_part", F.shiftright("_at", 33))
     )
-    return picked.select(((F.col("_a").cast("double") + F.col("_b").cast("double")) / 2).alias(out_col))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.join(starts, "_part").select(*[F.col(f"`{c}`") for c in cols], place.cast("bigint").alias(out_col))

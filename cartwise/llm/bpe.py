@@ -13,7 +13,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
-from heapq import heappop, heappush
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -32,15 +31,8 @@ class RankQueue:
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.fill(rank, [position])
-        else:
-            heappush(bucket, position)
-
     def fill(self, rank: int, positions: list[int]) -> None:
-        """A rank that held nothing gets these positions (ascending)."""
+        """A rank that held nothing gets these positions."""
         self.buckets[rank] = positions
         word = rank // LOWER
         self.low[word] |= 1 << (rank % LOWER)
@@ -112,11 +104,11 @@ class BytePairs:
         pair = first.tolist()  # the rank that the part at a position and its successor have now
         end = list(range(1, n + 1))  # where the part that starts here ends
         before = list(range(-1, n - 1))  # where the part before it starts
-        push = queue.push
+        buckets, fill = queue.buckets, queue.fill
         while (rank := queue.lowest()) >= 0:
-            bucket, lower = queue.buckets[rank], False
-            while bucket and not lower:
-                i = heappop(bucket)
+            bucket, lower = buckets[rank], False
+            bucket.sort()  # from left to right; nothing is added while it is used, since what a merge makes is longer
+            for taken, i in enumerate(bucket, 1):
                 if pair[i] != rank:  # stale
                     continue
                 j = end[i]
@@ -128,7 +120,10 @@ class BytePairs:
                     before[stop] = i
                     r = pair[i] = get(data[i : end[stop]], -1)
                     if r >= 0:
-                        push(r, i)
+                        if r in buckets:
+                            buckets[r].append(i)
+                        else:
+                            fill(r, [i])
                         lower = r < rank
                 if not starts[i]:
                     h = before[i]
@@ -136,9 +131,16 @@ class BytePairs:
                     if r != pair[h]:
                         pair[h] = r
                         if r >= 0:
-                            push(r, h)
+                            if r in buckets:
+                                buckets[r].append(h)
+                            else:
+                                fill(r, [h])
                             lower = lower or r < rank
-            if not bucket:
+                if lower:
+                    break
+            if lower and taken < len(bucket):
+                del bucket[:taken]
+            else:
                 queue.empty(rank)
         out, i = [], 0
         for stop in ends.tolist():

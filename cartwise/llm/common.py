@@ -74,8 +74,11 @@ def map_texts(df: DataFrame, fn: Callable[[list], dict[str, list]], added: str,
 
     ``fn`` gets a slice of texts (None for null) of at most ``most`` bytes, or one longer text; ``caches``
     names what it keeps between slices (all other caches of the worker are freed). Rows stay where they are: no shuffle.
-    Columns not named are not read, so extra ones cannot clash.
+    Columns not named are not read, so extra ones cannot clash; a kept column with an added one's name is an error.
     """
+    clash = {k.lower() for k in keep} & {f.name.lower() for f in StructType.fromDDL(added)}
+    if clash:
+        raise ValueError(f"kept columns have the names of added ones: {sorted(clash)}")
     kept = [StructField(f.name, f.dataType, True) for f in df.select(*[F.col(f"`{k}`") for k in keep]).schema]
     new = list(StructType.fromDDL(added))
     types = {f.name: to_arrow_type(f.dataType) for f in new}

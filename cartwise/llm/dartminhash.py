@@ -178,22 +178,29 @@ def fingerprint(hashes: np.ndarray) -> str | None:
     return f"{int(mix64(hashes).sum(dtype=np.uint64)):016x}{int(np.bitwise_xor.reduce(mix64(hashes ^ _STEP))):016x}{len(hashes):x}"
 
 
+def occurrences(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A sorted set with one element per occurrence: its plain similarity is the weighted one of the counts."""
+    turn = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.unique(mix64(np.repeat(hashes, counts) + turn.astype(np.uint64) * _STEP))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, k: int = COORDINATES, rows: int = ROWS, allow: float = ALLOW, weights: str = "set", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, class_id, n_shingles, kept)``: one row per document with the smallest id of its class.
 
     Two texts are linked when the Jaccard similarity of their sets of ``words``-word shingles is at least
-    ``similarity``; classes are the connected components of the links. ``kept`` marks the class's smallest id (rows
-    that repeat it are all marked). ``weights="count"`` weighs shingles by their occurrences in the signatures
-    (weighted similarity for candidates; links stay those of the sets). A null or empty text has no
+    ``similarity``; classes are the connected components of the links. With ``weights="count"`` both the signatures and the links
+    weigh shingles by their occurrences (similarity: the sum of the lesser counts over that of the greater). ``kept`` marks the class's smallest id (rows
+    that repeat it are all marked). A null or empty text has no
     shingles and is its own class; a row with a null id is its own class (null) and kept. Equal sets of shingles are
     merged before any comparison. Other columns are not read; an empty table gives an empty one.
     """
-    bands = k // rows
+    def elements(h: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return occurrences(h, c) if weights == "count" else h
 
     def sign(texts: list) -> dict[str, list]:
         sets = shingles(texts, words)
         sig = band_keys(signatures([(h, c if weights == "count" else np.ones(len(h))) for h, c in sets], k), rows)
-        return {"n_shingles": [len(h) for h, _ in sets], "__print": [fingerprint(h) for h, _ in sets], "__bands": [s if len(h) else None for s, (h, _) in zip(sig, sets)]}
+        return {"n_shingles": [len(h) for h, _ in sets], "__print": [fingerprint(elements(h, c)) for h, c in sets], "__bands": [s if len(h) else None for s, (h, _) in zip(sig, sets)]}
 
     source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("__id"), F.col(f"`{text_col}`").alias("__text"))
     signed = cut_lineage(map_texts(source, sign, "n_shingles bigint, __print string, __bands array<bigint>", "__text", ("__id",), most=1_000_000))
@@ -216,7 +223,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     def gather(ts: list) -> dict[str, list]:
         sets = shingles(ts, words)
         sig = signatures([(h, c if weights == "count" else np.ones(len(h))) for h, c in sets], k)
-        return {"print": [fingerprint(h) for h, _ in sets], "hashes": [h.tobytes() for h, _ in sets], "sig": [s.tobytes() for s in sig]}
+        linked = [elements(h, c) for h, c in sets]
+        return {"print": [fingerprint(h) for h in linked], "hashes": [h.tobytes() for h in linked], "sig": [s.tobytes() for s in sig]}
 
     whole = map_texts(texts, gather, "print string, hashes binary, sig binary", "__text", ("rep", "p", "g", "nb", "block"), most=1_000_000).where("p = print")
     dealt = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))

@@ -11,20 +11,26 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import held_out, keep_only, map_texts
+from cartwise.llm.common import held_out, holds_caches, keep_only, map_texts
 
 DIMENSIONS = 1024
 SAMPLE = 1500  # documents per language that a prototype bundles, about
 UNKNOWN = "und"
 
 _LETTERS: dict[tuple[int, int], np.ndarray] = {}
+MOST_LETTERS = 20_000_000  # bytes of letter vectors kept by a worker
+
+holds_caches("letters", _LETTERS.clear)
 
 
 def letter(code: int, dimensions: int) -> np.ndarray:
+    """The random vector of a code point (made anew from its number whenever it is not kept)."""
     if (code, dimensions) not in _LETTERS:
+        if (len(_LETTERS) + 1) * dimensions > MOST_LETTERS:
+            _LETTERS.clear()
         _LETTERS[code, dimensions] = np.random.default_rng(code + 1).integers(0, 2, dimensions, dtype=np.int8) * 2 - 1
     return _LETTERS[code, dimensions]
 
@@ -103,6 +109,15 @@ class Profiles:
         }
 
 
+def _picked(docs: DataFrame, sample: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``(__id, __text, __lang)`` of about ``sample`` documents per language that are not held out, by the hash of their id."""
+    known = docs.where(F.col(f"`{lang_col}`").isNotNull() & ~held_out(id_col)).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text"), F.col(f"`{lang_col}`").alias("__lang"))
+    counts = known.groupBy("__lang").agg(F.count(F.lit(1)).alias("__n"))
+    share = counts.select(F.col("__lang").alias("__of"), F.least(F.lit(1.0), F.lit(float(sample)) / F.col("__n")).alias("__share"))
+    # one short row per language; the prototypes, far larger, go to every task as well
+    return known.join(F.broadcast(share), F.col("__lang") == F.col("__of")).where(F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(1 << 20)) < F.col("__share") * (1 << 20)).select("__id", "__text", "__lang")
+
+
 def learn(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
     """Prototypes from documents with a language that are not held out.
 
@@ -110,11 +125,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE, i
     a language with fewer gives all. Partial bundles are added per language across tasks; only the
     prototypes reach the driver.
     """
-    known = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col)).select(id_col, text_col, lang_col)
-    counts = known.groupBy(lang_col).agg(F.count(F.lit(1)).alias("__n"))
-    share = counts.select(F.col(lang_col).alias("__lang"), F.least(F.lit(1.0), F.lit(float(sample)) / F.col("__n")).alias("__share"))
-    # one short row per language; the prototypes, far larger, go to every task as well
-    picked = known.join(F.broadcast(share), F.col(lang_col) == F.col("__lang")).where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) < F.col("__share") * (1 << 20))
+    picked = _picked(docs, sample, id_col, text_col, lang_col)
 
     def run(batches):
         import pandas as pd
@@ -131,7 +142,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE, i
         for name, x in sums.items():
             yield pd.DataFrame({"lang": name, "i": np.arange(dimensions), "x": x})
 
-    partial = picked.select(F.col("__lang"), F.col(text_col).alias("__text")).mapInPandas(run, "lang string, i int, x double")
+    partial = picked.select("__lang", "__text").mapInPandas(run, "lang string, i int, x double")
     rows = partial.groupBy("lang", "i").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
     got = sorted((r["lang"], [x["x"] for x in r["v"]]) for r in rows.collect())
     p = np.array([v for _, v in got], dtype=np.float64).reshape(len(got), dimensions)
@@ -146,4 +157,30 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     learned); ties go to the first language by name. The score is the cosine, cut to 0 to 1. Repeated rows
     give repeated rows, an empty table an empty one. A text of any length is bundled whole.
     """
-    return map_texts(docs, profiles.predict, "lang_pred string, score double", text_col, (id_col, *keep), most=1_000_000)
+    return map_texts(docs, profiles.predict, "lang_pred string, score double", text_col, (id_col, *keep), most=1_000_000, caches="letters")
+
+
+def length_class(text: Column) -> Column:
+    """Texts of 2^n to 2^(n+1) - 1 characters are of class n (null and empty: 0)."""
+    return F.floor(F.log2(F.greatest(F.coalesce(F.length(text), F.lit(0)), F.lit(1)).cast("double"))).cast("int")
+
+
+def floors(docs: DataFrame, profiles: Profiles, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[int, float]:
+    """The least cosine that a text of each length class should have with some prototype, from the sample that they were learned from.
+
+    A text is foreign to all languages when its cosine is both under half the class's median and under the outer fence
+    (the first quartile less three quartile distances). Cosines of short texts vary so much that
+    their fence lies below zero: nothing is said about them. At most 32 classes reach the driver.
+    """
+    picked = _picked(docs, sample, id_col, text_col, lang_col).withColumn("__class", length_class(F.col("__text")))
+    found = identify(picked, profiles, "__id", "__text", keep=("__class",)).where(F.col("lang_pred") != UNKNOWN)
+    quartiles = found.groupBy("__class").agg(F.percentile("score", [0.25, 0.5, 0.75]).alias("q"))
+    return {r["__class"]: min(r["q"][1] / 2, r["q"][0] - 3 * (r["q"][2] - r["q"][0])) for r in quartiles.collect()}
+
+
+def floor_of(text: Column, found: dict[int, float]) -> Column:
+    """The floor of a text's length class, or of the next shorter one that has a floor (cosines rise with length); else 0."""
+    out = F.lit(0.0)
+    for k, v in sorted(found.items()):
+        out = F.when(length_class(text) >= k, F.lit(float(v))).otherwise(out)
+    return out

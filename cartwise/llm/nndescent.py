@@ -1,13 +1,14 @@
 """Near-duplicate vectors by NN-descent (operator 1).
 
-Each vector keeps a short list of its best neighbours. Lists start from sorted random-hyperplane codes
-(neighbours in the order of the codes), and every round joins each vector's neighbours, forward and
+Each vector keeps a short list of its best neighbours. Lists start from a few sorted random-hyperplane codes
+(neighbours in the order of the codes; their number does not depend on the rows), and every round joins each vector's neighbours, forward and
 reverse, with one another: a neighbour of a neighbour is likely a neighbour. Every pair met at or above the
 threshold is kept as a link before any list is cut. A list has room for neighbours of the vector's own component
 and, apart from them, for those of others, so that a dense group does not fill its members' lists; one that holds
 nothing but links is saturated and is enlarged for the next round. Rounds go on until one joins no two components.
 Then the components are compared inside, exactly, in double precision: that gives each vector all of its links,
-whatever the length of its list. An audit compares a sample with all rows by brute force; where it finds a missing
+whatever the length of its list. Searching needs no more than a rough cosine, so the codes and the rounds exchange
+vectors of one byte per component, with a margin under the threshold for their rounding. An audit compares a sample with all rows by brute force; where it finds a missing
 link, more codes and rounds follow, and a table whose audit stays below the target is an error.
 
 A group of copies is never expanded. Equal vectors are merged first. In a large component the vectors
@@ -31,10 +32,11 @@ from cartwise.session import cut_lineage
 
 THRESHOLD = 0.9
 LIST, LONGEST = 10, 40  # neighbours of a list, and of one that was enlarged
-CODES, NEAR = 24, 8  # orders by random codes (at least), and how far apart in an order two vectors are compared
-MISS = 1e-4  # probability that a pair at the threshold meets in none of the first turn's orders
+CODES, NEAR = 24, 8  # orders by random codes in the first turn, and how far apart in an order two vectors are compared
+ROUGH = 0.008  # more than a cosine of vectors of one byte per component is off (checked in the tests)
 BLOCK = 512  # vectors per block of a component
 AUDIT = 256  # vectors with links that the audit compares with all rows
+MOST_AUDIT = 8192  # vectors that it looks at to find these
 _log = logging.getLogger(__name__)
 
 
@@ -59,8 +61,23 @@ def _pack(x: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in np.ascontiguousarray(x)], pa.binary())
 
 
+def _rough(u: np.ndarray) -> pa.Array:
+    """Unit vectors at one byte per component, after their scale (float32)."""
+    scale = (np.abs(u).max(axis=1) / 127).astype(np.float32)
+    q = np.rint(u / scale[:, None].astype(np.float64)).astype(np.int8)
+    return pa.array([a.tobytes() + b.tobytes() for a, b in zip(scale, q)], pa.binary())
+
+
+def _from_rough(column: pa.Array) -> np.ndarray:
+    """The vectors again (float32), scaled to length one."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), dtype=np.int8).reshape(len(column), -1)
+    x = raw[:, 4:].astype(np.float32)  # the scale drops out
+    return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+
 def unit_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``(id, copies, n, u)``: one row per distinct vector, its smallest id, how many rows share it, its unit vector (doubles)."""
+    """``(id, copies, n, u, q)``: one row per distinct vector, its smallest id, how many rows share it, its unit vector in
+    doubles and at one byte per component."""
     merged = usable(df, id_col, vector_col).groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
 
     def run(batches):
@@ -68,17 +85,10 @@ def unit_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
             sizes = pa.compute.list_value_length(b.column(2)).to_numpy(zero_copy_only=False)
             for n in np.unique(sizes).tolist():
                 part = b.take(pa.array(np.flatnonzero(sizes == n)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([n] * len(part), pa.int32()), _pack(_unit_rows(part.column(2)))], ["id", "copies", "n", "u"])
-
-    return merged.select("id", "copies", "v").mapInArrow(run, "id bigint, copies bigint, n int, u binary")
+                u = _unit_rows(part.column(2))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([n] * len(part), pa.int32()), _pack(u), _rough(u)], ["id", "copies", "n", "u", "q"])
 
-
-def orders(n: int, threshold: float) -> int:
-    """How many orders of ``n`` vectors: a pair at the threshold agrees in a bit with probability 1 - angle / pi and
-    meets in an order when it agrees in about log2(n / NEAR) leading bits; all orders miss it with probability ``MISS``.
-    """
-    meet = (1 - math.acos(threshold) / math.pi) ** math.log2(max(2 * NEAR, n) / NEAR)
-    return max(CODES, math.ceil(math.log(MISS) / math.log1p(-meet)))
+    return merged.select("id", "copies", "v").mapInArrow(run, "id bigint, copies bigint, n int, u binary, q binary")
 
 
 def seed_pairs(vectors: DataFrame, size: int, codes: int, near: int, seed: int, threshold: float) -> DataFrame:
@@ -89,16 +99,15 @@ def seed_pairs(vectors: DataFrame, size: int, codes: int, near: int, seed: int,
         planes = rng.normal(size=(codes, size, 64)).astype(np.float32)
         weights = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
         for b in batches:
-            x = _matrix(b.column(1), "f8").astype(np.float32)
-            packed = _pack(x)
+            x, packed = _from_rough(b.column(1)), b.column(1)
             for r in range(codes):
                 bits = (x @ planes[r] > 0).astype(np.uint64)
                 key = ((bits * weights).sum(axis=1, dtype=np.uint64) ^ np.uint64(2**63)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(b), r, dtype=np.int32)), pa.array(key), b.column(0), packed], ["r", "key", "id", "x"])
 
-    coded = vectors.select("id", "u").mapInArrow(code, "r int, key bigint, id bigint, x binary")
+    coded = vectors.select("id", "q").mapInArrow(code, "r int, key bigint, id bigint, x binary")
     ordered = coded.repartitionByRange("r", "key", "id").sortWithinPartitions("r", "key", "id")
-    floor = threshold - 1e-4
+    floor = threshold - ROUGH
 
     def pairs(batches):
         tail: pa.RecordBatch | None = None
@@ -107,7 +116,7 @@ def seed_pairs(vectors: DataFrame, size: int, codes: int, near: int, seed: int,
             if tail is not None:  # the last rows of the batch before stand in front again
                 b = pa.Table.from_batches([tail, b]).combine_chunks().to_batches()[0]
             old = len(b) - new
-            r, ids, x = b.column(0).to_numpy(), b.column(2).to_numpy(), _matrix(b.column(3), "f4")
+            r, ids, x = b.column(0).to_numpy(), b.column(2).to_numpy(), _from_rough(b.column(3))
             n = len(ids)
             sims = np.full((2 * near, n), -2.0, dtype=np.float32)
             for s in range(1, min(near, n - 1) + 1):
@@ -162,7 +171,7 @@ def _limits(lists: DataFrame, threshold: float) -> DataFrame:
 def descend(vectors: DataFrame, lists: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
     """One round: candidate pairs ``(a, b, sim)`` among the neighbours, forward and reverse, of every vector.
 
-    A reverse list is a sample of at most ``LONGEST`` by hash, taken in two steps so that a vector that is
+    A reverse list is a sample of at most ``LIST`` by hash, taken in two steps so that a vector that is
     everyone's neighbour is not gathered; a pair is offered only where it improves on the lists' last entries,
     the best few per vector and meeting place, apart for the own and for other components. A link between two
     components that meet is always returned, one per two components and place.
@@ -177,9 +186,9 @@ def descend(vectors: DataFrame, lists: DataFrame, classes: DataFrame, floor: flo
         back = back.withColumn("salt", salt).withColumn("k", F.row_number().over(w)).where(F.col("k") <= LIST)
     own = lists.select(F.col("a").alias("at"), "a").distinct().withColumn("fresh", F.lit(False))
     meet = forward.unionByName(back.select("at", "a", "fresh")).unionByName(own).groupBy("at", "a").agg(F.max("fresh").alias("fresh"))
-    known = vectors.select(F.col("id").alias("a"), "u").join(last, "a", "left").join(classes.select(F.col("node").alias("a"), "component"), "a", "left")
+    known = vectors.select(F.col("id").alias("a"), "q").join(last, "a", "left").join(classes.select(F.col("node").alias("a"), "component"), "a", "left")
     none = F.lit(-1.0).cast("float")
-    full = meet.join(known, "a").select("at", "a", "fresh", "u", F.coalesce("worst_own", none).alias("worst_own"), F.coalesce("worst_other", none).alias("worst_other"), F.coalesce("component", "a").alias("c"))
+    full = meet.join(known, "a").select("at", "a", "fresh", "q", F.coalesce("worst_own", none).alias("worst_own"), F.coalesce("worst_other", none).alias("worst_other"), F.coalesce("component", "a").alias("c"))
     placed = full.repartition("at").sortWithinPartitions("at", "a")
 
     def run(batches):
@@ -192,7 +201,7 @@ def descend(vectors: DataFrame, lists: DataFrame, classes: DataFrame, floor: flo
             new = np.asarray(t.column(2).to_pylist(), dtype=bool)
             if len(ids) < 2:
                 return None
-            x = _matrix(t.column(3), "f8").astype(np.float32)
+            x = _from_rough(t.column(3))
             c = np.unique(t.column(6).to_numpy(), return_inverse=True)[1]
             own = c[:, None] == c[None, :]
             s = x @ x.T
@@ -245,11 +254,12 @@ def descend(vectors: DataFrame, lists: DataFrame, classes: DataFrame, floor: flo
 
 
 def neighbour_links(vectors: DataFrame, size: int, threshold: float, seed: int, rounds: int, known: DataFrame | None = None, codes: int = CODES) -> tuple[DataFrame, bool]:
-    """Links ``(a, b)`` that hold the components of all pairs met at or above the threshold (single precision, with
-    a margin), written; and whether the last round joined no two components. ``known`` links are kept."""
-    floor = threshold - 1e-5
+    """Links ``(a, b)`` that hold the components of all pairs met at or above the threshold (less ``ROUGH``: what is
+    a link is decided afterwards), written; and whether the last round joined no two components. ``known`` links are kept."""
+    floor = threshold - ROUGH
     seeds = cut_lineage(seed_pairs(vectors, size, codes, NEAR, seed, threshold).groupBy("a", "b").agg(F.max("sim").alias("sim")).withColumn("fresh", F.lit(True)))
     links = seeds.where(F.col("sim") >= floor).select("a", "b")
+    _log.info("%d orders: %d pairs near the threshold", codes, links.count() // 2)
     classes = _classes(links if known is None else links.unionAll(known))
     lists, settled = cut_lineage(_lists(seeds, classes, None)), False
     for turn in range(rounds):
@@ -257,6 +267,7 @@ def neighbour_links(vectors: DataFrame, size: int, threshold: float, seed: int,
         found = cut_lineage(descend(vectors, lists, classes, floor).withColumn("fresh", F.lit(True)))
         joins = cut_lineage(_named(found.where(F.col("sim") >= floor).select("a", "b"), classes).where("ca <> cb").select("ca", "cb").distinct())
         settled = joins.isEmpty()
+        _log.info("round %d: %d pairs near the threshold met, %d of them join two components", turn + 1, found.where(F.col("sim") >= floor).count(), joins.count())
         if settled and turn:
             break
         if not settled:
@@ -382,27 +393,31 @@ def exact_links(vectors: DataFrame, links: DataFrame, threshold: float) -> DataF
     return cut_lineage(compared.unionAll(certain).unionAll(joined))
 
 
-def audit(vectors: DataFrame, counts: DataFrame, size: int, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the vectors with links of which all links were found, each vector weighing the same.
+def audit(vectors: DataFrame, counts: DataFrame, size: int, threshold: float, sample: int = AUDIT, most: int = MOST_AUDIT) -> tuple[float, float]:
+    """Share of the vectors with links of which all links were found, each vector weighing the same; and a bound on the share of
+    all vectors that miss a link (with 95 % confidence).
 
-    Vectors are taken in the order of a hash of the id until ``sample`` of them have links, or all vectors are taken
-    (then no link at all gives 1). Each part of the sample is compared with every row, in double precision; each task
-    returns a count per sampled vector.
+    Vectors are taken in the order of a hash of the id until ``sample`` of them have links, or ``most`` are taken, or all
+    (no link at all gives a share of 1). Each part of the sample is compared with every row, in double precision; each task
+    returns a count per sampled vector. The bound is that of a proportion: of m sampled vectors with f misses about
+    (f + 2 sqrt(f) + 3) / m, so a table with hardly a link is not compared as a whole to prove it.
     """
     keyed = vectors.select("id", "u", F.xxhash64("id").alias("h"))
-    linked = whole = 0
+    linked = whole = taken = 0
     step, last = sample, None
-    while linked < sample:
+    while linked < sample and taken < most:
         rest = keyed if last is None else keyed.where((F.col("h") > last[0]) | ((F.col("h") == last[0]) & (F.col("id") > last[1])))
-        rows = rest.orderBy("h", "id").limit(step).collect()
+        rows = rest.orderBy("h", "id").limit(min(step, most - taken)).collect()
         if not rows:
             break
+        taken += len(rows)
         last, step = (rows[-1]["h"], rows[-1]["id"]), min(2 * step, 4096)
         true = _true_counts(vectors, np.array([r["id"] for r in rows]), np.array([np.frombuffer(r["u"], "f8") for r in rows]), threshold)
         got = true.where("n > 0").join(counts.select("id", F.col("links").alias("found")), "id", "left")
         n, full = got.agg(F.count(F.lit(1)), F.count(F.when(F.col("found") >= F.col("n"), 1))).first()
         linked, whole = linked + n, whole + full
-    return whole / linked if linked else 1.0
+    missed = linked - whole
+    return (whole / linked if linked else 1.0), (min(1.0, (missed + 2 * math.sqrt(missed) + 3) / taken) if taken else 0.0)
 
 
 def _true_counts(vectors: DataFrame, ids: np.ndarray, x: np.ndarray, threshold: float) -> DataFrame:
@@ -435,14 +450,14 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, rounds: int = 6, a
     sizes = [r["n"] for r in vectors.select("n").distinct().orderBy("n").collect()]
     results = []
     for size in sizes:
-        mine = vectors.where(F.col("n") == size).select("id", "copies", "u")
-        known, codes = None, orders(mine.count(), threshold)
+        mine = vectors.where(F.col("n") == size).select("id", "copies", "u", "q")
+        known = None
         for turn in range(audits):
-            known, settled = neighbour_links(mine, size, threshold, 1000 * turn + 17, rounds, known, codes << turn)
+            known, settled = neighbour_links(mine, size, threshold, 1000 * turn + 17, rounds, known, CODES << turn)
             exact = exact_links(mine, known, threshold)
             counts = exact.where("n is not null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
-            recall = audit(mine, counts, size, threshold)
-            _log.info("vectors of length %d: audited recall %.4f after %d turns", size, recall, turn + 1)
+            recall, bound = audit(mine, counts, size, threshold)
+            _log.info("vectors of length %d: audited recall %.4f after %d turns; at most %.5f of the vectors miss a link", size, recall, turn + 1, bound)
             if recall >= target and settled:
                 break
         else:

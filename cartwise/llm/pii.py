@@ -116,6 +116,47 @@ server <ip>10 . 0 . 12 . 7</ip> answered
 host <ip>192.168.4[.]21</ip> was blocked
 blocked <ip>10[.]11[.]12[.]13</ip> last night
 from <ip>172.16[.]9[.]4</ip> again
+server <ip>10 . 3 . 114 . 20</ip> is down
+node <ip>192 . 168 . 0 . 77</ip> came back
+peer <ip>81 . 2 . 69 . 142</ip> left early
+login from <ip>45 . 33 . 12 . 9</ip> failed
+host <ip>10 . 8 . 7 . 61</ip> replied
+from <ip>172 . 16 . 44 . 3</ip> to the gate
+ping <ip>10[.]1[.]1[.]9</ip> first
+gateway <ip>172.16.0[.]1</ip> is up
+host <ip>45.77.3[.]18</ip> replied
+address <ip>203.0.113[.]64</ip> was seen
+client <ip>8.8.4[.]4</ip> asked
+router <ip>198.51.100[.]7</ip> restarted
+from <ip>91.12.200[.]31</ip> to the gate
+server <ip>185.220.7[.]102</ip> twice
+ssh <ip>62.4.15[.]90</ip> closed
+proxy <ip>100.64.33[.]5</ip> answers
+host <ip>77.120.45[.]63</ip> is busy
+from <ip>146.20.9[.]8</ip> last week
+write to <email>anna at firm dot de</email> first
+mail <email>theo at post dot net</email> or call
+contact <email>orders at mail dot com</email> for this
+ask <email>ines at example dot net</email> about it
+write to <email>ruth at example dot com</email> please
+mail <email>office at firm dot org</email> in time
+stay at home and look for the dot
+they met at work near the dot on the wall
+section 2 . 1 of the text
+a dot at the door was painted red
+she drew the dot at the corner of the page
+they saw the dot at the top again
+under the dot at the left stood a line
+tel <phone>1-888-555-0170</phone> now
+call <phone>1-877-301-2299</phone> or come by
+phone <phone>415-555-0190</phone> again
+ring <phone>212-301-4477</phone> at noon
+card <card>4111_1111_1111_1111</card> was lost
+pay with <card>5500.0000.0000.0004</card> today
+charged <card>4111/1111/1111/1111</card> again
+pay with <card>4012_8888_8888_1881</card> next time
+charged <card>5500_0000_0000_0004</card> in full
+card <card>6011.0009.9013.9424</card> expired
 card <card>4111.1111.1111.1111</card> was charged
 pay with <card>4012/8888/8888/1881</card> now
 card number <card>5500_0000_0000_0004</card> expires
@@ -158,6 +199,7 @@ numbers 12 34 56 78 90 11
 _MARK = re.compile(r"<(/?)(\w+)>")
 _WORD = re.compile(r"[^\s,;!?\"'<>]+")
 _DIGIT_RUN = re.compile(r"[0-9]+")
+_RUN_LENGTH = re.compile(r"d[0-9]")
 
 
 def shape(word: str) -> str:
@@ -219,18 +261,19 @@ class Field:
 
     @staticmethod
     def names(word: str) -> tuple[str, str, str]:
-        """What a word tells of itself: its shape, its letters, and the kinds of its characters."""
-        low = word.lower()
-        kinds = "".join(sorted({"d" if c in "0123456789" else "a" if c.isalpha() else c for c in low}))
-        return f"s:{shape(word)}", f"w:{low}" if not _DIGIT_RUN.search(low) else f"n:{min(len(_digits(low)), 20)}", f"k:{kinds[:8]}"
+        """What a word tells of itself: its shape, its letters, and its shape with digit runs of any length."""
+        low, form = word.lower(), shape(word)
+        return f"s:{form}", f"w:{low}" if not _DIGIT_RUN.search(low) else f"n:{min(len(_digits(low)), 20)}", f"k:{_RUN_LENGTH.sub('d', form)}"
 
     def rows(self, word: str) -> tuple[int, ...]:
         got = self.word_cache.get(word)
         if got is None:
-            if len(self.word_cache) > 100_000:
-                self.word_cache.clear()
             n = self.names(word)
-            got = self.word_cache[word] = tuple(self.features.get(f"{place}{x}", 0) for place in ("-", "=", "+") for x in n)
+            got = tuple(self.features.get(f"{place}{x}", 0) for place in ("-", "=", "+") for x in n)
+            if len(word) <= 64:
+                if len(self.word_cache) > 100_000:
+                    self.word_cache.clear()
+                self.word_cache[word] = got
         return got
 
     def scores(self, lines: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -276,7 +319,7 @@ class Field:
         return [out[:s, i] for i, s in enumerate(sizes.tolist())]
 
 
-def train(table: list[str] | None = None, epochs: int = 200, rate: float = 0.15, decay: float = 0.002) -> Field:
+def train(table: list[str] | None = None, epochs: int = 100, rate: float = 0.15, decay: float = 0.002) -> Field:
     """Maximise the table's conditional likelihood (forward-backward, Adam, squared-norm decay)."""
     lines, golds = [], []
     for row in TABLE if table is None else table:
@@ -296,6 +339,10 @@ def train(table: list[str] | None = None, epochs: int = 200, rate: float = 0.15,
                 if 0 <= j < len(x):
                     for name in Field.names(x[j]):
                         features.setdefault(f"{place}{name}", len(features))
+    # the words around a span are any words: every line once more with them unknown, so that spans end without their help
+    for x, gold in list(zip(lines, golds)):
+        lines.append([w if t or w.lower() in ("at", "dot") or _DIGIT_RUN.search(w) else "\0" * 3 for w, t in zip(x, gold)])
+        golds.append(gold)
     k = len(TAGS)
     f = Field(features, np.zeros((len(features), k)), np.zeros((k, k)), np.zeros(k))
     forbidden = np.zeros((k, k))
@@ -348,11 +395,14 @@ STEP = 4096  # words of a line that are scored at once
 BATCH = 512 * 256  # words decoded together, about; a longer stretch is alone
 
 
+# a name, "at", and host labels with "dot" or a full stop between them, one word each
+_AT = r"[\[(]?\s*(?:at|@)\s*[\])]?"
+_LOOSE_EMAIL = re.compile(rf"[^\s@]+(?:\s+|(?=[\[(@])){_AT}(?:\s+|(?<=[\])@]))(?P<host>[^\s@]+(?:\s*[\[(]?\s*\bdot\b\s*[\])]?\s*[^\s@]+)*)", re.IGNORECASE)
+
+
 def _holds(kind: str, s: str) -> bool:
     """What a span of the field must hold to be of its kind."""
     d = len(_digits(s))
-    if kind == "email":
-        return "@" in s or (re.search(r"\bat\b", s, re.IGNORECASE) is not None and (re.search(r"\bdot\b", s, re.IGNORECASE) is not None or "." in s))
     if kind == "ip":
         parts = _DIGIT_RUN.findall(s)
         return len(parts) == 4 and all(_byte(p) for p in parts)
@@ -361,6 +411,13 @@ def _holds(kind: str, s: str) -> bool:
     return 7 <= d <= 15 and not re.search(r"[^\W\d_]", s)
 
 
+def _narrow(kind: str, s: str) -> list[tuple[int, int]]:
+    """The parts of a decoded span that are of its kind: an email's own words (the field may take in words before it), else all of it."""
+    if kind != "email":
+        return [(0, len(s))] if _holds(kind, s) else []
+    return [m.span() for m in _LOOSE_EMAIL.finditer(s) if re.search(r"\bdot\b|\.", m["host"], re.IGNORECASE)]
+
+
 def _has_clue(text: str) -> bool:
     """Whether a text holds any clue: a digit, "@", the word "dot" or a bracketed "at"."""
     if _DIGIT_OR_AT.search(text):
@@ -416,8 +473,9 @@ def find(texts: list, field: Field) -> list[tuple[list[Span], list[Span]]]:
                 while j < len(at) and TAGS[tag[j]] == f"I-{kind}":
                     j += 1
                 a, z = off + at[i][0], off + at[j - 1][1]
-                if _holds(kind, texts[d][a:z]) and not any(x < z and y > a for _, x, y in base[d]):
-                    added[d].append((kind, a, z))
+                for lo, hi in _narrow(kind, texts[d][a:z]):
+                    if not any(x < a + hi and y > a + lo for _, x, y in base[d]):
+                        added[d].append((kind, a + lo, a + hi))
                 i = j
     order = {k: i for i, k in enumerate(KINDS)}
     by = lambda s: (order[s[0]], s[1], s[2])
@@ -429,9 +487,9 @@ def joined(spans: list[Span]) -> str:
 
 
 def detect(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_email, n_ip, n_card, n_phone, base_sha256, spans)`` of every whole text.
+    """``(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans)`` of every whole text.
 
-    The counts and the digest are of the fixed patterns' spans; ``spans`` holds all. A null text counts as
+    The counts per kind and the digest are of the fixed patterns' spans; ``spans`` and ``n_spans`` hold all. A null text counts as
     empty: no spans, the digest of no bytes. Repeated rows give repeated rows, an empty table an empty
     one. Patterns take linear time in a text of any length.
     """
@@ -441,9 +499,10 @@ def detect(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str
         out = {f"n_{k}": [sum(s[0] == k for s in b) for b, _ in got] for k in KINDS}
         out["base_sha256"] = [hashlib.sha256(joined(b).encode()).hexdigest() for b, _ in got]
         out["spans"] = [joined(a) for _, a in got]
+        out["n_spans"] = [len(a) for _, a in got]
         return out
 
-    return map_texts(docs, run, ", ".join(f"n_{k} bigint" for k in KINDS) + ", base_sha256 string, spans string", text_col, (id_col,))
+    return map_texts(docs, run, ", ".join(f"n_{k} bigint" for k in KINDS) + ", base_sha256 string, spans string, n_spans bigint", text_col, (id_col,))
 
 
 def mask(text: str, spans: list[Span]) -> str:

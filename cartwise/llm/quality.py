@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.llm.common import held_out, map_texts
+from cartwise.session import cut_lineage, discard
 
 SAMPLE = 1500  # labelled documents per class that are learned from
+SAMPLE_CHUNKS = 4500  # chunks of these per class
 THRESHOLD = 0.3
 EMBED, FILTERS, STEP = 8, 32, 4
 BLOCK = 16  # positions per block of 64 bytes
@@ -133,50 +135,62 @@ def train(chunks: np.ndarray, labels: np.ndarray, share: float = 0.5, epochs: in
     return Network(p["embed"], p["filters"], p["bias"], p["dense"], float(p["offset"][0]))
 
 
-def sample_chunks(raw: bytes, seed: int, most: int = 4) -> np.ndarray:
-    """At most ``most`` chunks of a document for learning, spread over its whole length."""
+def chunks_of(raw: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """All chunks of a document for learning, the last one ending with it, and a draw for each.
+
+    The draws are those of weighted sampling (an exponential variable over the weight, one in the number of
+    chunks): the smallest draws of many documents are a sample in which every document weighs alike and
+    every place of it can come up.
+    """
     size = CHUNK * BLOCK * STEP
-    room = max(0, len(raw) - size)
-    n = min(most, 1 + room // size)
-    at = sorted(np.random.default_rng(seed).integers(0, room + 1, n).tolist()) if room else [0]
-    out = np.full((len(at), size + STEP), PAD, dtype=np.int16)
-    for i, a in enumerate(at):
+    n = max(1, -(-len(raw) // size))
+    out = np.full((n, size + STEP), PAD, dtype=np.int16)
+    for i, a in enumerate([*range(0, (n - 1) * size, size), max(0, len(raw) - size)]):
         part = np.frombuffer(raw[a : a + size], dtype=np.uint8)
         out[i, : len(part)] = part
-    return out
+    return out, np.random.default_rng(seed).exponential(size=n) * n
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Network:
-    """Learn from at most ``sample`` labelled documents per class that are not held out.
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chunks: int = SAMPLE_CHUNKS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Network:
+    """Learn from a sample of chunks of labelled documents that are not held out.
 
-    The sample is that of the smallest hashes of the ids, a fixed number of rows, so it is broadcast to
-    the documents and collected (as at most four chunks each). Without labels of both kinds the
+    ``sample`` documents per class, those of the smallest hashes of their ids, are cut into chunks over their whole texts, and
+    ``chunks`` chunks per class are drawn from these, every document with the same weight. Both bounds count rows:
+    the first makes the documents' ids small enough to be broadcast, the second bounds what reaches the
+    driver. Without labels of both kinds the
     network is the untrained constant: the share of label 1, or 0.5 where there is none. Classes weigh
     as often as they occur among all usable labels, so that scores are probabilities.
     """
-    usable = labels.where(F.col(label_col).isin(0, 1) & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).alias("__y"))
+    usable = labels.where(F.col(f"`{label_col}`").isin(0, 1) & ~held_out(id_col)).groupBy(F.col(f"`{id_col}`").alias("__id")).agg(F.max(F.col(f"`{label_col}`")).alias("__y"))
     totals = {r["__y"]: r["count"] for r in usable.groupBy("__y").count().collect()}
-    first = [usable.where(F.col("__y") == y).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(sample) for y in (0, 1)]
-    picked = first[0].unionAll(first[1]).select(F.col(id_col).alias("__id"), "__y")
-    rows = docs.join(F.broadcast(picked), F.col(f"`{id_col}`") == F.col("__id")).select("__id", "__y", F.col(f"`{text_col}`").alias("__text"))
+    first = [usable.where(F.col("__y") == y).orderBy(F.xxhash64(F.col("__id").cast("string")), "__id").limit(sample) for y in (0, 1)]
+    picked = first[0].unionAll(first[1])
+    source = docs.select(F.col(f"`{id_col}`").alias("__of"), F.col(f"`{text_col}`").alias("__text"))
+    rows = source.join(F.broadcast(picked), F.col("__of") == F.col("__id")).select("__id", "__y", "__text")
 
     def run(batches):
         import pandas as pd
 
         for b in batches:
-            got = [sample_chunks((t or "").encode("utf-8", "replace"), int(i) & 0xFFFFFFFF) for i, t in zip(b["__id"], b["__text"])]
-            yield pd.DataFrame({"i": b["__id"], "y": b["__y"], "chunks": [g.tobytes() for g in got]})
-
+            for i, y, t in zip(b["__id"], b["__y"], b["__text"]):
+                made, draw = chunks_of((t or "").encode("utf-8", "replace"), int(i) & 0xFFFFFFFF)
+                for lo in range(0, len(made), 4096):
+                    part = made[lo : lo + 4096]
+                    yield pd.DataFrame({"i": i, "y": y, "place": np.arange(lo, lo + len(part)), "draw": draw[lo : lo + len(part)], "chunk": [c.tobytes() for c in part]})
+
+    cut = cut_lineage(rows.mapInPandas(run, "i bigint, y int, place bigint, draw double, chunk binary"))
+    parts = [cut.where(F.col("y") == y).orderBy("draw", "i", "place").limit(chunks) for y in (0, 1)]
+    got = sorted((r["i"], r["place"], r["y"], bytes(r["chunk"])) for r in parts[0].unionAll(parts[1]).collect())
+    discard(cut)
     size = CHUNK * BLOCK * STEP + STEP
-    got = sorted((r["i"], r["y"], bytes(r["chunks"])) for r in rows.mapInPandas(run, "i bigint, y int, chunks binary").collect())
-    chunks = [np.frombuffer(c, dtype=np.int16).reshape(-1, size) for _, _, c in got]
-    y = np.repeat([float(r[1]) for r in got], [len(c) for c in chunks]).astype(np.float32)
+    data = np.frombuffer(b"".join(c for *_, c in got), dtype=np.int16).reshape(-1, size)
+    y = np.array([r[2] for r in got], dtype=np.float32)
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
         half = STEP * EMBED
         zero = np.zeros(FILTERS, dtype=np.float32)
         return Network(np.zeros((257, EMBED), np.float32), np.zeros((2 * half, FILTERS), np.float32), zero, zero, float(np.log(share / (1 - share))))
-    return train(np.concatenate(chunks).astype(np.int64), y, totals[1] / (totals[0] + totals[1]))
+    return train(data.astype(np.int64), y, totals[1] / (totals[0] + totals[1]))
 
 
 def classify(docs: DataFrame, network: Network, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -5,12 +5,13 @@ sources. A boundary is a key; a boundary is good once the exact bytes below it a
 of its target. Each round places equally spaced probes inside every interval that still holds an open
 boundary and counts the exact bytes of the stretches between probes, in every partition at once. Only
 the counts reach the driver (probes x open boundaries). The splitters are broadcast (a fixed
-number), rows learn their piece from them, and one exchange deals the pieces out.
+number), rows learn their piece from them, and one exchange deals the pieces out. Pieces are the tasks of that
+exchange and the unit in which slots are numbered: their number follows the bytes.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from cartwise.session import cut_lineage
 
 SHARDS = 24
-PIECES = 32  # pieces per shard: tasks of the exchange, and the unit in which slots are numbered
+PIECE_BYTES = 64_000_000  # of a piece, about; heavier ones are divided
+MOST_PIECES = 200_000  # beyond, pieces grow: their bounds are broadcast and their counts reach the driver
 PROBES = 64
 LOW, HIGH = -(2**63), 2**63
 
@@ -50,11 +52,32 @@ def place(hi: np.ndarray, lo: np.ndarray, first: np.ndarray, second: np.ndarray)
     """For each key, how many of the sorted bounds are at most it."""
     left, right = np.searchsorted(first, hi, "left"), np.searchsorted(first, hi, "right")
     out = left.copy()
-    for i in np.flatnonzero(left < right):  # only rows whose hash is itself a bound
-        out[i] = left[i] + np.searchsorted(second[left[i] : right[i]], lo[i], "right")
+    inside = np.flatnonzero(left < right)  # rows whose hash is itself a bound: their ids decide
+    if len(inside):
+        # the rows of one hash together: one search per hash that is a bound
+        order = inside[np.argsort(left[inside], kind="stable")]
+        for part in np.split(order, np.flatnonzero(np.diff(left[order])) + 1):
+            a, z = left[part[0]], right[part[0]]
+            out[part] = a + np.searchsorted(second[a:z], lo[part], "right")
     return out
 
 
+def as_key(x: int) -> tuple[int, int]:
+    """The key ``(hi, lo)`` of a 128-bit number."""
+    return (x >> 64, (x & (2**64 - 1)) + LOW) if x < HIGH << 64 else (HIGH - 1, HIGH - 1)
+
+
+def as_number(key: tuple[int, int]) -> int:
+    return (key[0] << 64) + key[1] - LOW
+
+
+def _between(a: int, z: int, probes: int) -> set[int]:
+    """Equally spaced marks inside ``a`` to ``z``: between hashes as long as there are any, then between ids."""
+    unit = 64 if (z >> 64) - (a >> 64) > 1 else 0
+    p, q = (a >> unit), (z >> unit)
+    return {x for x in ((p + (q - p) * j // probes) << unit for j in range(1, probes)) if a < x < z}
+
+
 def splitters(keys: DataFrame, targets: list[float], slack: list[float], hi: str = "h", lo: str = "k", probes: int = PROBES, rounds: int = 40) -> list[tuple[int, int]]:
     """A boundary key for each ascending target of bytes below it, exact to its slack.
 
@@ -66,18 +89,12 @@ def splitters(keys: DataFrame, targets: list[float], slack: list[float], hi: str
     open_ = {i: (LOW << 64, HIGH << 64, 0, total) for i in range(len(targets))}
     done: dict[int, int] = {}
 
-    def as_key(x: int) -> tuple[int, int]:
-        return (x >> 64, (x & (2**64 - 1)) + LOW) if x < HIGH << 64 else (HIGH - 1, HIGH - 1)
-
     for _ in range(rounds):
         if not open_ or not total:
             break
         marks: set[int] = set()
         for a, z in {(a, z) for a, z, _, _ in open_.values()}:
-            unit = 64 if (z >> 64) - (a >> 64) > 1 else 0  # between hashes first, then between ids
-            p, q = (a >> unit), (z >> unit)
-            marks.update((p + (q - p) * j // probes) << unit for j in range(1, probes))
-            marks.update((a, z))
+            marks |= _between(a, z, probes) | {a, z}
         at = sorted(marks)
         inner = [x for x in at if x < HIGH << 64]
         got = {r["stretch"]: r["bytes"] for r in _stretches(keys, hi, lo, [as_key(x) for x in inner]).collect()}
@@ -95,7 +112,27 @@ def splitters(keys: DataFrame, targets: list[float], slack: list[float], hi: str
     return [as_key(done[i]) for i in range(len(targets))]
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = 0.004, id_col: str = "doc_id", text_col: str = "text", pieces: int = PIECES) -> DataFrame:
+def pieces(keys: DataFrame, bounds: list[tuple[int, int]], most: float, hi: str = "h", lo: str = "k", probes: int = PROBES, rounds: int = 60) -> tuple[list[tuple[int, int]], dict[int, int]]:
+    """The bounds and more between them, until no stretch holds more than ``most`` bytes; and the rows per stretch.
+
+    Hashes are evenly spread, so the first marks are equally spaced; a stretch that is still too heavy holds a
+    text with many copies and is divided again, down to its ids. Only a single key is never divided.
+    """
+    marks = sorted({as_number(b) for b in bounds})
+    counts: dict[int, int] = {}
+    for _ in range(rounds):
+        edges = [LOW << 64, *marks, HIGH << 64]
+        got = _stretches(keys, hi, lo, [as_key(x) for x in marks]).collect()
+        counts = {r["stretch"]: r["n"] for r in got}
+        heavy = [(edges[r["stretch"]], edges[r["stretch"] + 1], r["bytes"]) for r in got if r["bytes"] > most]
+        more = {x for a, z, size in heavy for x in _between(a, z, max(8, min(probes, 1 + int(2 * size / most))))} - set(marks)
+        if not more:
+            break
+        marks = sorted({*marks, *more})
+    return [as_key(x) for x in marks], counts
+
+
+def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = 0.004, id_col: str = "doc_id", text_col: str = "text", piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """All rows with ``size``, ``text_crc32``, ``law`` = 'bytes', ``shard``, gapless ``slot`` and ``grown_shard``.
 
     Size is the text's UTF-8 bytes (null: none) plus 8. Shards have near-equal bytes: every boundary
@@ -118,19 +155,18 @@ def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = 0.004, id_co
     )
     keys = cut_lineage(d.select(F.col("__h").alias("h"), F.col("__k").alias("k"), "size"))
     total = keys.agg(F.sum("size")).first()[0] or 0
-    n = shards * pieces
-    tight = [i % pieces == 0 for i in range(1, n)]
-    bounds = splitters(keys, [total * i / n for i in range(1, n)], [max(1.0, tolerance * total / shards) if t else total / n / 8 for t in tight])
+    ends = splitters(keys, [total * i / shards for i in range(1, shards)], [max(1.0, tolerance * total / shards)] * (shards - 1))
+    bounds, counts = pieces(keys, ends, max(piece_bytes, total / MOST_PIECES))
     first = np.array([b[0] for b in bounds], dtype=np.int64)
     second = np.array([b[1] for b in bounds], dtype=np.int64)
 
-    counts = {r["stretch"]: r["n"] for r in _stretches(keys, "h", "k", bounds).collect()}
-    rows = []
-    for s in range(shards):
-        base = 0
-        for p in range(s * pieces, (s + 1) * pieces):
-            rows.append((p, s, base))
-            base += counts.get(p, 0)
+    # a piece belongs to the shard whose lower end is the last at or before its own
+    numbers, lower = [as_number(e) for e in ends], [LOW << 64, *(as_number(b) for b in bounds)]
+    rows, base = [], dict.fromkeys(range(shards), 0)
+    for p, x in enumerate(lower):
+        s = bisect_right(numbers, x)
+        rows.append((p, s, base[s]))
+        base[s] += counts.get(p, 0)
     piece = F.pandas_udf(lambda h, k: pd.Series(place(h.to_numpy(), k.to_numpy(), first, second)), "bigint")
     placed = d.withColumn("__piece", piece("__h", "__k"))
     table = d.sparkSession.createDataFrame(rows, "__piece bigint, shard int, __base bigint")

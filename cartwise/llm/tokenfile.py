@@ -161,7 +161,7 @@ class Reader:
             yield (int(self.doc_ids[i]) if self.known[i] else None), int(self.starts[i]), self.tokens(i)
 
 
-def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int = 2, spaces: str = "drop", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write all documents in ascending id order; the manifest ``(file, part, n_docs, n_tokens)``.
 
     Texts are exchanged by id ranges (smaller than their ids), then encoded and written where they
@@ -182,7 +182,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, width: int = 2,
 
         keep_only("tokens")
         part, out, name = TaskContext.get().partitionId(), None, ""
-        encode, end = library_encoder(path, spaces), end_id.to_bytes(4, "little")
+        encode, end = library_encoder(path), end_id.to_bytes(4, "little")
         for b in batches:
             if out is None and len(b):
                 name = f"{folder.rstrip('/')}/part-{part:06d}-{uuid.uuid4().hex}.tok.zst"

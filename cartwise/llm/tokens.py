@@ -1,9 +1,10 @@
 """Whole-text encoding by public tokenizer files with bounded caches of words and pieces.
 
-Every tokenizer used here splits a text before each space that a visible character follows, whatever
+Every tokenizer that is taken apart here splits a text before each space that a visible character follows, whatever
 stands around it. So a text's ids are the joined ids of its units (words with their punctuation), a
 unit's ids those of its pieces, and what was seen before costs one dictionary lookup. Caches are
-bounded in entries and only ever save time.
+bounded in bytes, keep nothing longer than a few times ``LONGEST`` characters (a text without spaces is one unit), and only
+ever save time.
 """
 
 from __future__ import annotations
@@ -18,108 +19,152 @@ import numpy as np
 
 from cartwise.llm.common import holds_caches
 
-UNITS, PIECES = 400_000, 500_000  # entries of one cache generation; there are two
+UNITS, PIECES = 48_000_000, 24_000_000  # bytes of one cache generation; there are two
+LONGEST = 16  # characters of a unit or piece that is kept: longer ones seldom come back
+_ENTRY = 190  # bytes of a dictionary entry with the heads of its text and its ids; a character takes 4 at most
 _SPLIT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|$)")
 
 
-class Generations:
-    """A bounded cache: a full young generation becomes the old one; a hit there makes an entry young again."""
+class Cache(dict):
+    """Key -> ids, made on the first lookup (``__getitem__``) and kept within bounds.
 
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
+    A full young generation becomes the old one; a hit there makes an entry young again.
+    """
 
-    def get(self, keys: list) -> tuple[list, list]:
-        """Values (None where unknown) and the distinct unknown keys."""
-        values = list(map(self.young.get, keys))
-        lost = {k for k, v in zip(keys, values) if v is None}
-        if not lost:
-            return values, []
-        old, again = self.old, {}
-        for k in lost:
-            v = old.get(k)
-            if v is not None:
-                again[k] = v
-        self.put(again)
-        if again:
-            values = [again.get(k) if v is None else v for k, v in zip(keys, values)]
-        return values, [k for k in lost if k not in again]
+    def __init__(self, make: Callable[[str], bytes], most: int, longest: int = LONGEST):
+        self.make, self.most, self.longest = make, most, longest
+        self.forget()
 
-    def put(self, more: dict) -> None:
-        if len(self.young) + len(more) > self.most:
-            self.old, self.young = self.young, {}
-        self.young.update(more)
+    def forget(self) -> None:
+        self.clear()
+        self.old: dict[str, bytes] = {}
+        self.held: dict[str, bytes] = {}  # beside the generations, until it is replaced
+        self.size = 0
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.held.get(key) or self.old.get(key) or self.make(key)
+        if len(key) <= self.longest:
+            self.put(key, value)
+        return value
+
+    def put(self, key: str, value: bytes) -> None:
+        size = self.size + _ENTRY + 4 * len(key) + len(value)
+        if size > self.most:
+            self.old, size = self.copy(), size - self.size
+            self.clear()
+        self.size = size
+        self[key] = value
+
+    def unknown(self, keys: set[str]) -> list[str]:
+        """The keys that neither generation holds; the older ones among the others are held until the next call."""
+        lost, old, self.held = [], self.old.get, {}
+        for k in keys.difference(self):
+            value = old(k)
+            if value is None:
+                lost.append(k)
+            else:
+                self.held[k] = value
+        return lost
+
+    def learn(self, keys: list[str], values: list[bytes]) -> None:
+        """Keep the values of unknown keys; what is too long to be kept is held until the next call of ``unknown``."""
+        longest, put = self.longest, self.put
+        for k, v in zip(keys, values):
+            if len(k) > longest:
+                self.held[k] = v
+            else:
+                put(k, v)
 
 
 class TextEncoder:
     """Text -> ids packed as little-endian unsigned 32-bit integers.
 
-    ``split`` gives a unit's pieces, ``encode`` the packed ids of distinct pieces, ``whole`` those of a
-    text that holds one of ``special`` (which may not be split).
+    ``split`` gives the pieces of a text or unit, ``encode`` the packed ids of distinct pieces all at once. A
+    text that holds one of ``special`` may not be split: ``whole`` encodes it.
     """
 
-    def __init__(
-        self,
-        split: Callable[[str], list[str]],
-        encode: Callable[[list[str]], list[bytes]],
-        special: tuple[str, ...] = (),
-        whole: Callable[[str], bytes] | None = None,
-        spaces: str = "keep",
-        cache: tuple[int, int] | None = None,
-    ):
-        self.split, self.encode, self.special, self.whole, self.spaces = split, encode, special, whole, spaces
-        self.cache = cache or (UNITS, PIECES)
-        self.clear()
+    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[bytes]], cache: tuple[int, int] | None = None):
+        self.split, self.encode = split, encode
+        units, pieces = cache or (UNITS, PIECES)
+        # its pieces cost far more to encode than the library's, so longer ones are worth keeping
+        self.units = Cache(lambda u: self._fresh([" " + u])[0], units, 3 * LONGEST)
+        self.pieces = Cache(lambda p: encode([p])[0], pieces, 3 * LONGEST)
 
     def clear(self) -> None:
-        self.units, self.pieces = Generations(self.cache[0]), Generations(self.cache[1])
+        self.units.forget()
+        self.pieces.forget()
 
     def _fresh(self, units: list[str]) -> list[bytes]:
         split = [self.split(u) for u in units]
-        flat = [p for s in split for p in s]
-        values, unknown = self.pieces.get(flat)
-        if unknown:
-            new = dict(zip(unknown, self.encode(unknown)))
-            self.pieces.put(new)
-            values = [new[p] if v is None else v for p, v in zip(flat, values)]
-        out, i = [], 0
-        for s in split:
-            out.append(values[i] if len(s) == 1 else b"".join(values[i : i + len(s)]))
-            i += len(s)
-        return out
+        lost = self.pieces.unknown({p for s in split for p in s})
+        self.pieces.learn(lost, self.encode(lost) if lost else [])
+        ids_of = self.pieces.__getitem__
+        return [ids_of(s[0]) if len(s) == 1 else b"".join(map(ids_of, s)) for s in split]
 
     def __call__(self, text: str | None) -> bytes:
         return self.many([text])[0]
 
     def many(self, texts: list) -> list[bytes]:
         """Packed ids of each text; what is new in any of them is encoded in one go."""
-        heads, flat, counts = [], [], []
-        lead = "" if self.spaces == "drop" else " "
-        for t in texts:
-            if not t or any(w in t for w in self.special):
-                heads.append(self.whole(t) if t else b"")
-                counts.append(0)
-                continue
-            if self.spaces == "drop":
-                units = t.replace("\n", " ").split(" ")
-                heads.append(b"")
-            else:
-                units = _SPLIT.split(t) if _ODD.search(t) else t.split(" ")
-                heads.append(units.pop(0))
-            counts.append(len(units))
-            flat += units
-        firsts = [h for h in heads if isinstance(h, str)]
-        made = dict(zip(firsts, self._fresh(firsts)))
-        values, unknown = self.units.get(flat)
-        if unknown:
-            new = dict(zip(unknown, self._fresh([lead + u for u in unknown])))
-            self.units.put(new)
-            values = [new[u] if v is None else v for u, v in zip(flat, values)]
-        out, i = [], 0
-        for head, n in zip(heads, counts):
-            out.append((made[head] if isinstance(head, str) else head) + b"".join(values[i : i + n]))
-            i += n
-        return out
+        parts = [_units(t) if t else [] for t in texts]
+        lost = self.units.unknown({u for p in parts for u in p[1:]})
+        self.units.learn(lost, self._fresh([" " + u for u in lost]))
+        ids_of = self.units.__getitem__
+        heads = self._fresh([p[0] for p in parts if p])
+        heads.reverse()
+        return [heads.pop() + b"".join(map(ids_of, p[1:])) if p else b"" for p in parts]
+
+
+def _units(text: str) -> list[str]:
+    """The text cut before each space that a visible character follows; all but the first lack that space."""
+    return _SPLIT.split(text) if _ODD.search(text) else text.split(" ")
+
+
+class LibraryEncoder:
+    """The same for a tokenizer of the library, unit by unit: its model encodes a piece at a time.
+
+    ``unit`` gives the packed ids of a unit (without its leading space), ``head`` those of what stands before the first space;
+    ``None``: white space is dropped, and every unit is treated alike. ``pieces`` is the cache that both take pieces from.
+    """
+
+    def __init__(self, unit: Callable[[str], bytes], head: Callable[[str], bytes] | None, pieces: Cache, special: tuple[str, ...], whole: Callable[[str], bytes], most: int):
+        self.units, self.pieces = Cache(unit, most), pieces
+        self.head, self.special, self.whole = head, special, whole
+
+    def clear(self) -> None:
+        self.units.forget()
+        self.pieces.forget()
+
+    def __call__(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        for w in self.special:
+            if w in text:
+                return self.whole(text)
+        if self.head is None:
+            return b"".join(map(self.units.__getitem__, text.replace("\n", " ").split(" ")))
+        head, *rest = _units(text)
+        return self.head(head) + b"".join(map(self.units.__getitem__, rest))
+
+    def many(self, texts: list) -> list[bytes]:
+        return [self(t) for t in texts]
+
+
+class WholeTexts:
+    """A tokenizer whose splitting is not known here: whole texts go to the library."""
+
+    def __init__(self, whole: Callable[[str], bytes]):
+        self.whole = whole
+
+    def clear(self) -> None:
+        pass
+
+    def __call__(self, text: str | None) -> bytes:
+        return self.whole(text) if text else b""
+
+    def many(self, texts: list) -> list[bytes]:
+        return [self(t) for t in texts]
 
 
 # the public byte-level split pattern
@@ -128,7 +173,13 @@ BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 _SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]*\Z")
 _SIMPLE_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
-_ENCODERS: dict[tuple, TextEncoder] = {}
+# the parts of a tokenizer file that drops white space and case (fixed values of the format)
+_DROPS = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "split": {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+}
+
+_ENCODERS: dict[tuple, LibraryEncoder | WholeTexts] = {}
 
 
 def _clear() -> None:
@@ -139,17 +190,30 @@ def _clear() -> None:
 holds_caches("tokens", _clear)
 
 
-def library_encoder(path: str, spaces: str = "keep", cache: tuple[int, int] | None = None) -> TextEncoder:
+def _kind(config: dict) -> str:
+    """How a file splits texts: ``bytes`` (byte level, spaces kept), ``drop`` (white space and case dropped) or ``other``."""
+    normal, pre = config["normalizer"] or {}, config["pre_tokenizer"] or {}
+    if config["model"].get("type") != "BPE":
+        return "other"
+    if not normal and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
+        return "bytes"
+    parts = pre.get("pretokenizers", [])
+    if normal.get("normalizers") == _DROPS["normalizer"] and len(parts) == 2 and parts[0] == _DROPS["split"]:
+        if parts[1]["type"] == "ByteLevel" and not parts[1]["use_regex"] and not parts[1]["add_prefix_space"]:
+            return "drop"
+    return "other"
+
+
+def library_encoder(path: str, cache: tuple[int, int] | None = None) -> LibraryEncoder | WholeTexts:
     """The encoder of a ``tokenizers`` file, one per worker process (its caches live on between tasks).
 
-    ``cache``: entries of a generation for units and for pieces, at about 165 bytes each.
+    ``cache``: bytes of a generation for units and for pieces.
 
-    Pieces are the library's own: its normaliser and pre-tokenizer split a unit, its model encodes a
-    piece. The two common kinds are split here by the same published patterns, which is quicker:
-    byte-level files, and, for files that lower case and drop white space (``spaces="drop"``), units
-    of plain Latin characters.
+    The file's own settings decide how texts are split. Pieces are the library's: its model encodes each. The two
+    kinds of file known here are split by the same published patterns, which is quicker; units that the quick
+    patterns do not cover go through the library's normaliser and pre-tokenizer, and other files take whole texts.
     """
-    key = (path, spaces, cache)
+    key = (path, cache)
     if key not in _ENCODERS:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
@@ -157,53 +221,62 @@ def library_encoder(path: str, spaces: str = "keep", cache: tuple[int, int] | No
 
         t = Tokenizer.from_file(path)
         model, normal, pre = t.model, t.normalizer, t.pre_tokenizer
-
-        def general(unit: str) -> list[str]:
-            return [p for p, _ in pre.pre_tokenize_str(normal.normalize_str(unit) if normal else unit)]
-
         byte_chars = _byte_characters()
         gap = regex.compile(BYTE_LEVEL)
+        tokenize = model.tokenize
+
+        def piece(p: str) -> bytes:
+            return array("I", [x.id for x in tokenize(p)]).tobytes()
+
+        most_units, most_pieces = cache or (UNITS, PIECES)
+        pieces = Cache(piece, most_pieces)
+        ids_of = pieces.__getitem__
+
+        def general(unit: str) -> bytes:
+            return b"".join([ids_of(p) for p, _ in pre.pre_tokenize_str(normal.normalize_str(unit) if normal else unit)])
 
-        def byte_level(unit: str) -> list[str]:
-            if unit.isascii() and unit[:1] == " ":  # most units: a word, or a word and one mark
-                word = unit[1:]
-                if word.isalpha():
-                    return ["\u0120" + word]
-                if word[:-1].isalpha() and word[-1] in ".,;:!?":
-                    return ["\u0120" + word[:-1], word[-1]]
+        def spaced(unit: str) -> bytes:
             found = gap.findall(unit)
             if unit.isascii() and unit.isprintable():
-                return [p.replace(" ", "\u0120") for p in found]
-            return [p.encode().decode("latin-1").translate(byte_chars) for p in found]
+                return b"".join([ids_of(p.replace(" ", "\u0120")) for p in found])
+            return b"".join([ids_of(p.encode().decode("latin-1").translate(byte_chars)) for p in found])
 
-        def simple(unit: str) -> list[str]:
+        def byte_level(unit: str) -> bytes:
+            if unit.isascii():  # most units: a word, or a word and one mark
+                if unit.isalpha():
+                    return piece("\u0120" + unit)  # kept as a unit
+                word = unit[:-1]
+                if word.isalpha() and unit[-1] in ".,;:!?":
+                    return ids_of("\u0120" + word) + ids_of(unit[-1])
+            elif unit.isalpha():  # letters only: one piece
+                return piece("\u0120" + unit.encode().decode("latin-1").translate(byte_chars))
+            return spaced(" " + unit)
+
+        def simple(unit: str) -> bytes:
             if unit.isascii():
                 if unit.isalpha():
-                    return [unit.lower()]
-                if unit[:-1].isalpha() and unit[-1] in ".,;:!?":
-                    return [unit[:-1].lower(), unit[-1]]
+                    return piece(unit.lower())
+                word = unit[:-1]
+                if word.isalpha() and unit[-1] in ".,;:!?":
+                    return ids_of(word.lower()) + ids_of(unit[-1])
             if not _SIMPLE.match(unit):
                 return general(unit)
             found = _SIMPLE_PIECES.findall(unit.lower())
-            return found if unit.isascii() else [p.encode().decode("latin-1").translate(byte_chars) for p in found]
-
-        def encode(pieces: list[str]) -> list[bytes]:
-            tokenize = model.tokenize
-            return [array("I", [x.id for x in tokenize(p)]).tobytes() for p in pieces]
+            if unit.isascii():
+                return b"".join([ids_of(p) for p in found])
+            return b"".join([ids_of(p.encode().decode("latin-1").translate(byte_chars)) for p in found])
 
         def whole(text: str) -> bytes:
             return np.asarray(t.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
-        config = json.loads(t.to_str())
-        plain = config["pre_tokenizer"] or {}
-        if spaces == "drop":
-            split = simple
-        elif config["normalizer"] is None and plain.get("type") == "ByteLevel" and plain["use_regex"] and not plain["add_prefix_space"]:
-            split = byte_level
-        else:
-            split = general
         special = tuple(x.content for x in t.get_added_tokens_decoder().values())
-        _ENCODERS[key] = TextEncoder(split, encode, special, whole, spaces, cache)
+        kind = _kind(json.loads(t.to_str()))
+        if kind == "other":
+            _ENCODERS[key] = WholeTexts(whole)
+        elif kind == "bytes":
+            _ENCODERS[key] = LibraryEncoder(byte_level, spaced, pieces, special, whole, most_units)
+        else:
+            _ENCODERS[key] = LibraryEncoder(simple, None, pieces, special, whole, most_units)
     return _ENCODERS[key]
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
+from cartwise.functions.prefix import sorted_places
 from cartwise.session import cut_lineage
 
 
@@ -26,10 +27,11 @@ def order_items(lines: DataFrame, order_col: str = "order_id", item_col: str = "
 
 def limit_lines(lines: DataFrame, limit_rows: int | None, order_cols: tuple[str, ...] = ("order_id", "product_id")) -> DataFrame:
     """Cap the input at ``limit_rows`` lines (T2); ``None`` or 0 means all lines. The cap is taken
-    over an explicit order, so the same lines are kept on every run (a top-k, not an arbitrary LIMIT)."""
+    over an explicit order, so the same lines are kept on every run (not an arbitrary LIMIT). Lines are counted off in
+    sorted partitions, so a cap of any size is no single task's work."""
     if not limit_rows:
         return lines
-    return lines.orderBy(*order_cols).limit(int(limit_rows))
+    return sorted_places(lines, order_cols, "_place").where(F.col("_place") <= int(limit_rows)).drop("_place")
 
 
 def baskets(lines: DataFrame, order_col: str = "order_id", item_col: str = "product_id", min_items: int = 2) -> DataFrame:

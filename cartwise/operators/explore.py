@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
 from cartwise.functions.text import unknown_name
+from cartwise.functions.time import floor_div
 from cartwise.operators.catalog import id_names
 
 
@@ -102,11 +103,32 @@ def reorder_rate(lines: DataFrame, products: DataFrame, n: int = 20, min_lines:
     )
 
 
-def order_sequences(lines: DataFrame) -> DataFrame:
-    """Each order as its product sequence in cart order (D7): ``order_id, products ARRAY``."""
+SEQUENCE_CHUNK = 4096  # cart positions assembled at a time
+
+
+def order_sequence_chunks(lines: DataFrame, chunk: int = SEQUENCE_CHUNK) -> DataFrame:
+    """``order_id, part, products ARRAY``: each order's products in cart order, by ranges of ``chunk`` positions.
+
+    An order is never assembled whole: a row holds the products at positions ``part * chunk`` and on, so an order
+    of any length is many rows of bounded size, spread over tasks (ascending ``part`` continues the sequence; ranges
+    without a line have no row). Lines without a position come first, as part -1, in chunks by product.
+    """
     require_columns(lines, ["order_id", "product_id", "add_to_cart_order"], "lines")
-    seq = F.array_sort(F.collect_list(F.struct("add_to_cart_order", "product_id")))
-    return lines.groupBy("order_id").agg(F.transform(seq, lambda s: s["product_id"]).alias("products"))
+    place = F.col("add_to_cart_order").cast("bigint")
+    part = F.coalesce(floor_div(place, chunk), F.lit(-1).cast("bigint"))
+    item = F.array_sort(F.collect_list(F.struct("add_to_cart_order", "product_id")))
+    return lines.groupBy("order_id", part.alias("part")).agg(F.transform(item, lambda s: s["product_id"]).alias("products"))
+
+
+def order_sequences(lines: DataFrame, chunk: int = SEQUENCE_CHUNK) -> DataFrame:
+    """Each order as its product sequence in cart order (D7): ``order_id, products ARRAY``.
+
+    Two levels: position ranges are sorted first (``order_sequence_chunks``), then joined in order, so a long order's lines are
+    sorted in many tasks and only its finished ranges meet. One array holds at most 2^31 - 1 products; for
+    longer orders take the chunks themselves.
+    """
+    ranges = F.array_sort(F.collect_list(F.struct("part", "products")))
+    return order_sequence_chunks(lines, chunk).groupBy("order_id").agg(F.flatten(F.transform(ranges, lambda r: r["products"])).alias("products"))
 
 
 def sample_orders(orders: DataFrame, fraction: float, seed: int = 42, key: str = "order_id") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
-from cartwise.functions.prefix import exact_median
+from cartwise.functions.selection import exact_median
 from cartwise.operators.recommend import matched_rules
 from cartwise.operators.transactions import product_department
 

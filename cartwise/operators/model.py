@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.functions.checks import require_columns
-from cartwise.functions.prefix import exact_median
+from cartwise.functions.selection import exact_quantile
 from cartwise.functions.text import percent_text
 from cartwise.operators.catalog import resolve_items
 from cartwise.operators.evaluate import classification_metrics
@@ -91,25 +91,24 @@ def interval_median(interval: DataFrame) -> float | None:
 
     Computed once, in training, and kept with the artifacts; None when no user has an interval.
     """
-    return exact_median(interval, "avg_days_since_prior").select("median").first()[0]
+    return exact_quantile(interval, "avg_days_since_prior")
 
 
 def assemble_requests(
-    requests: DataFrame, interval: DataFrame, product_dept: DataFrame, dept_freq: DataFrame, median: float | None = None
+    requests: DataFrame, interval: DataFrame, product_dept: DataFrame, dept_freq: DataFrame, median: float | None
 ) -> DataFrame:
     """Serving-time features for ``(user_id, product_id[, recency, frequency, monetary])`` requests
     (R1-R3): unknown user -> median interval over users; unknown product -> department 0; unknown
     (user, department) -> frequency and ratio 0; missing recency/frequency/monetary -> 0, 1, 1.0.
 
-    Pass the ``median`` that training kept (``interval_median``); without it, it is computed here."""
+    ``median`` is the one that training kept (``interval_median``; None: no user had an interval, and unknown ones get null)."""
     require_columns(requests, ["user_id", "product_id"], "requests")
     req = requests
     for c, default, t in (("recency", 0, "double"), ("frequency", 1, "double"), ("monetary", 1.0, "double")):
         val = F.col(c) if c in req.columns else F.lit(None)
         req = req.withColumn(c, F.coalesce(val.cast(t), F.lit(default).cast(t)))
-    fill = interval_median(interval) if median is None else median
     df = req.join(interval.select("user_id", "avg_days_since_prior"), "user_id", "left")
-    df = df.withColumn("avg_days_since_prior", F.coalesce(F.col("avg_days_since_prior"), F.lit(fill).cast("double")))
+    df = df.withColumn("avg_days_since_prior", F.coalesce(F.col("avg_days_since_prior"), F.lit(median).cast("double")))
     pdept = product_dept.groupBy("product_id").agg(F.max("department_id").alias("department_id"))  # one department per id
     df = df.join(pdept, "product_id", "left").withColumn("department_id", F.coalesce(F.col("department_id"), F.lit(0)))
     freq = dept_freq.select("user_id", "department_id", "department_frequency", "department_frequency_ratio")
@@ -126,7 +125,7 @@ def assemble_requests(
     )
 
 
-def score(requests: DataFrame, model: PipelineModel, interval: DataFrame, product_dept: DataFrame, dept_freq: DataFrame, median: float | None = None) -> DataFrame:
+def score(requests: DataFrame, model: PipelineModel, interval: DataFrame, product_dept: DataFrame, dept_freq: DataFrame, median: float | None) -> DataFrame:
     """The request rows plus ``probability`` and ``prediction`` (R1, R2: a one-row frame scores one pair)."""
     feats = assemble_requests(requests, interval, product_dept, dept_freq, median)
     return with_probability(model.transform(feats))
@@ -148,8 +147,8 @@ def score_and_recommend(
     dept_freq: DataFrame,
     rules: DataFrame,
     products: DataFrame,
+    median: float | None,
     top_n: int = 3,
-    median: float | None = None,
 ) -> DataFrame:
     """Repurchase probability of each (user, product) request plus what buyers of that product
     also buy (R4): the request columns, ``probability``, ``probability_text`` (percent) and

@@ -86,17 +86,16 @@ def pair_rules(
     """Rules from frequent pairs only (itemset length capped at 2): one-item antecedents and
     consequents, the same numbers FP-Growth gives for them (M3).
 
-    Support counts use FP-Growth's threshold ``ceil(min_support * n)``. Each basket is cut to its
-    frequent items (at most ``total items / min count``); its ordered pairs stream from two nested
-    explodes into one aggregation, whose partial counts are all that is shuffled.
+    Support counts use FP-Growth's threshold ``ceil(min_support * n)``. A basket's ordered pairs stream from two nested
+    explodes of its own array into one aggregation, whose partial counts are all that is shuffled; baskets are neither
+    keyed nor regrouped. A basket of k items makes k²/2 rows, so pass baskets cut to the items that can be frequent
+    (``mining_baskets``: at most ``total items / min count`` each, however large the order).
     """
-    b = baskets.select(F.array_distinct(items_col).alias("items"))
+    b = baskets.select(F.array_sort(F.array_distinct(items_col)).alias("items"))
     n = b.select(F.count(F.lit(1))).scalar()
     min_count = F.ceil(F.lit(min_support) * n)
-    lines = b.withColumn("_b", F.monotonically_increasing_id()).select("_b", F.explode("items").alias("item"))
-    frequent = cut_lineage(lines.groupBy("item").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min_count))
-    cut = lines.join(frequent.select("item"), "item", "left_semi").groupBy("_b").agg(F.array_sort(F.collect_list("item")).alias("items")).where(F.size("items") >= 2)
-    left = cut.select("items", F.posexplode("items").alias("pos", "a")).where(F.col("pos") + 1 < F.size("items"))
+    frequent = cut_lineage(b.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min_count))
+    left = b.select("items", F.posexplode("items").alias("pos", "a")).where(F.col("pos") + 1 < F.size("items"))
     pairs = left.select("a", F.explode(F.slice("items", F.col("pos") + 2, F.size("items"))).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c_ab")).where(F.col("c_ab") >= min_count)
     ia = frequent.select(F.col("item").alias("a"), F.col("item").alias("item_a"), F.col("c").alias("c_a"))
     ib = frequent.select(F.col("item").alias("b"), F.col("item").alias("item_b"), F.col("c").alias("c_b"))

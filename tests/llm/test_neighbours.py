@@ -99,28 +99,39 @@ def test_audit_sees_missing_pairs(spark):
 
     def table(v, copies):
         df = spark.createDataFrame([(i, w.tolist(), copies[i]) for i, w in enumerate(v)], "id bigint, e array<double>, copies bigint")
-        return nndescent.unit_vectors(df, "id", "e").drop("copies").join(df.select("id", "copies"), "id").select("id", "copies", "u").localCheckpoint()
+        return nndescent.unit_vectors(df, "id", "e").drop("copies").join(df.select("id", "copies"), "id").select("id", "copies", "u").checkpoint()
 
     none = spark.createDataFrame([], "id bigint, links bigint")
     # one pair among 1,501 vectors: a sample of 256 may hold neither
     lone = table(single + pair, [1] * 1501)
     by_hash = [r["id"] for r in lone.orderBy(nndescent.F.xxhash64("id"), "id").select("id").collect()]
     assert not {0, 1500} & set(by_hash[:16])
-    assert nndescent.audit(lone, none, 64, 0.9, sample=16) == 0
+    assert nndescent.audit(lone, none, 64, 0.9, sample=16)[0] == 0
     found = spark.createDataFrame([(0, 1), (1500, 1)], "id bigint, links bigint")
-    assert nndescent.audit(lone, found, 64, 0.9, sample=16) == 1
+    recall, bound = nndescent.audit(lone, found, 64, 0.9, sample=16)
+    assert recall == 1 and bound == 3 / 1501
+    # a bounded look: it stops early and says how much it knows
+    recall, bound = nndescent.audit(lone, none, 64, 0.9, sample=16, most=16)
+    assert recall == 1 and bound == 3 / 16
+    assert nndescent.audit(lone.limit(0), none, 64, 0.9) == (1.0, 0.0)
     # a group with many copies is whole, 60 pairs are missing
     group = [near(rng, single[0], 0.05) for _ in range(40)]
     far = single[1:61] + [near(rng, w, 0.1) for w in single[1:61]]
     copies = [1000] * 40 + [1] * 120
     found = spark.createDataFrame([(i, 39_000) for i in range(40)], "id bigint, links bigint")
-    assert abs(nndescent.audit(table(group + far, copies), found, 64, 0.9) - 40 / 160) < 1e-9
+    assert abs(nndescent.audit(table(group + far, copies), found, 64, 0.9)[0] - 40 / 160) < 1e-9
 
 
-def test_orders_follow_the_rows():
-    assert nndescent.orders(10, 0.9) == nndescent.CODES < nndescent.orders(10_000, 0.9) < nndescent.orders(3_000_000, 0.9)
-    meet = (1 - math.acos(0.9) / math.pi) ** math.log2(3_000_000 / nndescent.NEAR)
-    assert (1 - meet) ** nndescent.orders(3_000_000, 0.9) <= nndescent.MISS
+def test_rough_vectors_are_near_enough():
+    """One byte per component moves a cosine by less than the margin, for ordinary, sparse and long vectors."""
+    rng = np.random.default_rng(3)
+    for make in (lambda: rng.normal(size=(300, 64)), lambda: rng.normal(size=(300, 64)) * (rng.random((300, 64)) < 0.1) + 1e-9, lambda: rng.standard_cauchy((300, 768)), lambda: rng.normal(size=(300, 3))):
+        x = make()
+        x = np.r_[x, x + 0.3 * rng.normal(size=x.shape) * np.abs(x)]
+        u = x / np.sqrt((x * x).sum(axis=1))[:, None]
+        r = nndescent._from_rough(nndescent._rough(u))
+        real = u @ u.T
+        assert np.abs(r @ r.T - real)[real > 0.85].max() < nndescent.ROUGH
 
 
 def words(r, n):
@@ -242,10 +253,53 @@ def test_elimination_skips_candidates():
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(20, 24)) * 1000
     x = np.round(np.repeat(centres, 100, axis=0) + rng.normal(size=(2000, 24)) * 20)
-    q = x[::100]
-    qi, xi, s, evaluated = topk.eliminate(q, np.arange(0, 2000, 100), x, np.arange(2000), x[:32], 5)
-    assert evaluated < 0.8 * len(q) * len(x)
-    for i in range(len(q)):
-        full = x @ q[i]
-        full[i * 100] = -np.inf
-        assert sorted(s[qi == i]) == sorted(np.sort(full)[-5:])
+    q, q_ids, x_ids, pivots = x[::100], np.arange(0, 2000, 100), np.arange(2000), x[::63][:32]
+    dq, dx = topk._distances(q, pivots).astype(np.float32), topk._distances(x, pivots).astype(np.float32)
+    shares = []
+    # without a threshold, with those of a sample, and with rows that came before
+    for seed, cut in ((0, 2000), (300, 2000), (300, 500)):
+        some = rng.permutation(2000)[:seed]
+        first = topk.first_thresholds(q.astype(np.int64), q_ids, x[some].astype(np.int64), x_ids[some], 5)
+        best = topk.Best(q_ids, 5, first)
+        evaluated = sum(topk.eliminate(best, np.arange(20), q, dq, x[lo : lo + cut], x_ids[lo : lo + cut], dx[lo : lo + cut]) for lo in range(0, 2000, cut))
+        shares.append(evaluated / (20 * 2000))
+        for i in range(20):
+            full = x @ q[i]
+            full[i * 100] = -np.inf
+            want = np.lexsort((x_ids, -full))[:5]
+            assert best.ids[i].tolist() == want.tolist() and best.scores[i].tolist() == full[want].tolist()
+    assert shares[0] < 0.5 and shares[1] <= shares[0] and shares[2] < 0.2
+
+
+def test_scores_are_exact_up_to_64_bits_and_clamped_beyond():
+    r = random.Random(8)
+    edge = [0, 1, -1, 2**22 - 1, 2**22, -(2**22), 2**44, -(2**44) - 1, 2**62, 2**63 - 1, -(2**63), 3_037_000_500]
+    for size in (1, 3, 700):
+        rows = [[r.choice(edge) if r.random() < 0.5 else r.randrange(-(2**r.randint(1, 63)), 2 ** r.randint(1, 63)) for _ in range(size)] for _ in range(30)]
+        rows += [[0] * size, [2**31] * size, [-(2**31)] * size]
+        m = np.array(rows, dtype=np.int64)
+        want = [[max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(x, y)))) for y in rows] for x in rows]
+        assert topk.exact_scores(m, m).tolist() == want
+
+
+def test_outliers_among_ordinary_rows(spark):
+    """Rows and queries beyond the exact limit, in the same batch as ordinary ones, and scores beyond 64 bits."""
+    rng = np.random.default_rng(12)
+    v = rng.integers(-300, 300, size=(400, 6)).astype(object)
+    v[50], v[51], v[107], v[200] = [2**62] * 6, [2**62, 1, 0, 0, 0, -(2**62)], [-(2**63)] * 6, [40_000_000, 0, 1, 2, 3, 4]
+    v[300], v[301] = [2**62] * 6, [2**61] * 6
+    rows = [(i, [int(c) for c in x]) for i, x in enumerate(v)]
+    vectors = spark.createDataFrame(rows, "id bigint, v array<bigint>").repartition(3)
+    got = topk.top_k(vectors, vectors.where("id % 50 = 0 or id in (107, 301)"), 5, pivots=6).collect()
+    clamp = lambda s: max(-(2**63), min(2**63 - 1, int(s)))
+    for i in (*range(0, 400, 50), 107, 301):
+        want = sorted((-clamp(v[j] @ v[i]), j) for j in range(400) if j != i)[:5]
+        assert [(-r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == i] == want, i
+    assert any(r["score"] == 2**63 - 1 for r in got)
+
+
+def test_huge_components_become_the_nearest_integer(spark):
+    df = spark.createDataFrame([(0, [1e300, -1e300]), (50, [1e18, -2.0])], "vec_id bigint, embedding array<double>")
+    assert {r["id"]: r["v"] for r in topk.integer_vectors(df).collect()} == {0: [2**63 - 1, -(2**63)], 50: [2**63 - 1, -512]}
+    got = topk.top_k(topk.integer_vectors(df), topk.integer_vectors(df), 5).collect()
+    assert {(r["query_id"], r["vec_id"], r["score"]) for r in got} == {(0, 50, 2**63 - 1), (50, 0, 2**63 - 1)}

@@ -32,6 +32,8 @@ def corpus():
         w[len(w) // 2] = "other"
         rows.append([1000 + k, " ".join(w) if k % 2 else x[1], x[2], "t"])
     rows += [[2000, None, "en", "s"], [2001, "", None, None], [2002, "12 34 " * 40, "en", "s"], [None, good[-1][1], "en", "s"], list(good[40]), [2003, good[41][1] + " end", "en", "s"]]
+    alone = good[42][1].split(" ")
+    rows += [[None, " ".join(alone[::-1]), "en", "s"]] * 2  # no id, and like no other text
     return [tuple([*x, None if x[1] is None else len(x[1])]) for x in rows], labels
 
 
@@ -61,6 +63,20 @@ def test_quality_and_language(stages):
     assert not {2000, 2001, 2002} & known
 
 
+def test_language_rejects_what_resembles_no_language(spark):
+    """Long texts of one strange word go; ordinary and short ones stay."""
+    r = random.Random(1)
+
+    def prose(lang, n):
+        return " ".join("".join(r.choice(SYLLABLES[lang]) for _ in range(r.randint(1, 3))) for _ in range(n))
+
+    rows = [(i, prose(sorted(SYLLABLES)[i % 3], r.choice([2, 5, 60, 90, 200])), sorted(SYLLABLES)[i % 3]) for i in range(600)]
+    odd = [(1000, "xqz " * 300, "en"), (1001, "zzzyx, " * 400, None), (1002, "qq", None), (1003, prose("en", 100) + " " + prose("de", 100), None)]
+    docs = spark.createDataFrame([(*x, "s", len(x[1])) for x in rows + odd], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {x["doc_id"] for x in corpus_pipeline.keep_language(spark, docs, "").collect()}
+    assert kept == {i for i, *_ in rows} | {1002, 1003}
+
+
 def test_near_duplicates_leave_one(stages):
     _, s = stages
 
@@ -70,7 +86,9 @@ def test_near_duplicates_leave_one(stages):
 
     before = [(r["doc_id"], key(r["text"])) for r in s["language"] if r["doc_id"] is not None]
     after = {r["doc_id"] for r in s["near_duplicates"]}
-    assert len(s["near_duplicates"]) == len(after) and None in after  # repeated rows count once, a row without id stays
+    assert len(s["near_duplicates"]) == len(after)  # repeated rows count once
+    # of three rows without an id one resembles a document, the others each other
+    assert sum(r["doc_id"] is None for r in s["language"]) == 3 and None in after
     for i, a in before:
         copies = [j for j, b in before if j < i and len(a & b) >= 0.8 * len(a | b)]
         assert (i in after) == (not copies), i
@@ -111,4 +129,43 @@ def test_queries_are_registered():
 
     names = set(entry.queries())
     assert "pipeline" in names and set(QUERIES) <= names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
+
+
+EXTRA = ["predicted", "score", "lang_pred", "kept", "class_id", "__kept", "__id", "__text", "__1", "spans", "a.b"]
+
+
+def test_columns_with_the_stages_names_come_through(spark, stages, tmp_path):
+    folder, s = stages
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    from pyspark.sql import functions as F
+
+    wide = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")).alias(c) for c in EXTRA])
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        wide = corpus_pipeline.cut_lineage(f(spark, wide, folder))
+        assert wide.columns == COLUMNS + EXTRA
+        rows = wide.collect()
+        assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r["doc_id"]) for r in s[name])
+        assert all(r[c] == (None if r["doc_id"] is None else f"{c}:{r['doc_id']}") for r in rows for c in EXTRA)
+    last = corpus_pipeline.STAGES[-1][1](spark, wide, folder).collect()
+    assert len(last) == len(s["packing"])
+
+
+def test_stages_take_empty_tables_and_very_long_texts(spark, stages, tmp_path):
+    folder, s = stages
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, f in corpus_pipeline.STAGES:
+        assert f(spark, docs.limit(0), folder).count() == 0
+    r = random.Random(4)
+    long = " ".join("".join(r.choice(SYLLABLES["en"]) for _ in range(r.randint(1, 3))) for _ in range(60_000))
+    rows = [(10_000, long, "en", "s", len(long)), (10_001, long + " more", "en", "s", len(long) + 5), (10_002, "é" * 300_000, None, "s", 300_000)]
+    more = docs.unionAll(spark.createDataFrame(rows, docs.schema))
+    kept = {}
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        more = corpus_pipeline.cut_lineage(f(spark, more, folder))
+        kept[name] = {x["doc_id"] for x in more.collect()}
+    assert {10_000, 10_001} <= kept["language"] and 10_000 in kept["near_duplicates"] and 10_001 not in kept["near_duplicates"]
+    pieces = [x for x in corpus_pipeline.STAGES[-1][1](spark, more, folder).collect() if x["doc_id"] == 10_000]
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = more.where("doc_id = 10000").first()["text"]
+    assert sum(x["length"] for x in pieces) == len(t.encode(text, add_special_tokens=False).ids) + 1

@@ -58,3 +58,22 @@ def test_sample_is_deterministic(spark):
     b = {r.order_id for r in explore.sample_orders(o, 0.1, 42).collect()}
     assert a == b and 120 < len(a) < 280
     assert explore.sample_orders(o, 0.0).count() == 0 and explore.sample_orders(o, 1.0).count() == 2000
+
+
+def test_one_order_with_a_third_of_all_lines_is_assembled_in_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from cartwise.operators.explore import order_sequence_chunks, order_sequences
+
+    big = spark.range(30_000).select(F.lit(7).cast("bigint").alias("order_id"), (F.col("id") * 31 % 977).alias("product_id"), F.col("id").cast("int").alias("add_to_cart_order"))
+    small = spark.range(60_000).select((100 + F.col("id") % 5000).alias("order_id"), F.col("id").alias("product_id"), (F.col("id") / 5000).cast("int").alias("add_to_cart_order"))
+    odd = spark.createDataFrame([(1, 5, None), (1, 4, None), (1, 9, 3), (2, 8, -2), (2, 7, 0), (3, 1, 5000), (3, 2, 5000)], "order_id long, product_id long, add_to_cart_order int")
+    lines = big.unionAll(small).unionAll(odd).repartition(6)
+    parts = order_sequence_chunks(lines, chunk=1000)
+    assert parts.agg(F.max(F.size("products"))).first()[0] <= 1000  # no row holds the order
+    mine = [r.products for r in parts.where("order_id = 7").orderBy("part").collect()]
+    assert len(mine) == 30 and [x for p in mine for x in p] == [i * 31 % 977 for i in range(30_000)]
+    whole = {r.order_id: r.products for r in order_sequences(lines, chunk=1000).collect()}
+    assert whole[7] == [i * 31 % 977 for i in range(30_000)] and whole[100] == [k * 5000 for k in range(12)]
+    assert (whole[1], whole[2], whole[3]) == ([4, 5, 9], [8, 7], [1, 2])
+    assert {r.order_id: r.products for r in order_sequences(lines, chunk=7).collect()} == whole

@@ -50,7 +50,7 @@ def test_train_score_and_artifacts(spark, parts, tmp_path):
 
     requests = spark.createDataFrame([(1, 100, 3, 2, 2.0), (99, 999, None, None, None)], "user_id long, product_id long, recency int, frequency int, monetary double")
     pdept = products.select("product_id", "department_id")
-    out = {r.user_id: r for r in score(requests, tr.model, interval, pdept, dept).collect()}
+    out = {r.user_id: r for r in score(requests, tr.model, interval, pdept, dept, interval_median(interval)).collect()}
     unknown = out[99]
     assert (unknown.recency, unknown.frequency, unknown.monetary, unknown.department_id) == (0.0, 1.0, 1.0, 0.0)
     assert unknown.avg_days_since_prior == pytest.approx(6.0)  # user-weighted median at serving time
@@ -65,3 +65,22 @@ def test_train_score_and_artifacts(spark, parts, tmp_path):
     assert again == pytest.approx({k: v.probability for k, v in out.items()})
     with pytest.raises(FileNotFoundError):
         load_artifacts(spark, str(tmp_path / "nothing"))
+
+
+def test_nodes_give_the_models_scores_and_importances(spark, parts):
+    from pyspark.sql import functions as F
+
+    from cartwise.operators.trees import model_nodes, node_importance, node_probability
+
+    samples, interval, products, dept = parts
+    feats = assemble_features(samples, interval, dept, products)
+    for params in ({"maxIter": 8, "maxDepth": 4}, {"maxIter": 1, "maxDepth": 1}, {"maxIter": 2, "maxDepth": 3, "minInstancesPerNode": 10_000}):
+        tr = train_repurchase(feats, **params)
+        nodes = model_nodes(tr.model, tr.feature_cols).cache()
+        assert nodes.columns == ["tree", "weight", "node", "feature", "threshold", "left", "right", "value", "gain", "rows"]
+        scored = tr.test_scored.select("probability", node_probability(nodes).alias("again")).collect()
+        assert scored and all(r.again == pytest.approx(r.probability, abs=1e-12) for r in scored)
+        want = {r.feature: r.importance for r in feature_importance(tr.model, tr.feature_cols).collect() if r.importance}
+        assert {r.feature: r.importance for r in node_importance(nodes).collect()} == pytest.approx(want)
+        inner = nodes.where("feature is not null").count()
+        assert nodes.count() == 2 * inner + nodes.select(F.count_distinct("tree")).first()[0]  # binary trees

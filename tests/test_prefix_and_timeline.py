@@ -6,7 +6,8 @@ from datetime import datetime
 import pandas as pd
 import pytest
 
-from cartwise.functions.prefix import exact_median, global_running_totals, keyed_running_sum
+from cartwise.functions.prefix import global_running_totals, keyed_running_sum
+from cartwise.functions.selection import exact_median, exact_quantile
 from cartwise.operators.transactions import build_transactions, department_frequency, purchase_interval
 
 
@@ -51,6 +52,35 @@ def test_exact_median_empty(spark):
     assert exact_median(df, "x").collect()[0]["median"] is None
 
 
+def test_exact_quantiles_through_every_round(spark):
+    import random
+
+    from cartwise import session
+
+    r = random.Random(2)
+    columns = {
+        "clustered": [r.gauss(0, 1) * 10 ** r.randint(-8, 8) for _ in range(6000)],
+        "ties": [float(r.choice([1, 1, 1, 2, 5, 5, 9])) for _ in range(5000)] + [None, float("nan")] * 5,
+        "two": [1.0] * 2500 + [2.0] * 2500,
+        "far": [1e300, -1e300] + [0.0, -0.0] * 700 + [r.random() for _ in range(999)],
+    }
+    writes = []
+    session.before_write.append(writes.append)
+    try:
+        for name, values in columns.items():
+            df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+            real = pd.Series([v for v in values if v is not None]).dropna()
+            for q in (0.0, 0.001, 0.25, 0.5, 0.731, 0.999, 1.0):
+                want = real.quantile(q)
+                assert exact_quantile(df, "x", q, gather=3) == want or exact_quantile(df, "x", q, gather=3) == pytest.approx(want, rel=1e-12), (name, q)
+    finally:
+        session.before_write.remove(writes.append)
+    assert not writes  # nothing is written on the way
+    assert exact_quantile(spark.range(7).selectExpr("id * 1000000000000 AS x"), "x") == 3e12
+    with pytest.raises(ValueError):
+        exact_quantile(df, "x", 1.5)
+
+
 def test_timeline_fractional_and_missing_gaps(spark):
     orders = spark.createDataFrame(
         [(10, 1, 1, None), (11, 1, 2, 1.5), (12, 1, 3, None), (20, 2, 1, None), (21, 2, 2, 7.0)],

@@ -40,8 +40,12 @@ def test_round_trip_and_missing_path(spark, tmp_path, fmt):
 def test_limit_lines_is_deterministic(spark):
     lines = spark.createDataFrame([(o, p) for o in range(5) for p in range(3)], "order_id long, product_id long")
     assert limit_lines(lines, 0).count() == 15
-    got = [tuple(r) for r in limit_lines(lines, 4).collect()]
+    got = sorted(tuple(r) for r in limit_lines(lines, 4).collect())
     assert got == [(0, 0), (0, 1), (0, 2), (1, 0)]
+    many = spark.range(20_000).selectExpr("(id * 7919) % 20000 AS order_id", "id AS product_id").repartition(7)
+    cap = limit_lines(many, 12_345)
+    assert sorted(r.order_id for r in cap.select("order_id").collect()) == list(range(12_345))
+    assert limit_lines(many, 50_000).count() == 20_000 and limit_lines(many.limit(0), 5).count() == 0
 
 
 def test_rejects_and_good_rows_add_up(spark, tmp_path):
