@@ -473,9 +473,9 @@ def find(texts: list, field: Field) -> list[tuple[list[Span], list[Span]]]:
                 while j < len(at) and TAGS[tag[j]] == f"I-{kind}":
                     j += 1
                 a, z = off + at[i][0], off + at[j - 1][1]
-                for lo, hi in _narrow(kind, texts[d][a:z]):
-                    if not any(x < a + hi and y > a + lo for _, x, y in base[d]):
-                        added[d].append((kind, a + lo, a + hi))
+                for p, q in _narrow(kind, texts[d][a:z]):
+                    if not any(x < a + q and y > a + p for _, x, y in base[d]):
+                        added[d].append((kind, a + p, a + q))
                 i = j
     order = {k: i for i, k in enumerate(KINDS)}
     by = lambda s: (order[s[0]], s[1], s[2])

@@ -130,6 +130,21 @@ def test_field_adds_loose_forms_and_leaves_clean_lines(field):
     assert right >= 0.95 * len(pii.TABLE)
 
 
+def test_every_stretch_is_decoded_once(field, monkeypatch):
+    texts = ["write to anna at firm dot de first", "x" * 40 + " mail theo at post dot net or call", "room 12"] * 3
+    runs, decode = [], field.decode
+    monkeypatch.setattr(pii, "BATCH", 1)  # a batch per stretch
+
+    def counted(lines):
+        runs.append(len(lines))
+        assert len(runs) <= len(texts), "a stretch is decoded again"
+        return decode(lines)
+
+    monkeypatch.setattr(field, "decode", counted)
+    got = pii.find(texts, field)
+    assert sum(runs) == len(texts) and [[k for k, *_ in s] for _, s in got] == [["email"], ["email"], []] * 3
+
+
 def test_a_long_line_is_decoded_whole(field, monkeypatch):
     number = "(415) 555-2671"
     assert [k for k, *_ in pii.find([f"please call {number} today"], field)[0][1]] == ["phone"]
