@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from cartwise.functions.checks import require_columns
 from cartwise.functions.text import unknown_name
 from cartwise.operators.catalog import id_names
-from cartwise.session import cut_lineage
+from cartwise.session import cut_lineage, shuffle_partitions
 
 
 def _basket_sets(items: DataFrame, rules: DataFrame) -> DataFrame:
@@ -53,6 +53,8 @@ def _matches(items: DataFrame, rules: DataFrame, exclude_owned: bool) -> DataFra
     """``basket_id, rule_id`` of every match."""
     sets = _basket_sets(items, rules)
     index = _rule_index(sets, rules)
+    # placed by basket before they grow: while the rules are few, the joins and groupings by basket below need no other shuffle
+    sets = sets.repartition(shuffle_partitions(sets.sparkSession), "basket_id")
     probes = sets.select("basket_id", F.col("items").alias("held"), F.explode("items").alias("item"))
     inside = (F.size("rest") == 0) | (F.size(F.array_except("rest", "held")) == 0)
     new = ~F.arrays_overlap("consequent", "held") if exclude_owned else F.lit(True)
@@ -111,11 +113,12 @@ def recommend_explain(
     # ids only; the count, the products and the first rules all read it
     matches = cut_lineage(_matches(resolved, rules, True))
     counts = matches.groupBy("basket_id").agg(F.count(F.lit(1)).alias("matched_rules_count"))
-    recs = _with_scores(_ranked(matches, rules, top_n), rules, products)
+    placed = matches.repartition(shuffle_partitions(matches.sparkSession), "basket_id")  # once for both rankings
+    recs = _with_scores(_ranked(placed, rules, top_n), rules, products)
     recs = recs.groupBy("basket_id").agg(F.array_sort(F.collect_list(F.struct("rank", "product_id", "product_name", "lift", "confidence"))).alias("r"))
     recs = recs.select("basket_id", F.transform("r", lambda r: F.struct(r["product_id"].alias("product_id"), r["product_name"].alias("product_name"), r["lift"].alias("lift"), r["confidence"].alias("confidence"))).alias("recommendations"))
     w = Window.partitionBy("basket_id").orderBy("rule_id")
-    firsts = matches.withColumn("k", F.row_number().over(w)).where(F.col("k") <= top_rules).join(rules.select("rule_id", "support", "confidence", "lift"), "rule_id").join(_rule_labels(rules, products), "rule_id")
+    firsts = placed.withColumn("k", F.row_number().over(w)).where(F.col("k") <= top_rules).join(rules.select("rule_id", "support", "confidence", "lift"), "rule_id").join(_rule_labels(rules, products), "rule_id")
     firsts = firsts.groupBy("basket_id").agg(F.array_sort(F.collect_list(F.struct("k", "antecedent", "consequent", "support", "confidence", "lift"))).alias("m"))
     firsts = firsts.select(
         "basket_id",
