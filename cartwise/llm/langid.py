@@ -3,7 +3,7 @@
 Every letter has a random vector of +1 and -1 (from its code point). A trigram's vector binds its
 letters' vectors, each rotated by its place, by multiplication; word boundaries count as one more
 letter. A text's vector bundles (adds) its trigrams' vectors. A language's prototype bundles the unit
-vectors of its sample documents, and a text gets the language whose prototype has the greatest cosine.
+vectors of all its documents that are not held out, and a text gets the language whose prototype has the greatest cosine.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from cartwise.llm.common import held_out, holds_caches, keep_only, map_texts
 
 DIMENSIONS = 1024
-SAMPLE = 1500  # documents per language that a prototype bundles, about
 UNKNOWN = "und"
 
 _LETTERS: dict[tuple[int, int], np.ndarray] = {}
@@ -109,23 +108,25 @@ class Profiles:
         }
 
 
-def _picked(docs: DataFrame, sample: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """``(__id, __text, __lang)`` of about ``sample`` documents per language that are not held out, by the hash of their id."""
+def _known(docs: DataFrame, sample: int | None, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``(__id, __text, __lang)`` of the documents that are not held out: all, or about ``sample`` per language by the hash of their id."""
     known = docs.where(F.col(f"`{lang_col}`").isNotNull() & ~held_out(id_col)).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text"), F.col(f"`{lang_col}`").alias("__lang"))
+    if sample is None:
+        return known
     counts = known.groupBy("__lang").agg(F.count(F.lit(1)).alias("__n"))
     share = counts.select(F.col("__lang").alias("__of"), F.least(F.lit(1.0), F.lit(float(sample)) / F.col("__n")).alias("__share"))
     # one short row per language; the prototypes, far larger, go to every task as well
     return known.join(F.broadcast(share), F.col("__lang") == F.col("__of")).where(F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(1 << 20)) < F.col("__share") * (1 << 20)).select("__id", "__text", "__lang")
 
 
-def learn(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
+def learn(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
     """Prototypes from documents with a language that are not held out.
 
-    About ``sample`` documents of each language, those of the smallest hash of their id, are bundled;
-    a language with fewer gives all. Partial bundles are added per language across tasks; only the
+    All of them are bundled (with ``sample``: about so many of each language, those of the smallest hash of their id;
+    a language with fewer gives all). Partial bundles are added per language across tasks; only the
     prototypes reach the driver.
     """
-    picked = _picked(docs, sample, id_col, text_col, lang_col)
+    known = _known(docs, sample, id_col, text_col, lang_col)
 
     def run(batches):
         import pandas as pd
@@ -142,7 +143,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE, i
         for name, x in sums.items():
             yield pd.DataFrame({"lang": name, "i": np.arange(dimensions), "x": x})
 
-    partial = picked.select("__lang", "__text").mapInPandas(run, "lang string, i int, x double")
+    partial = known.select("__lang", "__text").mapInPandas(run, "lang string, i int, x double")
     rows = partial.groupBy("lang", "i").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
     got = sorted((r["lang"], [x["x"] for x in r["v"]]) for r in rows.collect())
     p = np.array([v for _, v in got], dtype=np.float64).reshape(len(got), dimensions)
@@ -165,16 +166,18 @@ def length_class(text: Column) -> Column:
     return F.floor(F.log2(F.greatest(F.coalesce(F.length(text), F.lit(0)), F.lit(1)).cast("double"))).cast("int")
 
 
-def floors(docs: DataFrame, profiles: Profiles, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[int, float]:
-    """The least cosine that a text of each length class should have with some prototype, from the sample that they were learned from.
+def floors(docs: DataFrame, profiles: Profiles, sample: int | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[int, float]:
+    """The least cosine that a text of each length class should have with some prototype, from the documents that they were learned from.
 
     A text is foreign to all languages when its cosine is both under half the class's median and under the outer fence
     (the first quartile less three quartile distances). Cosines of short texts vary so much that
-    their fence lies below zero: nothing is said about them. At most 32 classes reach the driver.
+    their fence lies below zero: nothing is said about them. Cosines are counted to four places, so a class is at most
+    10,001 counts however many documents it has. At most 32 classes reach the driver.
     """
-    picked = _picked(docs, sample, id_col, text_col, lang_col).withColumn("__class", length_class(F.col("__text")))
-    found = identify(picked, profiles, "__id", "__text", keep=("__class",)).where(F.col("lang_pred") != UNKNOWN)
-    quartiles = found.groupBy("__class").agg(F.percentile("score", [0.25, 0.5, 0.75]).alias("q"))
+    known = _known(docs, sample, id_col, text_col, lang_col).withColumn("__class", length_class(F.col("__text")))
+    found = identify(known, profiles, "__id", "__text", keep=("__class",)).where(F.col("lang_pred") != UNKNOWN)
+    counts = found.groupBy("__class", F.round("score", 4).alias("score")).agg(F.count(F.lit(1)).alias("n"))
+    quartiles = counts.groupBy("__class").agg(F.percentile("score", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
     return {r["__class"]: min(r["q"][1] / 2, r["q"][0] - 3 * (r["q"][2] - r["q"][0])) for r in quartiles.collect()}
 
 

@@ -43,6 +43,19 @@ def test_language_of_held_out_documents(spark):
     assert langid.identify(docs, langid.learn(empty)).where("lang_pred <> 'und'").count() == 0
 
 
+def test_prototypes_and_floors_come_from_all_known_documents(spark):
+    rows = [(i, "ab" * 8 if i % 9 else "cde fgh ij" * 2, "x") for i in range(2300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.learn(docs, dimensions=64)
+    known = [t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    v, _ = langid.bundles(known, 64)
+    want = (v / np.linalg.norm(v, axis=1)[:, None]).sum(axis=0, dtype=np.float64)
+    assert len(known) > 1500 and np.allclose(got.prototypes[0], want / np.linalg.norm(want), atol=2e-6)
+    scores = np.round(got.predict(known)["score"], 4)
+    q = np.quantile([s for s, t in zip(scores, known) if len(t) >= 16], [0.25, 0.5, 0.75])
+    assert langid.floors(docs, got)[4] == pytest.approx(min(q[1] / 2, q[0] - 3 * (q[2] - q[0])), abs=1e-9)
+
+
 def test_bundles_equal_their_definition():
     text, d = "Äb c, bä", 64
     low = " äb c bä "
