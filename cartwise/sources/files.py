@@ -55,7 +55,8 @@ def ingest_csv(
     text = F.coalesce("_record", F.to_csv(F.struct(*schema.fieldNames()), again))
     tagged = df.select(*schema.fieldNames(), F.col("_metadata.file_path").alias("_file"), reason.alias("_reason"), F.when(reason.isNotNull(), text).alias("_record"))
     out = out or intermediate_path(spark)
-    tagged.withColumn("_rejected", reason.isNotNull()).write.mode("overwrite").partitionBy("_rejected").parquet(out)
+    # a plain column, not a folder: rows are written as they are parsed, none is held to be sorted
+    tagged.withColumn("_rejected", reason.isNotNull()).write.mode("overwrite").parquet(out)
     table = spark.read.schema(T.StructType([*tagged.schema.fields, T.StructField("_rejected", T.BooleanType())])).parquet(out)
     good = table.where(~F.col("_rejected")).select(*schema.fieldNames())
     return good, table.where("_rejected").select(F.col("_file").alias("file"), F.col("_reason").alias("reason"), F.col("_record").alias("record"))
