@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cartwise.functions.text import percent_text
 from cartwise.operators import asof, catalog, evaluate, explore, features, model, recommend, rules, split, transactions, trees, windows
 from cartwise.operators.baskets import baskets, mining_baskets
-from cartwise.session import cut_lineage
+from cartwise.session import cut_lineage, shuffle_partitions
 from cartwise.sources.testdata import TestTables
 
 # fixed parameters of the grocery runs
@@ -719,8 +719,9 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = _serving_requests(t).withColumns({"request_id": F.monotonically_increasing_id(), "product_name": F.lit(None).cast("string")})
     asked = asked.withColumn("requested_at", F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("request_id"), F.lit(1800))))
     first = cut_lineage(asked.select(*TIMED_REQUEST_SCHEMA.fieldNames()))
-    # the files of the inbox: all requests, and a quarter of them once more
-    first.unionAll(first.where(F.col("request_id") % 4 == 0)).repartition(4).write.parquet(inbox)
-    start_scoring_stream(spark, inbox, root, out, state, available_now=True, dedupe_within="1 hour", with_model=False, max_files=2).awaitTermination()
+    # the files of the inbox: all requests, and a quarter of them once more; a batch takes half of the files, however many
+    files = max(4, shuffle_partitions(spark))
+    first.unionAll(first.where(F.col("request_id") % 4 == 0)).repartition(files).write.parquet(inbox)
+    start_scoring_stream(spark, inbox, root, out, state, available_now=True, dedupe_within="1 hour", with_model=False, max_files=(files + 1) // 2).awaitTermination()
     back = spark.read.parquet(out)
     return back.select("user_id", "product_id", *[r6(c).alias(c) if c in ("avg_days_since_prior", "department_frequency_ratio") else F.col(c) for c in features.FEATURE_COLS])
