@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwise.functions.selection import exact_quantile
 from cartwise.sources.files import read_table, write_table
 
 PARTS = ("model", "feature_cols", "metrics", "avg_purchase_interval", "department_frequency", "product_department", "rules", "products", "parameters")
@@ -41,8 +42,9 @@ class Artifacts:
 
     @property
     def median(self) -> float | None:
-        """The purchase interval that unknown users get (kept in training)."""
-        return (self.parameters or {}).get("interval_median")
+        """The purchase interval that unknown users get: the one kept in training, else the median over the saved intervals."""
+        kept = (self.parameters or {}).get("interval_median")
+        return exact_quantile(self.interval, "avg_days_since_prior") if kept is None and self.interval is not None else kept
 
 
 def _path(root: str, name: str) -> str:
