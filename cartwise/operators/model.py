@@ -28,6 +28,8 @@ from cartwise.session import cut_lineage
 
 GBT_DEFAULTS = dict(maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
 
+MOST_ROWS = 1_000_000  # of the training set in one partition: what a task keeps in memory
+
 
 @dataclass
 class TrainedRepurchase:
@@ -53,6 +55,16 @@ def with_probability(scored: DataFrame) -> DataFrame:
     return out.drop("features", "rawPrediction")
 
 
+def dealt_evenly(train: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """The rows in equal partitions, one per core, or a multiple of that so that none holds more than about ``most`` rows.
+
+    Boosting runs a stage per level of every tree over the same partitions, and a stage lasts as long as its largest one: files
+    read as they lie give parts of unequal size, or one part more than there are cores.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(cores * max(1, -(-train.count() // (cores * most))))
+
+
 def train_repurchase(
     features: DataFrame,
     key_cols: list[str] | None = None,
@@ -63,17 +75,18 @@ def train_repurchase(
 ) -> TrainedRepurchase:
     """Deterministic hash split, fit on the train part, score and evaluate the test part (A10).
 
-    The training set is checkpointed to the session's shared checkpoint folder first: boosting reads
-    it once per tree, and a lost executor then re-reads the checkpoint, not the whole lineage.
+    The flagged rows are written to the session's shared checkpoint folder once for both parts: a lost executor re-reads
+    them, not the whole lineage. The train part is dealt evenly over the cores (``dealt_evenly``). The scored rows are
+    written too, since the metrics read them several times.
     """
     cols = feature_cols or FEATURE_COLS
     require_columns(features, [*cols, "label"], "features")
     keys = key_cols or [c for c in ("window_id", "user_id", "product_id") if c in features.columns]
-    flagged = features.withColumn("_is_test", split_flag(keys, test_fraction, seed))
-    train = cut_lineage(flagged.where(~F.col("_is_test")).drop("_is_test"))
+    flagged = cut_lineage(features.withColumn("_is_test", split_flag(keys, test_fraction, seed)))
+    train = flagged.where(~F.col("_is_test")).select(*cols, "label")
     test = flagged.where(F.col("_is_test")).drop("_is_test")
-    model = repurchase_estimator(cols, **params).fit(train)
-    scored = with_probability(model.transform(test))
+    model = repurchase_estimator(cols, **params).fit(dealt_evenly(train))
+    scored = cut_lineage(with_probability(model.transform(test)))
     return TrainedRepurchase(model, scored, classification_metrics(scored), list(cols))
 
 

@@ -84,3 +84,34 @@ def test_nodes_give_the_models_scores_and_importances(spark, parts):
         assert {r.feature: r.importance for r in node_importance(nodes).collect()} == pytest.approx(want)
         inner = nodes.where("feature is not null").count()
         assert nodes.count() == 2 * inner + nodes.select(F.count_distinct("tree")).first()[0]  # binary trees
+
+
+def test_training_rows_are_dealt_evenly(spark):
+    from pyspark.sql import functions as F
+
+    from cartwise.operators.model import dealt_evenly
+
+    cores = spark.sparkContext.defaultParallelism
+    uneven = spark.range(0, 3000, 1, 1).union(spark.range(3000, 3010, 1, 7))
+    for most, parts in ((10_000, cores), (-(-3010 // (2 * cores)), 2 * cores)):
+        dealt = dealt_evenly(uneven, most)
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == parts and max(sizes) <= 1.2 * 3010 / parts
+        assert sorted(r.id for r in dealt.collect()) == list(range(3010))
+
+
+def test_rows_are_written_once_and_scored_once(spark, parts):
+    from cartwise import session
+
+    samples, interval, products, dept = parts
+    written = []
+    session.before_write.append(lambda df: written.append(df.columns))
+    try:
+        tr = train_repurchase(assemble_features(samples, interval, dept, products), maxIter=2, maxDepth=2)
+    finally:
+        session.before_write.pop()
+    assert sum("_is_test" in c for c in written) == 1 and sum("probability" in c for c in written) == 1
+    # what is read back is a scan: neither the joins nor the trees run again
+    plan = tr.test_scored._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in plan and "Join" not in plan and "UDF" not in plan
+    assert tr.test_scored.count() == samples.where(split_flag(["window_id", "user_id", "product_id"])).count()
