@@ -14,6 +14,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable
+from string import punctuation
 
 import numpy as np
 
@@ -44,8 +45,14 @@ class Cache(dict):
 
     def __missing__(self, key: str) -> bytes:
         value = self.held.get(key) or self.old.get(key) or self.make(key)
-        if len(key) <= self.longest:
-            self.put(key, value)
+        n = len(key)
+        if n <= self.longest:
+            more = _ENTRY + 4 * n + len(value)
+            if self.size + more > self.most:
+                self.put(key, value)
+            else:  # nearly always: as ``put`` does it, without the call
+                self.size += more
+                self[key] = value
         return value
 
     def put(self, key: str, value: bytes) -> None:
@@ -169,6 +176,8 @@ class WholeTexts:
 
 # the public byte-level split pattern
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# its matches in ASCII text (white space spelt out: Python's holds four control characters more)
+_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 # characters that lower one to one and compose with nothing that follows inside the set
 _SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]*\Z")
 _SIMPLE_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
@@ -236,20 +245,29 @@ def library_encoder(path: str, cache: tuple[int, int] | None = None) -> LibraryE
             return b"".join([ids_of(p) for p, _ in pre.pre_tokenize_str(normal.normalize_str(unit) if normal else unit)])
 
         def spaced(unit: str) -> bytes:
-            found = gap.findall(unit)
-            if unit.isascii() and unit.isprintable():
-                return b"".join([ids_of(p.replace(" ", "\u0120")) for p in found])
+            if unit.isascii():  # the same matches by the plain classes
+                found = _ASCII_PIECES.findall(unit)
+                if unit.isprintable():
+                    return b"".join([ids_of(p.replace(" ", "\u0120")) for p in found])
+            else:
+                found = gap.findall(unit)
             return b"".join([ids_of(p.encode().decode("latin-1").translate(byte_chars)) for p in found])
 
+        def spelled(word: str) -> str:
+            return "\u0120" + word.encode().decode("latin-1").translate(byte_chars)
+
         def byte_level(unit: str) -> bytes:
-            if unit.isascii():  # most units: a word, or a word and one mark
-                if unit.isalpha():
-                    return piece("\u0120" + unit)  # kept as a unit
-                word = unit[:-1]
-                if word.isalpha() and unit[-1] in ".,;:!?":
-                    return ids_of("\u0120" + word) + ids_of(unit[-1])
-            elif unit.isalpha():  # letters only: one piece
-                return piece("\u0120" + unit.encode().decode("latin-1").translate(byte_chars))
+            # most units: a word (one piece, kept as a unit), or a word and its marks (one piece more); either may know the word
+            if unit.isalpha():
+                p = "\u0120" + unit if unit.isascii() else spelled(unit)
+                return pieces.get(p) or piece(p)
+            word = unit.rstrip(punctuation)
+            if word.isalpha():
+                return (units.get(word) or units.old.get(word) or ids_of(spelled(word))) + ids_of(unit[len(word) :])
+            # a single line break is a piece of its own, and no piece crosses it
+            before, _, after = unit.partition("\n")
+            if before and after and not before[-1].isspace() and not after[0].isspace():
+                return units[before] + ids_of("\u010a") + (ids_of(after) if after.isascii() and after.isalpha() else spaced(after))
             return spaced(" " + unit)
 
         def simple(unit: str) -> bytes:
@@ -274,7 +292,9 @@ def library_encoder(path: str, cache: tuple[int, int] | None = None) -> LibraryE
         if kind == "other":
             _ENCODERS[key] = WholeTexts(whole)
         elif kind == "bytes":
-            _ENCODERS[key] = LibraryEncoder(byte_level, spaced, pieces, special, whole, most_units)
+            made = LibraryEncoder(byte_level, spaced, pieces, special, whole, most_units)
+            units = made.units
+            _ENCODERS[key] = made
         else:
             _ENCODERS[key] = LibraryEncoder(simple, None, pieces, special, whole, most_units)
     return _ENCODERS[key]

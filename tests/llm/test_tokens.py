@@ -240,3 +240,22 @@ def test_other_tokenizer_files_take_whole_texts(tmp_path):
     assert isinstance(encoder, WholeTexts) and models
     for text in [*ODD, *random_texts(200)]:
         assert encoder(text) == packed(base.encode(text, add_special_tokens=False).ids)
+
+
+def test_a_known_word_costs_no_call_with_marks_or_at_a_line_break():
+    encoder = library_encoder(public_tokenizers.path("byte_bpe_50k.json"), cache=(1_000_000, 900_000))
+    encoder.clear()
+    encoder("x zorglewick naïveté")
+    encoder("x zorglewick, naïveté!!! zorglewick.\nWord naïveté,$$$")
+    kept = set(encoder.pieces) | set(encoder.pieces.old)
+    assert not any("zorglewick" in p for p in kept) and not any(p.startswith("Ġna") for p in kept)
+    assert {",", "!!!", ",$$$", "Word"} <= kept
+
+
+def test_units_with_marks_breaks_and_control_characters_equal_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, encoder, r = Tokenizer.from_file(path), library_encoder(path), random.Random(11)
+    bits = [" ", "\n", "\n", "\n\n", "\r", "\x1c", "\x1f", "\x85", "\xa0", " ", "the", "Word", "naïve", "日本", "'s", "'", "9", "²", ".", ",$$$", "***", "—", "ª", "́"]
+    for _ in range(3000):
+        x = "x " * r.randint(0, 1) + "".join(r.choice(bits) for _ in range(r.randint(1, 9)))
+        assert encoder(x) == packed(tokenizer.encode(x, add_special_tokens=False).ids), x
