@@ -94,10 +94,14 @@ def _delete(spark: SparkSession, path: str) -> None:
 def discard(*tables: DataFrame) -> None:
     """Remove what ``cut_lineage`` wrote for these tables; nothing may read them any more."""
     for df in tables:
-        path = getattr(df, "_cartwise_path", None)
-        if path in _written:
-            _written.remove(path)
-            _delete(df.sparkSession, path)
+        discard_path(df.sparkSession, getattr(df, "_cartwise_path", None))
+
+
+def discard_path(spark: SparkSession, path: str | None) -> None:
+    """Remove what was written under an ``intermediate_path``."""
+    if path in _written:
+        _written.remove(path)
+        _delete(spark, path)
 
 
 def release_intermediates(spark: SparkSession, since: int = 0) -> int:

@@ -115,3 +115,69 @@ def test_rows_are_written_once_and_scored_once(spark, parts):
     plan = tr.test_scored._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" in plan and "Join" not in plan and "UDF" not in plan
     assert tr.test_scored.count() == samples.where(split_flag(["window_id", "user_id", "product_id"])).count()
+
+
+def _training_rows(spark, n):
+    from pyspark.sql import functions as F
+
+    r = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000))
+    share = (r(6) % 4) / (1 + r(7) % 10)
+    d = spark.range(n).select(
+        (r(1) % 60).cast("double").alias("recency"), (1 + r(2) % 3).cast("double").alias("frequency"), (r(3) % 50).cast("double").alias("monetary"), (r(4) / 7.0).alias("avg_days_since_prior"),
+        (r(5) % 150).cast("double").alias("department_id"), F.lit(1.0).alias("department_frequency"), share.alias("department_frequency_ratio"), r(8).alias("_x"),
+    )
+    return d.withColumn("label", ((F.col("recency") * 10 + F.col("monetary") * 5 + F.col("_x")) > 900).cast("int")).drop("_x")
+
+
+@pytest.mark.parametrize("n, whole", [(300, None), (30_000, None), (30_000, 0)])
+def test_boosted_trees_are_those_of_mllib(spark, monkeypatch, n, whole):
+    """Same splits, scores and importances, with all rows behind the bins or a sample, and with sums taken as differences."""
+    from cartwise.operators import boosting
+    from cartwise.operators.model import dealt_evenly, repurchase_estimator
+    from cartwise.operators.trees import model_nodes
+
+    if whole is not None:
+        monkeypatch.setattr(boosting, "WHOLE", whole)
+    t = _training_rows(spark, n).cache()
+    estimator = repurchase_estimator(maxIter=4, maxDepth=4)
+    want, got = estimator.fit(dealt_evenly(t)), boosting.fit_boosted(estimator, t)
+    cols = estimator.getStages()[0].getInputCols()
+    a, b = ([tuple(r) for r in model_nodes(m, cols).orderBy("tree", "node").collect()] for m in (want, got))
+    assert len(a) == len(b) > 60
+    for x, y in zip(a, b):
+        assert (x[0], x[2], x[3], x[5], x[6]) == (y[0], y[2], y[3], y[5], y[6])
+        assert [v for v in x if isinstance(v, float)] == pytest.approx([v for v in y if isinstance(v, float)], abs=1e-9)
+    p, q = (sorted((*r.features, r.probability[1]) for r in m.transform(t).collect()) for m in (want, got))
+    assert p == [pytest.approx(x, abs=1e-9) for x in q]
+    assert got.stages[1].uid == want.stages[1].uid and got.stages[1].getMaxDepth() == 4
+    t.unpersist()
+
+
+def test_boosting_is_one_stage(spark, parts):
+    """The levels of the trees are no Spark jobs: training took six a tree, now a handful in all."""
+    from cartwise.operators.boosting import fit_boosted
+    from cartwise.operators.model import repurchase_estimator
+
+    t = _training_rows(spark, 2000).cache()
+    t.count()
+    sc = spark.sparkContext
+    sc.setJobGroup("boosting", "")
+    fit_boosted(repurchase_estimator(maxIter=12), t)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("boosting"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    t.unpersist()
+    assert 0 < jobs < 40
+
+
+def test_boosting_refuses_what_the_trees_cannot_use(spark):
+    from pyspark.sql import functions as F
+
+    from cartwise.operators.boosting import fit_boosted
+    from cartwise.operators.model import repurchase_estimator
+
+    t = _training_rows(spark, 200)
+    for bad in (t.withColumn("monetary", F.when(F.col("recency") > 3, F.col("monetary"))), t.withColumn("label", F.lit(2))):
+        with pytest.raises(Exception, match="null or NaN|labels must be"):
+            fit_boosted(repurchase_estimator(maxIter=1), bad)
+    assert fit_boosted(repurchase_estimator(maxIter=1), t.limit(0)) is None  # MLlib says what is wrong
+    assert fit_boosted(repurchase_estimator(maxIter=1, weightCol="recency"), t) is None
