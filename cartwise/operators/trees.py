@@ -7,15 +7,15 @@ column expression that walks all trees over it. The expression gives the same pr
 
 from __future__ import annotations
 
-import json
-
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.session import intermediate_path
 
-MOST_NODES = 2_000_000  # of all trees: the table becomes literals of an expression
+MOST_NODES = 2_000_000  # of all trees: the table becomes arrays that every task gets
 
 
 def model_nodes(model: PipelineModel, feature_cols: list[str]) -> DataFrame:
@@ -60,8 +60,8 @@ def node_importance(nodes: DataFrame) -> DataFrame:
 def node_probability(nodes: DataFrame) -> Column:
     """The probability of the positive class as an expression over the feature columns.
 
-    The nodes (bounded: ``MOST_NODES``) become arrays of literals; a row walks every tree from its root by index, as many steps as the
-    deepest tree has levels, and the weighted leaf values go through the sigmoid of twice their sum.
+    The nodes (bounded: ``MOST_NODES``) become arrays that go to the tasks; a batch of rows walks every tree from its root by index, as
+    many steps as the deepest tree has levels, and the weighted leaf values go through the sigmoid of twice their sum.
     """
     rows = sorted(tuple(r) for r in nodes.select("tree", "node", "weight", "feature", "threshold", "left", "right", "value").limit(MOST_NODES + 1).collect())
     if len(rows) > MOST_NODES:
@@ -69,26 +69,27 @@ def node_probability(nodes: DataFrame) -> Column:
     place = {(t, n): i for i, (t, n, *_) in enumerate(rows)}
     names = sorted({r[3] for r in rows if r[3] is not None})
     depth = _depth(rows)
-
-    def literal(values, kind: str) -> Column:
-        # folded to one array literal when the plan is optimised
-        return F.from_json(F.lit(json.dumps(list(values))), f"array<{kind}>")
-
     # a leaf leads to itself
-    feature = literal((names.index(r[3]) if r[3] is not None else 0 for r in rows), "int")
-    threshold = literal((r[4] if r[3] is not None else 0.0 for r in rows), "double")
-    left = literal((place[r[0], r[5]] if r[3] is not None else i for i, r in enumerate(rows)), "int")
-    right = literal((place[r[0], r[6]] if r[3] is not None else i for i, r in enumerate(rows)), "int")
-    share = literal((r[2] * r[7] for r in rows), "double")
-    roots = literal((i for i, r in enumerate(rows) if r[1] == 0), "int")
-    given = F.array(*[F.col(c).cast("double") for c in names]) if names else F.array(F.lit(0.0))
-    steps = literal([0] * depth, "int")
-
-    def leaf(root: Column) -> Column:
-        return F.aggregate(steps, root, lambda at, _: F.when(F.get(given, F.get(feature, at)) <= F.get(threshold, at), F.get(left, at)).otherwise(F.get(right, at)))
-
-    total = F.aggregate(roots, F.lit(0.0), lambda s, root: s + F.get(share, leaf(root)))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * total))
+    feature = np.array([names.index(r[3]) if r[3] is not None else 0 for r in rows], dtype=np.intp)
+    threshold = np.array([r[4] if r[3] is not None else 0.0 for r in rows], dtype=float)
+    left = np.array([place[r[0], r[5]] if r[3] is not None else i for i, r in enumerate(rows)], dtype=np.intp)
+    right = np.array([place[r[0], r[6]] if r[3] is not None else i for i, r in enumerate(rows)], dtype=np.intp)
+    share = np.array([r[2] * r[7] for r in rows], dtype=float)
+    roots = [i for i, r in enumerate(rows) if r[1] == 0]
+
+    @F.pandas_udf("double")
+    def probability(given: pd.DataFrame) -> pd.Series:
+        x = given.to_numpy(dtype=float)
+        flat, first, total = x.reshape(-1), np.arange(len(x)) * x.shape[1], np.zeros(len(x))
+        for root in roots:
+            at = np.full(len(x), root)
+            for _ in range(depth):
+                # a null or NaN goes right
+                at = np.where(flat.take(first + feature.take(at)) <= threshold.take(at), left.take(at), right.take(at))
+            total += share.take(at)
+        return pd.Series(1.0 / (1.0 + np.exp(-2.0 * total)))
+
+    return probability(F.struct(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(names)] or [F.lit(0.0).alias("f0")]))
 
 
 def _depth(rows: list[tuple]) -> int:
