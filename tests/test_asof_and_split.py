@@ -65,6 +65,33 @@ def test_as_of_features_equal_plain_loops(spark, history):
         assert (f.department_id, f.department_frequency) == (department, n) and f.department_frequency_ratio == pytest.approx(ratio)
 
 
+def test_carried_departments_give_the_same_and_samples_are_not_joined_to_products(spark, history):
+    """A product of two departments and one of none; with the departments in the rows, no sample looks for its product."""
+    from cartwise import session
+
+    _, _, _, o, lined, _ = history
+    p = spark.createDataFrame([(1, 10), (1, 20), (2, 10), (3, 20), (4, None)], "product_id long, department_id int")
+    dated = transactions.order_dates(o, "2024-01-01 00:00:00")
+    tx = transactions.build_transactions(o, lined, anchor="2024-01-01 00:00:00")
+    span = windows.date_span(tx, "transaction_date")
+    samples = windows.sliding_window_rfm(tx, "transaction_date", "user_id", "product_id", "quantity", *LENGTHS, span)
+    want = sorted(tuple(r) for r in asof.as_of_features(samples, dated, tx, p, span, *LENGTHS).collect())
+
+    carried = session.cut_lineage(tx.join(p, "product_id", "left"))
+    items = carried.withColumn("item", F.struct("product_id", "department_id"))
+    ours = session.cut_lineage(windows.sliding_window_rfm(items, "transaction_date", "user_id", "item", "quantity", *LENGTHS, span).select("*", "item.*").drop("item", "cut_date"))
+    plans = []
+    session.before_write.append(lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()))
+    try:
+        got = asof.as_of_features(ours, dated, carried, p, span, *LENGTHS)
+    finally:
+        session.before_write.pop()
+    session.discard(carried)  # the figures are written: nothing reads the lines any more
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 100
+    assert not any("Join [product_id" in x for x in plans) and len(plans) >= 3
+
+
 def test_later_orders_change_nothing(spark, history):
     """The point of the operator: what happens after a cut does not reach its samples."""
     _, _, _, o, lined, p = history
