@@ -8,7 +8,8 @@ feature joins alone where the version has no model.
 
 A request sent twice (same ``request_id``) is answered once when ``dedupe_within`` is set: ids are kept as state until the
 watermark of ``requested_at`` has passed them by that delay, so the state is bounded by the requests of
-that time, not by the length of the stream.
+that time, not by the length of the stream. It lies on disk (RocksDB), with a bounded part in memory. A stream goes on with the kind of
+state that its checkpoint was begun with: one begun before that needs a new checkpoint location.
 
 Output goes to ``{output}/batch_id=<n>`` with overwrite, so a micro-batch replayed after a failure
 rewrites the same folder: together with the checkpoint location this gives exactly-once files. The version used is in
@@ -41,6 +42,15 @@ REQUEST_SCHEMA = T.StructType(
 TIMED_REQUEST_SCHEMA = T.StructType([*REQUEST_SCHEMA.fields, T.StructField("requested_at", T.TimestampType())])
 
 
+#: Request ids are kept on the executors' disks, with at most so many MB of them in an executor's memory.
+_STORE = "spark.sql.streaming.stateStore"
+STATE_STORE = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.maxMemoryUsageMB": "200",
+}
+
+
 def answer(batch: DataFrame, art: Artifacts, top_n: int = 3) -> DataFrame:
     """A batch of requests scored and with recommendations, or with its serving features when there is no model."""
     if art.model is not None:
@@ -89,4 +99,12 @@ def start_scoring_stream(
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    # a stream keeps the settings that it starts with
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    try:
+        for k, v in STATE_STORE.items():
+            spark.conf.set(k, v)
+        return writer.start()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

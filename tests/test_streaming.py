@@ -69,3 +69,24 @@ def test_batches_pin_versions_and_repeats_are_dropped(spark, tmp_path):
     assert {i: got[i].version for i in got} == {0: 1, 1: 1, 2: 1, 3: 2, 4: 2, 5: 2}
     # user 1 (even ids) is known, user 2 takes the median: both from the version that the batch pinned
     assert {i: got[i].avg_days_since_prior for i in got} == {0: 1.0, 1: 101.0, 2: 1.0, 3: 102.0, 4: 2.0, 5: 102.0}
+
+
+def test_request_ids_are_kept_on_disk(spark, tmp_path):
+    """The state of repeated ids is no table in memory, and the session's own settings are left as they were."""
+    from datetime import datetime, timedelta
+
+    from cartwise.streaming import TIMED_REQUEST_SCHEMA
+
+    root, inbox = str(tmp_path / "artifacts"), str(tmp_path / "requests")
+    figures = spark.createDataFrame([(1, 1.0)], "user_id long, avg_days_since_prior double")
+    dept = spark.createDataFrame([(1, 1, 3, 0.75)], "user_id long, department_id int, department_frequency long, department_frequency_ratio double")
+    save_artifacts(root, None, None, None, figures, dept, spark.createDataFrame([(1, 1)], "product_id long, department_id int"), parameters={"interval_median": 1.0})
+    rows = [(i % 500, 1, 1, None, None, None, None, datetime(2024, 1, 1) + timedelta(seconds=i)) for i in range(1000)]
+    spark.createDataFrame(rows, TIMED_REQUEST_SCHEMA).write.parquet(f"{inbox}/a")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    q = start_scoring_stream(spark, f"{inbox}/*", root, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True, dedupe_within="1 hour", with_model=False)
+    q.awaitTermination(120)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    state = [s for p in q.recentProgress for s in p["stateOperators"]]
+    assert state and any(k.startswith("rocksdb") for k in state[0]["customMetrics"])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 500
